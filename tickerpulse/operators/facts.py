@@ -25,12 +25,12 @@ def tweets_to_posts(tweets: DataFrame, source: str | None = None) -> DataFrame:
 def post_fact(posts: DataFrame) -> DataFrame:
     """Identified posts -> the published post fact with year-less parts.
 
-    Columns: id, source, created_at, date, month, day, hour, the four
-    counters, text, tickers, tags.
+    Columns: id, source, author_id, created_at, date, month, day, hour,
+    the four counters, text, tickers, tags.
     """
     p = time_parts("created_at")
     return posts.select(
-        "id", "source", "created_at", p["date"].alias("date"), p["month"].alias("month"),
+        "id", "source", "author_id", "created_at", p["date"].alias("date"), p["month"].alias("month"),
         p["day"].alias("day"), p["hour"].alias("hour"),
         "like_count", "quote_count", "reply_count", "retweet_count",
         "text", "tickers", "tags")

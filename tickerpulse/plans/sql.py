@@ -124,4 +124,6 @@ conv_fact AS (
 
 
 def with_(*parts: str) -> str:
+    if not parts:
+        return ""
     return "WITH " + ",".join(p.strip("\n") for p in parts) + "\n"

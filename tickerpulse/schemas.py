@@ -70,7 +70,7 @@ BAR_RAW = T.StructType([
 
 # Post fact column order (the published post table).
 POST_COLUMNS = [
-    "id", "source", "created_at", "date", "month", "day", "hour",
+    "id", "source", "author_id", "created_at", "date", "month", "day", "hour",
     "like_count", "quote_count", "reply_count", "retweet_count",
     "text", "tickers", "tags",
 ]

@@ -122,3 +122,9 @@ def document_posts(documents: DataFrame) -> DataFrame:
         F.col("n_chars").cast("bigint").alias("retweet_count"),
         tagged_text("text").alias("text"),
     )
+
+
+def cash_tagged_text(c) -> Column:
+    """Words of six or more letters get a ``$`` in front (cashtag form)."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.regexp_replace(col, TAG_WORD, "\\$$1")
