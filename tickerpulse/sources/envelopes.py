@@ -92,3 +92,26 @@ def tweet_struct(id_: Column, text: Column, author_id: Column, conversation_id:
             F.lit(None).cast("array<struct<id:string,full_name:string,country:string>>").alias("places"),
         ).alias("includes"),
     )
+
+
+ISO_OUT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+
+
+def envelopes_from_posts(posts: DataFrame, context_col: str | None = None) -> DataFrame:
+    """One line-delimited envelope per post: ``{"tweets": [post, {}]}``.
+
+    Posts in the flat shape (id, author_id, created_at timestamp_ntz, the
+    four counters, text, optional conversation_id / context array) are put
+    back into the collector's nested shape, sentinel included. One post
+    per envelope keeps every document small and the files splittable.
+    """
+    conv = F.col("conversation_id") if "conversation_id" in posts.columns else F.col("author_id")
+    ctx = F.col(context_col) if context_col else F.lit(None).cast("array<struct<id:string,text:string>>")
+    created = F.date_format(F.col("created_at"), ISO_OUT)
+    t = tweet_struct(F.col("id"), F.col("text"), F.col("author_id"), conv, created,
+                     F.col("like_count"), F.col("quote_count"), F.col("reply_count"),
+                     F.col("retweet_count"), ctx)
+    # The sentinel is a struct whose fields are all NULL: JSON writes it as {}.
+    sentinel = F.struct(F.lit(None).cast(schemas.TWEET_DATA).alias("data"),
+                        F.lit(None).cast(schemas.INCLUDES).alias("includes"))
+    return posts.select(F.array(t, sentinel).alias("tweets"))
