@@ -1,0 +1,51 @@
+"""Streaming forms give the batch results (availableNow over files)."""
+
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+
+from tickerpulse.functions.entities import identify_tickers
+from tickerpulse.streaming import jobs
+
+
+def test_stream_dedup_with_repeats(spark, tmpdir_path):
+    t0 = dt.datetime(2024, 1, 1, 0, 0)
+    rows = [(1, "A", t0), (1, "A", t0 + dt.timedelta(minutes=5)), (2, "A", t0),
+            (1, "B", t0 + dt.timedelta(minutes=7)), (2, "A", t0 + dt.timedelta(minutes=50))]
+    src = os.path.join(tmpdir_path, "src")
+    spark.createDataFrame(rows, "user_id bigint, ticker string, ts timestamp_ntz") \
+        .write.parquet(os.path.join(src, "x.parquet"))
+    schema = spark.read.parquet(os.path.join(src, "x.parquet")).schema
+    stream = spark.readStream.schema(schema).parquet(os.path.join(src, "x.parquet"))
+    out = jobs.run_available_now(jobs.dedup(stream, ["user_id", "ticker"], "ts", "2 hours")
+                                 .select("user_id", "ticker"), "t-dedup")
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "A"), (1, "B"), (2, "A")]
+
+
+def test_stream_identify_equals_batch(spark, tmpdir_path):
+    texts = [("1", "$AAPL #x"), ("2", "#goog|"), ("3", "＃mu and $EBAY")]
+    import pandas as pd
+    src = os.path.join(tmpdir_path, "posts")
+    os.makedirs(src)
+    # a single named file, like the driver's tables
+    pd.DataFrame(texts, columns=["id", "text"]).to_parquet(os.path.join(src, "p.parquet"))
+    u = ["AAPL", "GOOG", "MU", "EBAY"]
+    batch = spark.read.parquet(src).select("id", identify_tickers("text", None, u).alias("t"))
+    st = jobs.table_stream(spark, src, "p").select("id", identify_tickers("text", None, u).alias("t"))
+    out = jobs.run_available_now(st, "t-ident")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, batch.collect()))
+
+
+def test_hourly_counts_complete_mode(spark, tmpdir_path):
+    t0 = dt.datetime(2024, 1, 1, 0, 0)
+    rows = [("A", t0 + dt.timedelta(minutes=m)) for m in (1, 2, 61, 125)]
+    import pandas as pd
+    src = os.path.join(tmpdir_path, "m")
+    os.makedirs(src)
+    pd.DataFrame(rows, columns=["ticker", "created_at"]).to_parquet(
+        os.path.join(src, "m.parquet"), coerce_timestamps="us", allow_truncated_timestamps=True)
+    out = jobs.run_available_now(jobs.hourly_counts(jobs.table_stream(spark, src, "m")), "t-hc",
+                                 output_mode="complete")
+    got = sorted((r["t_hour"].hour, r["cnt"]) for r in out.collect())
+    assert got == [(0, 2), (1, 1), (2, 1)]
