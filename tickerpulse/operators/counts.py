@@ -109,15 +109,31 @@ def tag_counts_rollup(hour_counts: DataFrame, level: str) -> DataFrame:
 def tag_counts_levels(fact: DataFrame) -> DataFrame:
     """All three levels in one pass with GROUPING SETS (one Expand, one shuffle)."""
     p = _pairs_mdh(fact)
-    p.createOrReplaceTempView("_tp_pairs")
-    return p.sparkSession.sql("""
-        SELECT month, day, hour, tickers, tags,
-               CAST(grouping_id() AS BIGINT) AS level, count(tags) AS cnt_t
-        FROM _tp_pairs
-        GROUP BY GROUPING SETS ((month, day, hour, tickers, tags),
-                                (month, day, tickers, tags),
-                                (month, tickers, tags))
-    """)
+    sets = [list(LEVELS["hour"]), list(LEVELS["day"]), list(LEVELS["month"])]
+    return p.groupingSets(sets, *LEVELS["hour"]).agg(
+        F.grouping_id().cast("bigint").alias("level"), F.count("tags").alias("cnt_t")) \
+        .select("month", "day", "hour", "tickers", "tags", "level", "cnt_t")
+
+
+def pair_counts_hourly(fact: DataFrame) -> DataFrame:
+    """Hourly (ticker, co-tag) counts over every pair, NULL parts included."""
+    p = explode_pairs(fact, keep_cols=("created_at",))
+    h = p.select(bucket("created_at", "hour").alias("t_hour"), "ticker", "tag")
+    return h.groupBy("t_hour", F.col("ticker").alias("tag"), F.col("tag").alias("ref_tag")) \
+        .agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def clean_hourly(counts_df: DataFrame, stop_tag: str = STOP_TAG) -> DataFrame:
+    """Drop groups with a NULL part or the stop co-tag."""
+    return counts_df.where(F.col("t_hour").isNotNull() & F.col("tag").isNotNull()
+                           & F.col("ref_tag").isNotNull() & (F.col("ref_tag") != stop_tag))
+
+
+def drop_self_tags(flat: DataFrame) -> DataFrame:
+    """Exploded (ticker, tag) rows of the flat table without empty or self tags."""
+    f = flat.withColumn("tickers", F.explode_outer(F.split("tickers", ",")))
+    e = f.withColumn("tags", F.explode_outer(F.split("tags", ",")))
+    return e.where(F.col("tags") != "").where(F.col("tags") != F.col("tickers"))
 
 
 def flat_posts(fact: DataFrame) -> DataFrame:

@@ -227,3 +227,16 @@ def explode_pairs(spark, sf_dir):
     p = pairs(event_fact(spark, sf_dir))
     return p.groupBy(bucket("created_at", "hour").alias("t_hour"), "ticker", "tag") \
         .agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("hourly_tags_clean", _with(_PAIRS_SQL) + "SELECT t_hour, tag, ref_tag, cnt FROM hourly")
+def hourly_tags_clean(spark, sf_dir):
+    """Count every hourly pair first, then drop NULL parts and the stop tag
+    (the filter on grouping keys is moved below the aggregate by Catalyst)."""
+    return counts.clean_hourly(counts.pair_counts_hourly(event_fact(spark, sf_dir)))
+
+
+@query("drop_self_tags", _with(_FLAT) + """
+SELECT month, day, hour, tickers, tags FROM ex2 WHERE tags <> '' AND tags <> tickers""")
+def drop_self_tags(spark, sf_dir):
+    return counts.drop_self_tags(counts.flat_posts(event_fact(spark, sf_dir)))

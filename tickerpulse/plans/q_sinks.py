@@ -11,11 +11,11 @@ from ..session import scratch_path
 from ..sinks.tables import (publish_all, read_table, write_bars_json, write_rolled,
                             write_table)
 from ..sources import driver_tables as dt
-from ..sources.bars import normalise_hourly, read_bars
+from ..sources.bars import normalise_daily, normalise_hourly, read_bars
 from . import sql as S
 from .inputs import event_fact, table
 from .q_counts import _DAILY_SQL
-from .q_market import _HOURLY
+from .q_market import _DAILY, _HOURLY, _TICKS
 from .registry import query
 
 
@@ -82,3 +82,16 @@ def write_rolled_q(spark, sf_dir):
     path = scratch_path(spark, "rolled")
     write_rolled(event_fact(spark, sf_dir).drop("tickers", "tags"), path, 500, "date")
     return spark.read.parquet(path).groupBy("date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query("read_bars", S.with_(_TICKS, _DAILY) + "SELECT * FROM daily")
+def read_bars_q(spark, sf_dir):
+    """Daily bars in the collector's JSON shape read with the explicit bar
+    schema (no inference) and normalised to typed, year-less keys."""
+    path = scratch_path(spark, "daily-bars-json")
+    daily = market.daily_bars(dt.event_ticks(table(spark, sf_dir, "events")))
+    raw = daily.select("ticker", F.date_format("date", "yyyy-MM-dd").alias("date"),
+                       F.lit(None).cast("string").alias("time"),
+                       "open", "high", "low", "close", "volume")
+    write_bars_json(raw, path)
+    return normalise_daily(read_bars(spark, path))
