@@ -39,6 +39,18 @@ def daily_bars(ticks: DataFrame) -> DataFrame:
                     p["day"].alias("day"), "open", "high", "low", "close", "volume")
 
 
+def daily_from_hourly(hourly: DataFrame) -> DataFrame:
+    """Daily bars rolled up from hourly bars: the day's open is the first
+    hour's open, its close the last hour's close. Reads one row per bar
+    hour instead of every tick again."""
+    return hourly.groupBy("ticker", "date").agg(
+        F.min_by("open", "hour").alias("open"), F.max("high").alias("high"),
+        F.min("low").alias("low"), F.max_by("close", "hour").alias("close"),
+        F.sum("volume").alias("volume")) \
+        .select("ticker", "date", F.month("date").alias("month"), F.dayofmonth("date").alias("day"),
+                "open", "high", "low", "close", "volume")
+
+
 def raw_hourly_bars(bars: DataFrame) -> DataFrame:
     """Normalised hourly bars back to the collector's text shape (date, ``HH:mm``)."""
     return bars.select("ticker", F.date_format("date", "yyyy-MM-dd").alias("date"),

@@ -207,7 +207,7 @@ def row_counts(spark, sf_dir):
                               "multi_ticker": f.where(F.size("tickers") > 1)})
 
 
-@query("tagged_posts", _with() + "SELECT id, len(tags) AS n_tags FROM ev_fact WHERE len(tags) > 0")
+@query("tagged_posts", _with() + "SELECT id, CAST(len(tags) AS INTEGER) AS n_tags FROM ev_fact WHERE len(tags) > 0")
 def tagged_posts(spark, sf_dir):
     return event_fact(spark, sf_dir).where(F.size("tags") > 0) \
         .select("id", F.size("tags").alias("n_tags"))

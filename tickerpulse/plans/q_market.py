@@ -13,7 +13,7 @@ from .inputs import event_fact, table
 from .registry import query
 
 _TICKS = """
-ticks AS (SELECT upper(event_type) AS ticker, ts, value AS price, event_id AS seq, 1.0 AS size FROM events)"""
+ticks AS (SELECT upper(event_type) AS ticker, ts, value AS price, event_id AS seq, CAST(1.0 AS DOUBLE) AS size FROM events)"""
 
 _HOURLY = _TICKS + """,
 hb AS (
@@ -90,9 +90,9 @@ FROM hourly h LEFT JOIN (SELECT * FROM daily WHERE day <> 15) d USING (ticker, d
 def hourly_with_daily_close(spark, sf_dir):
     """Hourly close beside the daily close; the daily bars of the 15th are
     withheld so the 0 default is exercised."""
-    ticks = _ticks(spark, sf_dir)
-    daily = market.daily_bars(ticks).where(F.col("day") != 15)
-    return market.with_daily_close(market.hourly_bars(ticks), daily) \
+    hourly = market.hourly_bars(_ticks(spark, sf_dir))
+    daily = market.daily_from_hourly(hourly).where(F.col("day") != 15)
+    return market.with_daily_close(hourly, daily) \
         .select("ticker", "date", "month", "day", "hour", "close", "daily_close")
 
 
@@ -103,9 +103,9 @@ FROM hourly h LEFT JOIN tag_text t USING (ticker, month, day, hour)
 LEFT JOIN daily d ON d.ticker = h.ticker AND d.date = h.date""")
 def price_day_view(spark, sf_dir):
     """Bars + hour tag text + daily close for every (ticker, date) at once."""
-    ticks = _ticks(spark, sf_dir)
-    view = market.price_with_tags(market.hourly_bars(ticks), _tag_text(spark, sf_dir))
-    return market.with_daily_close(view, market.daily_bars(ticks)).select(
+    hourly = market.hourly_bars(_ticks(spark, sf_dir))
+    view = market.price_with_tags(hourly, _tag_text(spark, sf_dir))
+    return market.with_daily_close(view, market.daily_from_hourly(hourly)).select(
         "ticker", "date", "month", "day", "hour", "open", "high", "low", "close", "volume",
         "times", "daily_close")
 
