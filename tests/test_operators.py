@@ -119,3 +119,12 @@ def test_filter_audit_three_valued(spark):
         "text string, tickers array<string>, tags array<string>")
     r = filter_audit(f).first()
     assert (r["rows_in"], r["after_rule_1"], r["after_rule_2"], r["after_rule_3"]) == (5, 5, 3, 1)
+
+
+def test_daily_close_defaults_to_zero(spark):
+    from tickerpulse.operators.market import with_daily_close
+    bars = spark.createDataFrame([("A", dt.date(2024, 1, 1), 10, 1.5), ("A", dt.date(2024, 1, 2), 10, 2.5)],
+                                 "ticker string, date date, hour int, close double")
+    daily = spark.createDataFrame([("A", dt.date(2024, 1, 1), 1.25)], "ticker string, date date, close double")
+    got = sorted((r["date"].day, r["daily_close"]) for r in with_daily_close(bars, daily).collect())
+    assert got == [(1, 1.25), (2, 0.0)]

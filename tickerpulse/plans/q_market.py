@@ -86,12 +86,11 @@ def price_with_tags(spark, sf_dir):
 
 @query("hourly_with_daily_close", S.with_(_HOURLY, _DAILY) + """
 SELECT h.ticker, h.date, h.month, h.day, h.hour, h.close, coalesce(d.close, 0.0) AS daily_close
-FROM hourly h LEFT JOIN (SELECT * FROM daily WHERE day <> 15) d USING (ticker, date)""")
+FROM hourly h LEFT JOIN daily d USING (ticker, date)""")
 def hourly_with_daily_close(spark, sf_dir):
-    """Hourly close beside the daily close; the daily bars of the 15th are
-    withheld so the 0 default is exercised."""
+    """Hourly close beside the day's close (0 where a day has no daily bar)."""
     hourly = market.hourly_bars(_ticks(spark, sf_dir))
-    daily = market.daily_from_hourly(hourly).where(F.col("day") != 15)
+    daily = market.daily_from_hourly(hourly)
     return market.with_daily_close(hourly, daily) \
         .select("ticker", "date", "month", "day", "hour", "close", "daily_close")
 

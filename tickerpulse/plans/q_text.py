@@ -208,7 +208,7 @@ per_conv AS (SELECT conversation_id, list_sort(list_distinct(list(symbol))) AS t
 SELECT p.id, coalesce(c.t, []) AS tickers FROM conv_posts p LEFT JOIN per_conv c USING (conversation_id)""")
 def conversation_context_q(spark, sf_dir):
     """Symbols of a turn from the whole conversation it belongs to."""
-    posts = conversation_posts(spark, sf_dir)
+    posts = dt.conversation_turns(table(spark, sf_dir, "conversations"))
     return conversation_context(posts, _universe_list(spark, sf_dir)).select("id", "tickers")
 
 

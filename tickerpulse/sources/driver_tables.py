@@ -81,6 +81,14 @@ def event_mentions(events: DataFrame) -> DataFrame:
         F.floor("value").cast("bigint").alias("retweet_count"))
 
 
+def conversation_turns(conversations: DataFrame) -> DataFrame:
+    """One post per turn (id, conversation_id, text) without the answered turn."""
+    return conversations.select(
+        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
+        F.col("conv_id").cast("string").alias("conversation_id"),
+        tagged_text("text").alias("text"))
+
+
 def conversation_posts(conversations: DataFrame) -> DataFrame:
     """One post per turn; ``tweets`` holds the answered turn (NULL for the first).
 
