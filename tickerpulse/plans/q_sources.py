@@ -30,7 +30,8 @@ _ISO = "strftime(created_at, '%Y-%m-%dT%H:%M:%S.%g') || 'Z'"
 
 @query("flatten_envelope", S.with_(S.CONV_POSTS) + """
 SELECT id, author_id, conversation_id, text, list_transform(tweets, lambda t: t.id) AS ref_ids,
-       list_transform(tweets, lambda t: t.text) AS ref_texts FROM conv_posts""")
+       list_transform(tweets, lambda t: t.text) AS ref_texts FROM conv_posts""",
+       texts=("ref_ids", "ref_texts"))
 def flatten_envelope(spark, sf_dir):
     """Envelopes -> tweet rows with their context array (sentinel dropped)."""
     return env.flatten_envelope(_conv_envelopes(spark, sf_dir)).select(
@@ -47,7 +48,8 @@ def flatten_no_context(spark, sf_dir):
 
 
 @query("ingest_projection", S.with_(S.EV_POSTS) + f"""
-SELECT id, author_id, {_ISO} AS created_at, like_count, CAST(NULL AS VARCHAR[]) AS referenced_ids FROM ev_posts""")
+SELECT id, author_id, {_ISO} AS created_at, like_count, CAST(NULL AS VARCHAR[]) AS referenced_ids FROM ev_posts""",
+       texts=("referenced_ids",))
 def ingest_projection(spark, sf_dir):
     """The collector's field selection over nested tweet records."""
     t = env.explode_tweets(_event_envelopes(spark, sf_dir))
@@ -79,7 +81,7 @@ SELECT id, CAST(NULL AS VARCHAR) AS source, author_id, created_at, CAST(created_
        CAST(month(created_at) AS INTEGER) AS month, CAST(day(created_at) AS INTEGER) AS day,
        CAST(hour(created_at) AS INTEGER) AS hour, like_count, quote_count, reply_count, retweet_count, text,
        """ + S.keep(S.cands("text"), "u.u") + " AS tickers, " + S.tags("text") + """ AS tags
-FROM p, u""")
+FROM p, u""", texts=("tickers", "tags"))
 def post_fact_q(spark, sf_dir):
     """Envelope tweets -> parsed, identified, tagged post fact with time parts."""
     tweets = env.flatten_envelope(_event_envelopes(spark, sf_dir))
@@ -125,7 +127,8 @@ def page_cells_q(spark, sf_dir):
 
 @query("array_string_roundtrip", S.with_(S.EV_POSTS) + """
 SELECT id, coalesce(array_to_string(tags, ','), '') AS tags_text,
-       string_split(coalesce(array_to_string(tags, ','), ''), ',') AS tags_back FROM ev_fact""")
+       string_split(coalesce(array_to_string(tags, ','), ''), ',') AS tags_back FROM ev_fact""",
+       texts=("tags_back",))
 def array_string_roundtrip(spark, sf_dir):
     f = event_fact(spark, sf_dir)
     s = f.select("id", join_array("tags").alias("tags_text"))

@@ -18,7 +18,7 @@ from .registry import query
 DOC = S.with_(S.PG_UNIVERSE, S.DOC_FACT)
 
 
-@query("stream_identify", DOC + "SELECT id, tickers, tags FROM doc_fact")
+@query("stream_identify", DOC + "SELECT id, tickers, tags FROM doc_fact", texts=("tickers", "tags"))
 def stream_identify(spark, sf_dir):
     """Documents as a stream: tag, identify against the listing symbols
     (a size-checked literal set), extract tags; file sink, checkpointed."""

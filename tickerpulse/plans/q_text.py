@@ -32,19 +32,19 @@ def _universe_list(spark, sf_dir):
     return vals
 
 
-@query("identify_tickers", _conv() + "SELECT id, tickers FROM conv_fact")
+@query("identify_tickers", _conv() + "SELECT id, tickers FROM conv_fact", texts=("tickers",))
 def identify_tickers(spark, sf_dir):
     """Symbols of each turn from its text and the turn it answers (default mode)."""
     return conversation_fact(spark, sf_dir).select("id", "tickers")
 
 
-@query("identify_tickers_strict", _conv(True) + "SELECT id, tickers FROM conv_fact")
+@query("identify_tickers_strict", _conv(True) + "SELECT id, tickers FROM conv_fact", texts=("tickers",))
 def identify_tickers_strict(spark, sf_dir):
     """Strict-compat identification: NULL when the context is missing."""
     return conversation_fact(spark, sf_dir, strict_compat=True).select("id", "tickers")
 
 
-@query("identify_tickers_join", _conv() + "SELECT id, tickers FROM conv_fact")
+@query("identify_tickers_join", _conv() + "SELECT id, tickers FROM conv_fact", texts=("tickers",))
 def identify_tickers_join(spark, sf_dir):
     """Same result through the join form (universe kept as a DataFrame)."""
     posts = conversation_posts(spark, sf_dir)
@@ -52,7 +52,7 @@ def identify_tickers_join(spark, sf_dir):
                           max_literal=0).select("id", "tickers")
 
 
-@query("extract_hashtags", DOC + "SELECT id, tags FROM doc_fact")
+@query("extract_hashtags", DOC + "SELECT id, tags FROM doc_fact", texts=("tags",))
 def extract_hashtags(spark, sf_dir):
     return document_fact(spark, sf_dir).select("id", "tags")
 
@@ -60,7 +60,7 @@ def extract_hashtags(spark, sf_dir):
 @query("extract_cashtags", S.with_() + f"""
 SELECT CAST(doc_id AS VARCHAR) AS id,
        {S.cashtags(f"regexp_replace(text, {S.TAGW}, '$\\1', 'g')")} AS tags
-FROM documents""")
+FROM documents""", texts=("tags",))
 def extract_cashtags(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     return d.select(F.col("doc_id").cast("string").alias("id"),
@@ -77,7 +77,8 @@ def _non_symbol_sql():
     return f"coalesce(list_transform({kept}, lambda t: {clean}), [])"
 
 
-@query("non_ticker_tags", DOC + f"SELECT id, {_non_symbol_sql()} AS tags FROM doc_fact, pg_universe")
+@query("non_ticker_tags", DOC + f"SELECT id, {_non_symbol_sql()} AS tags FROM doc_fact, pg_universe",
+       texts=("tags",))
 def non_ticker_tags(spark, sf_dir):
     """Hashtags of each document that do not name a listing symbol."""
     u = _universe_list(spark, sf_dir)
@@ -129,7 +130,8 @@ def filter_audit(spark, sf_dir):
     return quality.filter_audit(conversation_fact(spark, sf_dir, strict_compat=True))
 
 
-@query("posts_about", S.with_(S.EV_POSTS) + "SELECT id, tickers FROM ev_fact WHERE list_contains(tickers, 'VIEW')")
+@query("posts_about", S.with_(S.EV_POSTS) + "SELECT id, tickers FROM ev_fact WHERE list_contains(tickers, 'VIEW')",
+       texts=("tickers",))
 def posts_about(spark, sf_dir):
     return quality.posts_about(event_fact(spark, sf_dir), "VIEW").select("id", "tickers")
 
@@ -205,7 +207,8 @@ def cotags_hourly_dedup(spark, sf_dir):
 @query("conversation_context", S.with_(S.PG_UNIVERSE, S.CONV_POSTS) + f"""
 , own AS (SELECT conversation_id, unnest({S.keep(S.cands('text'), 'pg_universe.u')}) AS symbol FROM conv_posts, pg_universe),
 per_conv AS (SELECT conversation_id, list_sort(list_distinct(list(symbol))) AS t FROM own GROUP BY 1)
-SELECT p.id, coalesce(c.t, []) AS tickers FROM conv_posts p LEFT JOIN per_conv c USING (conversation_id)""")
+SELECT p.id, coalesce(c.t, []) AS tickers FROM conv_posts p LEFT JOIN per_conv c USING (conversation_id)""",
+       texts=("tickers",))
 def conversation_context_q(spark, sf_dir):
     """Symbols of a turn from the whole conversation it belongs to."""
     posts = dt.conversation_turns(table(spark, sf_dir, "conversations"))
@@ -257,7 +260,8 @@ def _listing(spark, sf_dir):
         F.upper("link").alias("symbol"))
 
 
-@query("build_rules", S.with_(S.PG_UNIVERSE, _LISTING_SQL) + "SELECT page_id, rule_no, symbols, value FROM rules")
+@query("build_rules", S.with_(S.PG_UNIVERSE, _LISTING_SQL) + "SELECT page_id, rule_no, symbols, value FROM rules",
+       texts=("symbols",))
 def build_rules(spark, sf_dir):
     """Symbols of each listing page in order, 6 per ``$``-prefixed OR rule."""
     return R.build_rules(_listing(spark, sf_dir), k=6, prefix="$")
