@@ -187,6 +187,16 @@ def cotags_hourly_dedup(fact: DataFrame, universe: Sequence[str]) -> DataFrame:
     return h.groupBy("t_hour", "tag", "ref_tag").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def filter_counts(df: DataFrame, stages: dict[str, object]) -> DataFrame:
+    """Rows of ``df`` passing each named predicate (``None`` = all rows) as
+    (stage, rows), counted in one pass over ``df``."""
+    aggs = [(F.count(F.lit(1)) if pred is None else F.count(F.when(pred, F.lit(1)))).alias(f"c{i}")
+            for i, pred in enumerate(stages.values())]
+    one = df.agg(*aggs)
+    pairs = ", ".join(f"'{name}', c{i}" for i, name in enumerate(stages))
+    return one.selectExpr(f"stack({len(stages)}, {pairs}) AS (stage, rows)")
+
+
 def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
     """Row counts of several stages as (stage, rows): one global count per
     stage, unioned; nothing is collected to the driver."""

@@ -202,9 +202,10 @@ SELECT 'posts' AS stage, count(*) AS rows FROM ev_fact
 UNION ALL SELECT 'tagged', count(*) FROM ev_fact WHERE len(tags) > 0
 UNION ALL SELECT 'multi_ticker', count(*) FROM ev_fact WHERE len(tickers) > 1""")
 def row_counts(spark, sf_dir):
+    """Row counts of the fact and two of its filtered stages, in one pass."""
     f = event_fact(spark, sf_dir)
-    return counts.row_counts({"posts": f, "tagged": f.where(F.size("tags") > 0),
-                              "multi_ticker": f.where(F.size("tickers") > 1)})
+    return counts.filter_counts(f, {"posts": None, "tagged": F.size("tags") > 0,
+                                    "multi_ticker": F.size("tickers") > 1})
 
 
 @query("tagged_posts", _with() + "SELECT id, CAST(len(tags) AS INTEGER) AS n_tags FROM ev_fact WHERE len(tags) > 0")
