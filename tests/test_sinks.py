@@ -59,3 +59,11 @@ def test_daily_close_join_becomes_broadcast_at_run_time(spark):
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in final
+
+
+def test_sizing_follows_volume():
+    from tickerpulse.session import sizing_conf
+    big = sizing_conf(100 * 1024 ** 4, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    small = sizing_conf(10 << 20, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

@@ -18,13 +18,37 @@ BASE_CONF = {
 }
 
 
+def sizing_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20,
+                max_split_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition settings that follow the data volume.
+
+    Scans are split at ``max_split_bytes``; the shuffle starts with about
+    one partition per ``target_partition_bytes`` of input (at least two
+    waves of the cluster's cores) and AQE coalesces partitions that come
+    out small after partial aggregation, aiming at the same size, so no
+    reducer holds more than it can sort or hash in memory before spilling.
+    At 100 TB this gives ~400k initial shuffle partitions; the counts and
+    top-k stages, which shuffle partially aggregated rows, coalesce to a
+    small fraction of that.
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+
+
 def build_session(master: str | None = None, app: str = "tickerpulse",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with UTC time and AQE on.
 
     ``shuffle_partitions`` should follow the data: a few per core for the
-    test scale factors, and about input bytes / 128 MB on a cluster.
+    test scale factors; on a cluster pass ``sizing_conf(...)`` in ``extra``.
     """
     b = SparkSession.builder.appName(app)
     if master:
