@@ -90,10 +90,11 @@ def post_fact_q(spark, sf_dir):
     return post_fact(identify_and_tag(posts, u, context_col="tweets"))
 
 
-@query("read_envelopes")
+@query("read_envelopes", S.with_(S.EV_POSTS) + f"""
+SELECT id, author_id, {_ISO} AS created_at, text FROM ev_posts""")
 def read_envelopes(spark, sf_dir):
     """Write line-delimited envelopes to the shared scratch folder, read them
-    back with the explicit schema, flatten. (Rows-only check.)"""
+    back with the explicit schema, flatten."""
     path = scratch_path(spark, "envelopes")
     _event_envelopes(spark, sf_dir).write.mode("overwrite").json(path)
     back = env.read_envelopes(spark, path, multi_line=False)
