@@ -7,6 +7,8 @@ Taking the maximal letter run after a prefix (plus an optional ``|``),
 upper-casing it and keeping it when it is in the universe is the same
 match without lookahead: a shorter symbol would be followed by a letter,
 and a run followed by ``|`` yields a candidate that is never a symbol.
+When the universe is known, runs longer than its longest symbol are
+rejected inside the regex (Java lookahead) rather than materialised.
 Matching the text joined with its context equals the union of the
 matches of the pieces, because a match never spans the blank separator.
 
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..constants import SYMBOL_PREFIXES, TICKERS
 
-# Patterns (Java regex syntax, also valid for RE2).
+# Patterns (Java regex syntax; these four are also valid RE2).
 SYMBOL_CANDIDATE = "[" + SYMBOL_PREFIXES.replace("$", "\\$") + "]([A-Za-z]+\\|?)"
 HASHTAG = "#([\\p{L}\\p{N}_]+)"
 CASHTAG = "\\$([\\p{L}\\p{N}_]+)"
@@ -40,9 +42,24 @@ def _extract_upper(text: Column, pattern: str) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.upper)
 
 
-def symbol_candidates(text) -> Column:
-    """Upper-cased letter runs that follow a symbol prefix (null for null text)."""
-    return _extract_upper(_col(text), SYMBOL_CANDIDATE)
+def bounded_candidate_pattern(max_len: int) -> str:
+    """Prefix, 1..``max_len`` ASCII letters, then neither a letter nor ``|``.
+
+    Runs longer than the longest symbol can never match, so they are
+    rejected inside the regex engine instead of becoming array elements.
+    """
+    return ("[" + SYMBOL_PREFIXES.replace("$", "\\$") + "]([A-Za-z]{1," + str(max_len)
+            + "})(?![A-Za-z|])")
+
+
+def symbol_candidates(text, max_len: int | None = None) -> Column:
+    """Upper-cased letter runs that follow a symbol prefix (null for null text).
+
+    With ``max_len`` only runs that could be a symbol of at most that many
+    letters are returned; the kept symbols are the same.
+    """
+    pattern = SYMBOL_CANDIDATE if max_len is None else bounded_candidate_pattern(max_len)
+    return _extract_upper(_col(text), pattern)
 
 
 def keep_universe(cands: Column, universe: Sequence[str]) -> Column:
@@ -66,16 +83,17 @@ def identify_tickers(text, context=None, universe: Sequence[str] = TICKERS,
     original job did.
     """
     t = _col(text)
-    cands = F.coalesce(symbol_candidates(t), F.array().cast("array<string>"))
+    max_len = max((len(s) for s in universe), default=1)
+    cands = F.coalesce(symbol_candidates(t, max_len), F.array().cast("array<string>"))
     ctx = None
     if context is not None:
         ctx = _col(context)
         if context_is_struct:
             extra = F.flatten(F.transform(ctx, lambda r: F.coalesce(
-                symbol_candidates(r["text"]), F.array().cast("array<string>"))))
+                symbol_candidates(r["text"], max_len), F.array().cast("array<string>"))))
         else:
             extra = F.flatten(F.transform(ctx, lambda r: F.coalesce(
-                symbol_candidates(r), F.array().cast("array<string>"))))
+                symbol_candidates(r, max_len), F.array().cast("array<string>"))))
         cands = F.concat(cands, F.coalesce(extra, F.array().cast("array<string>")))
     out = keep_universe(cands, universe)
     if strict_compat:
