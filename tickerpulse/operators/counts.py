@@ -195,13 +195,3 @@ def filter_counts(df: DataFrame, stages: dict[str, object]) -> DataFrame:
     one = df.agg(*aggs)
     pairs = ", ".join(f"'{name}', c{i}" for i, name in enumerate(stages))
     return one.selectExpr(f"stack({len(stages)}, {pairs}) AS (stage, rows)")
-
-
-def row_counts(stages: dict[str, DataFrame]) -> DataFrame:
-    """Row counts of several stages as (stage, rows): one global count per
-    stage, unioned; nothing is collected to the driver."""
-    out = None
-    for name, df in stages.items():
-        c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
-        out = c if out is None else out.unionByName(c)
-    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timeparts import bucket, parse_created_at, time_parts
+from ..functions.timeparts import parse_created_at, time_parts
 
 
 def expand_metrics(tweets: DataFrame) -> DataFrame:
@@ -56,7 +56,3 @@ def explode_pairs(fact: DataFrame, keep_cols=("created_at",)) -> DataFrame:
     """
     t = fact.select(*keep_cols, "tags", F.explode_outer("tickers").alias("ticker"))
     return t.select(*keep_cols, "ticker", F.explode_outer("tags").alias("tag"))
-
-
-def with_buckets(df: DataFrame, ts: str = "created_at") -> DataFrame:
-    return df.withColumn("t_day", bucket(ts, "day")).withColumn("t_hour", bucket(ts, "hour"))

@@ -14,8 +14,6 @@ Two physical forms of the same result:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,8 +87,3 @@ def identify_and_tag(posts: DataFrame, universe, context_col: str | None = None,
                      strict_compat: bool = False, max_literal: int = MAX_LITERAL_UNIVERSE) -> DataFrame:
     return with_tags(identify_posts(posts, universe, context_col=context_col,
                                     strict_compat=strict_compat, max_literal=max_literal))
-
-
-def universe_list(universe: Sequence[str] | DataFrame) -> list[str] | None:
-    u = resolve_universe(universe)
-    return u if isinstance(u, list) else None

@@ -210,8 +210,8 @@ def row_counts(spark, sf_dir):
 
 @query("tagged_posts", _with() + "SELECT id, CAST(len(tags) AS INTEGER) AS n_tags FROM ev_fact WHERE len(tags) > 0")
 def tagged_posts(spark, sf_dir):
-    return event_fact(spark, sf_dir).where(F.size("tags") > 0) \
-        .select("id", F.size("tags").alias("n_tags"))
+    from ..operators.quality import tagged_posts as non_empty
+    return non_empty(event_fact(spark, sf_dir), "tags").select("id", F.size("tags").alias("n_tags"))
 
 
 @query("explode_tickers", _with() + """

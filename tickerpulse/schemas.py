@@ -67,10 +67,3 @@ BAR_RAW = T.StructType([
     T.StructField("close", T.DoubleType()),
     T.StructField("volume", T.DoubleType()),
 ])
-
-# Post fact column order (the published post table).
-POST_COLUMNS = [
-    "id", "source", "author_id", "created_at", "date", "month", "day", "hour",
-    "like_count", "quote_count", "reply_count", "retweet_count",
-    "text", "tickers", "tags",
-]
