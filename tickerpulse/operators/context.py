@@ -5,8 +5,9 @@ text + context equals the union of the per-post matches, the symbols of a
 post are the symbols of its whole conversation. They are found per post,
 reduced to one distinct symbol set per conversation with partial
 aggregation (bounded by the universe size), and joined back on the
-conversation id. A huge conversation therefore never lands in one task as
-raw rows; AQE splits a skewed join partition on the post side.
+conversation id. A conversation with more than ``hot_rows`` posts is
+found by one count pass and joined map-side against a broadcast of its
+own row, so its posts never land in one reducer.
 """
 
 from __future__ import annotations
@@ -15,15 +16,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.entities import identify_tickers
+from .skew import HOT_ROWS, join_split_hot
 
 
 def conversation_context(posts: DataFrame, universe: list[str], conv_col: str = "conversation_id",
-                         text_col: str = "text") -> DataFrame:
+                         text_col: str = "text", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add ``tickers``: sorted distinct symbols of the post's conversation."""
     own = posts.select(conv_col, F.explode(identify_tickers(F.col(text_col), None, universe))
                        .alias("symbol"))
     # collect_set is combined map-side; its state is bounded by the universe size.
     per_conv = own.groupBy(conv_col).agg(F.array_sort(F.collect_set("symbol")).alias("conv_tickers"))
-    out = posts.join(per_conv, conv_col, "left")
+    # A conversation holding a large share of all posts is joined map-side
+    # against a broadcast of its own symbol set; the rest shuffle as usual.
+    out = join_split_hot(posts, per_conv, conv_col, "left", hot_rows=hot_rows)
     return out.withColumn("tickers", F.coalesce("conv_tickers", F.array().cast("array<string>"))) \
         .drop("conv_tickers")

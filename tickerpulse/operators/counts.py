@@ -23,7 +23,7 @@ def ticker_set_freq(fact: DataFrame) -> DataFrame:
 
 def ticker_statistics(fact: DataFrame) -> DataFrame:
     """Per ticker (NULL group kept): posts, retweet sum, and their sum."""
-    m = explode_tickers(fact)
+    m = explode_tickers(fact, keep_cols=("retweet_count",))
     g = m.groupBy("ticker").agg(F.count(F.lit(1)).alias("cnt"),
                                 F.sum("retweet_count").alias("retweets"))
     return g.select(F.concat_ws(",", "ticker").alias("tickers"), "cnt", "retweets",

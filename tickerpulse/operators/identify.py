@@ -31,10 +31,13 @@ def bounded_values(df: DataFrame, max_rows: int) -> list | None:
     return sorted(r[0] for r in rows if r[0] is not None)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when a row count proves it has at most ``max_rows`` rows."""
+def bounded_broadcast(df: DataFrame, max_rows: int, fallback: DataFrame | None = None) -> DataFrame:
+    """Broadcast ``df`` only when a row count proves it has at most ``max_rows``
+    rows; otherwise return ``fallback`` (default ``df``) for a shuffle join."""
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if n <= max_rows:
+        return F.broadcast(df)
+    return df if fallback is None else fallback
 
 
 def resolve_universe(universe, max_literal: int = MAX_LITERAL_UNIVERSE):
@@ -63,7 +66,9 @@ def _identify_join(posts: DataFrame, universe: DataFrame, text_col: str,
     if context_col:
         cands = F.concat(cands, F.coalesce(F.flatten(F.transform(
             F.col(context_col), lambda r: F.coalesce(symbol_candidates(r["text"]), empty))), empty))
-    sym = universe.select(F.upper(F.col(universe.columns[0])).alias("symbol")).distinct()
+    # No distinct(): duplicates are absorbed by collect_set, and a plain
+    # (non-aggregated) universe side lets AQE split a hot symbol's partition.
+    sym = universe.select(F.upper(F.col(universe.columns[0])).alias("symbol"))
     exploded = posts.select(F.col(id_col).alias("_pid"),
                             F.explode(F.array_distinct(cands)).alias("symbol"))
     per_post = exploded.join(sym, "symbol").groupBy("_pid") \

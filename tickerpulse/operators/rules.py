@@ -47,6 +47,6 @@ def rule_semi(posts: DataFrame, rules: DataFrame, group_col: str = "page_id",
     """Posts caught by at least one rule (the stream filter's result)."""
     cand = posts.select(id_col, F.explode(F.array_distinct(symbol_candidates(text_col)))
                         .alias("symbol"))
-    syms = rule_symbols(rules, group_col).select("symbol").distinct()
+    syms = rule_symbols(rules, group_col).select("symbol")  # a semi join needs no distinct
     hit = cand.join(syms, "symbol", "left_semi").select(id_col).distinct()
     return posts.join(hit, id_col, "left_semi")

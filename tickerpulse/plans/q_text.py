@@ -12,7 +12,7 @@ from ..operators.context import conversation_context
 from ..operators.facts import union_sources
 from ..operators.identify import bounded_broadcast, bounded_values, identify_posts
 from ..sources import driver_tables as dt
-from ..sources.webpages import page_links
+from ..sources.webpages import page_links, symbol_rows
 from . import sql as S
 from .inputs import (conversation_fact, conversation_posts, document_fact, event_fact,
                      page_universe, table)
@@ -136,22 +136,28 @@ def posts_about(spark, sf_dir):
     return quality.posts_about(event_fact(spark, sf_dir), "VIEW").select("id", "tickers")
 
 
+def _symbol_side(spark, sf_dir):
+    """The listing symbols as a join side: the distinct set broadcast when a
+    row count proves it small, else the plain listing rows (a semi / anti
+    join needs no distinct, and a non-aggregated side lets AQE split a hot tag)."""
+    rows = symbol_rows(table(spark, sf_dir, "pages")).withColumnRenamed("symbol", "tag")
+    return bounded_broadcast(rows.distinct(), 100000, fallback=rows)
+
+
 @query("universe_semi", DOC + """
 SELECT id, tag FROM (SELECT id, unnest(tags) AS tag FROM doc_fact) WHERE tag IN (SELECT symbol FROM pg_symbols)""")
 def universe_semi(spark, sf_dir):
     """(document, tag) rows whose tag is a listing symbol: semi join, the
     symbol side broadcast only after a row-count check."""
     t = document_fact(spark, sf_dir).select("id", F.explode("tags").alias("tag"))
-    u = bounded_broadcast(page_universe(spark, sf_dir).withColumnRenamed("symbol", "tag"), 100000)
-    return t.join(u, "tag", "left_semi")
+    return t.join(_symbol_side(spark, sf_dir), "tag", "left_semi")
 
 
 @query("universe_anti", DOC + """
 SELECT id, tag FROM (SELECT id, unnest(tags) AS tag FROM doc_fact) WHERE tag NOT IN (SELECT symbol FROM pg_symbols)""")
 def universe_anti(spark, sf_dir):
     t = document_fact(spark, sf_dir).select("id", F.explode("tags").alias("tag"))
-    u = bounded_broadcast(page_universe(spark, sf_dir).withColumnRenamed("symbol", "tag"), 100000)
-    return t.join(u, "tag", "left_anti")
+    return t.join(_symbol_side(spark, sf_dir), "tag", "left_anti")
 
 
 @query("tag_freq_universe", DOC + """

@@ -26,10 +26,15 @@ def page_links(pages: DataFrame, href_prefix: str = "/", every: int = 2,
         .select("page_id", F.col("pos").cast("bigint").alias("pos"), "link")
 
 
-def symbol_universe(pages: DataFrame, href_prefix: str = "/") -> DataFrame:
-    """Distinct upper-cased listing symbols (letters only) as a one-column dimension."""
+def symbol_rows(pages: DataFrame, href_prefix: str = "/") -> DataFrame:
+    """Upper-cased listing symbols (letters only), one row per listing entry."""
     return page_links(pages, href_prefix).where(F.col("link").rlike("^[A-Za-z]+$")) \
-        .select(F.upper("link").alias("symbol")).distinct()
+        .select(F.upper("link").alias("symbol"))
+
+
+def symbol_universe(pages: DataFrame, href_prefix: str = "/") -> DataFrame:
+    """Distinct upper-cased listing symbols as a one-column dimension."""
+    return symbol_rows(pages, href_prefix).distinct()
 
 
 def page_cells(pages: DataFrame, cell_pattern: str, sentinel: str,

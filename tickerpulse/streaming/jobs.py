@@ -60,7 +60,7 @@ def rule_hits(posts: DataFrame, symbols: DataFrame, id_col: str = "id",
     """(post, symbol) pairs for posts naming a rule symbol: stream-static
     equi semi join on the symbol (the static side is small and broadcast by AQE)."""
     cand = posts.select(id_col, F.explode(F.array_distinct(symbol_candidates(text_col))).alias("symbol"))
-    return cand.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
+    return cand.join(symbols.select("symbol"), "symbol", "left_semi")
 
 
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
