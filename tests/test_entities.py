@@ -14,7 +14,8 @@ from tickerpulse.functions.entities import (extract_cashtags, extract_hashtags,
 from tickerpulse.operators.facts import post_fact, tweets_to_posts
 from tickerpulse.operators.identify import identify_and_tag, identify_posts
 from tickerpulse.operators.quality import apply_rules
-from tickerpulse.sources.envelopes import (corrupt_files, flatten_envelope, read_envelopes)
+from tickerpulse.sources.envelopes import (corrupt_files, flatten_envelope, read_envelopes,
+                                            repair_unclosed)
 
 UNIVERSE = ["AAPL", "GOOG", "GOOGL", "EBAY", "MU"]
 CTX = [{"id": "c1", "text": "context"}]
@@ -102,9 +103,14 @@ def test_unclosed_file_is_counted(spark, tmpdir_path):
     _write_envelope(tmpdir_path, "good.json", CASES[:2])
     with open(os.path.join(tmpdir_path, "killed.json"), "w") as f:
         f.write("{\"tweets\":[" + json.dumps(_tweet(9, "#MU", CTX)) + ",")
+    with open(os.path.join(tmpdir_path, "cut.json"), "w") as f:
+        f.write("{\"tweets\":[" + json.dumps(_tweet(8, "#EBAY", CTX))[:40])
     env = read_envelopes(spark, os.path.join(tmpdir_path, "*.json"))
-    assert corrupt_files(env).count() == 1
+    assert corrupt_files(env).count() == 2
     assert flatten_envelope(env).count() == 2
+    fixed = repair_unclosed(env)
+    assert sorted(r["text"] for r in flatten_envelope(fixed).collect()) == ["#MU", "#ebay #boutique", "Check out my #EBAY"]
+    assert corrupt_files(fixed).count() == 1  # cut inside a record: still unreadable
 
 
 MATCHER = [

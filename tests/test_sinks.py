@@ -67,3 +67,14 @@ def test_sizing_follows_volume():
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     small = sizing_conf(10 << 20, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_price_day_fetch_is_bounded(spark):
+    import pytest
+    import __spark_entry__ as E
+    from tickerpulse.sinks.tables import fetch_bounded, price_day
+    view = E.queries()["price_day_view"](spark, "/root/testdata/sf0.001")
+    pdf = price_day(view, "VIEW", "2024-01-02")
+    assert list(pdf["hour"]) == sorted(pdf["hour"]) and len(pdf) <= 24
+    with pytest.raises(ValueError):
+        fetch_bounded(view, 3)

@@ -94,10 +94,10 @@ def post_fact_q(spark, sf_dir):
 SELECT id, author_id, {_ISO} AS created_at, text FROM ev_posts""")
 def read_envelopes(spark, sf_dir):
     """Write line-delimited envelopes to the shared scratch folder, read them
-    back with the explicit schema, flatten."""
+    back with the explicit schema, re-close unclosed documents, flatten."""
     path = scratch_path(spark, "envelopes")
     _event_envelopes(spark, sf_dir).write.mode("overwrite").json(path)
-    back = env.read_envelopes(spark, path, multi_line=False)
+    back = env.repair_unclosed(env.read_envelopes(spark, path, multi_line=False))
     return env.flatten_no_context(back).select("id", "author_id", "created_at", "text")
 
 

@@ -51,10 +51,8 @@ TWEET = T.StructType([
 
 # One envelope document: {"tweets": [t1, t2, ..., {}]}; _corrupt_record
 # catches files a killed writer left unclosed.
-ENVELOPE = T.StructType([
-    T.StructField("tweets", T.ArrayType(TWEET)),
-    T.StructField("_corrupt_record", T.StringType()),
-])
+ENVELOPE_BODY = T.StructType([T.StructField("tweets", T.ArrayType(TWEET))])
+ENVELOPE = T.StructType(ENVELOPE_BODY.fields + [T.StructField("_corrupt_record", T.StringType())])
 
 # Raw price bar as written by the price collector.
 BAR_RAW = T.StructType([

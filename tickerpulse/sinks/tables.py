@@ -105,3 +105,21 @@ def publish_all(fact: DataFrame, base_path: str, k: int = 5,
         futures = {name: pool.submit(write_table, df, name, base_path, jdbc=jdbc)
                    for name, df in tables.items()}
         return {name: f.result() for name, f in futures.items()}
+
+
+def fetch_bounded(df: DataFrame, max_rows: int):
+    """A small result for a consumer (chart, API) as pandas, only at the edge.
+
+    At most ``max_rows + 1`` rows are pulled; a larger result raises
+    instead of filling the driver.
+    """
+    pdf = df.limit(max_rows + 1).toPandas()
+    if len(pdf) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows")
+    return pdf
+
+
+def price_day(view: DataFrame, ticker: str, day: str, max_rows: int = 24):
+    """One (ticker, day) of the precomputed price-day view, ordered by hour."""
+    v = view.where((F.col("ticker") == ticker) & (F.col("date") == F.to_date(F.lit(day))))
+    return fetch_bounded(v.orderBy("hour"), max_rows)

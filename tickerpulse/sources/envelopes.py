@@ -36,6 +36,22 @@ def corrupt_files(env: DataFrame) -> DataFrame:
         .select("_corrupt_record")
 
 
+def repair_unclosed(env: DataFrame) -> DataFrame:
+    """Envelopes with unreadable documents re-parsed after closing them.
+
+    A writer killed between records leaves ``{"tweets":[t1,...,tn,``; adding
+    the sentinel and the closing brackets makes it whole again. Documents
+    cut inside a record stay unreadable and keep their ``_corrupt_record``.
+    Every row is handled on its own, so repair runs in the reading tasks.
+    """
+    bad = F.col("tweets").isNull() & F.col("_corrupt_record").isNotNull()
+    closed = F.concat(F.regexp_replace(F.col("_corrupt_record"), r",\s*$", ","), F.lit("{}]}"))
+    fixed = F.from_json(closed, schemas.ENVELOPE_BODY)
+    tweets = F.when(bad, fixed["tweets"]).otherwise(F.col("tweets"))
+    still_bad = F.when(bad & fixed["tweets"].isNull(), F.col("_corrupt_record"))
+    return env.select(tweets.alias("tweets"), still_bad.alias("_corrupt_record"))
+
+
 def explode_tweets(env: DataFrame, keep_sentinel: bool = False) -> DataFrame:
     """One row per array element; the ``{}`` sentinel is dropped unless asked."""
     out = env.select(F.explode("tweets").alias("col"))
