@@ -168,8 +168,10 @@ def _tag_rows(fact: DataFrame) -> DataFrame:
 
 
 def dedup_statistics(fact: DataFrame, universe: Sequence[str],
-                     cols=("author_id", "created_at", "retweet_count", "text", "tags")) -> DataFrame:
-    """Statistics per universe tag after removing duplicate mention rows."""
+                     cols=("author_id", "created_at", "like_count", "quote_count", "reply_count",
+                           "retweet_count", "text", "tags")) -> DataFrame:
+    """Statistics per universe tag after removing duplicate mention rows
+    (rows equal in every post column and the tag)."""
     t = _tag_rows(fact).select(*cols, "tag").where(F.col("tag").isin(list(universe)))
     d = t.dropDuplicates()
     g = d.groupBy("tag").agg(F.count(F.lit(1)).alias("cnt"),

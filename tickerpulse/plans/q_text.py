@@ -169,7 +169,7 @@ def tag_freq_universe(spark, sf_dir):
 
 _EV_ANY = """
 ev_any AS (
-  SELECT id, author_id, created_at, retweet_count, text,
+  SELECT id, author_id, created_at, like_count, quote_count, reply_count, retweet_count, text,
          list_concat(tags, """ + S.cashtags("text") + """) AS tags
   FROM ev_fact
 ),
@@ -191,7 +191,8 @@ def _event_universe(spark, sf_dir):
 
 
 @query("dedup_statistics", S.with_(S.EV_POSTS, _EV_ANY) + """
-, d AS (SELECT DISTINCT author_id, created_at, retweet_count, text, tags, tag FROM ev_tag
+, d AS (SELECT DISTINCT author_id, created_at, like_count, quote_count, reply_count, retweet_count,
+                         text, tags, tag FROM ev_tag
         WHERE tag IN (SELECT upper(event_type) FROM events))
 SELECT tag, count(*) AS cnt, CAST(sum(retweet_count) AS BIGINT) AS retweets,
        CAST(count(*) + sum(retweet_count) AS BIGINT) AS final_result FROM d GROUP BY tag""")
