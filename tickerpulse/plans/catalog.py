@@ -2,16 +2,9 @@
 
 from __future__ import annotations
 
-from . import q_counts  # noqa: F401
+from . import q_counts, q_market, q_sinks, q_sources, q_streaming, q_text, q_views  # noqa: F401
 from .registry import ORACLE, QUERIES
 
-for _m in ("q_text", "q_market", "q_sources", "q_views", "q_streaming", "q_sinks"):
-    try:
-        __import__(f"{__package__}.{_m}")
-    except ModuleNotFoundError as e:  # module not written yet
-        if _m not in str(e):
-            raise
-
 
 def queries():
     return dict(QUERIES)
