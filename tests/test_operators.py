@@ -128,3 +128,9 @@ def test_daily_close_defaults_to_zero(spark):
     daily = spark.createDataFrame([("A", dt.date(2024, 1, 1), 1.25)], "ticker string, date date, close double")
     got = sorted((r["date"].day, r["daily_close"]) for r in with_daily_close(bars, daily).collect())
     assert got == [(1, 1.25), (2, 0.0)]
+
+
+def test_resum_sort_option(spark):
+    c = spark.createDataFrame([(11, 1, 0, "A", "X", 1), (11, 1, 0, "B", "Y", 3)],
+                              "month int, day int, hour int, tickers string, tags string, cnt_t bigint")
+    assert [r["tickers"] for r in counts.tag_counts_resum(c, "hour", sort_desc=True).collect()] == ["B", "A"]

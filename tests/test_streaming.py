@@ -49,3 +49,22 @@ def test_hourly_counts_complete_mode(spark, tmpdir_path):
                                  output_mode="complete")
     got = sorted((r["t_hour"].hour, r["cnt"]) for r in out.collect())
     assert got == [(0, 2), (1, 1), (2, 1)]
+
+
+def test_restart_resumes_from_checkpoint(spark, tmpdir_path):
+    import pandas as pd
+    src = os.path.join(tmpdir_path, "in")
+    os.makedirs(src)
+    out, ckpt = os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "ckpt")
+    schema = "id string, text string"
+
+    def run():
+        st = spark.readStream.schema(schema).parquet(src)
+        return jobs.run_available_now(st.select("id", identify_tickers("text", None, ["MU"]).alias("t")),
+                                      "t-restart", out=out, ckpt=ckpt)
+
+    pd.DataFrame([("1", "#MU"), ("2", "x")], columns=["id", "text"]).to_parquet(os.path.join(src, "a.parquet"))
+    assert run().count() == 2
+    pd.DataFrame([("3", "$mu")], columns=["id", "text"]).to_parquet(os.path.join(src, "b.parquet"))
+    got = sorted((r["id"], tuple(r["t"])) for r in run().collect())
+    assert got == [("1", ("MU",)), ("2", ()), ("3", ("MU",))]  # each input row exactly once

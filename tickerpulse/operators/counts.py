@@ -94,10 +94,12 @@ def tag_counts(fact: DataFrame, level: str) -> DataFrame:
     return _pairs_mdh(fact).groupBy(*keys).agg(F.count("tags").alias("cnt_t"))
 
 
-def tag_counts_resum(counts: DataFrame, level: str) -> DataFrame:
-    """Second aggregation ``sum(cnt_t)`` over the same keys."""
+def tag_counts_resum(counts: DataFrame, level: str, sort_desc: bool = False) -> DataFrame:
+    """Second aggregation ``sum(cnt_t)`` over the same keys; ``sort_desc``
+    orders by the sum, largest first (a range shuffle, so only for output)."""
     keys = LEVELS[level]
-    return counts.groupBy(*keys).agg(F.sum("cnt_t").alias("total"))
+    out = counts.groupBy(*keys).agg(F.sum("cnt_t").alias("total"))
+    return out.orderBy(F.desc("total"), *keys) if sort_desc else out
 
 
 def tag_counts_rollup(hour_counts: DataFrame, level: str) -> DataFrame:

@@ -72,13 +72,17 @@ def write_bars_json(bars: DataFrame, path: str) -> str:
 
 
 def publish_all(fact: DataFrame, base_path: str, k: int = 5,
-                jdbc: dict[str, str] | None = None, concurrency: int = 4) -> dict[str, str]:
+                jdbc: dict[str, str] | None = None, concurrency: int = 4,
+                sources: list[str] | None = None) -> dict[str, str]:
     """Derive and write the published table set from one staged post fact.
 
     The tables are independent, so up to ``concurrency`` writes are
     submitted at once from driver threads; each is an ordinary distributed
     job, and small tables no longer leave the cluster idle between jobs.
+    ``sources`` keeps only posts of the named collectors (default: all).
     """
+    if sources is not None:
+        fact = fact.where(F.col("source").isin(list(sources)))
     f = stage(fact.select("id", "source", "author_id", "created_at", "month", "day", "hour",
                           "like_count", "quote_count", "reply_count", "retweet_count",
                           "text", "tickers", "tags"), "post-fact")

@@ -65,18 +65,20 @@ def rule_hits(posts: DataFrame, symbols: DataFrame, id_col: str = "id",
 
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
                       partition_by: Sequence[str] | None = None,
-                      max_records_per_file: int | None = None) -> DataFrame:
+                      max_records_per_file: int | None = None,
+                      out: str | None = None, ckpt: str | None = None) -> DataFrame:
     """Run ``df`` over everything available now into a Parquet folder in the
     shared scratch area and return the written rows as a batch DataFrame.
 
     Append mode writes through the file sink. Complete / update modes write
     each micro-batch with ``foreachBatch`` into ``batch=<id>`` folders
     (re-running a batch overwrites its own folder, so replays are
-    idempotent) and the last batch's folder is returned.
+    idempotent) and the last batch's folder is returned. Passing the same
+    ``out`` / ``ckpt`` again resumes: only input not yet committed is read.
     """
     spark = df.sparkSession
-    out = scratch_path(spark, f"{name}-out")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
+    out = out or scratch_path(spark, f"{name}-out")
+    ckpt = ckpt or scratch_path(spark, f"{name}-ckpt")
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt) \
         .trigger(availableNow=True)
     if output_mode == "append":
