@@ -194,3 +194,20 @@ def test_null_context_and_text(spark, strict):
                                "text string, tweets array<struct<id:string,text:string>>")
     got = [r[0] for r in df.select(identify_tickers("text", "tweets", UNIVERSE, strict_compat=strict)).collect()]
     assert got == ([None, None] if strict else [[], ["MU"]])
+
+
+def _python_non_symbol_tags(text, universe):
+    alt = "|".join(sorted(universe, key=len, reverse=True))
+    pat = re.compile(r"#(?!(?:" + alt + r")(?![A-Za-z|]))(\w+)", re.IGNORECASE)
+    return [m.group(1).upper() for m in pat.finditer(text)] if text else []
+
+
+def test_non_symbol_tags_differential(spark):
+    rnd = random.Random(11)
+    pieces = ["#", "|", " ", "_", "7", "é", "x", "AAPL", "aapl", "GOOG", "L", "MU", "news", "Q", "ü"]
+    texts = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 12))) for _ in range(500)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = df.select("i", non_symbol_tags("text", TICKERS).alias("g")).collect()
+    for r in got:
+        t = texts[r["i"]]
+        assert r["g"] == _python_non_symbol_tags(t, TICKERS), t

@@ -82,3 +82,11 @@ def test_scan_reads_only_needed_columns(spark):
     p = _plan(E.queries()["ohlcv_daily"](spark, SF_SMALL))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,event_type:string,value:double>" in p \
         or "props" not in p.split("ReadSchema")[1].split("\n")[0]
+
+
+@pytest.mark.parametrize("name", ["rule_match", "hourly_with_daily_close", "price_day_view"])
+def test_small_sides_broadcast_at_run_time(spark, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    df.collect()
+    final = _plan(df).split("== Initial Plan ==")[0]
+    assert "BroadcastHashJoin" in final
