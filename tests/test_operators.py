@@ -134,3 +134,12 @@ def test_resum_sort_option(spark):
     c = spark.createDataFrame([(11, 1, 0, "A", "X", 1), (11, 1, 0, "B", "Y", 3)],
                               "month int, day int, hour int, tickers string, tags string, cnt_t bigint")
     assert [r["tickers"] for r in counts.tag_counts_resum(c, "hour", sort_desc=True).collect()] == ["B", "A"]
+
+
+def test_rules_scoped_to_one_source(spark):
+    from tickerpulse.operators.quality import apply_rules
+    f = spark.createDataFrame([("hashtag", "Check out", ["EBAY"], []), ("cashtag", "Check out", ["EBAY"], []),
+                               (None, "Check out", ["EBAY"], [])],
+                              "source string, text string, tickers array<string>, tags array<string>")
+    kept = sorted(str(r["source"]) for r in apply_rules(f, only_source="hashtag").collect())
+    assert kept == ["None", "cashtag"]

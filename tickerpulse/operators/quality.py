@@ -35,9 +35,18 @@ def keep_condition(rule: Rule, tickers: str = "tickers", tags: str = "tags",
     return not_about | reduce(lambda a, b: a & b, parts)
 
 
-def apply_rules(df: DataFrame, rules: Iterable[Rule] = SPAM_RULES) -> DataFrame:
+def apply_rules(df: DataFrame, rules: Iterable[Rule] = SPAM_RULES,
+                only_source: str | None = None, source_col: str = "source") -> DataFrame:
+    """Keep the rows that pass every rule. With ``only_source`` the rules
+    apply to that collector's posts only (as the spam came through the
+    hashtag collector); rows of other sources pass unchanged."""
     conds = [keep_condition(r) for r in rules]
-    return df.where(reduce(lambda a, b: a & b, conds)) if conds else df
+    if not conds:
+        return df
+    keep = reduce(lambda a, b: a & b, conds)
+    if only_source is not None:
+        keep = ~F.col(source_col).eqNullSafe(only_source) | keep
+    return df.where(keep)
 
 
 def filter_audit(df: DataFrame, rules: Sequence[Rule] = SPAM_RULES) -> DataFrame:
