@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import ranking
 from ..operators import rules as R
 from ..operators.identify import bounded_values, identify_and_tag
 from ..session import scratch_path
@@ -45,6 +46,24 @@ def stream_hourly_counts(spark, sf_dir):
     return jobs.run_available_now(jobs.hourly_counts(m), "stream-hourly")
 
 
+@query("stream_top_hourly", S.with_(_MENTIONS) + """
+, closed AS (SELECT * FROM c WHERE t_hour + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events))
+SELECT t_hour, ticker, cnt, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY t_hour ORDER BY cnt DESC, ticker ASC) AS rank FROM closed)
+WHERE rank <= 3""")
+def stream_top_hourly(spark, sf_dir):
+    """Top-3 symbols of every closed hour on a stream: watermarked counts in
+    append mode (a window is emitted once, complete), ranked per window in
+    ``foreachBatch``."""
+    ev = jobs.table_stream(spark, sf_dir, "events")
+    m = ev.select(F.upper("event_type").alias("ticker"), F.col("ts").alias("created_at"))
+
+    def rank(batch):
+        return ranking.top_k_per(batch, ["t_hour"], [F.desc("cnt"), F.asc("ticker")], 3)
+
+    return jobs.run_available_now(jobs.hourly_counts(m), "stream-top", per_batch=rank)
+
+
 @query("stream_publish", S.with_(_MENTIONS) + "SELECT t_hour, ticker, cnt FROM c")
 def stream_publish(spark, sf_dir):
     """Hourly counts in complete mode published per micro-batch with

@@ -66,14 +66,17 @@ def rule_hits(posts: DataFrame, symbols: DataFrame, id_col: str = "id",
 def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
                       partition_by: Sequence[str] | None = None,
                       max_records_per_file: int | None = None,
-                      out: str | None = None, ckpt: str | None = None) -> DataFrame:
+                      out: str | None = None, ckpt: str | None = None,
+                      per_batch=None) -> DataFrame:
     """Run ``df`` over everything available now into a Parquet folder in the
     shared scratch area and return the written rows as a batch DataFrame.
 
     Append mode writes through the file sink. Complete / update modes write
     each micro-batch with ``foreachBatch`` into ``batch=<id>`` folders
     (re-running a batch overwrites its own folder, so replays are
-    idempotent) and the last batch's folder is returned. Passing the same
+    idempotent) and the last batch's folder is returned. ``per_batch``
+    transforms every appended micro-batch before it is written (all batch
+    folders are returned). Passing the same
     ``out`` / ``ckpt`` again resumes: only input not yet committed is read.
     """
     spark = df.sparkSession
@@ -81,6 +84,14 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
     ckpt = ckpt or scratch_path(spark, f"{name}-ckpt")
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt) \
         .trigger(availableNow=True)
+    if per_batch is not None:
+        # append-mode rows transformed batch by batch (e.g. ranked per closed window)
+        def write_transformed(batch: DataFrame, batch_id: int) -> None:
+            per_batch(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+        q = w.foreachBatch(write_transformed).start()
+        q.awaitTermination()
+        return spark.read.parquet(out).drop("batch")
     if output_mode == "append":
         w = w.format("parquet").option("path", out)
         if partition_by:
