@@ -211,3 +211,22 @@ def test_non_symbol_tags_differential(spark):
     for r in got:
         t = texts[r["i"]]
         assert r["g"] == _python_non_symbol_tags(t, TICKERS), t
+
+
+def test_publish_job_end_to_end(spark, tmpdir_path):
+    from tickerpulse import publish_job
+    from tickerpulse.sinks.tables import read_table
+    h, c, out = (os.path.join(tmpdir_path, d) for d in ("h", "c", "out"))
+    os.makedirs(h)
+    os.makedirs(c)
+    _write_envelope(h, "2022_11_1_0_0.json", CASES)           # spam rules apply here
+    _write_envelope(c, "2022_11_1_0_0.json", CASES[:1])       # and not here
+    paths = publish_job.run(spark, os.path.join(h, "*.json"), os.path.join(c, "*.json"), out,
+                            universe=UNIVERSE)
+    assert len(paths) == 12
+    posts = read_table(spark, "posts", out).collect()
+    texts = sorted(r["text"] for r in posts)
+    # hashtag side keeps the default-mode survivors, cashtag side keeps its spam post
+    assert texts == sorted([t for t, *_, kept in CASES if kept] + ["Check out my #EBAY"])
+    stats = {r["tickers"]: r["cnt"] for r in read_table(spark, "top5_stock_statistics_new", out).collect()}
+    assert stats["EBAY"] == 3 and stats["AAPL"] == 1
