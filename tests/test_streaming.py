@@ -68,3 +68,23 @@ def test_restart_resumes_from_checkpoint(spark, tmpdir_path):
     pd.DataFrame([("3", "$mu")], columns=["id", "text"]).to_parquet(os.path.join(src, "b.parquet"))
     got = sorted((r["id"], tuple(r["t"])) for r in run().collect())
     assert got == [("1", ("MU",)), ("2", ()), ("3", ("MU",))]  # each input row exactly once
+
+
+def test_live_job_available_now(spark, tmpdir_path):
+    import json
+    from tickerpulse.streaming import live
+    drop = os.path.join(tmpdir_path, "drop")
+    os.makedirs(drop)
+    tweets = [{"data": {"id": str(i), "text": f"#MU post {i}", "author_id": "a", "conversation_id": "c",
+                        "created_at": f"2022-11-01T0{i}:00:00.000Z",
+                        "public_metrics": {"like_count": 0, "quote_count": 0, "reply_count": 0,
+                                           "retweet_count": 0}}, "includes": {}} for i in range(5)]
+    with open(os.path.join(drop, "2022_11_1_0_0.json"), "w") as f:
+        f.write("{\"tweets\":[" + "".join(json.dumps(t) + "," for t in tweets) + "{}]}")
+    out, ckpt = os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "ckpt")
+    qs = live.start(spark, drop, out, ckpt, universe=["MU"], trigger={"availableNow": True})
+    for q in qs:
+        q.awaitTermination()
+    assert spark.read.parquet(os.path.join(out, "posts")).count() == 5
+    hours = sorted(r["t_hour"].hour for r in spark.read.parquet(os.path.join(out, "hourly_counts")).collect())
+    assert hours == [0, 1, 2]  # windows closed by the 1-hour watermark (max event time 04:00)
