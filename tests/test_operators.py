@@ -143,3 +143,15 @@ def test_rules_scoped_to_one_source(spark):
                               "source string, text string, tickers array<string>, tags array<string>")
     kept = sorted(str(r["source"]) for r in apply_rules(f, only_source="hashtag").collect())
     assert kept == ["None", "cashtag"]
+
+
+def test_grids_with_a_single_day(spark):
+    H = lambda h: dt.datetime(2022, 11, 1, h)
+    leaders = spark.createDataFrame([(H(0), "A•X", 3), (H(5), "B•Y", 2)],
+                                    "t_hour timestamp_ntz, stock string, cnt bigint")
+    assert views.leader_cube(leaders).count() == 0          # the only day is the partial last day
+    assert views.leader_cube(leaders, drop_last_day=False).count() == 24
+    top = spark.createDataFrame([(dt.datetime(2022, 11, 1), 1, "A", 5)],
+                                "t_day timestamp_ntz, rank bigint, tag string, cnt bigint")
+    assert views.daily_frames(top, k=2).count() == 0
+    assert views.daily_frames(top, k=2, drop_last_day=False).count() == 2

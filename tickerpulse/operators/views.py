@@ -22,7 +22,9 @@ def leader_cube(leaders: DataFrame, drop_last_day: bool = True) -> DataFrame:
     if drop_last_day:
         last_day = last_day - F.expr("INTERVAL 1 DAY")
     stop = last_day + F.expr("INTERVAL 23 HOURS")
-    hours = rng.select(F.explode(F.sequence(first, stop, F.expr("INTERVAL 1 HOUR"))).alias("t_hour"))
+    # an empty range (only a partial last day) yields no hours, not an error
+    seq = F.when(stop >= first, F.sequence(first, stop, F.expr("INTERVAL 1 HOUR")))
+    hours = rng.select(F.explode(seq).alias("t_hour"))
     cube = hours.join(leaders, "t_hour", "left")
     return cube.select("t_hour", F.to_date("t_hour").alias("day"), F.hour("t_hour").alias("hour"),
                        "stock", F.coalesce("cnt", F.lit(0).cast("bigint")).alias("cnt"))
@@ -33,7 +35,8 @@ def daily_frames(top_daily: DataFrame, k: int = 5, drop_last_day: bool = True) -
     (last excluded by default), filled from the daily top-k by key."""
     rng = top_daily.agg(F.min("t_day").alias("lo"), F.max("t_day").alias("hi"))
     stop = F.col("hi") - F.expr("INTERVAL 1 DAY") if drop_last_day else F.col("hi")
-    days = rng.select(F.explode(F.sequence("lo", stop, F.expr("INTERVAL 1 DAY"))).alias("t_day"))
+    seq = F.when(stop >= F.col("lo"), F.sequence("lo", stop, F.expr("INTERVAL 1 DAY")))
+    days = rng.select(F.explode(seq).alias("t_day"))
     slots = days.select("t_day", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k).cast("bigint"))).alias("rank"))
     j = slots.join(top_daily, ["t_day", "rank"], "left")
     return j.select("t_day", "rank", "tag", F.coalesce("cnt", F.lit(0).cast("bigint")).alias("cnt"))
