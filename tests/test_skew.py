@@ -70,3 +70,14 @@ def test_hot_symbol_counts_combine_map_side(spark):
     assert "partial_count" in plan and "partial_sum" in plan
     hot = st.where(F.col("tickers") == "HOT").first()
     assert hot["cnt"] == 1000 and hot["retweets"] == sum(i % 5 for i in range(0, 3000, 3))
+
+
+def test_null_keys_skip_the_join(spark):
+    rows = [(f"p{i}", None if i % 3 == 0 else f"c{i % 40}", "#MU" if i % 2 else "x") for i in range(900)]
+    turns = spark.createDataFrame(rows, "id string, conversation_id string, text string")
+    out = conversation_context(turns, ["MU"], hot_rows=10_000)
+    got = {r["id"]: r["tickers"] for r in out.collect()}
+    assert len(got) == 900
+    assert got["p0"] == [] and got["p1"] == ["MU"] and got["p2"] == [] and got["p5"] == ["MU"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan

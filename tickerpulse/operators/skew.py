@@ -27,13 +27,25 @@ def join_split_hot(big: DataFrame, small: DataFrame, key: str, how: str = "left"
 
     Rows of hot keys are joined map-side against a broadcast of only the
     hot keys' rows of ``small`` (at most ``max_keys`` rows, a proven bound);
-    all other rows take the ordinary shuffle join. The union is the same
-    result as the plain join.
+    all other rows take the ordinary shuffle join. For a left join, rows
+    with a NULL key skip the join (they cannot match) instead of meeting in
+    one reducer. The union is the same result as the plain join.
     """
+    has_key = F.col(key).isNotNull()
+    parts = []
+    if how == "left":
+        # NULL keys never match; joined, they would all hash to one reducer
+        extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema.fields if f.name != key]
+        parts.append(big.where(~has_key).select(*big.columns, *extra))
+        big = big.where(has_key)
     hot = hot_keys(big, key, hot_rows, max_keys)
     if not hot:
-        return big.join(small, key, how)
-    is_hot = F.col(key).isin(hot)
-    hot_part = big.where(is_hot).join(F.broadcast(small.where(is_hot)), key, how)
-    cold_part = big.where(F.col(key).isNull() | ~is_hot).join(small.where(~is_hot), key, how)
-    return hot_part.unionByName(cold_part)
+        parts.append(big.join(small, key, how))
+    else:
+        is_hot = F.col(key).isin(hot)
+        parts.append(big.where(is_hot).join(F.broadcast(small.where(is_hot)), key, how))
+        parts.append(big.where(~is_hot).join(small.where(~is_hot), key, how))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
