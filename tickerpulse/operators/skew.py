@@ -21,6 +21,18 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS,
     return bounded_values(sizes.where(F.col("_n") > hot_rows).select(key), max_keys)
 
 
+def left_join_skip_nulls(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
+    """``big.join(small, keys, "left")`` where rows of ``big`` with a NULL
+    key bypass the shuffle (they cannot match, and would otherwise all hash
+    to one reducer); they get NULLs for ``small``'s columns."""
+    has_keys = F.lit(True)
+    for k in keys:
+        has_keys = has_keys & F.col(k).isNotNull()
+    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema.fields if f.name not in keys]
+    nulls = big.where(~has_keys).select(*big.columns, *extra)
+    return big.where(has_keys).join(small, keys, "left").unionByName(nulls)
+
+
 def join_split_hot(big: DataFrame, small: DataFrame, key: str, how: str = "left",
                    hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """``big.join(small, key, how)`` where ``small`` has one row per key.
@@ -31,21 +43,13 @@ def join_split_hot(big: DataFrame, small: DataFrame, key: str, how: str = "left"
     with a NULL key skip the join (they cannot match) instead of meeting in
     one reducer. The union is the same result as the plain join.
     """
-    has_key = F.col(key).isNotNull()
-    parts = []
-    if how == "left":
-        # NULL keys never match; joined, they would all hash to one reducer
-        extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema.fields if f.name != key]
-        parts.append(big.where(~has_key).select(*big.columns, *extra))
-        big = big.where(has_key)
+    def plain(b: DataFrame, sm: DataFrame) -> DataFrame:
+        return left_join_skip_nulls(b, sm, [key]) if how == "left" else b.join(sm, key, how)
+
     hot = hot_keys(big, key, hot_rows, max_keys)
     if not hot:
-        parts.append(big.join(small, key, how))
-    else:
-        is_hot = F.col(key).isin(hot)
-        parts.append(big.where(is_hot).join(F.broadcast(small.where(is_hot)), key, how))
-        parts.append(big.where(~is_hot).join(small.where(~is_hot), key, how))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        return plain(big, small)
+    is_hot = F.col(key).isin(hot)
+    hot_part = big.where(is_hot).join(F.broadcast(small.where(is_hot)), key, how)
+    cold_part = plain(big.where(F.col(key).isNull() | ~is_hot), small.where(~is_hot))
+    return hot_part.unionByName(cold_part)

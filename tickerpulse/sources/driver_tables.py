@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import left_join_skip_nulls
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -100,7 +102,7 @@ def conversation_posts(conversations: DataFrame) -> DataFrame:
                     F.struct(F.concat_ws("-", F.col("conv_id").cast("string"),
                                          F.col("turn").cast("string")).alias("id"),
                              F.col("text").alias("text")).alias("ref"))
-    j = c.join(prev, ["conv_id", "turn"], "left")
+    j = left_join_skip_nulls(c, prev, ["conv_id", "turn"])
     return j.select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
         F.lit("conversations").alias("source"),
