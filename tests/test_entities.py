@@ -230,3 +230,24 @@ def test_publish_job_end_to_end(spark, tmpdir_path):
     assert texts == sorted([t for t, *_, kept in CASES if kept] + ["Check out my #EBAY"])
     stats = {r["tickers"]: r["cnt"] for r in read_table(spark, "top5_stock_statistics_new", out).collect()}
     assert stats["EBAY"] == 3 and stats["AAPL"] == 1
+
+
+def test_sql_functions_match_dataframe_functions(spark):
+    from tickerpulse.functions.sql_functions import register_sql_functions
+    register_sql_functions(spark, UNIVERSE)
+    texts = [t for t, _ in MATCHER] + [c[0] for c in CASES] + ["#éa_1 $mu_2 #straße"]
+    df = spark.createDataFrame([(str(i), t, CTX if i % 2 else None) for i, t in enumerate(texts)],
+                               "id string, text string, tweets array<struct<id:string,text:string>>")
+    df.createOrReplaceTempView("tp_posts")
+    got = spark.sql("""SELECT id, tp_identify(text) AS a, tp_identify_ctx(text, tweets) AS b,
+                              tp_hashtags(text) AS c, tp_cashtags(text) AS d,
+                              tp_spam_keep(tp_identify(text), tp_hashtags(text), text) AS e
+                       FROM tp_posts""").orderBy("id").collect()
+    exp = df.select("id", identify_tickers("text", None, UNIVERSE).alias("a"),
+                    identify_tickers("text", "tweets", UNIVERSE).alias("b"),
+                    extract_hashtags("text").alias("c"), extract_cashtags("text").alias("d")).orderBy("id").collect()
+    assert [tuple(r)[:5] for r in got] == [tuple(r) for r in exp]
+    kept = {r["id"] for r in got if r["e"]}
+    assert str(texts.index("Check out my #EBAY")) not in kept and str(texts.index("#EBAY good")) in kept
+    plan = spark.sql("SELECT tp_identify(text) FROM tp_posts")._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan

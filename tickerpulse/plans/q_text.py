@@ -290,3 +290,13 @@ SELECT id FROM conv_posts WHERE id IN (SELECT id FROM cand JOIN rs USING (symbol
 def rule_semi(spark, sf_dir):
     rules = R.build_rules(_listing(spark, sf_dir), k=6)
     return R.rule_semi(conversation_posts(spark, sf_dir), rules).select("id")
+
+
+@query("sql_identify", DOC + "SELECT id, tickers, tags FROM doc_fact", texts=("tickers", "tags"))
+def sql_identify(spark, sf_dir):
+    """Identification and tags written in Spark SQL with the library's SQL
+    functions (registered with the listing symbols) over a view of the posts."""
+    from ..functions.sql_functions import register_sql_functions
+    register_sql_functions(spark, _universe_list(spark, sf_dir), prefix="tpl_")
+    dt.document_posts(table(spark, sf_dir, "documents")).createOrReplaceTempView("tpl_documents")
+    return spark.sql("SELECT id, tpl_identify(text) AS tickers, tpl_hashtags(text) AS tags FROM tpl_documents")
