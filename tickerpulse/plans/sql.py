@@ -41,7 +41,7 @@ def tagged(text: str) -> str:
 EV_POSTS = f"""
 ev_posts AS (
   SELECT CAST(user_id AS VARCHAR) || '-' || strftime(d, '%Y%m%d') AS id,
-         CASE WHEN user_id % 2 = 0 THEN 'cashtag' ELSE 'hashtag' END AS source,
+         'cashtag' AS source,
          CAST(user_id AS VARCHAR) AS author_id,
          min(ts) AS created_at,
          CAST(sum(floor(value)) AS BIGINT) AS like_count,

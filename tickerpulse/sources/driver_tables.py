@@ -36,9 +36,10 @@ def tagged_text(c) -> Column:
     return F.regexp_replace(col, TAG_WORD, "#$1")
 
 
-def event_posts(events: DataFrame) -> DataFrame:
+def event_posts(events: DataFrame, source: str = "cashtag") -> DataFrame:
     """Posts in the collector's flat shape: id, source, author_id,
-    created_at (timestamp_ntz), the four counters and text."""
+    created_at (timestamp_ntz), the four counters and text. Their symbols
+    carry ``$``, so they are what the cashtag collector's rules catch."""
     k = F.get_json_object("props", "$.k")
     sym_tok = F.concat(F.lit("$"), F.upper("event_type"))
     tag_tok = F.concat(F.lit("#K"), k)
@@ -54,7 +55,7 @@ def event_posts(events: DataFrame) -> DataFrame:
     )
     return g.select(
         F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("d", "yyyyMMdd")).alias("id"),
-        F.when(F.col("user_id") % 2 == 0, F.lit("cashtag")).otherwise(F.lit("hashtag")).alias("source"),
+        F.lit(source).alias("source"),
         F.col("user_id").cast("string").alias("author_id"),
         "created_at", "like_count", "quote_count", "reply_count", "retweet_count",
         F.array_join(F.array_sort(F.array_union("s", "t")), " ").alias("text"),
