@@ -88,3 +88,26 @@ def test_live_job_available_now(spark, tmpdir_path):
     assert spark.read.parquet(os.path.join(out, "posts")).count() == 5
     hours = sorted(r["t_hour"].hour for r in spark.read.parquet(os.path.join(out, "hourly_counts")).collect())
     assert hours == [0, 1, 2]  # windows closed by the 1-hour watermark (max event time 04:00)
+
+
+def test_late_data_beyond_watermark_is_dropped(spark, tmpdir_path):
+    import pandas as pd
+    src = os.path.join(tmpdir_path, "late")
+    os.makedirs(src)
+    out, ckpt = os.path.join(tmpdir_path, "late-out"), os.path.join(tmpdir_path, "late-ckpt")
+    t = lambda h, m: dt.datetime(2024, 1, 1, h, m)
+    schema = "ticker string, created_at timestamp_ntz"
+
+    def deliver(name, rows):
+        pd.DataFrame(rows, columns=["ticker", "created_at"]).to_parquet(
+            os.path.join(src, name), coerce_timestamps="us", allow_truncated_timestamps=True)
+
+    def run():
+        stream = spark.readStream.schema(schema).parquet(src)
+        return jobs.run_available_now(jobs.hourly_counts(stream), "t-late", out=out, ckpt=ckpt)
+
+    deliver("a.parquet", [("A", t(1, 10)), ("A", t(2, 20)), ("A", t(5, 0))])
+    run()  # watermark is now 05:00 - 1 hour = 04:00
+    deliver("b.parquet", [("A", t(3, 30)), ("A", t(4, 30)), ("A", t(6, 10))])  # 03:30 is late
+    got = sorted((r["t_hour"].hour, r["cnt"]) for r in run().collect())
+    assert got == [(1, 1), (2, 1), (4, 1)]  # the late row is dropped; 05:00+ windows are still open
