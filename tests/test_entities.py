@@ -251,3 +251,10 @@ def test_sql_functions_match_dataframe_functions(spark):
     assert str(texts.index("Check out my #EBAY")) not in kept and str(texts.index("#EBAY good")) in kept
     plan = spark.sql("SELECT tp_identify(text) FROM tp_posts")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_universe_lookup_is_hashed_inside_the_lambda(spark):
+    df = spark.createDataFrame([("#AAPL x",)], "text string") \
+        .select(identify_tickers("text", None, TICKERS).alias("t"))
+    assert "INSET" in df._jdf.queryExecution().optimizedPlan().toString().upper()
+    assert df.first()["t"] == ["AAPL"]
