@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.facts import post_fact
-from ..operators.identify import identify_and_tag
+from ..operators.identify import identify_and_tag, with_tags
 from ..sources import driver_tables as dt
 from ..sources.webpages import symbol_universe
 
@@ -32,6 +32,11 @@ def document_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return post_fact(identify_and_tag(posts, page_universe(spark, sf_dir)))
 
 
+def document_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents -> tagged posts with ``tags`` only (no symbol universe needed)."""
+    return with_tags(dt.document_posts(table(spark, sf_dir, "documents")))
+
+
 def conversation_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dt.conversation_posts(table(spark, sf_dir, "conversations"))
 

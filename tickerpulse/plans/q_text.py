@@ -14,8 +14,8 @@ from ..operators.identify import bounded_broadcast, bounded_values, identify_pos
 from ..sources import driver_tables as dt
 from ..sources.webpages import page_links, symbol_rows
 from . import sql as S
-from .inputs import (conversation_fact, conversation_posts, document_fact, event_fact,
-                     page_universe, table)
+from .inputs import (conversation_fact, conversation_posts, document_fact, document_tags,
+                     event_fact, page_universe, table)
 from .registry import query
 
 DOC = S.with_(S.PG_UNIVERSE, S.DOC_FACT)
@@ -54,7 +54,7 @@ def identify_tickers_join(spark, sf_dir):
 
 @query("extract_hashtags", DOC + "SELECT id, tags FROM doc_fact", texts=("tags",))
 def extract_hashtags(spark, sf_dir):
-    return document_fact(spark, sf_dir).select("id", "tags")
+    return document_tags(spark, sf_dir).select("id", "tags")
 
 
 @query("extract_cashtags", S.with_() + f"""
@@ -82,7 +82,7 @@ def _non_symbol_sql():
 def non_ticker_tags(spark, sf_dir):
     """Hashtags of each document that do not name a listing symbol."""
     u = _universe_list(spark, sf_dir)
-    return document_fact(spark, sf_dir).select("id", E.non_symbol_tags("text", u).alias("tags"))
+    return document_tags(spark, sf_dir).select("id", E.non_symbol_tags("text", u).alias("tags"))
 
 
 def _rule_sql(rule):
@@ -149,14 +149,14 @@ SELECT id, tag FROM (SELECT id, unnest(tags) AS tag FROM doc_fact) WHERE tag IN
 def universe_semi(spark, sf_dir):
     """(document, tag) rows whose tag is a listing symbol: semi join, the
     symbol side broadcast only after a row-count check."""
-    t = document_fact(spark, sf_dir).select("id", F.explode("tags").alias("tag"))
+    t = document_tags(spark, sf_dir).select("id", F.explode("tags").alias("tag"))
     return t.join(_symbol_side(spark, sf_dir), "tag", "left_semi")
 
 
 @query("universe_anti", DOC + """
 SELECT id, tag FROM (SELECT id, unnest(tags) AS tag FROM doc_fact) WHERE tag NOT IN (SELECT symbol FROM pg_symbols)""")
 def universe_anti(spark, sf_dir):
-    t = document_fact(spark, sf_dir).select("id", F.explode("tags").alias("tag"))
+    t = document_tags(spark, sf_dir).select("id", F.explode("tags").alias("tag"))
     return t.join(_symbol_side(spark, sf_dir), "tag", "left_anti")
 
 
@@ -164,7 +164,7 @@ def universe_anti(spark, sf_dir):
 SELECT upper(tag) AS tag, count(*) AS cnt FROM (SELECT unnest(tags) AS tag FROM doc_fact WHERE len(tags) > 0)
 GROUP BY 1 HAVING upper(tag) IN (SELECT symbol FROM pg_symbols)""")
 def tag_freq_universe(spark, sf_dir):
-    return counts.tag_freq_universe(document_fact(spark, sf_dir), _universe_list(spark, sf_dir))
+    return counts.tag_freq_universe(document_tags(spark, sf_dir), _universe_list(spark, sf_dir))
 
 
 _EV_ANY = """
