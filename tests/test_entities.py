@@ -1,5 +1,6 @@
 """Identification and tag extraction: fixtures, edge cases, differential test."""
 
+import datetime as dt
 import json
 import os
 import random
@@ -258,3 +259,16 @@ def test_universe_lookup_is_hashed_inside_the_lambda(spark):
         .select(identify_tickers("text", None, TICKERS).alias("t"))
     assert "INSET" in df._jdf.queryExecution().optimizedPlan().toString().upper()
     assert df.first()["t"] == ["AAPL"]
+
+
+def test_created_at_independent_of_session_zone(spark):
+    from tickerpulse.functions.timeparts import parse_created_at
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([("2022-11-01T23:30:05.120Z",), ("bad",)], "c string")
+            got = [r[0] for r in df.select(parse_created_at("c")).collect()]
+            assert got == [dt.datetime(2022, 11, 1, 23, 30, 5, 120000), None], zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
