@@ -155,3 +155,16 @@ def test_grids_with_a_single_day(spark):
                                 "t_day timestamp_ntz, rank bigint, tag string, cnt bigint")
     assert views.daily_frames(top, k=2).count() == 0
     assert views.daily_frames(top, k=2, drop_last_day=False).count() == 2
+
+
+def test_rules_from_listing_page_html(spark):
+    html = "".join(f'<a href="/symbol/{s}">Name {i}</a><a href="/symbol/{s}">{s}</a>'
+                   for i, s in enumerate(TICKERS))
+    pages = spark.createDataFrame([(7, "u", html)], "page_id bigint, url string, html string")
+    links = page_links(pages, "/symbol/")
+    listing = links.select("page_id", ((F.col("pos") - 1) / 2).cast("bigint").alias("rank"),
+                           F.upper("link").alias("symbol"))
+    rules = build_rules(listing, RULE_SIZE_CASHTAG, "$").orderBy("rule_no").collect()
+    assert len(rules) == 17 and [len(r["symbols"]) for r in rules] == [6] * 17
+    assert rules[-1]["value"] == " OR ".join("$" + t for t in TICKERS[96:])
+    assert [s for r in rules for s in r["symbols"]] == TICKERS
