@@ -68,12 +68,7 @@ def ticker_tag_hourly(fact: DataFrame, stop_tag: str = STOP_TAG) -> DataFrame:
 
     The filter on grouping keys is pushed below the aggregate by Catalyst.
     """
-    p = explode_pairs(fact, keep_cols=("created_at",))
-    h = p.select(bucket("created_at", "hour").alias("t_hour"), "ticker", "tag")
-    g = h.groupBy("t_hour", F.col("ticker").alias("tag"), F.col("tag").alias("ref_tag")) \
-        .agg(F.count(F.lit(1)).alias("cnt"))
-    return g.where(F.col("t_hour").isNotNull() & F.col("tag").isNotNull()
-                   & F.col("ref_tag").isNotNull() & (F.col("ref_tag") != stop_tag))
+    return clean_hourly(pair_counts_hourly(fact), stop_tag)
 
 
 def _pairs_mdh(fact: DataFrame) -> DataFrame:
@@ -131,9 +126,16 @@ def clean_hourly(counts_df: DataFrame, stop_tag: str = STOP_TAG) -> DataFrame:
                            & F.col("ref_tag").isNotNull() & (F.col("ref_tag") != stop_tag))
 
 
-def drop_self_tags(flat: DataFrame) -> DataFrame:
-    """Exploded (ticker, tag) rows of the flat table without empty or self tags."""
-    f = flat.withColumn("tickers", F.explode_outer(F.split("tickers", ",")))
+def drop_self_tags(flat: DataFrame, explode_tickers_first: bool = True) -> DataFrame:
+    """Exploded (ticker, tag) rows of the flat table without empty or self tags.
+
+    With ``explode_tickers_first`` each ticker of a multi-ticker post is its
+    own row; ``False`` keeps the joined ticker string (so a tag only equals
+    it for single-ticker posts).
+    """
+    f = flat
+    if explode_tickers_first:
+        f = f.withColumn("tickers", F.explode_outer(F.split("tickers", ",")))
     e = f.withColumn("tags", F.explode_outer(F.split("tags", ",")))
     return e.where(F.col("tags") != "").where(F.col("tags") != F.col("tickers"))
 
@@ -145,19 +147,10 @@ def flat_posts(fact: DataFrame) -> DataFrame:
 
 
 def top_tags(flat: DataFrame, explode_tickers_first: bool = True) -> DataFrame:
-    """``times`` per (ticker, month, day, hour, tag) from the flat post table.
-
-    Empty tags and tags equal to the ticker are dropped. With
-    ``explode_tickers_first`` each ticker of a multi-ticker post counts on
-    its own; ``False`` keeps the joined ticker string as the key.
-    """
-    f = flat
-    if explode_tickers_first:
-        f = f.withColumn("tickers", F.explode_outer(F.split("tickers", ",")))
-    e = f.withColumn("tags", F.explode_outer(F.split("tags", ",")))
-    e = e.where(F.col("tags") != "").where(F.col("tags") != F.col("tickers"))
-    return e.groupBy("tickers", "month", "day", "hour", "tags") \
-        .agg(F.count("tags").alias("times"))
+    """``times`` per (ticker, month, day, hour, tag) from the flat post table,
+    over the rows of ``drop_self_tags``."""
+    return drop_self_tags(flat, explode_tickers_first) \
+        .groupBy("tickers", "month", "day", "hour", "tags").agg(F.count("tags").alias("times"))
 
 
 def distinct_by_group(df: DataFrame, cols: Sequence[str]) -> DataFrame:
