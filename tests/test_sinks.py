@@ -5,7 +5,7 @@ import os
 
 from tickerpulse.sinks.tables import publish_all, read_table, stage, write_table
 
-FACT = ("id string, source string, author_id string, created_at timestamp_ntz, month int, day int, "
+FACT = ("id string, source string, author_id string, created_at timestamp_ntz, date date, month int, day int, "
         "hour int, like_count bigint, quote_count bigint, reply_count bigint, retweet_count bigint, "
         "text string, tickers array<string>, tags array<string>")
 
@@ -23,9 +23,10 @@ EXPECTED = {
 
 def _fact(spark):
     t = dt.datetime(2022, 11, 1, 3, 4)
-    rows = [("1", "cashtag", "a", t, 11, 1, 3, 1, 0, 0, 5, "x", ["AAPL", "MU"], ["NEWS"]),
-            ("2", "hashtag", "b", t, 11, 1, 3, 0, 0, 0, 1, "y", ["MU"], []),
-            ("3", "hashtag", "c", None, None, None, None, 0, 0, 0, 0, "z", None, ["Q"])]
+    d = t.date()
+    rows = [("1", "cashtag", "a", t, d, 11, 1, 3, 1, 0, 0, 5, "x", ["AAPL", "MU"], ["NEWS"]),
+            ("2", "hashtag", "b", t, d, 11, 1, 3, 0, 0, 0, 1, "y", ["MU"], []),
+            ("3", "hashtag", "c", None, None, None, None, None, 0, 0, 0, 0, "z", None, ["Q"])]
     return spark.createDataFrame(rows, FACT)
 
 
@@ -37,6 +38,10 @@ def test_publish_all_schemas(spark, tmpdir_path):
         assert got == schema, name
     stats = {r["tickers"]: r["final_result"] for r in read_table(spark, "top5_stock_statistics_new", tmpdir_path).collect()}
     assert stats == {"AAPL": 6, "MU": 8, "": 1}
+    assert any(d.startswith("date=") for d in os.listdir(os.path.join(tmpdir_path, "posts")))
+    posts = read_table(spark, "posts", tmpdir_path).where("date = DATE'2022-11-01'")
+    assert "PartitionFilters: [isnotnull(date" in posts._jdf.queryExecution().executedPlan().toString()
+    assert posts.count() == 2
 
 
 def test_stage_cuts_lineage(spark):

@@ -19,10 +19,10 @@ from .q_market import _DAILY, _HOURLY, _TICKS
 from .registry import query
 
 
+# the pair fragment reuses a CTE name of the daily one
 _PAIRS_ONLY = _PAIRS_SQL.replace("ev_m AS", "ev_m2 AS").replace("FROM ev_m)", "FROM ev_m2)")
-_FLAT_TOP = _FLAT
 
-_PUBLISH_SQL = S.with_(S.EV_POSTS, _DAILY_SQL, _PAIRS_ONLY, _FLAT_TOP) + """
+_PUBLISH_SQL = S.with_(S.EV_POSTS, _DAILY_SQL, _PAIRS_ONLY, _FLAT) + """
 , n AS (SELECT count(*) AS c FROM ev_fact)
 SELECT 'timing_union_df' AS "table", c AS rows FROM n
 UNION ALL SELECT 'posts', c FROM n

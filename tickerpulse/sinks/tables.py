@@ -83,7 +83,7 @@ def publish_all(fact: DataFrame, base_path: str, k: int = 5,
     """
     if sources is not None:
         fact = fact.where(F.col("source").isin(list(sources)))
-    f = stage(fact.select("id", "source", "author_id", "created_at", "month", "day", "hour",
+    f = stage(fact.select("id", "source", "author_id", "created_at", "date", "month", "day", "hour",
                           "like_count", "quote_count", "reply_count", "retweet_count",
                           "text", "tickers", "tags"), "post-fact")
     daily = counts.ticker_daily_count(f)
@@ -91,8 +91,8 @@ def publish_all(fact: DataFrame, base_path: str, k: int = 5,
     flat = counts.flat_posts(f)
     pairs = explode_pairs(f, keep_cols=("month", "day", "hour"))
     tables = {
-        "timing_union_df": f.drop("id", "source", "author_id"),
-        "posts": f.select("id", "text", "tickers", "tags", "created_at"),
+        "timing_union_df": f.drop("id", "source", "author_id", "date"),
+        "posts": f.select("id", "text", "tickers", "tags", "created_at", "date"),
         "timing_time_tickers_tags_df": f.select("month", "day", "hour", "tickers", "tags"),
         "mdhr_tags": flat,
         "top_tags": counts.top_tags(flat),
@@ -105,8 +105,11 @@ def publish_all(fact: DataFrame, base_path: str, k: int = 5,
         "timing_time_tickers_tags_explode_df": pairs.select(
             "month", "day", "hour", F.col("ticker").alias("tickers"), F.col("tag").alias("tags")),
     }
+    # the large text-bearing post table is split by date for readers that prune
+    partitioning = {"posts": ["date"]} if jdbc is None else {}
     with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
-        futures = {name: pool.submit(write_table, df, name, base_path, jdbc=jdbc)
+        futures = {name: pool.submit(write_table, df, name, base_path, jdbc=jdbc,
+                                     partition_by=partitioning.get(name))
                    for name, df in tables.items()}
         return {name: f.result() for name, f in futures.items()}
 
