@@ -2,8 +2,8 @@
 
 The default store is Parquet folders under a base path (on a cluster: the
 shared folder); JDBC is available through the same call. Before many
-tables are derived from one post fact, the fact is staged once as Parquet:
-that cuts the lineage (an executor loss re-reads the staged files instead
+tables are derived from one post fact, the fact is stored once as Parquet:
+that cuts the lineage (an executor loss re-reads the stored files instead
 of re-parsing and re-identifying the raw input) and every table is then
 derived from a columnar, pruned scan.
 """
@@ -74,25 +74,35 @@ def write_bars_json(bars: DataFrame, path: str) -> str:
 def publish_all(fact: DataFrame, base_path: str, k: int = 5,
                 jdbc: dict[str, str] | None = None, concurrency: int = 4,
                 sources: list[str] | None = None) -> dict[str, str]:
-    """Derive and write the published table set from one staged post fact.
-
-    The tables are independent, so up to ``concurrency`` writes are
+    """Derive and write the published table set from one stored post fact.
+
+    With the Parquet store the fact is written once, as the ``posts`` table
+    (arrays kept, partitioned by ``date``), and every other table is
+    derived from reading it back: the text is not copied to a scratch
+    stage first. With JDBC the fact is staged in the shared scratch folder
+    and ``posts`` is written flattened like the other tables.
+    The derived tables are independent, so up to ``concurrency`` writes are
     submitted at once from driver threads; each is an ordinary distributed
     job, and small tables no longer leave the cluster idle between jobs.
     ``sources`` keeps only posts of the named collectors (default: all).
     """
     if sources is not None:
         fact = fact.where(F.col("source").isin(list(sources)))
-    f = stage(fact.select("id", "source", "author_id", "created_at", "date", "month", "day", "hour",
-                          "like_count", "quote_count", "reply_count", "retweet_count",
-                          "text", "tickers", "tags"), "post-fact")
+    cols = fact.select("id", "source", "author_id", "created_at", "date", "month", "day", "hour",
+                       "like_count", "quote_count", "reply_count", "retweet_count",
+                       "text", "tickers", "tags")
+    paths: dict[str, str] = {}
+    if jdbc is None:
+        paths["posts"] = write_table(cols, "posts", base_path, partition_by=["date"], flatten=False)
+        f = read_table(cols.sparkSession, "posts", base_path)
+    else:
+        f = stage(cols, "post-fact")
     daily = counts.ticker_daily_count(f)
     hourly = counts.ticker_tag_hourly(f)
     flat = counts.flat_posts(f)
     pairs = explode_pairs(f, keep_cols=("month", "day", "hour"))
     tables = {
         "timing_union_df": f.drop("id", "source", "author_id", "date"),
-        "posts": f.select("id", "text", "tickers", "tags", "created_at", "date"),
         "timing_time_tickers_tags_df": f.select("month", "day", "hour", "tickers", "tags"),
         "mdhr_tags": flat,
         "top_tags": counts.top_tags(flat),
@@ -105,13 +115,13 @@ def publish_all(fact: DataFrame, base_path: str, k: int = 5,
         "timing_time_tickers_tags_explode_df": pairs.select(
             "month", "day", "hour", F.col("ticker").alias("tickers"), F.col("tag").alias("tags")),
     }
-    # the large text-bearing post table is split by date for readers that prune
-    partitioning = {"posts": ["date"]} if jdbc is None else {}
+    if jdbc is not None:
+        tables["posts"] = f.select("id", "text", "tickers", "tags", "created_at")
     with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
-        futures = {name: pool.submit(write_table, df, name, base_path, jdbc=jdbc,
-                                     partition_by=partitioning.get(name))
+        futures = {name: pool.submit(write_table, df, name, base_path, jdbc=jdbc)
                    for name, df in tables.items()}
-        return {name: f.result() for name, f in futures.items()}
+        paths.update({name: fut.result() for name, fut in futures.items()})
+    return paths
 
 
 def fetch_bounded(df: DataFrame, max_rows: int):
