@@ -83,3 +83,21 @@ def test_price_day_fetch_is_bounded(spark):
     assert list(pdf["hour"]) == sorted(pdf["hour"]) and len(pdf) <= 24
     with pytest.raises(ValueError):
         fetch_bounded(view, 3)
+
+
+def test_sizing_open_cost_only_drops_for_small_inputs():
+    from tickerpulse.session import sizing_conf
+    assert int(sizing_conf(100 * 1024 ** 4, 8000)["spark.sql.files.openCostInBytes"]) == 4 << 20
+    assert int(sizing_conf(40 << 20, 8)["spark.sql.files.openCostInBytes"]) == (40 << 20) // 32
+
+
+def test_partitioned_write_is_rebalanced(spark, tmpdir_path):
+    from tickerpulse.sinks.tables import rebalanced
+    df = spark.range(2000).selectExpr("id", "CAST(id % 7 AS INT) AS d").repartition(16)
+    plan = rebalanced(df, ["d"])._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+    write_table(df, "r", tmpdir_path, partition_by=["d"], flatten=False)
+    folders = [f for f in os.listdir(os.path.join(tmpdir_path, "r")) if f.startswith("d=")]
+    files = sum(len([x for x in os.listdir(os.path.join(tmpdir_path, "r", f)) if x.endswith(".parquet")])
+                for f in folders)
+    assert len(folders) == 7 and files < 16 * 7  # not one file per (task, folder)

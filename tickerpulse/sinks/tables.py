@@ -35,6 +35,8 @@ def write_table(df: DataFrame, name: str, base_path: str | None = None, mode: st
          .options(**jdbc).save())
         return name
     path = os.path.join(base_path, name)
+    if partition_by:
+        out = rebalanced(out, partition_by)
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -42,6 +44,17 @@ def write_table(df: DataFrame, name: str, base_path: str | None = None, mode: st
     return path
 
 
+def rebalanced(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Group rows by the output partition columns before a partitioned write.
+
+    Without it every task writes a file into every folder (tasks x folders
+    small files). ``rebalance`` shuffles by the columns and lets AQE split
+    a hot folder's rows over several tasks and merge small ones, so files
+    come out near the advisory partition size.
+    """
+    return df.hint("rebalance", *cols)
+
+
 def read_table(spark: SparkSession, name: str, base_path: str | None = None, fmt: str = "parquet",
                jdbc: dict[str, str] | None = None) -> DataFrame:
     if jdbc is not None:
@@ -60,7 +73,7 @@ def stage(df: DataFrame, name: str = "staged") -> DataFrame:
 def write_rolled(df: DataFrame, path: str, max_records: int, partition_by: str = "date") -> str:
     """Files of at most ``max_records`` rows per date folder: small, splittable
     pieces instead of one growing document."""
-    (df.write.mode("overwrite").option("maxRecordsPerFile", max_records)
+    (rebalanced(df, [partition_by]).write.mode("overwrite").option("maxRecordsPerFile", max_records)
      .partitionBy(partition_by).parquet(path))
     return path
 
