@@ -13,16 +13,16 @@ from .registry import query
 EV = S.with_(S.EV_POSTS)
 
 # Mentions per (day, ticker), NULL-ticker rows kept by explode_outer.
-_DAILY_SQL = """
-ev_m AS (SELECT created_at, unnest(CASE WHEN tickers IS NULL OR len(tickers) = 0 THEN [NULL] ELSE tickers END) AS ticker FROM ev_fact),
+_DAILY_SQL = f"""
+ev_m AS (SELECT created_at, {S.unnest_outer('tickers')} AS ticker FROM ev_fact),
 daily AS (
   SELECT CAST(date_trunc('day', created_at) AS TIMESTAMP) AS t_day, ticker AS tag, count(*) AS cnt
   FROM ev_m WHERE created_at IS NOT NULL GROUP BY 1, 2
 )"""
 
-_PAIRS_SQL = """
-ev_m AS (SELECT created_at, tags, unnest(CASE WHEN tickers IS NULL OR len(tickers) = 0 THEN [NULL] ELSE tickers END) AS ticker FROM ev_fact),
-ev_p AS (SELECT created_at, ticker, unnest(CASE WHEN tags IS NULL OR len(tags) = 0 THEN [NULL] ELSE tags END) AS tag FROM ev_m),
+_PAIRS_SQL = f"""
+ev_m AS (SELECT created_at, tags, {S.unnest_outer('tickers')} AS ticker FROM ev_fact),
+ev_p AS (SELECT created_at, ticker, {S.unnest_outer('tags')} AS tag FROM ev_m),
 hourly AS (
   SELECT * FROM (
     SELECT CAST(date_trunc('hour', created_at) AS TIMESTAMP) AS t_hour, ticker AS tag, tag AS ref_tag, count(*) AS cnt
@@ -55,16 +55,16 @@ def daily_total(spark, sf_dir):
     return counts.daily_total(event_fact(spark, sf_dir))
 
 
-@query("ticker_statistics", _with("""
-ev_m AS (SELECT retweet_count, unnest(CASE WHEN tickers IS NULL OR len(tickers) = 0 THEN [NULL] ELSE tickers END) AS ticker FROM ev_fact),
+@query("ticker_statistics", _with(f"""
+ev_m AS (SELECT retweet_count, {S.unnest_outer('tickers')} AS ticker FROM ev_fact),
 st AS (SELECT ticker, count(*) AS cnt, sum(retweet_count) AS retweets FROM ev_m GROUP BY ticker)""") + """
 SELECT coalesce(ticker, '') AS tickers, cnt, CAST(retweets AS BIGINT) AS retweets, CAST(cnt + retweets AS BIGINT) AS final_result FROM st""")
 def ticker_statistics(spark, sf_dir):
     return counts.ticker_statistics(event_fact(spark, sf_dir))
 
 
-@query("ticker_freq_top5", _with("""
-ev_m AS (SELECT unnest(CASE WHEN tickers IS NULL OR len(tickers) = 0 THEN [NULL] ELSE tickers END) AS ticker FROM ev_fact)""") + """
+@query("ticker_freq_top5", _with(f"""
+ev_m AS (SELECT {S.unnest_outer('tickers')} AS ticker FROM ev_fact)""") + """
 SELECT upper(ticker) AS ticker, count(*) AS cnt FROM ev_m GROUP BY 1 ORDER BY cnt DESC, ticker ASC NULLS LAST LIMIT 5""")
 def ticker_freq_top5(spark, sf_dir):
     return counts.ticker_freq_top(event_fact(spark, sf_dir), k=5)
@@ -106,9 +106,9 @@ def top5_then_exclude(spark, sf_dir):
     return ranking.top_then_exclude(counts.ticker_tag_hourly(event_fact(spark, sf_dir)), ["CLICK"], k=5)
 
 
-_MDH = """
-ev_t AS (SELECT month, day, hour, tags, unnest(CASE WHEN tickers IS NULL OR len(tickers) = 0 THEN [NULL] ELSE tickers END) AS tickers FROM ev_fact),
-ev_tt AS (SELECT month, day, hour, tickers, unnest(CASE WHEN tags IS NULL OR len(tags) = 0 THEN [NULL] ELSE tags END) AS tags FROM ev_t)"""
+_MDH = f"""
+ev_t AS (SELECT month, day, hour, tags, {S.unnest_outer('tickers')} AS tickers FROM ev_fact),
+ev_tt AS (SELECT month, day, hour, tickers, {S.unnest_outer('tags')} AS tags FROM ev_t)"""
 
 
 @query("tag_counts_hour", _with(_MDH) + """
@@ -214,8 +214,8 @@ def tagged_posts(spark, sf_dir):
     return non_empty(event_fact(spark, sf_dir), "tags").select("id", F.size("tags").alias("n_tags"))
 
 
-@query("explode_tickers", _with() + """
-SELECT id, unnest(CASE WHEN tickers IS NULL OR len(tickers) = 0 THEN [NULL] ELSE tickers END) AS ticker FROM ev_fact""")
+@query("explode_tickers", _with() + f"""
+SELECT id, {S.unnest_outer('tickers')} AS ticker FROM ev_fact""")
 def explode_tickers(spark, sf_dir):
     return event_fact(spark, sf_dir).select("id", F.explode_outer("tickers").alias("ticker"))
 

@@ -22,7 +22,7 @@ from .registry import query
 # the pair fragment reuses a CTE name of the daily one
 _PAIRS_ONLY = _PAIRS_SQL.replace("ev_m AS", "ev_m2 AS").replace("FROM ev_m)", "FROM ev_m2)")
 
-_PUBLISH_SQL = S.with_(S.EV_POSTS, _DAILY_SQL, _PAIRS_ONLY, _FLAT) + """
+_PUBLISH_SQL = S.with_(S.EV_POSTS, _DAILY_SQL, _PAIRS_ONLY, _FLAT) + f"""
 , n AS (SELECT count(*) AS c FROM ev_fact)
 SELECT 'timing_union_df' AS "table", c AS rows FROM n
 UNION ALL SELECT 'posts', c FROM n
@@ -30,9 +30,9 @@ UNION ALL SELECT 'timing_time_tickers_tags_df', c FROM n
 UNION ALL SELECT 'mdhr_tags', c FROM n
 UNION ALL SELECT 'top_tags', count(*) FROM top_tags
 UNION ALL SELECT 'top5_stock_statistics_new', count(DISTINCT coalesce(t, '<null>'))
-  FROM (SELECT unnest(CASE WHEN tickers IS NULL OR len(tickers) = 0 THEN [NULL] ELSE tickers END) AS t FROM ev_fact)
+  FROM (SELECT {S.unnest_outer('tickers')} AS t FROM ev_fact)
 UNION ALL SELECT 'tag_freq_new', least(5, count(DISTINCT coalesce(upper(t), '<null>')))
-  FROM (SELECT unnest(CASE WHEN tickers IS NULL OR len(tickers) = 0 THEN [NULL] ELSE tickers END) AS t FROM ev_fact)
+  FROM (SELECT {S.unnest_outer('tickers')} AS t FROM ev_fact)
 UNION ALL SELECT 'test_days_list', count(DISTINCT t_day) FROM daily
 UNION ALL SELECT 'popular_tags_daily_count_new', sum(least(5, k)) FROM (SELECT t_day, count(*) AS k FROM daily GROUP BY t_day)
 UNION ALL SELECT 'popular_tags_hourly_count_new', sum(least(5, k)) FROM (SELECT t_hour, count(*) AS k FROM hourly GROUP BY t_hour)

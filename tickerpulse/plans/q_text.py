@@ -239,8 +239,8 @@ def union_sources_q(spark, sf_dir):
         F.sum(F.size("tags")).cast("bigint").alias("tags"))
 
 
-@query("freq_by_source", _UNION_SQL + """
-, m AS (SELECT source, unnest(CASE WHEN tickers IS NULL OR len(tickers) = 0 THEN [NULL] ELSE tickers END) AS ticker FROM u)
+@query("freq_by_source", _UNION_SQL + f"""
+, m AS (SELECT source, {S.unnest_outer('tickers')} AS ticker FROM u)
 SELECT source, ticker, count(*) AS cnt FROM m GROUP BY source, ticker""")
 def freq_by_source(spark, sf_dir):
     """Both sources side by side: ticker frequency per source in one aggregate."""

@@ -34,8 +34,8 @@ def daily_frames(spark, sf_dir):
     return views.daily_frames(top, k=5)
 
 
-@query("measures_long", S.with_(S.EV_POSTS) + """
-, ev_m AS (SELECT retweet_count, unnest(CASE WHEN tickers IS NULL OR len(tickers) = 0 THEN [NULL] ELSE tickers END) AS ticker FROM ev_fact),
+@query("measures_long", S.with_(S.EV_POSTS) + f"""
+, ev_m AS (SELECT retweet_count, {S.unnest_outer('tickers')} AS ticker FROM ev_fact),
 st AS (SELECT coalesce(ticker, '') AS tickers, count(*) AS cnt, CAST(sum(retweet_count) AS BIGINT) AS retweets,
               CAST(count(*) + sum(retweet_count) AS BIGINT) AS final_result FROM ev_m GROUP BY ticker)
 UNPIVOT st ON cnt, retweets, final_result INTO NAME measure VALUE value""")

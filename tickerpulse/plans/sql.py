@@ -34,6 +34,11 @@ def keep(c: str, u: str) -> str:
     return f"list_sort(list_distinct(list_filter({c}, lambda x: list_contains({u}, x))))"
 
 
+def unnest_outer(x: str) -> str:
+    """DuckDB form of ``explode_outer``: one NULL row for a NULL or empty list."""
+    return f"unnest(CASE WHEN {x} IS NULL OR len({x}) = 0 THEN [NULL] ELSE {x} END)"
+
+
 def tagged(text: str) -> str:
     return f"regexp_replace({text}, {TAGW}, '#\\1', 'g')"
 
