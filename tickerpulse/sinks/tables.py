@@ -25,9 +25,14 @@ from ..session import scratch_path
 
 def write_table(df: DataFrame, name: str, base_path: str | None = None, mode: str = "overwrite",
                 fmt: str = "parquet", partition_by: list[str] | None = None,
-                jdbc: dict[str, str] | None = None, flatten: bool = True) -> str:
+                jdbc: dict[str, str] | None = None, flatten: bool = True,
+                rebalance: bool = True) -> str:
     """Write ``df`` as table ``name``. Arrays are joined to comma strings for
-    flat stores (always for JDBC). Returns the folder or the JDBC table name."""
+    flat stores (always for JDBC). Returns the folder or the JDBC table name.
+
+    A partitioned write is rebalanced by the partition columns first (one
+    shuffle of the table); pass ``rebalance=False`` when the input is
+    already clustered by them (e.g. time-rolled files and a date column)."""
     out = flatten_for_sink(df) if (flatten or jdbc) else df
     if jdbc is not None:
         (out.write.format("jdbc").mode(mode)
@@ -35,7 +40,7 @@ def write_table(df: DataFrame, name: str, base_path: str | None = None, mode: st
          .options(**jdbc).save())
         return name
     path = os.path.join(base_path, name)
-    if partition_by:
+    if partition_by and rebalance:
         out = rebalanced(out, partition_by)
     w = out.write.mode(mode).format(fmt)
     if partition_by:
@@ -86,7 +91,7 @@ def write_bars_json(bars: DataFrame, path: str) -> str:
 
 def publish_all(fact: DataFrame, base_path: str, k: int = 5,
                 jdbc: dict[str, str] | None = None, concurrency: int = 4,
-                sources: list[str] | None = None) -> dict[str, str]:
+                sources: list[str] | None = None, rebalance: bool = True) -> dict[str, str]:
     """Derive and write the published table set from one stored post fact.
 
     With the Parquet store the fact is written once, as the ``posts`` table
@@ -106,7 +111,8 @@ def publish_all(fact: DataFrame, base_path: str, k: int = 5,
                        "text", "tickers", "tags")
     paths: dict[str, str] = {}
     if jdbc is None:
-        paths["posts"] = write_table(cols, "posts", base_path, partition_by=["date"], flatten=False)
+        paths["posts"] = write_table(cols, "posts", base_path, partition_by=["date"], flatten=False,
+                                     rebalance=rebalance)
         f = read_table(cols.sparkSession, "posts", base_path)
     else:
         f = stage(cols, "post-fact")
