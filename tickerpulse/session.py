@@ -71,20 +71,33 @@ def build_session(master: str | None = None, app: str = "tickerpulse",
     return spark
 
 
+_LOCAL_DIRS: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
     used as is. Only when it is unset (tests, local runs) do we pick a
-    fresh local folder.
+    fresh local folder, once per session.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # sessions without a local SparkContext
+        sc = None
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="tickerpulse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        d = _LOCAL_DIRS.get(id(spark)) or tempfile.mkdtemp(prefix="tickerpulse-ckpt-")
+        _LOCAL_DIRS[id(spark)] = d
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # core configs may be read-only at run time
+            pass
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
