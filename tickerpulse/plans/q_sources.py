@@ -101,10 +101,7 @@ def read_envelopes(spark, sf_dir):
     return env.flatten_no_context(back).select("id", "author_id", "created_at", "text")
 
 
-_LINKS = S.PG_UNIVERSE.split(",\npg_symbols")[0]
-
-
-@query("page_links", S.with_(_LINKS) + "SELECT page_id, pos, link FROM pg_links")
+@query("page_links", S.with_(S.PG_LINKS) + "SELECT page_id, pos, link FROM pg_links")
 def page_links_q(spark, sf_dir):
     """Every second listing anchor of each page (the symbol of each name/symbol pair)."""
     return page_links(table(spark, sf_dir, "pages"))

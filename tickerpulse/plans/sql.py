@@ -70,13 +70,16 @@ ev_fact AS (
   FROM ev_posts, ev_universe
 )"""
 
-PG_UNIVERSE = f"""
+# every second listing link (0-based odd positions) of each page
+PG_LINKS = f"""
 pg_links AS (
   SELECT page_id, CAST(idx - 1 AS BIGINT) AS pos, link FROM (
     SELECT page_id, unnest(l) AS link, generate_subscripts(l, 1) AS idx
     FROM (SELECT page_id, regexp_extract_all(html, {LINK}, 1) AS l FROM pages))
   WHERE (idx - 1) % 2 = 1
-),
+)"""
+
+PG_UNIVERSE = PG_LINKS + """,
 pg_symbols AS (SELECT DISTINCT upper(link) AS symbol FROM pg_links WHERE regexp_full_match(link, '[A-Za-z]+')),
 pg_universe AS (SELECT list(symbol) AS u FROM pg_symbols)"""
 
