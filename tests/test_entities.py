@@ -272,3 +272,14 @@ def test_created_at_independent_of_session_zone(spark):
             assert got == [dt.datetime(2022, 11, 1, 23, 30, 5, 120000), None], zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_publish_job_cli(spark, tmpdir_path, capsys):
+    from tickerpulse import publish_job
+    c, out = os.path.join(tmpdir_path, "c"), os.path.join(tmpdir_path, "out")
+    os.makedirs(c)
+    _write_envelope(c, "2022_11_1_0_0.json", CASES)
+    publish_job.main(["--cashtag", os.path.join(c, "*.json"), "--out", out])
+    printed = capsys.readouterr().out
+    assert "top5_stock_statistics_new" in printed and "posts" in printed
+    assert os.path.isdir(os.path.join(out, "popular_tags_hourly_count_new"))
