@@ -90,7 +90,7 @@ def write_bars_json(bars: DataFrame, path: str) -> str:
 
 
 def publish_all(fact: DataFrame, base_path: str, k: int = 5,
-                jdbc: dict[str, str] | None = None, concurrency: int = 4,
+                jdbc: dict[str, str] | None = None, concurrency: int = 8,
                 sources: list[str] | None = None, rebalance: bool = True) -> dict[str, str]:
     """Derive and write the published table set from one stored post fact.
 
