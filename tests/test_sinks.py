@@ -101,3 +101,14 @@ def test_partitioned_write_is_rebalanced(spark, tmpdir_path):
     files = sum(len([x for x in os.listdir(os.path.join(tmpdir_path, "r", f)) if x.endswith(".parquet")])
                 for f in folders)
     assert len(folders) == 7 and files < 16 * 7  # not one file per (task, folder)
+
+
+def test_lookup_sql_binds_parameters(spark, tmpdir_path):
+    t = dt.datetime(2022, 11, 1)
+    daily = spark.createDataFrame([(t, "MU", 3, 1), (t, "AAPL", 2, 2)],
+                                  "t_day timestamp_ntz, tag string, cnt bigint, rank bigint")
+    write_table(daily, "popular_tags_daily_count_new", tmpdir_path)
+    read_table(spark, "popular_tags_daily_count_new", tmpdir_path).createOrReplaceTempView("pd_test")
+    q = "SELECT tag, cnt FROM pd_test WHERE tag = :tag"
+    assert [r["tag"] for r in spark.sql(q, args={"tag": "MU"}).collect()] == ["MU"]
+    assert spark.sql(q, args={"tag": "x' OR '1'='1"}).count() == 0  # a value, never SQL text
