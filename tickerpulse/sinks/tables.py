@@ -35,9 +35,10 @@ def write_table(df: DataFrame, name: str, base_path: str | None = None, mode: st
     already clustered by them (e.g. time-rolled files and a date column)."""
     out = flatten_for_sink(df) if (flatten or jdbc) else df
     if jdbc is not None:
+        # numPartitions caps concurrent connections (Spark coalesces to it)
         (out.write.format("jdbc").mode(mode)
          .option("dbtable", name).option("batchsize", str(JDBC_BATCH_SIZE))
-         .options(**jdbc).save())
+         .option("numPartitions", "8").options(**jdbc).save())
         return name
     path = os.path.join(base_path, name)
     if partition_by and rebalance:
