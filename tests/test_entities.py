@@ -283,3 +283,10 @@ def test_publish_job_cli(spark, tmpdir_path, capsys):
     printed = capsys.readouterr().out
     assert "top5_stock_statistics_new" in printed and "posts" in printed
     assert os.path.isdir(os.path.join(out, "popular_tags_hourly_count_new"))
+
+
+def test_context_as_plain_strings(spark):
+    df = spark.createDataFrame([("hi", ["$AAPL", None, "#goog|"]), ("#MU", [])],
+                               "text string, ctx array<string>")
+    got = [r[0] for r in df.select(identify_tickers("text", "ctx", UNIVERSE, context_is_struct=False)).collect()]
+    assert got == [["AAPL"], ["MU"]]
