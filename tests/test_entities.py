@@ -290,3 +290,11 @@ def test_context_as_plain_strings(spark):
                                "text string, ctx array<string>")
     got = [r[0] for r in df.select(identify_tickers("text", "ctx", UNIVERSE, context_is_struct=False)).collect()]
     assert got == [["AAPL"], ["MU"]]
+
+
+def test_join_form_with_repeated_universe_rows(spark):
+    df = spark.createDataFrame([("1", "#AAPL #aapl $MU x", None)],
+                               "id string, text string, tweets array<struct<id:string,text:string>>")
+    u = spark.createDataFrame([("AAPL",)] * 50 + [("MU",)] * 3, "symbol string")
+    out = identify_posts(df, u, context_col="tweets", max_literal=0)
+    assert out.count() == 1 and out.first()["tickers"] == ["AAPL", "MU"]

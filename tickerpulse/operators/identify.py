@@ -6,7 +6,7 @@ Two physical forms of the same result:
   expression (map-only, no shuffle). Used when the universe is a Python
   list, or a DataFrame whose size is checked to be at most
   ``max_literal`` rows.
-* join form: candidates are exploded and equi-joined with the universe
+* join form: candidates are exploded and semi-joined with the universe
   DataFrame, then regrouped per post id. No broadcast hint is given: AQE
   measures the universe side at run time and broadcasts it only if it is
   small, otherwise it stays a shuffle join.
@@ -66,12 +66,13 @@ def _identify_join(posts: DataFrame, universe: DataFrame, text_col: str,
     if context_col:
         cands = F.concat(cands, F.coalesce(F.flatten(F.transform(
             F.col(context_col), lambda r: F.coalesce(symbol_candidates(r["text"]), empty))), empty))
-    # No distinct(): duplicates are absorbed by collect_set, and a plain
+    # A semi join keeps each candidate at most once however often a symbol
+    # repeats in the universe, so no distinct() is needed there, and a plain
     # (non-aggregated) universe side lets AQE split a hot symbol's partition.
     sym = universe.select(F.upper(F.col(universe.columns[0])).alias("symbol"))
     exploded = posts.select(F.col(id_col).alias("_pid"),
                             F.explode(F.array_distinct(cands)).alias("symbol"))
-    per_post = exploded.join(sym, "symbol").groupBy("_pid") \
+    per_post = exploded.join(sym, "symbol", "left_semi").groupBy("_pid") \
         .agg(F.array_sort(F.collect_set("symbol")).alias("_tk"))
     out = posts.join(per_post, posts[id_col] == per_post["_pid"], "left")
     tk = F.coalesce(F.col("_tk"), empty)
