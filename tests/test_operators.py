@@ -168,3 +168,15 @@ def test_rules_from_listing_page_html(spark):
     assert len(rules) == 17 and [len(r["symbols"]) for r in rules] == [6] * 17
     assert rules[-1]["value"] == " OR ".join("$" + t for t in TICKERS[96:])
     assert [s for r in rules for s in r["symbols"]] == TICKERS
+
+
+def test_global_listing_one_rule_per_symbol(spark):
+    from tickerpulse.operators.rules import global_listing
+    listing = spark.createDataFrame([(2, 0, "MU"), (1, 1, "AAPL"), (1, 0, "EBAY"), (2, 1, "AAPL")],
+                                    "page_id int, rank int, symbol string")
+    g = global_listing(listing).orderBy("rank").collect()
+    assert [(r["rank"], r["symbol"]) for r in g] == [(0, "EBAY"), (1, "AAPL"), (2, "MU")]
+    rules = build_rules(global_listing(listing), 2).orderBy("rule_no").collect()
+    assert [r["symbols"] for r in rules] == [["EBAY", "AAPL"], ["MU"]]
+    posts = spark.createDataFrame([("p", "$aapl #MU $MU")], "id string, text string")
+    assert sorted(r["rule_no"] for r in rule_match(posts, build_rules(global_listing(listing), 2)).collect()) == [0, 1]

@@ -3,7 +3,7 @@ posts each rule catches."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.entities import symbol_candidates
@@ -27,6 +27,25 @@ def build_rules(listing: DataFrame, k: int, prefix: str = "$",
                     .alias("value"))
 
 
+def global_listing(listing: DataFrame, max_symbols: int = 20000,
+                   group_col: str = "page_id", order_col: str = "rank") -> DataFrame:
+    """One listing from many: each distinct symbol once, ordered by its first
+    appearance (listing id, position), with a 0-based ``rank``.
+
+    With one listing every symbol lands in exactly one rule, so matching
+    posts to rules emits at most one row per matched symbol. The ranking
+    window runs over the distinct symbols only, after a row count proves
+    there are at most ``max_symbols`` of them.
+    """
+    first = listing.groupBy("symbol").agg(F.min(F.struct(group_col, order_col)).alias("f"))
+    n = first.limit(max_symbols + 1).count()
+    if n > max_symbols:
+        raise ValueError(f"more than {max_symbols} listing symbols")
+    w = Window.orderBy(F.col("f")[group_col], F.col("f")[order_col])
+    return first.select(F.lit(0).cast("bigint").alias(group_col),
+                        (F.row_number().over(w) - 1).cast("bigint").alias(order_col), "symbol")
+
+
 def rule_symbols(rules: DataFrame, group_col: str = "page_id") -> DataFrame:
     return rules.select(group_col, "rule_no", F.explode("symbols").alias("symbol"))
 

@@ -274,12 +274,21 @@ def build_rules(spark, sf_dir):
     return R.build_rules(_listing(spark, sf_dir), k=6, prefix="$")
 
 
-@query("rule_match", S.with_(S.PG_UNIVERSE, _LISTING_SQL, S.CONV_POSTS) + f"""
-, cand AS (SELECT DISTINCT id, unnest(list_distinct({S.cands('text')})) AS symbol FROM conv_posts),
-rs AS (SELECT page_id, rule_no, unnest(symbols) AS symbol FROM rules)
-SELECT DISTINCT id, page_id, rule_no FROM cand JOIN rs USING (symbol)""")
+_GLOBAL_LISTING_SQL = """
+first AS (SELECT symbol, page_id, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY page_id, rank) AS rn FROM listing) WHERE rn = 1),
+glisting AS (SELECT CAST(0 AS BIGINT) AS page_id,
+                    CAST(row_number() OVER (ORDER BY page_id, rank) - 1 AS BIGINT) AS rank, symbol FROM first),
+grules AS (SELECT page_id, CAST(floor(rank / 6) AS BIGINT) AS rule_no, symbol FROM glisting)"""
+
+
+@query("rule_match", S.with_(S.PG_UNIVERSE, _LISTING_SQL, _GLOBAL_LISTING_SQL, S.CONV_POSTS) + f"""
+, cand AS (SELECT DISTINCT id, unnest(list_distinct({S.cands('text')})) AS symbol FROM conv_posts)
+SELECT DISTINCT id, page_id, rule_no FROM cand JOIN grules USING (symbol)""")
 def rule_match(spark, sf_dir):
-    rules = R.build_rules(_listing(spark, sf_dir), k=6)
+    """(post, rule) pairs over one listing of all listed symbols (each symbol
+    in one rule of 6), so a post emits at most one row per matched symbol."""
+    rules = R.build_rules(R.global_listing(_listing(spark, sf_dir)), k=6)
     return R.rule_match(conversation_posts(spark, sf_dir), rules)
 
 
