@@ -81,3 +81,30 @@ def test_null_keys_skip_the_join(spark):
     assert got["p0"] == [] and got["p1"] == ["MU"] and got["p2"] == [] and got["p5"] == ["MU"]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan
+
+
+def test_factorized_pair_counts_equal_naive_pairs(spark):
+    import datetime as dt
+    import random
+    from tickerpulse.functions.timeparts import bucket
+    from tickerpulse.operators.counts import pair_counts_hourly, tag_counts
+    from tickerpulse.operators.facts import explode_pairs
+    rnd = random.Random(3)
+    sets = [["HOT"], ["HOT"], ["HOT"], ["A", "B"], [], None, ["B"]]
+    tags = [["X", "X", "Y"], [], None, ["Z"], ["X"]]
+    rows = []
+    for i in range(600):
+        t = dt.datetime(2024, 1, 1 + i % 3, i % 5)
+        rows.append((t, t.month, t.day, t.hour, rnd.choice(sets), rnd.choice(tags)))
+    fact = spark.createDataFrame(rows, "created_at timestamp_ntz, month int, day int, hour int, "
+                                       "tickers array<string>, tags array<string>")
+    naive = explode_pairs(fact).groupBy(bucket("created_at", "hour").alias("t_hour"),
+                                        F.col("ticker").alias("tag"), F.col("tag").alias("ref_tag")) \
+        .agg(F.count(F.lit(1)).alias("cnt"))
+    assert sorted(map(tuple, pair_counts_hourly(fact).collect()), key=repr) == \
+        sorted(map(tuple, naive.collect()), key=repr)
+    naive_lv = explode_pairs(fact, keep_cols=("month", "day")).groupBy(
+        "month", "day", F.col("ticker").alias("tickers"), F.col("tag").alias("tags")) \
+        .agg(F.count("tag").alias("cnt_t"))
+    assert sorted(map(tuple, tag_counts(fact, "day").collect()), key=repr) == \
+        sorted(map(tuple, naive_lv.collect()), key=repr)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..constants import STOP_TAG
 from ..functions.arrays import join_array
 from ..functions.timeparts import bucket
-from .facts import explode_pairs, explode_tickers
+from .facts import explode_tickers
 
 
 def ticker_set_freq(fact: DataFrame) -> DataFrame:
@@ -71,9 +71,19 @@ def ticker_tag_hourly(fact: DataFrame, stop_tag: str = STOP_TAG) -> DataFrame:
     return clean_hourly(pair_counts_hourly(fact), stop_tag)
 
 
-def _pairs_mdh(fact: DataFrame) -> DataFrame:
-    t = fact.select("month", "day", "hour", "tags", F.explode_outer("tickers").alias("tickers"))
-    return t.select("month", "day", "hour", "tickers", F.explode_outer("tags").alias("tags"))
+def _set_tag_counts(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Tag counts per (keys, whole ticker set, tag), before any ticker x tag
+    pair exists: ``n`` counts rows, ``c`` counts non-NULL tags. Posts that
+    share a ticker set (a hot symbol) collapse here, map-side."""
+    t = fact.select(*keys, "tickers", F.explode_outer("tags").alias("tags"))
+    return t.groupBy(*keys, "tickers", "tags").agg(F.count(F.lit(1)).alias("n"),
+                                                   F.count("tags").alias("c"))
+
+
+def _expand_sets(counted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Aggregated (keys, ticker set, tag) rows -> (keys, ticker, tag) rows; a
+    NULL or empty set gives one NULL ticker, as ``explode_outer`` does."""
+    return counted.select(*keys, F.explode_outer("tickers").alias("tickers"), "tags", "n", "c")
 
 
 LEVELS = {
@@ -84,9 +94,13 @@ LEVELS = {
 
 
 def tag_counts(fact: DataFrame, level: str) -> DataFrame:
-    """``count(tags)`` per level: NULL tags give 0-count groups."""
+    """``count(tags)`` over the ticker x tag rows of each post, per level
+    (NULL tags give 0-count groups). Counted per ticker set first, so the
+    pairs are only formed on aggregated rows."""
     keys = LEVELS[level]
-    return _pairs_mdh(fact).groupBy(*keys).agg(F.count("tags").alias("cnt_t"))
+    time_keys = [k for k in keys if k not in ("tickers", "tags")]
+    e = _expand_sets(_set_tag_counts(fact, time_keys), time_keys)
+    return e.groupBy(*keys).agg(F.sum("c").cast("bigint").alias("cnt_t"))
 
 
 def tag_counts_resum(counts: DataFrame, level: str, sort_desc: bool = False) -> DataFrame:
@@ -105,19 +119,26 @@ def tag_counts_rollup(hour_counts: DataFrame, level: str) -> DataFrame:
 
 def tag_counts_levels(fact: DataFrame) -> DataFrame:
     """All three levels in one pass with GROUPING SETS (one Expand, one shuffle)."""
-    p = _pairs_mdh(fact)
+    time_keys = ["month", "day", "hour"]
+    e = _expand_sets(_set_tag_counts(fact, time_keys), time_keys)
     sets = [list(LEVELS["hour"]), list(LEVELS["day"]), list(LEVELS["month"])]
-    return p.groupingSets(sets, *LEVELS["hour"]).agg(
-        F.grouping_id().cast("bigint").alias("level"), F.count("tags").alias("cnt_t")) \
+    return e.groupingSets(sets, *LEVELS["hour"]).agg(
+        F.grouping_id().cast("bigint").alias("level"), F.sum("c").cast("bigint").alias("cnt_t")) \
         .select("month", "day", "hour", "tickers", "tags", "level", "cnt_t")
 
 
 def pair_counts_hourly(fact: DataFrame) -> DataFrame:
-    """Hourly (ticker, co-tag) counts over every pair, NULL parts included."""
-    p = explode_pairs(fact, keep_cols=("created_at",))
-    h = p.select(bucket("created_at", "hour").alias("t_hour"), "ticker", "tag")
-    return h.groupBy("t_hour", F.col("ticker").alias("tag"), F.col("tag").alias("ref_tag")) \
-        .agg(F.count(F.lit(1)).alias("cnt"))
+    """Hourly (ticker, co-tag) counts over every pair, NULL parts included.
+
+    Same counts as exploding ticker x tag per post, but tags are first
+    counted per (hour, ticker set): the pair expansion then runs on
+    aggregated rows, so a symbol held by a third of all posts is combined
+    map-side before any pair is formed.
+    """
+    h = fact.select(bucket("created_at", "hour").alias("t_hour"), "tickers", "tags")
+    e = _expand_sets(_set_tag_counts(h, ["t_hour"]), ["t_hour"])
+    return e.groupBy("t_hour", F.col("tickers").alias("tag"), F.col("tags").alias("ref_tag")) \
+        .agg(F.sum("n").cast("bigint").alias("cnt"))
 
 
 def clean_hourly(counts_df: DataFrame, stop_tag: str = STOP_TAG) -> DataFrame:
