@@ -28,11 +28,17 @@ def table_stream(spark: SparkSession, folder: str, name: str,
     return r.parquet(folder)
 
 
-def envelope_stream(spark: SparkSession, folder: str, multi_line: bool = False) -> DataFrame:
-    """Envelope JSON files dropped into ``folder``, read with the explicit schema."""
+def envelope_stream(spark: SparkSession, folder: str, multi_line: bool = False,
+                    max_files_per_trigger: int | None = None) -> DataFrame:
+    """Envelope JSON files dropped into ``folder``, read with the explicit
+    schema; ``max_files_per_trigger`` bounds each micro-batch (a backlog
+    after a restart is worked off in several batches)."""
     from .. import schemas
-    return (spark.readStream.schema(schemas.ENVELOPE).option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE").json(folder))
+    r = (spark.readStream.schema(schemas.ENVELOPE).option("multiLine", multi_line)
+         .option("mode", "PERMISSIVE"))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.json(folder)
 
 
 def hourly_counts(mentions: DataFrame, ts: str = "created_at", key: str = "ticker",

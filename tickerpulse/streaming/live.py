@@ -23,10 +23,13 @@ from .jobs import envelope_stream, hourly_counts
 
 def start(spark: SparkSession, in_dir: str, out_dir: str, ckpt_dir: str, universe=TICKERS,
           source: str = "cashtag", trigger: dict | None = None,
-          max_records_per_file: int = 100_000) -> list[StreamingQuery]:
-    """Start the two queries; ``trigger`` defaults to one micro-batch a minute."""
+          max_records_per_file: int = 100_000, max_files_per_trigger: int = 1000,
+          multi_line: bool = True) -> list[StreamingQuery]:
+    """Start the two queries; ``trigger`` defaults to one micro-batch a minute,
+    each reading at most ``max_files_per_trigger`` new envelope files."""
     trigger = trigger or {"processingTime": "1 minute"}
-    tweets = flatten_envelope(envelope_stream(spark, in_dir))
+    tweets = flatten_envelope(envelope_stream(spark, in_dir, multi_line=multi_line,
+                                              max_files_per_trigger=max_files_per_trigger))
     fact = post_fact(identify_and_tag(tweets_to_posts(tweets, source), universe,
                                       context_col="tweets"))
     posts_q = (fact.writeStream.format("parquet").outputMode("append")
