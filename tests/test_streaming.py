@@ -111,3 +111,16 @@ def test_late_data_beyond_watermark_is_dropped(spark, tmpdir_path):
     deliver("b.parquet", [("A", t(3, 30)), ("A", t(4, 30)), ("A", t(6, 10))])  # 03:30 is late
     got = sorted((r["t_hour"].hour, r["cnt"]) for r in run().collect())
     assert got == [(1, 1), (2, 1), (4, 1)]  # the late row is dropped; 05:00+ windows are still open
+
+
+def test_empty_input_gives_empty_results(spark, tmpdir_path):
+    src = os.path.join(tmpdir_path, "empty")
+    os.makedirs(src)
+    schema = "ticker string, created_at timestamp_ntz"
+    for mode in ("append", "complete"):
+        st = spark.readStream.schema(schema).parquet(src)
+        out = jobs.run_available_now(jobs.hourly_counts(st), f"t-empty-{mode}", output_mode=mode)
+        assert out.count() == 0 and out.columns == ["t_hour", "ticker", "cnt"]
+    st = spark.readStream.schema(schema).parquet(src)
+    out = jobs.run_available_now(jobs.hourly_counts(st), "t-empty-batch", per_batch=lambda b: b)
+    assert out.count() == 0

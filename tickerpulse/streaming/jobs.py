@@ -90,14 +90,23 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
     ckpt = ckpt or scratch_path(spark, f"{name}-ckpt")
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt) \
         .trigger(availableNow=True)
+    def empty(schema) -> DataFrame:
+        return spark.createDataFrame([], schema)
+
     if per_batch is not None:
         # append-mode rows transformed batch by batch (e.g. ranked per closed window)
+        done: list[int] = []
+
         def write_transformed(batch: DataFrame, batch_id: int) -> None:
             per_batch(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+            done.append(batch_id)
 
         q = w.foreachBatch(write_transformed).start()
         q.awaitTermination()
-        return spark.read.parquet(out).drop("batch")
+        try:
+            return spark.read.parquet(out).drop("batch")
+        except Exception:  # no batch has been written (empty input so far)
+            return empty(per_batch(empty(df.schema)).schema)
     if output_mode == "append":
         w = w.format("parquet").option("path", out)
         if partition_by:
@@ -106,7 +115,10 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
             w = w.option("maxRecordsPerFile", max_records_per_file)
         q = w.start()
         q.awaitTermination()
-        return spark.read.parquet(out)
+        try:
+            return spark.read.parquet(out)
+        except Exception:  # nothing was written yet
+            return empty(df.schema)
 
     written: list[int] = []
 
@@ -117,5 +129,8 @@ def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
 
     q = w.foreachBatch(write_batch).start()
     q.awaitTermination()
+    if not written:
+        return empty(df.schema)
     # In complete mode the last batch holds the whole result table.
     return spark.read.parquet(f"{out}/batch={max(written)}")
+
