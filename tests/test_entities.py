@@ -298,3 +298,15 @@ def test_join_form_with_repeated_universe_rows(spark):
     u = spark.createDataFrame([("AAPL",)] * 50 + [("MU",)] * 3, "symbol string")
     out = identify_posts(df, u, context_col="tweets", max_literal=0)
     assert out.count() == 1 and out.first()["tickers"] == ["AAPL", "MU"]
+
+
+def test_publish_job_on_line_delimited_envelopes(spark, tmpdir_path):
+    from tickerpulse import publish_job
+    from tickerpulse.sinks.tables import read_table
+    c, out = os.path.join(tmpdir_path, "lines"), os.path.join(tmpdir_path, "out")
+    os.makedirs(c)
+    with open(os.path.join(c, "part-0.json"), "w") as f:
+        for i, case in enumerate(CASES):
+            f.write(json.dumps({"tweets": [_tweet(i, case[0], case[1]), {}]}) + "\n")
+    publish_job.main(["--cashtag", c, "--out", out, "--lines"])
+    assert read_table(spark, "posts", out).count() == len(CASES)  # cashtag side: no spam rules
