@@ -5,11 +5,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from tickerpulse.plans import catalog
 from tools.oracle_check import TABLES, key, rows_of_duck, rows_of_spark
 
 SF_SMALL = "/root/testdata/sf0.001"
 
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
