@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op2_simhash
+from . import op2_simhash, op7_toxicity, op9_pii
 from .common import table
 
 
@@ -15,8 +15,21 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_simhash.near_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op7_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, from a model fitted on the toxic labels."""
+    docs = table(spark, sf_dir, "documents")
+    model = op7_toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return op7_toxicity.score(docs, model).select("doc_id", "severity", "p_toxic", "grade", "toxic")
+
+
+def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: fixed patterns and what the character model adds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op9_pii.report(op9_pii.find(docs, op9_pii.train(docs)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_simhash_near_dedup,
+    op2_simhash_near_dedup, op7_toxicity_severity, op9_pii_spans,
 )}
 
 ORACLE: dict[str, str] = {}
