@@ -250,7 +250,9 @@ def _digest_column(spans):
 
 def report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """One row per document of ``find``'s result: counts of all spans, digests of the base spans and of all."""
-    n = [F.size(F.filter("pii", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    def count(kind: str):
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    n = [count(k) for k in KINDS]
     return found.select(id_col, *n, F.sha2(_digest_column(F.filter("pii", lambda s: s["base"])), 256).alias("base_sha256"),
                         _digest_column(F.col("pii")).alias("spans"))
 
