@@ -90,14 +90,18 @@ def test_held_out_and_report(spark, model):
             assert o[f"n_{k}"] == sum(s.startswith(k + ":") for s in spans)
 
 
-def test_windows_reconcile(model):
-    """A span is found wherever it lies against the window edges, once."""
-    for pad in range(0, 400, 7):
-        t = "the and of on " * 40
-        t = t[:pad] + " jan.peters@example.org " + t[pad:]
-        got = P.added_spans([t], [[]], model, 0.0)[0]
-        want = P.base_spans(t)
-        assert len(got) <= 2 and sum(min(j, b) - max(i, a) > 15 for i, j, _ in got for a, b, _ in want) == 1
+def test_windows_reconcile(monkeypatch):
+    """A span is found whole and once wherever it lies against the window edges."""
+    def tag_signs(model, x):  # stands in for the network: runs of @ are emails
+        on = x == P._ids("@")[0]
+        first = on & ~np.concatenate([np.zeros((len(x), 1), bool), on[:, :-1]], axis=1)
+        return np.where(first, 1, np.where(on, 2, 0)).astype(np.int8), np.ones(x.shape, np.float32)
+    monkeypatch.setattr(B, "decode", tag_signs)
+    for pad in range(0, 420, 3):
+        texts = ["x" * pad + "@" * 40 + "y" * (420 - pad), "", "no sign", "@" * 7 + "z" * pad + "@" * 9]
+        got = P.added_spans(texts, [[], [], [], []], None, 0.9)
+        assert got[:3] == [[(pad, pad + 40, "email")], [], []]
+        assert got[3] == ([(0, 7, "email"), (7 + pad, 16 + pad, "email")] if pad else [(0, 16, "email")])
 
 
 def test_mask_and_odd_rows(spark, model):
