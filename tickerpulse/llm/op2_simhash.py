@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stable_hash, stored
 from .components import components
 
 BITS = 64
@@ -167,10 +167,32 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shin
     """
     rows = stored(fingerprints(docs.select(F.col(id_col).alias("id"), F.col(text).alias("t")), "t", shingle)
                   .select("id", "fp"), "simhash")
-    links = stored(exact_links(stored(rows.select("fp").distinct(), "simhash-distinct"), max_bits), "simhash-links")
-    roots = stored(components(links), "simhash-roots")
-    rooted = stored(rows.join(roots, rows["fp"] == roots["node"], "left")
-                    .select("id", "fp", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
+    rooted = stored(_rooted(rows, max_bits), "simhash-rooted")
     smallest = stored(rooted.groupBy(F.col("root").alias("of")).agg(F.min("id").alias("component_id")), "simhash-smallest")
     return (rooted.join(smallest, rooted["root"] == smallest["of"])
             .select(F.col("id").alias(id_col), fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id"))
+
+
+def _rooted(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``rows`` (stored, with ``fp``) with ``root``, one fingerprint of the row's class."""
+    links = stored(exact_links(stored(rows.select("fp").distinct(), "simhash-distinct"), max_bits), "simhash-links")
+    roots = stored(components(links), "simhash-roots")
+    return rows.join(roots, rows["fp"] == roots["node"], "left").drop("node").withColumn("root", F.coalesce("root", "fp"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """``docs`` with one row of each near-duplicate class: the smallest id (NULL last),
+    of rows that share it the one with the smallest hash of all its columns.
+
+    Rows equal in all columns count as one. Texts are moved once, to meet the chosen keys.
+    """
+    keyed = docs.withColumn("_key", stable_hash(*[F.col(c) for c in sorted(docs.columns)]))
+    rows = stored(fingerprints(keyed.select(F.col(id_col).alias("id"), "_key", F.col(text).alias("t")), "t", shingle)
+                  .select("id", "_key", "fp"), "simhash")
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "_key"))
+    best = _rooted(rows, max_bits).groupBy("root").agg(first.alias("b")).select(F.col("b._key").alias("_key"))
+    same = rows.groupBy("_key").agg(F.count("*").alias("_same"))
+    chosen = stored(best.join(same, "_key"), "simhash-chosen")
+    once = keyed.join(chosen.filter("_same = 1"), "_key")
+    more = keyed.join(chosen.filter("_same > 1"), "_key").dropDuplicates(["_key"])  # repeats meet map-side
+    return once.unionByName(more).select(*docs.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op2_simhash, op7_toxicity, op9_pii
+from . import op2_simhash, op5_mixing, op7_toxicity, op8_packing, op9_pii
 from .common import table
 
 
@@ -15,6 +15,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_simhash.near_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op5_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents mixed so that sources, weighing 3, 1, 2 in turn, share 150 % of all words; none above twice its own."""
+    return op5_mixing.taken_rows(op5_mixing.mix(table(spark, sf_dir, "documents"), (3.0, 1.0, 2.0), 1.5, 2.0))
+
+
 def op7_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document, from a model fitted on the toxic labels."""
     docs = table(spark, sf_dir, "documents")
@@ -22,6 +27,11 @@ def op7_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_toxicity.score(docs, model).select("doc_id", "severity", "p_toxic", "grade", "toxic")
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens in as few sequences of at most 2048 as the configuration LP finds."""
+    return op8_packing.best_fit(table(spark, sf_dir, "documents"), 2048, 0)
+
+
 def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: fixed patterns and what the character model adds."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,7 +39,7 @@ def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_simhash_near_dedup, op7_toxicity_severity, op9_pii_spans,
+    op2_simhash_near_dedup, op5_entropy_mixing, op7_toxicity_severity, op8_best_fit_packing, op9_pii_spans,
 )}
 
 ORACLE: dict[str, str] = {}
