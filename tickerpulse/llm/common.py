@@ -13,6 +13,13 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Seed of the 64-bit hashes that order or split rows.
 SPLIT_SEED = "tickerpulse"
 
+_ALNUM = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+
+
+def plain_words(text: str | None) -> list[bytes]:
+    """Lower-cased words without punctuation: runs of ASCII letters, ASCII digits and non-ASCII characters."""
+    return (text or "").lower().encode("utf-8", "replace").translate(_ALNUM).split()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

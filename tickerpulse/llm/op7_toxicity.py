@@ -27,6 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import plain_words as words
 from .common import stable_hash, stored
 
 PER_CLASS = 4000
@@ -35,13 +36,6 @@ STEMS = (4, 5, 6)
 #: Words kept in a task's memo of word weights before it starts anew.
 MEMO = 500_000
 
-_ALNUM = bytes(c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in range(256))
-
-
-def words(text: str | None) -> list[bytes]:
-    """Lower-cased words: runs of ASCII letters, ASCII digits and non-ASCII characters."""
-    return (text or "").lower().encode("utf-8", "replace").translate(_ALNUM).split()
-
 
 def features(word: bytes) -> list[str]:
     """The word and, marked ``^``, its stems that are shorter than itself or equal to it."""

@@ -6,20 +6,51 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import op2_simhash, op5_mixing, op7_toxicity, op8_packing, op9_pii
+from . import (
+    op1_topk_search,
+    op2_simhash,
+    op3_fingerprints,
+    op4_quality,
+    op5_mixing,
+    op6_token_counts,
+    op7_toxicity,
+    op8_packing,
+    op9_pii,
+    op10_url_filter,
+)
 from .common import table
 
 
+def op1_topk_search_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 best documents by BM25 for the text of every benchmark item, out of all documents."""
+    return op1_topk_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose SimHash fingerprints (3-word shingles) reach each other in steps of at most 2 bits."""
     return op2_simhash.near_dedup(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op3_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text; for ids divisible by 20, how many lie within 7 of 256 bits."""
+    return op3_fingerprints.report(table(spark, sf_dir, "documents"), lambda i: i % 20 == 0, radius=7)
+
+
+def op4_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior quality of every document, its source as host, source and language as path."""
+    return op4_quality.assess(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents mixed so that sources, weighing 3, 1, 2 in turn, share 150 % of all words; none above twice its own."""
     return op5_mixing.taken_rows(op5_mixing.mix(table(spark, sf_dir, "documents"), (3.0, 1.0, 2.0), 1.5, 2.0))
 
 
+def op6_separator_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, found by scanning the flat token files made of all documents."""
+    return op6_token_counts.count_documents(spark, table(spark, sf_dir, "documents"))
+
+
 def op7_toxicity_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected severity of every document, from a model fitted on the toxic labels."""
     docs = table(spark, sf_dir, "documents")
@@ -38,8 +69,19 @@ def op9_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_pii.report(op9_pii.find(docs, op9_pii.train(docs)))
 
 
+#: fixed values: the rules that the query is asked for
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op10_url_filter_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: the longest fitting rule's, else the boosted trees'."""
+    return op10_url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "p_block")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_simhash_near_dedup, op5_entropy_mixing, op7_toxicity_severity, op8_best_fit_packing, op9_pii_spans,
+    op1_topk_search_bm25, op2_simhash_near_dedup, op3_simhash_fingerprints, op4_quality_bayes, op5_entropy_mixing,
+    op6_separator_token_counts, op7_toxicity_severity, op8_best_fit_packing, op9_pii_spans, op10_url_filter_trees,
 )}
 
+#: None of the ten fits SQL: fingerprints by XXH64, trained models, a tokenizer, exact pruning. See tests/llm.
 ORACLE: dict[str, str] = {}
