@@ -63,7 +63,8 @@ def _ranked(cut: DataFrame, total: int) -> DataFrame:
                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = stored(counts.select("block", "length", before.alias("before")), "packing-offsets")
     own = F.row_number().over(Window.partitionBy("block", "length").orderBy("id", "piece", "ids_crc32"))
-    return (cut.join(offsets.hint("merge"), ["block", "length"])  # its partitions are the window's.withColumn("rank", F.col("before") + own - 1).drop("block", "before"))
+    return (cut.join(offsets.hint("merge"), ["block", "length"])  # its partitions are the window's
+            .withColumn("rank", F.col("before") + own - 1).drop("block", "before"))
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY, rounds: int = 150) -> DataFrame:
