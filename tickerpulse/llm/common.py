@@ -36,6 +36,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of texts that a Python worker holds at once.
+TEXT_ROWS = 1000
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, after bounding the Arrow batches of its session: a worker that is
+    handed whole texts holds a few MB of them instead of 10,000 rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= TEXT_ROWS:
+        df.sparkSession.conf.set(key, str(TEXT_ROWS))
+    return df
+
+
 def words_count(text):
     """Column: number of words of a text, 0 for NULL and for no words."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

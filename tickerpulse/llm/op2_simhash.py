@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stable_hash, stored
+from .common import stable_hash, stored, text_batches
 from .components import components
 
 BITS = 64
@@ -87,7 +87,7 @@ def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3) -> DataF
     def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series(np.array([majority(shingle_hashes(t, shingle)) for t in texts], np.uint64).view(np.int64))
-    return docs.withColumn("fp", fp(F.col(text)))
+    return text_batches(docs).withColumn("fp", fp(F.col(text)))
 
 
 def fingerprint_hex(fp):

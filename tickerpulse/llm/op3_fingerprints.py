@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stable_hash, stored
+from .common import stable_hash, stored, text_batches
 
 LANES, BLOCKS = 4, 8
 BITS = 64 * LANES
@@ -135,7 +135,7 @@ def with_neighbours(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     itself. A NULL text counts as empty.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    rows = text_batches(docs).select(F.col(id_col).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     order = [F.col("id").asc_nulls_last(), F.xxhash64("t"), F.col("id").isNull()]
     laid = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order[:2])
     schema = _ROWS.format(id=dict(rows.dtypes)["id"])

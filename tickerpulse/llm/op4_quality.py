@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stable_hash, stored
+from .common import stable_hash, stored, text_batches
 
 PER_CLASS = 4000
 _LETTERS = bytes(c for c in range(256) if chr(c).isalpha() and c < 128 or c >= 128)
@@ -141,7 +141,7 @@ def assess(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text:
     """
     marks = (labels.select(F.col(id_col).alias("id"), F.col(label).alias("y")).filter("id IS NOT NULL AND y IS NOT NULL")
              .groupBy("id").agg(F.min((F.col("y") > 0).cast("int")).alias("y")))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.col(host).alias("host"), F.struct(*[F.col(c) for c in path]).alias("path"))
+    rows = text_batches(docs).select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.col(host).alias("host"), F.struct(*[F.col(c) for c in path]).alias("path"))
     model = train(rows.select("id", "text"), marks, per_class)
     if model is None:
         scored = rows.select("id", "host", "path", F.lit(0.0).alias("evidence"))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tickerpulse.session import scratch_path
 
-from .common import stored
+from .common import stored, text_batches
 from .tokens import RANKS, VOCABULARY, encode
 
 END = 50256
@@ -71,7 +71,7 @@ def write_flat(docs: DataFrame, folder: str, *, id_col: str = "doc_id", text: st
         if out is not None:
             out.close()
             yield pd.DataFrame({"file": f"{folder}/{name}", "tokens": size, "ordinal": np.arange(len(ids)), "id": pd.array(ids, dtype=object)})
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t"))
+    rows = text_batches(docs).select(F.col(id_col).alias("id"), F.col(text).alias("t"))
     return stored(rows.mapInPandas(write, f"file string, tokens long, ordinal long, id {kind}"), "flat-order")
 
 

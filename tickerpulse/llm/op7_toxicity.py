@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import plain_words as words
-from .common import stable_hash, stored
+from .common import stable_hash, stored, text_batches
 
 PER_CLASS = 4000
 VOCABULARY = 4000
 STEMS = (4, 5, 6)
 #: Words kept in a task's memo of word weights before it starts anew.
-MEMO = 500_000
+MEMO = 200_000
 
 
 def features(word: bytes) -> list[str]:
@@ -129,7 +129,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
         part = marked.filter(F.col("y") == y).orderBy(stable_hash("id"), "id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
     found = F.broadcast(stored(chosen, "toxicity-labels"))  # at most 2 * per_class rows of two numbers
-    texts = (docs.select(F.col(id_col).alias("id"), F.col(text).alias("t")).join(found, "id")
+    texts = (text_batches(docs).select(F.col(id_col).alias("id"), F.col(text).alias("t")).join(found, "id")
              .groupBy("id", "y").agg(F.min("t").alias("t")))
 
     @F.pandas_udf("array<string>")
@@ -220,5 +220,5 @@ def score(docs: DataFrame, model: Ordinal, text: str = "text", cut: float = 0.5)
             p = model_.above(s).reshape(len(s), -1)
             yield pd.DataFrame({"severity": p.sum(axis=1), "p_toxic": p[:, 0], "grade": (p >= 0.5).sum(axis=1).astype(np.int32)})
     kept = [c for c in docs.columns if c not in ("severity", "p_toxic", "grade", "toxic", "_rated")]
-    return (docs.select(*kept, rate(F.col(text)).alias("_rated"))
+    return (text_batches(docs).select(*kept, rate(F.col(text)).alias("_rated"))
             .select(*kept, "_rated.severity", "_rated.p_toxic", "_rated.grade", (F.col("_rated.p_toxic") >= cut).alias("toxic")))

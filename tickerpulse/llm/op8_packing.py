@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import packing_plan
-from .common import stable_hash, stored
+from .common import stable_hash, stored, text_batches
 from .tokens import RANKS, VOCABULARY, encode
 
 CAPACITY = 2048
@@ -49,7 +49,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, *, id_col
                 edges = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
                 out.append([{"start": i, "length": j - i, "crc": zlib.crc32(ids[i:j].tobytes())} for i, j in zip(edges, edges[1:])])
             yield pd.Series(out)
-    return (docs.select(F.col(id_col).alias("id"), cut(F.col(text)).alias("cuts"))
+    return (text_batches(docs).select(F.col(id_col).alias("id"), cut(F.col(text)).alias("cuts"))
             .select("id", F.posexplode("cuts").alias("piece", "c"))
             .select("id", "piece", "c.start", "c.length", F.col("c.crc").alias("ids_crc32")))
 

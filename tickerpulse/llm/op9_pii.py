@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bilstm_crf
-from .common import stable_hash, stored
+from .common import stable_hash, stored, text_batches
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -145,7 +145,7 @@ def _tags(n: int, spans: list[tuple[int, int, str]]) -> np.ndarray:
 def train(docs: DataFrame, *, id_col: str = "doc_id", text: str = "text", train_docs: int = TRAIN_DOCS,
           train_windows: int = TRAIN_WINDOWS, steps: int = 250, seed: int = 0) -> bilstm_crf.Tagger | None:
     """Train on base spans of a bounded sample; None where no text holds a digit or ``@``."""
-    marked = (docs.select(F.col(id_col).alias("id"), F.col(text).alias("t")).filter(F.col("t").rlike("[0-9@]"))
+    marked = (text_batches(docs).select(F.col(id_col).alias("id"), F.col(text).alias("t")).filter(F.col("t").rlike("[0-9@]"))
               .select(stable_hash("id", "t").alias("h"), "id", "t"))
     least = stored(marked.select("h").distinct().orderBy("h").limit(train_docs), "pii-sample")
 
@@ -241,7 +241,7 @@ def find(docs: DataFrame, model: bilstm_crf.Tagger | None, text: str = "text", s
             yield pd.Series([[{"start": i, "end": j, "kind": k, "base": own}
                               for (i, j, k), own in sorted([(s, True) for s in b] + [(s, False) for s in m], key=lambda x: _order(x[0]))]
                              for b, m in zip(base, more)])
-    return docs.drop("pii").withColumn("pii", spans(F.col(text)))
+    return text_batches(docs).drop("pii").withColumn("pii", spans(F.col(text)))
 
 
 def _digest_column(spans):
@@ -270,7 +270,7 @@ def mask(docs: DataFrame, model: bilstm_crf.Tagger | None, text: str = "text") -
             base = [base_spans(t) for t in texts]
             more = added_spans(texts, base, model) if model is not None else [[]] * len(texts)
             yield pd.Series([t if t is None else _replace(t, sorted(b + m, key=_order)) for t, b, m in zip(ts, base, more)])
-    return docs.withColumn(text, masked(F.col(text)))
+    return text_batches(docs).withColumn(text, masked(F.col(text)))
 
 
 def _replace(text: str, spans: list[tuple[int, int, str]]) -> str:
