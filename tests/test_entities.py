@@ -178,15 +178,35 @@ def test_join_form_equals_literal_form(spark):
     df = spark.createDataFrame(rows, "id string, text string, tweets array<struct<id:string,text:string>>")
     u = spark.createDataFrame([(s,) for s in UNIVERSE], "symbol string")
     lit = identify_posts(df, UNIVERSE, context_col="tweets").select("id", "tickers")
-    join = identify_posts(df, u, context_col="tweets", max_literal=0).select("id", "tickers")
+    join = identify_posts(df, u, context_col="tweets").select("id", "tickers")
     assert sorted(lit.collect()) == sorted(join.collect())
 
 
-def test_literal_bound_falls_back_to_join(spark):
-    from tickerpulse.operators.identify import resolve_universe
-    u = spark.range(50).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("s"))
-    assert isinstance(resolve_universe(u, max_literal=100), list)
-    assert not isinstance(resolve_universe(u, max_literal=10), list)
+def test_both_forms_agree_on_repeated_and_null_ids(spark):
+    rows = [("1", "$AAPL"), ("1", "$MSFT"), (None, "$AAPL"), (None, None), ("2", "#brk.b, #été2 $x1y $MU|"), ("3", "")]
+    df = spark.createDataFrame(rows, "id string, text string")
+    symbols = ["AAPL", "MSFT", "BRK.B", "Été", "X1", "X1Y", "MU"]
+    u = spark.createDataFrame([(s,) for s in symbols] + [(None,)], "symbol string")
+    want = [("1", "$AAPL", ["AAPL"]), ("1", "$MSFT", ["MSFT"]), (None, "$AAPL", ["AAPL"]), (None, None, []),
+            ("2", "#brk.b, #été2 $x1y $MU|", ["BRK.B", "X1Y", "ÉTÉ"]), ("3", "", [])]
+    for universe in (symbols, u):
+        got = sorted((tuple(r) for r in identify_posts(df, universe).collect()), key=str)
+        assert got == sorted(want, key=str)
+
+
+def test_large_universe(spark):
+    """More symbols than any literal bound: every operator that takes a universe table."""
+    from tickerpulse.operators import counts
+    from tickerpulse.operators.context import conversation_context
+    from tickerpulse.operators.identify import non_symbol_tag_posts
+    u = spark.range(20001).select(F.concat(F.lit("S"), F.translate(F.col("id").cast("string"), "0123456789", "ABCDEFGHIJ")).alias("s"))
+    posts = spark.createDataFrame([("1", "c", "#SCAAAA and #SCAAAB #word"), ("2", "c", "no tags"), ("3", "d", "#sb| #SC")],
+                                  "id string, conversation_id string, text string")
+    assert {r["id"]: r["tickers"] for r in identify_posts(posts, u).collect()} == {"1": ["SCAAAA"], "2": [], "3": ["SC"]}
+    assert {r["id"]: r["tags"] for r in non_symbol_tag_posts(posts, u).collect()} == {"1": ["SCAAAB", "WORD"], "2": [], "3": ["SB"]}
+    assert {r["id"]: r["tickers"] for r in conversation_context(posts, u).collect()} == {"1": ["SCAAAA"], "2": ["SCAAAA"], "3": ["SC"]}
+    fact = identify_and_tag(posts, u)
+    assert {(r["tag"], r["cnt"]) for r in counts.tag_freq_universe(fact, u).collect()} == {("SCAAAA", 1), ("SB", 1), ("SC", 1)}
 
 
 @pytest.mark.parametrize("strict", [True, False])
@@ -224,7 +244,7 @@ def test_publish_job_end_to_end(spark, tmpdir_path):
     _write_envelope(c, "2022_11_1_0_0.json", CASES[:1])       # and not here
     paths = publish_job.run(spark, os.path.join(h, "*.json"), os.path.join(c, "*.json"), out,
                             universe=UNIVERSE)
-    assert len(paths) == 12
+    assert len(paths) == 13
     posts = read_table(spark, "posts", out).collect()
     texts = sorted(r["text"] for r in posts)
     # hashtag side keeps the default-mode survivors, cashtag side keeps its spam post
@@ -296,7 +316,7 @@ def test_join_form_with_repeated_universe_rows(spark):
     df = spark.createDataFrame([("1", "#AAPL #aapl $MU x", None)],
                                "id string, text string, tweets array<struct<id:string,text:string>>")
     u = spark.createDataFrame([("AAPL",)] * 50 + [("MU",)] * 3, "symbol string")
-    out = identify_posts(df, u, context_col="tweets", max_literal=0)
+    out = identify_posts(df, u, context_col="tweets")
     assert out.count() == 1 and out.first()["tickers"] == ["AAPL", "MU"]
 
 

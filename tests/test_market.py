@@ -40,16 +40,49 @@ def test_ohlcv_order_by_time_then_sequence(spark):
     assert (d["open"], d["close"], d["volume"]) == (7.0, 6.0, 4.0)
 
 
-def test_hour_tag_text_top3_ties_and_short_hours(spark):
+def test_bars_are_hash_aggregated(spark):
+    ticks = spark.createDataFrame([("A", dt.datetime(2024, 1, 1), 5.0, -2, 1.0)],
+                                  "ticker string, ts timestamp_ntz, price double, seq bigint, size double")
+    plan = market.hourly_bars(ticks)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("HashAggregate") == 2
+
+
+D1, D2 = dt.date(2022, 11, 1), dt.date(2023, 11, 1)
+
+
+def test_hour_tag_text_top3_ties_short_hours_and_years(spark):
     top = spark.createDataFrame([
-        ("AAPL", 11, 1, 3, "B", 2), ("AAPL", 11, 1, 3, "A", 2), ("AAPL", 11, 1, 3, "C", 5),
-        ("AAPL", 11, 1, 3, "D", 1), ("AAPL", 11, 1, 4, "Z", 1)],
-        "tickers string, month int, day int, hour int, tags string, times bigint")
-    text = {r["hour"]: r["times"] for r in
-            market.hour_tag_text(ranking.top_tags_per_hour(top, 3)).collect()}
-    assert text == {3: "#C: 5, #A: 2, #B: 2, ", 4: "#Z: 1, "}
-    bars = spark.createDataFrame([("AAPL", 11, 1, h, 1.0) for h in (3, 4, 5)],
-                                 "ticker string, month int, day int, hour int, close double")
+        ("AAPL", D1, 11, 1, 3, "B", 2), ("AAPL", D1, 11, 1, 3, "A", 2), ("AAPL", D1, 11, 1, 3, "C", 5),
+        ("AAPL", D1, 11, 1, 3, "D", 1), ("AAPL", D1, 11, 1, 4, "Z", 1), ("AAPL", D2, 11, 1, 3, "Y", 9)],
+        "tickers string, date date, month int, day int, hour int, tags string, times bigint")
     tt = market.hour_tag_text(ranking.top_tags_per_hour(top, 3))
-    got = {r["hour"]: r["times"] for r in market.price_with_tags(bars, tt).collect()}
-    assert got[5] == ""  # an hour without tags keeps its bar with empty text
+    text = {(r["date"], r["hour"]): r["times"] for r in tt.collect()}
+    assert text == {(D1, 3): "#C: 5, #A: 2, #B: 2, ", (D1, 4): "#Z: 1, ", (D2, 3): "#Y: 9, "}
+    bars = spark.createDataFrame([("AAPL", d, 11, 1, h, 1.0) for d in (D1, D2) for h in (3, 4, 5)],
+                                 "ticker string, date date, month int, day int, hour int, close double")
+    got = {(r["date"], r["hour"]): r["times"] for r in market.price_with_tags(bars, tt).collect()}
+    assert got[(D1, 5)] == "" and got[(D1, 3)].startswith("#C") and got[(D2, 3)] == "#Y: 9, " and got[(D2, 4)] == ""
+
+
+def test_popularity_over_every_bar_hour(spark):
+    t = dt.datetime(2024, 1, 1)
+    ticks = spark.createDataFrame([("A", t + dt.timedelta(hours=h), float(p), h, 1.0) for h, p in ((0, 10), (1, 11), (2, 13), (3, 16), (5, 20))],
+                                  "ticker string, ts timestamp_ntz, price double, seq bigint, size double")
+    fact = spark.createDataFrame([(t, ["A"]), (t + dt.timedelta(hours=3), ["A"]), (t + dt.timedelta(hours=3), ["A", "B"])],
+                                 "created_at timestamp_ntz, tickers array<string>")
+    got = [(r["t_hour"].hour, r["mentions"], r["price_change"], r["mention_change"])
+           for r in market.popularity_vs_price(fact, ticks).orderBy("t_hour").collect()]
+    assert got == [(0, 1, None, None), (1, 0, 1.0, -1), (2, 0, 2.0, 0), (3, 2, 3.0, 2), (5, 0, None, None)]
+
+
+def test_published_bars_prune_by_date(spark, tmpdir_path):
+    from tickerpulse.sinks.tables import publish_bars, read_table
+    t = dt.datetime(2024, 1, 1)
+    ticks = spark.createDataFrame([("A", t + dt.timedelta(hours=7 * h), float(h), h, 1.0) for h in range(20)],
+                                  "ticker string, ts timestamp_ntz, price double, seq bigint, size double")
+    publish_bars(ticks, tmpdir_path)
+    day = market.date_filter(read_table(spark, "stocks_hourly", tmpdir_path), "2024-01-03")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and day.count() == 4
+    daily = {r["date"]: (r["open"], r["close"], r["volume"]) for r in read_table(spark, "stocks_monthly", tmpdir_path).collect()}
+    assert daily == {r["date"]: (r["open"], r["close"], r["volume"]) for r in market.daily_bars(ticks).collect()}

@@ -58,11 +58,15 @@ def test_top_then_exclude_leaves_fewer(spark):
 
 
 def test_top_tags_drops_empty_and_self(spark):
+    d = dt.date(2022, 11, 1)
+    fact = spark.createDataFrame([(d, 11, 1, 0, ["AAPL", "MU"], ["AAPL", "NEWS", ""]), (d, 11, 1, 0, [], [""]),
+                                  (d, 11, 1, 0, None, ["NEWS"]), (d.replace(year=2023), 11, 1, 0, ["MU"], ["NEWS", "NEWS"])],
+                                 "date date, month int, day int, hour int, tickers array<string>, tags array<string>")
+    got = {(r["date"].year, r["tickers"], r["tags"]): r["times"] for r in counts.top_tags(fact).collect()}
+    assert got == {(2022, "AAPL", "NEWS"): 1, (2022, "MU", "AAPL"): 1, (2022, "MU", "NEWS"): 1, (2022, "", "NEWS"): 1, (2023, "MU", "NEWS"): 2}
     flat = spark.createDataFrame([(11, 1, 0, "AAPL,MU", "AAPL,NEWS,"), (11, 1, 0, "", "")],
                                  "month int, day int, hour int, tickers string, tags string")
-    got = {(r["tickers"], r["tags"]): r["times"] for r in counts.top_tags(flat).collect()}
-    assert got == {("AAPL", "NEWS"): 1, ("MU", "AAPL"): 1, ("MU", "NEWS"): 1}
-    compat = {(r["tickers"], r["tags"]) for r in counts.top_tags(flat, False).collect()}
+    compat = {(r["tickers"], r["tags"]) for r in counts.drop_self_tags(flat, False).collect()}
     assert ("AAPL,MU", "AAPL") in compat
 
 

@@ -3,7 +3,8 @@
 import datetime as dt
 import os
 
-from tickerpulse.sinks.tables import publish_all, read_table, stage, write_table
+from tickerpulse.session import staged as stage
+from tickerpulse.sinks.tables import publish_all, read_table, write_table
 
 FACT = ("id string, source string, author_id string, created_at timestamp_ntz, date date, month int, day int, "
         "hour int, like_count bigint, quote_count bigint, reply_count bigint, retweet_count bigint, "
@@ -17,7 +18,7 @@ EXPECTED = {
     "popular_tags_hourly_count_new": "t_hour:timestamp_ntz,tag:string,ref_tag:string,cnt:bigint,rank:bigint",
     "timing_ticker_freq_df": "tickers:string,cnt:bigint",
     "mdhr_tags": "month:int,day:int,hour:int,tickers:string,tags:string",
-    "top_tags": "tickers:string,month:int,day:int,hour:int,tags:string,times:bigint",
+    "top_tags": "tickers:string,date:date,month:int,day:int,hour:int,tags:string,times:bigint",
 }
 
 
@@ -79,7 +80,7 @@ def test_price_day_fetch_is_bounded(spark):
     import __spark_entry__ as E
     from tickerpulse.sinks.tables import fetch_bounded, price_day
     view = E.queries()["price_day_view"](spark, "/root/testdata/sf0.001")
-    pdf = price_day(view, "VIEW", "2024-01-02")
+    pdf = price_day(view, "VIEW", "2024-01-02", 24)
     assert list(pdf["hour"]) == sorted(pdf["hour"]) and len(pdf) <= 24
     with pytest.raises(ValueError):
         fetch_bounded(view, 3)

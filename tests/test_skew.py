@@ -44,11 +44,10 @@ def test_hot_conversation_is_split_and_exact(spark):
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
             "spark.sql.adaptive.coalescePartitions.enabled": "false",
             "spark.sql.shuffle.partitions": "16"}):
-        out = conversation_context(turns, ["AAPL", "MU"], hot_rows=500)
+        out = conversation_context(turns, ["AAPL", "MU"])
         got = out.collect()
         plan = out._jdf.queryExecution().executedPlan().toString()
-    # the hot conversation is joined map-side, the rest by a shuffle join
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    assert "SortMergeJoin(skew=true)" in plan  # the hot conversation's partition is split
     by_conv = {}
     for r in got:
         by_conv.setdefault(r["conversation_id"], set()).add(tuple(r["tickers"]))
@@ -58,7 +57,7 @@ def test_hot_conversation_is_split_and_exact(spark):
 
 def test_no_hot_keys_plain_join(spark):
     turns = _turns(spark, 300)
-    out = conversation_context(turns, ["AAPL", "MU"])  # default threshold: nothing is hot
+    out = conversation_context(turns, ["AAPL", "MU"])
     assert out.count() == 300
 
 
@@ -75,7 +74,7 @@ def test_hot_symbol_counts_combine_map_side(spark):
 def test_null_keys_skip_the_join(spark):
     rows = [(f"p{i}", None if i % 3 == 0 else f"c{i % 40}", "#MU" if i % 2 else "x") for i in range(900)]
     turns = spark.createDataFrame(rows, "id string, conversation_id string, text string")
-    out = conversation_context(turns, ["MU"], hot_rows=10_000)
+    out = conversation_context(turns, ["MU"])
     got = {r["id"]: r["tickers"] for r in out.collect()}
     assert len(got) == 900
     assert got["p0"] == [] and got["p1"] == ["MU"] and got["p2"] == [] and got["p5"] == ["MU"]

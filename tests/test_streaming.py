@@ -10,17 +10,62 @@ from tickerpulse.streaming import jobs
 
 
 def test_stream_dedup_with_repeats(spark, tmpdir_path):
-    t0 = dt.datetime(2024, 1, 1, 0, 0)
-    rows = [(1, "A", t0), (1, "A", t0 + dt.timedelta(minutes=5)), (2, "A", t0),
-            (1, "B", t0 + dt.timedelta(minutes=7)), (2, "A", t0 + dt.timedelta(minutes=50))]
-    src = os.path.join(tmpdir_path, "src")
-    spark.createDataFrame(rows, "user_id bigint, ticker string, ts timestamp_ntz") \
-        .write.parquet(os.path.join(src, "x.parquet"))
-    schema = spark.read.parquet(os.path.join(src, "x.parquet")).schema
-    stream = spark.readStream.schema(schema).parquet(os.path.join(src, "x.parquet"))
-    out = jobs.run_available_now(jobs.dedup(stream, ["user_id", "ticker"], "ts", "2 hours")
-                                 .select("user_id", "ticker"), "t-dedup")
-    assert sorted(tuple(r) for r in out.collect()) == [(1, "A"), (1, "B"), (2, "A")]
+    """Repeats within a batch, across batches and long after; a NULL id is an id too."""
+    d = dt.date(2024, 1, 1)
+    src, out, ckpt = (os.path.join(tmpdir_path, x) for x in ("src", "out", "ckpt"))
+    schema = "id string, date date"
+
+    def deliver(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        return jobs.run_dedup(stream, "t-dedup", ["id"], "date", out, ckpt)
+
+    deliver([("1", d), ("1", d), ("2", d), (None, d), (None, d)])
+    got = deliver([("2", d), ("3", d), (None, d), ("4", d + dt.timedelta(days=90))])
+    got = deliver([("1", d), ("4", d + dt.timedelta(days=90)), ("5", d)])
+    assert sorted(str(r["id"]) for r in got.collect()) == ["1", "2", "3", "4", "5", "None"]
+
+
+def test_table_stream_reads_folders_and_files(spark, tmpdir_path):
+    one, many = os.path.join(tmpdir_path, "one"), os.path.join(tmpdir_path, "many")
+    os.makedirs(one)
+    spark.range(90).repartition(3).write.parquet(os.path.join(many, "t.parquet"))
+    spark.range(90).toPandas().to_parquet(os.path.join(one, "t.parquet"))
+    spark.range(5).toPandas().to_parquet(os.path.join(one, "other.parquet"))
+    for folder in (one, many):
+        assert jobs.run_available_now(jobs.table_stream(spark, folder, "t", 1), "t-folder").count() == 90
+
+
+def test_registered_streams_equal_batch_on_a_part_folder(spark, tmpdir_path):
+    """Every stream query over tables of three part files, one file a batch, equals itself over single files."""
+    import __spark_entry__ as E
+    sf = "/root/testdata/sf0.001"
+    for name in ("events", "documents", "pages"):
+        spark.read.parquet(f"{sf}/{name}.parquet").repartition(3).write.parquet(f"{tmpdir_path}/{name}.parquet")
+    jobs.MAX_FILES, old = 1, jobs.MAX_FILES
+    try:
+        for name in ("stream_identify", "stream_hourly_counts", "stream_top_hourly", "stream_publish", "stream_dedup", "stream_rule_filter"):
+            parts, whole = (E.queries()[name](spark, d) for d in (tmpdir_path, sf))
+            rows = lambda df: sorted(map(str, df.collect()))
+            assert rows(parts) == rows(whole) and len(rows(whole)) > 0, name
+    finally:
+        jobs.MAX_FILES = old
+
+
+def test_broken_output_raises(spark, tmpdir_path):
+    import pytest
+    src, out, ckpt = (os.path.join(tmpdir_path, x) for x in ("src", "out", "ckpt"))
+    spark.range(10).write.parquet(src)
+
+    def run():
+        return jobs.run_available_now(spark.readStream.schema("id bigint").parquet(src), "t-broken", out=out, ckpt=ckpt)
+    assert run().count() == 10
+    for f in os.listdir(out):
+        if f.startswith("part-"):
+            with open(os.path.join(out, f), "wb") as w:
+                w.write(b"junk" * 50)
+    with pytest.raises(Exception):
+        run().collect()
 
 
 def test_stream_identify_equals_batch(spark, tmpdir_path):
@@ -37,18 +82,34 @@ def test_stream_identify_equals_batch(spark, tmpdir_path):
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, batch.collect()))
 
 
-def test_hourly_counts_complete_mode(spark, tmpdir_path):
-    t0 = dt.datetime(2024, 1, 1, 0, 0)
-    rows = [("A", t0 + dt.timedelta(minutes=m)) for m in (1, 2, 61, 125)]
+def _deliver(folder, name, rows):
     import pandas as pd
-    src = os.path.join(tmpdir_path, "m")
-    os.makedirs(src)
+    os.makedirs(folder, exist_ok=True)
     pd.DataFrame(rows, columns=["ticker", "created_at"]).to_parquet(
-        os.path.join(src, "m.parquet"), coerce_timestamps="us", allow_truncated_timestamps=True)
-    out = jobs.run_available_now(jobs.hourly_counts(jobs.table_stream(spark, src, "m")), "t-hc",
-                                 output_mode="complete")
-    got = sorted((r["t_hour"].hour, r["cnt"]) for r in out.collect())
-    assert got == [(0, 2), (1, 1), (2, 1)]
+        os.path.join(folder, name), coerce_timestamps="us", allow_truncated_timestamps=True)
+
+
+def test_counts_hold_late_rows_and_open_hours(spark, tmpdir_path):
+    """Overlapping files, one a batch, and a delivery that comes days late."""
+    src = os.path.join(tmpdir_path, "late")
+    t = lambda h, m: dt.datetime(2024, 1, 1, h, m)
+    schema = "ticker string, created_at timestamp_ntz"
+    paths = {k: [os.path.join(tmpdir_path, f"{k}-{x}") for x in ("out", "ckpt")] for k in ("sum", "day")}
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        parts = jobs.run_available_now(stream, "t-sum", per_batch=jobs.hourly_partials, out=paths["sum"][0], ckpt=paths["sum"][1])
+        tables = [jobs.totals(parts), jobs.run_counts_by_day(stream, "t-day", out=paths["day"][0], ckpt=paths["day"][1])]
+        got = [sorted((str(r["t_hour"]), r["ticker"], r["cnt"]) for r in df.collect()) for df in tables]
+        assert got[0] == got[1]
+        return [(h[11:13], k, n) if h.startswith("2024-01-01") else (h, k, n) for h, k, n in got[0]]
+
+    _deliver(src, "a.parquet", [("A", t(1, 10)), ("A", t(2, 20)), ("A", t(5, 0))])
+    _deliver(src, "b.parquet", [("A", t(1, 30)), ("B", t(5, 59)), ("A", dt.datetime(2024, 1, 9))])
+    assert run() == [("01", "A", 2), ("02", "A", 1), ("05", "A", 1), ("05", "B", 1), ("2024-01-09 00:00:00", "A", 1)]
+    _deliver(src, "c.parquet", [("A", t(1, 45)), ("A", t(6, 10))])
+    assert run() == [("01", "A", 3), ("02", "A", 1), ("05", "A", 1), ("05", "B", 1), ("06", "A", 1), ("2024-01-09 00:00:00", "A", 1)]
+    assert run()[0] == ("01", "A", 3)  # nothing new: nothing counted twice
 
 
 def test_restart_resumes_from_checkpoint(spark, tmpdir_path):
@@ -70,57 +131,50 @@ def test_restart_resumes_from_checkpoint(spark, tmpdir_path):
     assert got == [("1", ("MU",)), ("2", ()), ("3", ("MU",))]  # each input row exactly once
 
 
-def test_live_job_available_now(spark, tmpdir_path):
-    import json
-    from tickerpulse.streaming import live
-    drop = os.path.join(tmpdir_path, "drop")
-    os.makedirs(drop)
-    tweets = [{"data": {"id": str(i), "text": f"#MU post {i}", "author_id": "a", "conversation_id": "c",
-                        "created_at": f"2022-11-01T0{i}:00:00.000Z",
-                        "public_metrics": {"like_count": 0, "quote_count": 0, "reply_count": 0,
-                                           "retweet_count": 0}}, "includes": {}} for i in range(5)]
-    with open(os.path.join(drop, "2022_11_1_0_0.json"), "w") as f:
-        f.write("{\"tweets\":[" + "".join(json.dumps(t) + "," for t in tweets) + "{}]}")
-    out, ckpt = os.path.join(tmpdir_path, "out"), os.path.join(tmpdir_path, "ckpt")
-    qs = live.start(spark, drop, out, ckpt, universe=["MU"], trigger={"availableNow": True})
-    for q in qs:
-        q.awaitTermination()
-    assert spark.read.parquet(os.path.join(out, "posts")).count() == 5
-    hours = sorted(r["t_hour"].hour for r in spark.read.parquet(os.path.join(out, "hourly_counts")).collect())
-    assert hours == [0, 1, 2]  # windows closed by the 1-hour watermark (max event time 04:00)
-
+def _post(i, text):
+    return {"data": {"id": str(i), "text": text, "author_id": "a", "conversation_id": "c",
+                     "created_at": f"2022-11-01T0{i}:00:00.000Z",
+                     "public_metrics": {"like_count": 0, "quote_count": 0, "reply_count": 0,
+                                        "retweet_count": 0}}, "includes": {}}
 
-def test_late_data_beyond_watermark_is_dropped(spark, tmpdir_path):
-    import pandas as pd
-    src = os.path.join(tmpdir_path, "late")
-    os.makedirs(src)
-    out, ckpt = os.path.join(tmpdir_path, "late-out"), os.path.join(tmpdir_path, "late-ckpt")
-    t = lambda h, m: dt.datetime(2024, 1, 1, h, m)
-    schema = "ticker string, created_at timestamp_ntz"
 
-    def deliver(name, rows):
-        pd.DataFrame(rows, columns=["ticker", "created_at"]).to_parquet(
-            os.path.join(src, name), coerce_timestamps="us", allow_truncated_timestamps=True)
+def _drop(folder, name, posts, end="{}]}"):
+    import json
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("{\"tweets\":[" + "".join(json.dumps(t) + "," for t in posts) + end)
 
-    def run():
-        stream = spark.readStream.schema(schema).parquet(src)
-        return jobs.run_available_now(jobs.hourly_counts(stream), "t-late", out=out, ckpt=ckpt)
 
-    deliver("a.parquet", [("A", t(1, 10)), ("A", t(2, 20)), ("A", t(5, 0))])
-    run()  # watermark is now 05:00 - 1 hour = 04:00
-    deliver("b.parquet", [("A", t(3, 30)), ("A", t(4, 30)), ("A", t(6, 10))])  # 03:30 is late
-    got = sorted((r["t_hour"].hour, r["cnt"]) for r in run().collect())
-    assert got == [(1, 1), (2, 1), (4, 1)]  # the late row is dropped; 05:00+ windows are still open
+def test_live_job_repairs_filters_and_quarantines(spark, tmpdir_path):
+    from tickerpulse import publish_job
+    from tickerpulse.streaming import live
+    h, c, out = (os.path.join(tmpdir_path, x) for x in ("h", "c", "out"))
+    _drop(h, "closed.json", [_post(0, "#MU"), _post(1, "#EBAY #ALIEXPRESS spam")])
+    _drop(h, "unclosed.json", [_post(2, "#MU again")], end="")
+    _drop(c, "closed.json", [_post(3, "$EBAY #ALIEXPRESS kept on this side")])
+    _drop(c, "cut.json", [_post(4, "$MU")], end='{"data": {"id": "9", "te')
+    q = live.start(spark, {"hashtag": h, "cashtag": c}, out, os.path.join(tmpdir_path, "ckpt"),
+                   universe=["MU", "EBAY"], trigger={"availableNow": True}, max_files_per_trigger=1)
+    q.awaitTermination()
+    posts = spark.read.parquet(os.path.join(out, "posts")).collect()
+    assert sorted((r["id"], r["source"]) for r in posts) == [("0", "hashtag"), ("2", "hashtag"), ("3", "cashtag")]
+    hours = sorted((r["t_hour"].hour, r["ticker"], r["cnt"]) for r in live.hourly_counts(spark, out).collect())
+    assert hours == [(0, "MU", 1), (2, "MU", 1), (3, "EBAY", 1)]
+    assert live.unreadable(spark, out).first()["documents"] == 1
+    # the batch job gives the same posts and the same quarantine
+    tables = publish_job.run(spark, h, c, os.path.join(tmpdir_path, "tables"), universe=["MU", "EBAY"])
+    batch = spark.read.parquet(tables["posts"]).collect()
+    assert sorted((r["id"], r["source"]) for r in batch) == [("0", "hashtag"), ("2", "hashtag"), ("3", "cashtag")]
+    assert spark.read.json(tables["quarantine"]).count() == 1
 
 
 def test_empty_input_gives_empty_results(spark, tmpdir_path):
     src = os.path.join(tmpdir_path, "empty")
     os.makedirs(src)
     schema = "ticker string, created_at timestamp_ntz"
-    for mode in ("append", "complete"):
-        st = spark.readStream.schema(schema).parquet(src)
-        out = jobs.run_available_now(jobs.hourly_counts(st), f"t-empty-{mode}", output_mode=mode)
-        assert out.count() == 0 and out.columns == ["t_hour", "ticker", "cnt"]
     st = spark.readStream.schema(schema).parquet(src)
-    out = jobs.run_available_now(jobs.hourly_counts(st), "t-empty-batch", per_batch=lambda b: b)
-    assert out.count() == 0
+    for out in (jobs.run_available_now(st, "t-empty-batch", per_batch=jobs.hourly_partials),
+                jobs.run_counts_by_day(st, "t-empty-day")):
+        assert out.count() == 0 and out.columns == ["t_hour", "ticker", "cnt"]
+    assert jobs.run_available_now(st, "t-empty").count() == 0
+    assert jobs.run_dedup(spark.readStream.schema("id string, date date").parquet(src), "t-empty-dedup", ["id"], "date").count() == 0

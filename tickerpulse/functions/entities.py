@@ -1,14 +1,14 @@
 """Entity extraction as native Column expressions (no Python UDF).
 
 Symbol identification: a symbol is a prefix (``$``, ``#`` or full-width
-``＃``), then a run of ASCII letters that equals a universe symbol (any
-case), and the next character is neither an ASCII letter nor ``|``.
-Taking the maximal letter run after a prefix (plus an optional ``|``),
-upper-casing it and keeping it when it is in the universe is the same
-match without lookahead: a shorter symbol would be followed by a letter,
-and a run followed by ``|`` yields a candidate that is never a symbol.
-When the universe is known, runs longer than its longest symbol are
-rejected inside the regex (Java lookahead) rather than materialised.
+``＃``), then the symbol as it is listed (any case), and the next character
+is neither an ASCII letter nor ``|``. Symbols may hold digits, dots or other
+letters, but no blank and no prefix sign. The candidates of a text are
+therefore, for each run of other characters after a prefix, its beginnings
+that are not followed by an ASCII letter or ``|``; for a run of ASCII letters
+that is the run alone. Every listed symbol that stands there counts.
+When the universe is a list of ASCII-letter symbols, one regex with the
+longest length finds the same matches directly.
 Matching the text joined with its context equals the union of the
 matches of the pieces, because a match never spans the blank separator.
 
@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from ..constants import SYMBOL_PREFIXES, TICKERS
 
-# Patterns (Java regex syntax; these four are also valid RE2).
-SYMBOL_CANDIDATE = "[" + SYMBOL_PREFIXES.replace("$", "\\$") + "]([A-Za-z]+\\|?)"
+# Patterns (Java regex syntax; these are also valid RE2).
+SYMBOL_RUN = "[" + SYMBOL_PREFIXES.replace("$", "\\$") + "]([^\\s" + SYMBOL_PREFIXES.replace("$", "\\$") + "]+)"
 HASHTAG = "#([\\p{L}\\p{N}_]+)"
 CASHTAG = "\\$([\\p{L}\\p{N}_]+)"
 # A hashtag with the character that follows it when that is a '|'.
@@ -52,14 +52,24 @@ def bounded_candidate_pattern(max_len: int) -> str:
             + "})(?![A-Za-z|])")
 
 
-def symbol_candidates(text, max_len: int | None = None) -> Column:
-    """Upper-cased letter runs that follow a symbol prefix (null for null text).
+def beginnings(run: Column) -> Column:
+    """The beginnings of a run that are not followed by an ASCII letter or ``|``."""
+    n = F.length(run)
+    ends = F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | ~F.substring(run, i + 1, F.lit(1)).rlike("[A-Za-z|]"))
+    return F.when(run.rlike("^[A-Za-z]+$"), F.array(run)).otherwise(F.transform(ends, lambda i: F.substring(run, F.lit(1), i)))
+
+
+def symbol_candidates(text) -> Column:
+    """Upper-cased distinct candidates of a text (null for null text)."""
+    runs = F.array_distinct(F.regexp_extract_all(_col(text), F.lit(SYMBOL_RUN), F.lit(1)))
+    return F.array_distinct(F.transform(F.flatten(F.transform(runs, beginnings)), F.upper))
 
-    With ``max_len`` only runs that could be a symbol of at most that many
-    letters are returned; the kept symbols are the same.
-    """
-    pattern = SYMBOL_CANDIDATE if max_len is None else bounded_candidate_pattern(max_len)
-    return _extract_upper(_col(text), pattern)
+
+def _candidates_for(text, universe: Sequence[str]) -> Column:
+    """Candidates that are enough for a literal universe."""
+    if all(s.isascii() and s.isalpha() for s in universe):
+        return _extract_upper(_col(text), bounded_candidate_pattern(max((len(s) for s in universe), default=1)))
+    return symbol_candidates(text)
 
 
 def keep_universe(cands: Column, universe: Sequence[str]) -> Column:
@@ -83,17 +93,16 @@ def identify_tickers(text, context=None, universe: Sequence[str] = TICKERS,
     original job did.
     """
     t = _col(text)
-    max_len = max((len(s) for s in universe), default=1)
-    cands = F.coalesce(symbol_candidates(t, max_len), F.array().cast("array<string>"))
+    cands = F.coalesce(_candidates_for(t, universe), F.array().cast("array<string>"))
     ctx = None
     if context is not None:
         ctx = _col(context)
         if context_is_struct:
             extra = F.flatten(F.transform(ctx, lambda r: F.coalesce(
-                symbol_candidates(r["text"], max_len), F.array().cast("array<string>"))))
+                _candidates_for(r["text"], universe), F.array().cast("array<string>"))))
         else:
             extra = F.flatten(F.transform(ctx, lambda r: F.coalesce(
-                symbol_candidates(r, max_len), F.array().cast("array<string>"))))
+                _candidates_for(r, universe), F.array().cast("array<string>"))))
         cands = F.concat(cands, F.coalesce(extra, F.array().cast("array<string>")))
     out = keep_universe(cands, universe)
     if strict_compat:
@@ -112,22 +121,22 @@ def extract_cashtags(text) -> Column:
     return F.coalesce(_extract_upper(_col(text), CASHTAG), F.array().cast("array<string>"))
 
 
+def tag_tokens(text, prefix: str = "#") -> Column:
+    """Tags as written, with a directly following ``|``, in text order."""
+    pattern = HASHTAG_WITH_PIPE if prefix == "#" else CASHTAG_WITH_PIPE
+    return F.coalesce(F.regexp_extract_all(_col(text), F.lit(pattern), F.lit(1)), F.array().cast("array<string>"))
+
+
+def tag_of(token: Column) -> Column:
+    return F.upper(F.regexp_replace(token, r"\|$", ""))
+
+
 def non_symbol_tags(text, universe: Sequence[str] = TICKERS, prefix: str = "#") -> Column:
     """Tags of a text that do not name a universe symbol.
 
-    A tag is a symbol mention when its leading ASCII-letter run is a
-    universe symbol (any case) and the character after that run is not
-    ``|``; every other tag is kept, upper-cased, in text order.
+    A tag names a symbol when one of its beginnings (see ``beginnings``) is a
+    universe symbol in any case; every other tag is kept, upper-cased, in text order.
     """
-    pattern = HASHTAG_WITH_PIPE if prefix == "#" else CASHTAG_WITH_PIPE
     u = list(dict.fromkeys(s.upper() for s in universe))
-    toks = F.regexp_extract_all(_col(text), F.lit(pattern), F.lit(1))
-
-    def is_symbol(tok: Column) -> Column:
-        lead = F.regexp_extract(tok, r"^([A-Za-z]*)", 1)
-        after = F.substring(tok, F.length(lead) + 1, 1)
-        return (F.length(lead) > 0) & F.upper(lead).isin(u) & (after != F.lit("|"))
-
-    kept = F.filter(toks, lambda tok: ~is_symbol(tok))
-    cleaned = F.transform(kept, lambda tok: F.upper(F.regexp_replace(tok, r"\|$", "")))
-    return F.coalesce(cleaned, F.array().cast("array<string>"))
+    kept = F.filter(tag_tokens(text, prefix), lambda tok: ~F.exists(beginnings(tok), lambda b: F.upper(b).isin(u)))
+    return F.transform(kept, tag_of)

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from ..constants import SPAM_RULES, TICKERS
-from .entities import CASHTAG, HASHTAG, bounded_candidate_pattern
+from .entities import CASHTAG, HASHTAG, SYMBOL_RUN, bounded_candidate_pattern
 
 
 def _lit(s: str) -> str:
@@ -27,6 +27,15 @@ def _extract_upper(text: str, pattern: str) -> str:
     return f"transform(regexp_extract_all({text}, {_lit(pattern)}, 1), x -> upper(x))"
 
 
+def _candidates(text: str) -> str:
+    """Same as ``entities.symbol_candidates`` ([] for NULL), sorted."""
+    ends = "filter(sequence(1, length(r)), i -> i = length(r) OR NOT substring(r, i + 1, 1) RLIKE '[A-Za-z|]')"
+    each = f"CASE WHEN r RLIKE '^[A-Za-z]+$' THEN array(r) ELSE transform({ends}, i -> substring(r, 1, i)) END"
+    runs = f"array_distinct(regexp_extract_all({text}, {_lit(SYMBOL_RUN)}, 1))"
+    return (f"coalesce(array_sort(array_distinct(transform(flatten(transform({runs}, r -> {each})), x -> upper(x)))), "
+            "CAST(array() AS ARRAY<STRING>))")
+
+
 def _keep(cands: str, universe: Sequence[str]) -> str:
     inlist = ", ".join(_lit(s) for s in universe)
     return f"array_sort(array_distinct(filter({cands}, c -> c IN ({inlist}))))"
@@ -45,6 +54,8 @@ def _rule_sql(rule) -> str:
 def sql_function_bodies(universe: Sequence[str] = TICKERS, rules=SPAM_RULES) -> dict[str, tuple[str, str, str]]:
     """name -> (parameters, return type, SQL body)."""
     u = list(dict.fromkeys(s.upper() for s in universe))
+    if not all(s.isascii() and s.isalpha() for s in u):
+        raise ValueError("the literal SQL functions take symbols of ASCII letters; join on candidates(text) for others")
     pat = bounded_candidate_pattern(max((len(s) for s in u), default=1))
     empty = "CAST(array() AS ARRAY<STRING>)"
     own = f"coalesce({_extract_upper('text', pat)}, {empty})"
@@ -53,6 +64,7 @@ def sql_function_bodies(universe: Sequence[str] = TICKERS, rules=SPAM_RULES) ->
     return {
         "hashtags": ("text STRING", "ARRAY<STRING>", f"coalesce({_extract_upper('text', HASHTAG)}, {empty})"),
         "cashtags": ("text STRING", "ARRAY<STRING>", f"coalesce({_extract_upper('text', CASHTAG)}, {empty})"),
+        "candidates": ("text STRING", "ARRAY<STRING>", _candidates("text")),
         "identify": ("text STRING", "ARRAY<STRING>", _keep(own, u)),
         "identify_ctx": ("text STRING, ctx ARRAY<STRUCT<id: STRING, text: STRING>>", "ARRAY<STRING>",
                          _keep(f"concat({own}, {ctx})", u)),

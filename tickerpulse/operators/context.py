@@ -4,10 +4,9 @@ A post's context is the other posts of its conversation; since matching
 text + context equals the union of the per-post matches, the symbols of a
 post are the symbols of its whole conversation. They are found per post,
 reduced to one distinct symbol set per conversation with partial
-aggregation (bounded by the universe size), and joined back on the
-conversation id. A conversation with more than ``hot_rows`` posts is
-found by one count pass and joined map-side against a broadcast of its
-own row, so its posts never land in one reducer.
+aggregation (bounded by the universe size), staged, and joined back on the
+conversation id. Staging gives the join two plain sides, so adaptive
+execution splits a conversation that holds a large share of all posts.
 """
 
 from __future__ import annotations
@@ -15,19 +14,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.entities import identify_tickers
-from .skew import HOT_ROWS, join_split_hot
+from ..functions.entities import identify_tickers, symbol_candidates
+from ..session import staged
+from .skew import left_join_skip_nulls
 
 
-def conversation_context(posts: DataFrame, universe: list[str], conv_col: str = "conversation_id",
-                         text_col: str = "text", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``tickers``: sorted distinct symbols of the post's conversation."""
-    own = posts.select(conv_col, F.explode(identify_tickers(F.col(text_col), None, universe))
-                       .alias("symbol"))
+def conversation_context(posts: DataFrame, universe, conv_col: str = "conversation_id",
+                         text_col: str = "text") -> DataFrame:
+    """Add ``tickers``: sorted distinct symbols of the post's conversation.
+
+    ``universe`` is a list of symbols or a DataFrame with one column of them.
+    """
+    if isinstance(universe, DataFrame):
+        symbols = universe.select(F.upper(F.col(universe.columns[0])).alias("symbol"))
+        own = posts.select(conv_col, F.explode(symbol_candidates(text_col)).alias("symbol")) \
+            .distinct().join(symbols, "symbol", "left_semi")
+    else:
+        own = posts.select(conv_col, F.explode(identify_tickers(F.col(text_col), None, universe)).alias("symbol"))
     # collect_set is combined map-side; its state is bounded by the universe size.
-    per_conv = own.groupBy(conv_col).agg(F.array_sort(F.collect_set("symbol")).alias("conv_tickers"))
-    # A conversation holding a large share of all posts is joined map-side
-    # against a broadcast of its own symbol set; the rest shuffle as usual.
-    out = join_split_hot(posts, per_conv, conv_col, "left", hot_rows=hot_rows)
+    per_conv = staged(own.groupBy(conv_col).agg(F.array_sort(F.collect_set("symbol")).alias("conv_tickers")), "per-conversation")
+    out = left_join_skip_nulls(posts, per_conv, [conv_col])
     return out.withColumn("tickers", F.coalesce("conv_tickers", F.array().cast("array<string>"))) \
         .drop("conv_tickers")

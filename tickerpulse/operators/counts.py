@@ -40,15 +40,14 @@ def ticker_freq_top(fact: DataFrame, k: int = 5) -> DataFrame:
     return ticker_freq(fact).orderBy(F.desc("cnt"), F.asc_nulls_last("ticker")).limit(k)
 
 
-def tag_freq_universe(fact: DataFrame, universe: Sequence[str]) -> DataFrame:
+def tag_freq_universe(fact: DataFrame, universe: DataFrame) -> DataFrame:
     """Tag frequency (upper) of tagged posts, kept to universe symbols.
 
-    The universe filter is written after the aggregate, as a user would;
-    Catalyst pushes it below the aggregate onto the exploded tags.
+    Counted first (map-side), so the semi join meets one row per tag.
     """
     t = fact.where(F.size("tags") > 0).select(F.explode("tags").alias("tag"))
     g = t.groupBy(F.upper("tag").alias("tag")).agg(F.count(F.lit(1)).alias("cnt"))
-    return g.where(F.col("tag").isin(list(universe)))
+    return g.join(_as_tag(universe), "tag", "left_semi")
 
 
 def ticker_daily_count(fact: DataFrame) -> DataFrame:
@@ -167,42 +166,59 @@ def flat_posts(fact: DataFrame) -> DataFrame:
                        join_array("tags").alias("tags"))
 
 
-def top_tags(flat: DataFrame, explode_tickers_first: bool = True) -> DataFrame:
-    """``times`` per (ticker, month, day, hour, tag) from the flat post table,
-    over the rows of ``drop_self_tags``."""
-    return drop_self_tags(flat, explode_tickers_first) \
-        .groupBy("tickers", "month", "day", "hour", "tags").agg(F.count("tags").alias("times"))
+def top_tags(fact: DataFrame) -> DataFrame:
+    """``times`` per (ticker, date, month, day, hour, tag) over the ticker x tag
+    rows of each post, without empty and self tags; a post without tickers has
+    the ticker ``''``.
+
+    Tags are counted per whole ticker set first, so pairs only form on
+    aggregated rows; the date keeps equal days of different years apart.
+    """
+    keys = ["date", "month", "day", "hour"]
+    t = fact.select(*keys, "tickers", F.explode("tags").alias("tags")).where(F.col("tags") != "")
+    c = t.groupBy(*keys, "tickers", "tags").agg(F.count(F.lit(1)).alias("n"))
+    e = c.select(*keys, F.explode_outer("tickers").alias("tickers"), "tags", "n") \
+        .withColumn("tickers", F.coalesce("tickers", F.lit(""))).where(F.col("tags") != F.col("tickers"))
+    return e.groupBy("tickers", *keys, "tags").agg(F.sum("n").alias("times"))
 
 
 def distinct_by_group(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*cols).distinct()
 
 
-def _tag_rows(fact: DataFrame) -> DataFrame:
-    """Tagged posts, one row per tag (the post's columns kept)."""
-    return fact.where(F.size("tags") > 0).withColumn("tag", F.explode("tags"))
-
-
-def dedup_statistics(fact: DataFrame, universe: Sequence[str],
+def dedup_statistics(fact: DataFrame, universe: DataFrame,
                      cols=("author_id", "created_at", "like_count", "quote_count", "reply_count",
                            "retweet_count", "text", "tags")) -> DataFrame:
     """Statistics per universe tag after removing duplicate mention rows
-    (rows equal in every post column and the tag)."""
-    t = _tag_rows(fact).select(*cols, "tag").where(F.col("tag").isin(list(universe)))
-    d = t.dropDuplicates()
-    g = d.groupBy("tag").agg(F.count(F.lit(1)).alias("cnt"),
-                             F.sum("retweet_count").alias("retweets"))
+    (rows equal in every post column and the tag). ``universe`` has one column."""
+    posts = fact.where(F.size("tags") > 0).select(*cols).dropDuplicates()
+    t = posts.select("retweet_count", F.explode(F.array_distinct("tags")).alias("tag"))
+    # every tag is counted map-side before the few universe tags are looked up
+    g = t.groupBy("tag").agg(F.count(F.lit(1)).alias("cnt"), F.sum("retweet_count").alias("retweets")) \
+        .join(_as_tag(universe), "tag", "left_semi")
     return g.select("tag", "cnt", "retweets", (F.col("cnt") + F.col("retweets")).alias("final_result"))
 
 
-def cotags_hourly_dedup(fact: DataFrame, universe: Sequence[str]) -> DataFrame:
-    """Hourly (universe tag, non-universe co-tag) counts over distinct mentions."""
-    u = list(universe)
-    t = _tag_rows(fact).where(F.col("tag").isin(u)) \
-        .select("author_id", "created_at", "tags", "text", "tag")
-    r = t.withColumn("ref_tag", F.explode("tags")).where(~F.col("ref_tag").isin(u)).dropDuplicates()
-    h = r.withColumn("t_hour", bucket("created_at", "hour"))
-    return h.groupBy("t_hour", "tag", "ref_tag").agg(F.count(F.lit(1)).alias("cnt"))
+def _as_tag(universe: DataFrame) -> DataFrame:
+    return universe.select(F.col(universe.columns[0]).alias("tag"))
+
+
+def cotags_hourly_dedup(fact: DataFrame, universe: DataFrame) -> DataFrame:
+    """Hourly (universe tag, non-universe co-tag) counts over distinct mentions.
+
+    A mention is distinct by author, time, tags and text, so a pair's count is
+    the number of such posts that hold both: posts are counted per (hour, tag
+    set), and only those rows are expanded into pairs. ``universe`` has one column.
+    """
+    posts = fact.where(F.size("tags") > 0) \
+        .select("author_id", "created_at", "tags", F.sha2("text", 256).alias("text")).dropDuplicates()
+    sets = posts.select(bucket("created_at", "hour").alias("t_hour"), F.array_sort(F.array_distinct("tags")).alias("tags")) \
+        .groupBy("t_hour", "tags").agg(F.count(F.lit(1)).alias("n"))
+    u = _as_tag(universe)
+    t = sets.select("t_hour", F.explode("tags").alias("tag"), "tags", "n").join(u, "tag", "left_semi")
+    r = t.select("t_hour", "tag", F.explode("tags").alias("ref_tag"), "n") \
+        .groupBy("t_hour", "tag", "ref_tag").agg(F.sum("n").alias("cnt"))
+    return r.join(u.withColumnRenamed("tag", "ref_tag"), "ref_tag", "left_anti").select("t_hour", "tag", "ref_tag", "cnt")
 
 
 def filter_counts(df: DataFrame, stages: dict[str, object]) -> DataFrame:

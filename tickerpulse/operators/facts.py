@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timeparts import parse_created_at, time_parts
@@ -13,11 +13,11 @@ def expand_metrics(tweets: DataFrame) -> DataFrame:
     return tweets.select("id", "author_id", "created_at", "public_metrics.*", "text")
 
 
-def tweets_to_posts(tweets: DataFrame, source: str | None = None) -> DataFrame:
+def tweets_to_posts(tweets: DataFrame, source: str | Column | None = None) -> DataFrame:
     """Flattened tweets (``data.*`` + ``tweets`` context) to the flat post
     shape the identification step takes (created_at parsed to UTC)."""
     return tweets.select(
-        "id", F.lit(source).cast("string").alias("source"), "author_id",
+        "id", (source if isinstance(source, Column) else F.lit(source)).cast("string").alias("source"), "author_id",
         parse_created_at("created_at").alias("created_at"),
         "public_metrics.*", "text", "tweets")
 

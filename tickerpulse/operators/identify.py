@@ -1,87 +1,80 @@
 """Posts -> posts with ``tickers`` and ``tags``.
 
-Two physical forms of the same result:
-
-* literal form: the universe is a literal set inside one Column
-  expression (map-only, no shuffle). Used when the universe is a Python
-  list, or a DataFrame whose size is checked to be at most
-  ``max_literal`` rows.
-* join form: candidates are exploded and semi-joined with the universe
-  DataFrame, then regrouped per post id. No broadcast hint is given: AQE
-  measures the universe side at run time and broadcasts it only if it is
-  small, otherwise it stays a shuffle join.
+Two physical forms of the same result, chosen by what the caller passes:
+
+* a Python list: the universe is a literal set inside one Column expression
+  (map-only, no shuffle);
+* a DataFrame: ``tickers`` depends on a post's candidates alone, so each
+  different candidate set is looked up once (explode, semi join, regroup)
+  and joined back by its digest. Repeated and NULL post ids do not matter.
+  No side is collected or hinted; adaptive execution measures them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.entities import extract_hashtags, identify_tickers, symbol_candidates
+from ..functions.entities import (beginnings, extract_hashtags, identify_tickers, symbol_candidates,
+                                  tag_of, tag_tokens)
 
-MAX_LITERAL_UNIVERSE = 20000
+EMPTY = "array<string>"
 
 
-def bounded_values(df: DataFrame, max_rows: int) -> list | None:
-    """The single column of ``df`` as a sorted list if it has at most
-    ``max_rows`` rows, else ``None`` (at most ``max_rows + 1`` rows move)."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return sorted(r[0] for r in rows if r[0] is not None)
+def _upper_symbols(universe: DataFrame) -> DataFrame:
+    return universe.select(F.upper(F.col(universe.columns[0])).alias("symbol"))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int, fallback: DataFrame | None = None) -> DataFrame:
-    """Broadcast ``df`` only when a row count proves it has at most ``max_rows``
-    rows; otherwise return ``fallback`` (default ``df``) for a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df)
-    return df if fallback is None else fallback
-
-
-def resolve_universe(universe, max_literal: int = MAX_LITERAL_UNIVERSE):
-    if isinstance(universe, DataFrame):
-        vals = bounded_values(universe.select(F.upper(F.col(universe.columns[0]))), max_literal)
-        return vals if vals is not None else universe
-    return [s.upper() for s in universe]
+def _digest(items: Column, spread: Column) -> Column:
+    """A key of an array; empty arrays, which match nothing, are spread over many keys."""
+    return F.when(F.size(items) > 0, F.sha2(F.to_json(items), 256)) \
+        .otherwise(F.concat(F.lit("-"), F.pmod(F.xxhash64(spread), F.lit(997)).cast("string")))
 
 
 def identify_posts(posts: DataFrame, universe, text_col: str = "text",
-                   context_col: str | None = None, strict_compat: bool = False,
-                   id_col: str = "id", max_literal: int = MAX_LITERAL_UNIVERSE) -> DataFrame:
-    """Add ``tickers`` (sorted distinct universe symbols of text + context)."""
-    u = resolve_universe(universe, max_literal)
+                   context_col: str | None = None, strict_compat: bool = False) -> DataFrame:
+    """Add ``tickers`` (sorted distinct universe symbols of text + context).
+
+    ``universe`` is a list of symbols or a DataFrame with one column of them.
+    """
     ctx = F.col(context_col) if context_col else None
-    if isinstance(u, list):
+    if not isinstance(universe, DataFrame):
         return posts.withColumn("tickers", identify_tickers(
-            F.col(text_col), ctx, u, strict_compat=strict_compat))
-    return _identify_join(posts, u, text_col, context_col, strict_compat, id_col)
-
-
-def _identify_join(posts: DataFrame, universe: DataFrame, text_col: str,
-                   context_col: str | None, strict_compat: bool, id_col: str) -> DataFrame:
-    empty = F.array().cast("array<string>")
+            F.col(text_col), ctx, [s.upper() for s in universe], strict_compat=strict_compat))
+    empty = F.array().cast(EMPTY)
     cands = F.coalesce(symbol_candidates(text_col), empty)
     if context_col:
         cands = F.concat(cands, F.coalesce(F.flatten(F.transform(
-            F.col(context_col), lambda r: F.coalesce(symbol_candidates(r["text"]), empty))), empty))
-    # A semi join keeps each candidate at most once however often a symbol
-    # repeats in the universe, so no distinct() is needed there, and a plain
-    # (non-aggregated) universe side lets AQE split a hot symbol's partition.
-    sym = universe.select(F.upper(F.col(universe.columns[0])).alias("symbol"))
-    exploded = posts.select(F.col(id_col).alias("_pid"),
-                            F.explode(F.array_distinct(cands)).alias("symbol"))
-    per_post = exploded.join(sym, "symbol", "left_semi").groupBy("_pid") \
-        .agg(F.array_sort(F.collect_set("symbol")).alias("_tk"))
-    out = posts.join(per_post, posts[id_col] == per_post["_pid"], "left")
-    tk = F.coalesce(F.col("_tk"), empty)
+            ctx, lambda r: F.coalesce(symbol_candidates(r["text"]), empty))), empty))
+    keyed = posts.withColumn("_c", F.array_sort(F.array_distinct(cands))) \
+        .withColumn("_k", _digest(F.col("_c"), F.col(text_col)))
+    # a semi join needs no distinct on the universe side, so a hot symbol's partition can be split
+    sets = keyed.where(F.size("_c") > 0).select("_k", "_c").distinct()
+    found = sets.select("_k", F.explode("_c").alias("symbol")) \
+        .join(_upper_symbols(universe), "symbol", "left_semi") \
+        .groupBy("_k").agg(F.array_sort(F.collect_set("symbol")).alias("_t"))
+    tk = F.coalesce(F.col("_t"), empty)
     if strict_compat:
         null_in = F.col(text_col).isNull()
         if context_col:
             null_in = null_in | F.col(context_col).isNull()
-        tk = F.when(null_in, F.lit(None).cast("array<string>")).otherwise(tk)
-    return out.withColumn("tickers", tk).drop("_pid", "_tk")
+        tk = F.when(null_in, F.lit(None).cast(EMPTY)).otherwise(tk)
+    return keyed.drop("_c").join(found, "_k", "left").withColumn("tickers", tk).select(*posts.columns, "tickers")
+
+
+def non_symbol_tag_posts(posts: DataFrame, universe: DataFrame, text_col: str = "text") -> DataFrame:
+    """Add ``tags``: hashtags that name no symbol of the one-column ``universe``,
+    upper-cased, in text order (``entities.non_symbol_tags`` with a table)."""
+    keyed = posts.withColumn("_w", tag_tokens(text_col)).withColumn("_k", _digest(F.col("_w"), F.col(text_col)))
+    lists = keyed.where(F.size("_w") > 0).select("_k", "_w").distinct()
+    tokens = lists.select("_k", F.posexplode("_w").alias("_at", "token"))
+    naming = tokens.select("token").distinct() \
+        .select("token", F.explode(F.transform(beginnings(F.col("token")), F.upper)).alias("symbol")) \
+        .join(_upper_symbols(universe), "symbol", "left_semi").select("token")
+    kept = tokens.join(naming, "token", "left_anti").groupBy("_k") \
+        .agg(F.array_sort(F.collect_list(F.struct("_at", tag_of(F.col("token")).alias("t")))).alias("_t"))
+    tags = F.coalesce(F.transform("_t", lambda x: x["t"]), F.array().cast(EMPTY))
+    return keyed.drop("_w").join(kept, "_k", "left").withColumn("tags", tags).select(*posts.columns, "tags")
 
 
 def with_tags(posts: DataFrame, text_col: str = "text") -> DataFrame:
@@ -90,6 +83,5 @@ def with_tags(posts: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def identify_and_tag(posts: DataFrame, universe, context_col: str | None = None,
-                     strict_compat: bool = False, max_literal: int = MAX_LITERAL_UNIVERSE) -> DataFrame:
-    return with_tags(identify_posts(posts, universe, context_col=context_col,
-                                    strict_compat=strict_compat, max_literal=max_literal))
+                     strict_compat: bool = False) -> DataFrame:
+    return with_tags(identify_posts(posts, universe, context_col=context_col, strict_compat=strict_compat))

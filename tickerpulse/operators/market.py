@@ -13,9 +13,11 @@ def ohlcv(ticks: DataFrame, unit: str) -> DataFrame:
     """OHLCV bars per (ticker, ``unit`` bucket) from ticks
     (ticker, ts, price, seq, size). Open / close are the prices of the
     first / last tick by (ts, seq), so equal timestamps cannot make the
-    result depend on task order. Partial aggregation keeps a hot ticker's
-    state at one row per task."""
-    order = F.struct("ts", "seq")
+    result depend on task order. The pair is one decimal (microseconds, then
+    the sequence), which a hash aggregate can hold: no tick is sorted, and
+    partial aggregation keeps a hot ticker's state at one row per task."""
+    order = F.expr("CAST(unix_micros(CAST(ts AS TIMESTAMP)) AS DECIMAL(18, 0)) * CAST('100000000000000000000' AS DECIMAL(21, 0))"
+                   " + CAST(seq AS DECIMAL(19, 0))")
     return ticks.groupBy("ticker", bucket("ts", unit).alias("t")).agg(
         F.min_by("price", order).alias("open"), F.max("price").alias("high"),
         F.min("price").alias("low"), F.max_by("price", order).alias("close"),
@@ -59,21 +61,21 @@ def raw_hourly_bars(bars: DataFrame) -> DataFrame:
 
 
 def hour_tag_text(top3: DataFrame) -> DataFrame:
-    """Per (ticker, month, day, hour): ``"#TAG: n, "`` pieces of the top tags in rank order.
+    """Per (ticker, date, month, day, hour): ``"#TAG: n, "`` pieces of the top tags in rank order.
 
     The input holds at most k rows per key (already ranked), so the
     collected list is bounded by k.
     """
     piece = F.concat(F.lit("#"), F.col("tags"), F.lit(": "), F.col("times").cast("string"), F.lit(", "))
-    g = top3.groupBy("tickers", "month", "day", "hour").agg(
+    g = top3.groupBy("tickers", "date", "month", "day", "hour").agg(
         F.array_sort(F.collect_list(F.struct("rank", piece.alias("p")))).alias("ps"))
-    return g.select(F.col("tickers").alias("ticker"), "month", "day", "hour",
+    return g.select(F.col("tickers").alias("ticker"), "date", "month", "day", "hour",
                     F.array_join(F.transform("ps", lambda x: x["p"]), "").alias("times"))
 
 
 def price_with_tags(bars: DataFrame, tag_text: DataFrame) -> DataFrame:
     """Every hourly bar with its hour's tag text (``''`` when there is none)."""
-    j = bars.join(tag_text, ["ticker", "month", "day", "hour"], "left")
+    j = bars.join(tag_text.drop("month", "day"), ["ticker", "date", "hour"], "left")
     return j.withColumn("times", F.coalesce("times", F.lit("")))
 
 
@@ -95,24 +97,26 @@ def hourly_mentions(fact: DataFrame) -> DataFrame:
 
 
 def popularity_vs_price(fact: DataFrame, ticks: DataFrame) -> DataFrame:
-    """Hourly mentions joined to the hourly bar, with the change of both
-    against the previous bar hour of the same ticker.
+    """Every bar hour with its mentions (0 when there are none), and the change of
+    price and mentions against the hour before; NULL where the hour before has no bar.
 
     The window runs per ticker over hourly rows, so its partition size is
     bounded by the number of hours covered, not by the number of posts.
     """
     bars = ohlcv(ticks, "hour").select("ticker", F.col("t").alias("t_hour"), "close")
-    j = hourly_mentions(fact).join(bars, ["ticker", "t_hour"])
+    j = bars.join(hourly_mentions(fact), ["ticker", "t_hour"], "left") \
+        .withColumn("mentions", F.coalesce("mentions", F.lit(0).cast("bigint")))
     w = Window.partitionBy("ticker").orderBy("t_hour")
+    follows = F.lag("t_hour").over(w) == F.col("t_hour") - F.expr("INTERVAL 1 HOUR")
     return j.select(
         "ticker", "t_hour", "mentions", "close",
-        (F.col("close") - F.lag("close").over(w)).alias("price_change"),
-        (F.col("mentions") - F.lag("mentions").over(w)).alias("mention_change"))
+        F.when(follows, F.col("close") - F.lag("close").over(w)).alias("price_change"),
+        F.when(follows, F.col("mentions") - F.lag("mentions").over(w)).alias("mention_change"))
 
 
 def date_filter(df: DataFrame, prefix: str, col: str = "date") -> DataFrame:
     """``yyyy-MM-dd`` (one day) or ``yyyy-MM`` (one month) prefix on a date column,
-    written as a range so it can prune and push down."""
+    written as a range: on a table partitioned by that column it prunes folders."""
     if len(prefix) == 10:
         start = F.to_date(F.lit(prefix))
         return df.where(F.col(col) == start)

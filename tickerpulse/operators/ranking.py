@@ -49,5 +49,5 @@ def top_then_exclude(hourly_counts: DataFrame, exclude: Sequence[str], k: int =
 
 def top_tags_per_hour(top_tags: DataFrame, k: int = 3) -> DataFrame:
     """Top ``k`` tags per (ticker, month, day, hour) by ``times``."""
-    return top_k_per(top_tags, ["tickers", "month", "day", "hour"],
+    return top_k_per(top_tags, ["tickers", "date", "hour"],
                      [F.desc("times"), F.asc_nulls_last("tags")], k)

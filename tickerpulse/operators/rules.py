@@ -3,10 +3,11 @@ posts each rule catches."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.entities import symbol_candidates
+from .numbering import numbered
 
 
 def build_rules(listing: DataFrame, k: int, prefix: str = "$",
@@ -27,23 +28,17 @@ def build_rules(listing: DataFrame, k: int, prefix: str = "$",
                     .alias("value"))
 
 
-def global_listing(listing: DataFrame, max_symbols: int = 20000,
-                   group_col: str = "page_id", order_col: str = "rank") -> DataFrame:
+def global_listing(listing: DataFrame, group_col: str = "page_id", order_col: str = "rank") -> DataFrame:
     """One listing from many: each distinct symbol once, ordered by its first
     appearance (listing id, position), with a 0-based ``rank``.
 
     With one listing every symbol lands in exactly one rule, so matching
-    posts to rules emits at most one row per matched symbol. The ranking
-    window runs over the distinct symbols only, after a row count proves
-    there are at most ``max_symbols`` of them.
+    posts to rules emits at most one row per matched symbol.
     """
-    first = listing.groupBy("symbol").agg(F.min(F.struct(group_col, order_col)).alias("f"))
-    n = first.limit(max_symbols + 1).count()
-    if n > max_symbols:
-        raise ValueError(f"more than {max_symbols} listing symbols")
-    w = Window.orderBy(F.col("f")[group_col], F.col("f")[order_col])
-    return first.select(F.lit(0).cast("bigint").alias(group_col),
-                        (F.row_number().over(w) - 1).cast("bigint").alias(order_col), "symbol")
+    first = listing.groupBy("symbol").agg(F.min(F.struct(group_col, order_col)).alias("f")) \
+        .select("symbol", F.col("f")[group_col].alias("_g"), F.col("f")[order_col].alias("_o"))
+    return numbered(first, F.col("_g"), F.col("_o"), F.col("symbol"), name=order_col) \
+        .select(F.lit(0).cast("bigint").alias(group_col), order_col, "symbol")
 
 
 def rule_symbols(rules: DataFrame, group_col: str = "page_id") -> DataFrame:
@@ -55,7 +50,7 @@ def rule_match(posts: DataFrame, rules: DataFrame, group_col: str = "page_id",
     """(post, rule) pairs where the post's text names one of the rule's symbols
     with a symbol prefix. Equi-join on the symbol; the rule side is left to
     AQE's runtime size check for broadcasting."""
-    cand = posts.select(id_col, F.explode(F.array_distinct(symbol_candidates(text_col)))
+    cand = posts.select(id_col, F.explode(symbol_candidates(text_col))
                         .alias("symbol"))
     return cand.join(rule_symbols(rules, group_col), "symbol") \
         .select(id_col, group_col, "rule_no").distinct()
@@ -64,8 +59,8 @@ def rule_match(posts: DataFrame, rules: DataFrame, group_col: str = "page_id",
 def rule_semi(posts: DataFrame, rules: DataFrame, group_col: str = "page_id",
               id_col: str = "id", text_col: str = "text") -> DataFrame:
     """Posts caught by at least one rule (the stream filter's result)."""
-    cand = posts.select(id_col, F.explode(F.array_distinct(symbol_candidates(text_col)))
+    cand = posts.select(id_col, F.explode(symbol_candidates(text_col))
                         .alias("symbol"))
     syms = rule_symbols(rules, group_col).select("symbol")  # a semi join needs no distinct
-    hit = cand.join(syms, "symbol", "left_semi").select(id_col).distinct()
+    hit = cand.join(syms, "symbol", "left_semi").select(id_col)
     return posts.join(hit, id_col, "left_semi")

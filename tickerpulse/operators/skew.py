@@ -1,25 +1,10 @@
-"""Hot keys: find them once, then keep their rows away from a single reducer."""
+"""NULL keys: keep their rows away from a single reducer."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .identify import bounded_values
-
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS,
-             max_keys: int = MAX_HOT_KEYS) -> list | None:
-    """Keys with more than ``hot_rows`` rows, or ``None`` when there are more
-    than ``max_keys`` of them (then no key is exceptional and plain hash
-    partitioning spreads the load). One aggregation over the key column
-    only, combined map-side."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return bounded_values(sizes.where(F.col("_n") > hot_rows).select(key), max_keys)
-
 
 def left_join_skip_nulls(big: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
     """``big.join(small, keys, "left")`` where rows of ``big`` with a NULL
@@ -31,25 +16,3 @@ def left_join_skip_nulls(big: DataFrame, small: DataFrame, keys: list[str]) -> D
     extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in small.schema.fields if f.name not in keys]
     nulls = big.where(~has_keys).select(*big.columns, *extra)
     return big.where(has_keys).join(small, keys, "left").unionByName(nulls)
-
-
-def join_split_hot(big: DataFrame, small: DataFrame, key: str, how: str = "left",
-                   hot_rows: int = HOT_ROWS, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """``big.join(small, key, how)`` where ``small`` has one row per key.
-
-    Rows of hot keys are joined map-side against a broadcast of only the
-    hot keys' rows of ``small`` (at most ``max_keys`` rows, a proven bound);
-    all other rows take the ordinary shuffle join. For a left join, rows
-    with a NULL key skip the join (they cannot match) instead of meeting in
-    one reducer. The union is the same result as the plain join.
-    """
-    def plain(b: DataFrame, sm: DataFrame) -> DataFrame:
-        return left_join_skip_nulls(b, sm, [key]) if how == "left" else b.join(sm, key, how)
-
-    hot = hot_keys(big, key, hot_rows, max_keys)
-    if not hot:
-        return plain(big, small)
-    is_hot = F.col(key).isin(hot)
-    hot_part = big.where(is_hot).join(F.broadcast(small.where(is_hot)), key, how)
-    cold_part = plain(big.where(F.col(key).isNull() | ~is_hot), small.where(~is_hot))
-    return hot_part.unionByName(cold_part)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeparts import bucket
 from ..operators import counts, ranking
+from ..operators.numbering import numbered
 from . import sql as S
 from .inputs import event_fact
 from .registry import query
@@ -137,6 +138,18 @@ def tag_counts_resum(spark, sf_dir):
     return counts.tag_counts_resum(counts.tag_counts(event_fact(spark, sf_dir), "hour"), "hour")
 
 
+@query("tag_counts_resum_sorted", _with(_MDH, """
+z AS (SELECT month, day, hour, tickers, tags, count(tags) AS cnt_t FROM ev_tt GROUP BY month, day, hour, tickers, tags)""") + """
+SELECT month, tickers, tags, total, row_number() OVER (ORDER BY total DESC, month, tickers, tags) - 1 AS place FROM (
+  SELECT month, tickers, tags, CAST(sum(cnt_t) AS BIGINT) AS total FROM z GROUP BY month, tickers, tags)
+WHERE tickers IS NOT NULL AND tags IS NOT NULL""")
+def tag_counts_resum_sorted(spark, sf_dir):
+    """Month sums of the hour counts, ordered by the sum, largest first; ``place`` is the order."""
+    z = counts.tag_counts_resum(counts.tag_counts(event_fact(spark, sf_dir), "hour"), "month")
+    z = z.where("tickers IS NOT NULL AND tags IS NOT NULL")
+    return numbered(z, F.desc("total"), F.asc("month"), F.asc("tickers"), F.asc("tags"), name="place")
+
+
 @query("tag_counts_rollup_day", _with(_MDH) + """
 SELECT month, day, tickers, tags, count(tags) AS cnt_t FROM ev_tt GROUP BY month, day, tickers, tags""")
 def tag_counts_rollup_day(spark, sf_dir):
@@ -152,33 +165,33 @@ def tag_counts_levels(spark, sf_dir):
 
 
 _FLAT = """
-flat AS (SELECT month, day, hour, coalesce(array_to_string(tickers, ','), '') AS tickers,
+flat AS (SELECT date, month, day, hour, coalesce(array_to_string(tickers, ','), '') AS tickers,
                 coalesce(array_to_string(tags, ','), '') AS tags FROM ev_fact),
-ex1 AS (SELECT month, day, hour, unnest(string_split(tickers, ',')) AS tickers, tags FROM flat),
-ex2 AS (SELECT month, day, hour, tickers, unnest(string_split(tags, ',')) AS tags FROM ex1),
+ex1 AS (SELECT date, month, day, hour, unnest(string_split(tickers, ',')) AS tickers, tags FROM flat),
+ex2 AS (SELECT date, month, day, hour, tickers, unnest(string_split(tags, ',')) AS tags FROM ex1),
 top_tags AS (
-  SELECT tickers, month, day, hour, tags, count(tags) AS times FROM ex2
-  WHERE tags <> '' AND tags <> tickers GROUP BY tickers, month, day, hour, tags
+  SELECT tickers, date, month, day, hour, tags, count(tags) AS times FROM ex2
+  WHERE tags <> '' AND tags <> tickers GROUP BY tickers, date, month, day, hour, tags
 )"""
 
 
 @query("top_tags", _with(_FLAT) + "SELECT * FROM top_tags")
 def top_tags(spark, sf_dir):
-    return counts.top_tags(counts.flat_posts(event_fact(spark, sf_dir)))
+    return counts.top_tags(event_fact(spark, sf_dir))
 
 
 @query("top3_tags_per_hour", _with(_FLAT) + """
-SELECT tickers, month, day, hour, tags, times, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY tickers, month, day, hour ORDER BY times DESC, tags ASC NULLS LAST) AS rank FROM top_tags)
+SELECT tickers, date, month, day, hour, tags, times, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY tickers, date, hour ORDER BY times DESC, tags ASC NULLS LAST) AS rank FROM top_tags)
 WHERE rank <= 3""")
 def top3_tags_per_hour(spark, sf_dir):
-    return ranking.top_tags_per_hour(counts.top_tags(counts.flat_posts(event_fact(spark, sf_dir))), k=3)
+    return ranking.top_tags_per_hour(counts.top_tags(event_fact(spark, sf_dir)), k=3)
 
 
 @query("distinct_by_group", _with(_FLAT) + "SELECT DISTINCT tickers, month, day FROM top_tags")
 def distinct_by_group(spark, sf_dir):
     """Group-by without aggregate: the (ticker, month, day) keys of the top-tag table."""
-    return counts.distinct_by_group(counts.top_tags(counts.flat_posts(event_fact(spark, sf_dir))),
+    return counts.distinct_by_group(counts.top_tags(event_fact(spark, sf_dir)),
                                     ["tickers", "month", "day"])
 
 
@@ -230,11 +243,11 @@ def explode_pairs(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("hourly_tags_clean", _with(_PAIRS_SQL) + "SELECT t_hour, tag, ref_tag, cnt FROM hourly")
+@query("hourly_tags_clean", _with(_PAIRS_SQL) + "SELECT t_hour, tag, ref_tag, cnt FROM hourly WHERE ref_tag <> 'K9'")
 def hourly_tags_clean(spark, sf_dir):
-    """Count every hourly pair first, then drop NULL parts and the stop tag
+    """Count every hourly pair first, then drop NULL parts and a stop tag that occurs
     (the filter on grouping keys is moved below the aggregate by Catalyst)."""
-    return counts.clean_hourly(counts.pair_counts_hourly(event_fact(spark, sf_dir)))
+    return counts.clean_hourly(counts.pair_counts_hourly(event_fact(spark, sf_dir)), stop_tag="K9")
 
 
 @query("drop_self_tags", _with(_FLAT) + """

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.timeparts import epoch_millis_parts
 from ..operators import counts, market, ranking
+from ..session import scratch_path
+from ..sinks.tables import publish_bars, read_table
 from ..sources import driver_tables as dt
 from ..sources.bars import normalise_hourly
 from . import sql as S
@@ -36,26 +38,33 @@ daily AS (
          open, high, low, close, volume FROM db)"""
 
 _TAGTEXT = """
-flat AS (SELECT month, day, hour, coalesce(array_to_string(tickers, ','), '') AS tickers,
+flat AS (SELECT date, month, day, hour, coalesce(array_to_string(tickers, ','), '') AS tickers,
                 coalesce(array_to_string(tags, ','), '') AS tags FROM ev_fact),
-ex1 AS (SELECT month, day, hour, unnest(string_split(tickers, ',')) AS tickers, tags FROM flat),
-ex2 AS (SELECT month, day, hour, tickers, unnest(string_split(tags, ',')) AS tags FROM ex1),
-top_tags AS (SELECT tickers, month, day, hour, tags, count(tags) AS times FROM ex2
-             WHERE tags <> '' AND tags <> tickers GROUP BY tickers, month, day, hour, tags),
-top3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tickers, month, day, hour
+ex1 AS (SELECT date, month, day, hour, unnest(string_split(tickers, ',')) AS tickers, tags FROM flat),
+ex2 AS (SELECT date, month, day, hour, tickers, unnest(string_split(tags, ',')) AS tags FROM ex1),
+top_tags AS (SELECT tickers, date, month, day, hour, tags, count(tags) AS times FROM ex2
+             WHERE tags <> '' AND tags <> tickers GROUP BY tickers, date, month, day, hour, tags),
+top3 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tickers, date, hour
                                                       ORDER BY times DESC, tags ASC) AS rank FROM top_tags)
          WHERE rank <= 3),
-tag_text AS (SELECT tickers AS ticker, month, day, hour,
+tag_text AS (SELECT tickers AS ticker, date, month, day, hour,
                     string_agg('#' || tags || ': ' || CAST(times AS VARCHAR) || ', ', '' ORDER BY rank) AS times
-             FROM top3 GROUP BY 1, 2, 3, 4)"""
+             FROM top3 GROUP BY 1, 2, 3, 4, 5)"""
 
 
 def _ticks(spark, sf_dir):
     return dt.event_ticks(table(spark, sf_dir, "events"))
 
 
+def _published_bars(spark, sf_dir) -> str:
+    """Both bar tables published in a folder of their own; returns its path."""
+    base = scratch_path(spark, "bars")
+    publish_bars(_ticks(spark, sf_dir), base)
+    return base
+
+
 def _tag_text(spark, sf_dir):
-    top = counts.top_tags(counts.flat_posts(event_fact(spark, sf_dir)))
+    top = counts.top_tags(event_fact(spark, sf_dir))
     return market.hour_tag_text(ranking.top_tags_per_hour(top, k=3))
 
 
@@ -72,14 +81,14 @@ def ohlcv_daily(spark, sf_dir):
 
 @query("hour_tag_text", S.with_(S.EV_POSTS, _TAGTEXT) + "SELECT * FROM tag_text")
 def hour_tag_text(spark, sf_dir):
-    """Top-3 tag text per (ticker, month, day, hour)."""
+    """Top-3 tag text per (ticker, date, hour)."""
     return _tag_text(spark, sf_dir)
 
 
 @query("price_with_tags", S.with_(S.EV_POSTS, _TAGTEXT, _HOURLY) + """
 SELECT h.ticker, h.month, h.day, h.hour, h.date, h.open, h.high, h.low, h.close, h.volume,
        coalesce(t.times, '') AS times
-FROM hourly h LEFT JOIN tag_text t USING (ticker, month, day, hour)""")
+FROM hourly h LEFT JOIN tag_text t ON t.ticker = h.ticker AND t.date = h.date AND t.hour = h.hour""")
 def price_with_tags(spark, sf_dir):
     return market.price_with_tags(market.hourly_bars(_ticks(spark, sf_dir)), _tag_text(spark, sf_dir))
 
@@ -98,13 +107,13 @@ def hourly_with_daily_close(spark, sf_dir):
 @query("price_day_view", S.with_(S.EV_POSTS, _TAGTEXT, _HOURLY, _DAILY) + """
 SELECT h.ticker, h.date, h.month, h.day, h.hour, h.open, h.high, h.low, h.close, h.volume,
        coalesce(t.times, '') AS times, coalesce(d.close, 0.0) AS daily_close
-FROM hourly h LEFT JOIN tag_text t USING (ticker, month, day, hour)
+FROM hourly h LEFT JOIN tag_text t ON t.ticker = h.ticker AND t.date = h.date AND t.hour = h.hour
 LEFT JOIN daily d ON d.ticker = h.ticker AND d.date = h.date""")
 def price_day_view(spark, sf_dir):
-    """Bars + hour tag text + daily close for every (ticker, date) at once."""
-    hourly = market.hourly_bars(_ticks(spark, sf_dir))
-    view = market.price_with_tags(hourly, _tag_text(spark, sf_dir))
-    return market.with_daily_close(view, market.daily_from_hourly(hourly)).select(
+    """Published bars + hour tag text + daily close for every (ticker, date) at once."""
+    base = _published_bars(spark, sf_dir)
+    view = market.price_with_tags(read_table(spark, "stocks_hourly", base), _tag_text(spark, sf_dir))
+    return market.with_daily_close(view, read_table(spark, "stocks_monthly", base)).select(
         "ticker", "date", "month", "day", "hour", "open", "high", "low", "close", "volume",
         "times", "daily_close")
 
@@ -114,11 +123,13 @@ def price_day_view(spark, sf_dir):
 mh AS (SELECT ticker, t_hour, count(*) AS mentions FROM m WHERE ticker IS NOT NULL GROUP BY 1, 2),
 hb AS (SELECT ticker, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS t_hour, arg_max(price, row(ts, seq)) AS close
        FROM ticks GROUP BY 1, 2),
-j AS (SELECT * FROM mh JOIN hb USING (ticker, t_hour))
+j AS (SELECT ticker, t_hour, coalesce(mentions, 0) AS mentions, close FROM hb LEFT JOIN mh USING (ticker, t_hour)),
+w AS (SELECT *, lag(t_hour) OVER p AS pt, lag(close) OVER p AS pc, lag(mentions) OVER p AS pm FROM j
+      WINDOW p AS (PARTITION BY ticker ORDER BY t_hour))
 SELECT ticker, t_hour, mentions, close,
-       close - lag(close) OVER (PARTITION BY ticker ORDER BY t_hour) AS price_change,
-       mentions - lag(mentions) OVER (PARTITION BY ticker ORDER BY t_hour) AS mention_change
-FROM j""")
+       CASE WHEN pt = t_hour - INTERVAL 1 HOUR THEN close - pc END AS price_change,
+       CASE WHEN pt = t_hour - INTERVAL 1 HOUR THEN mentions - pm END AS mention_change
+FROM w""")
 def popularity_vs_price(spark, sf_dir):
     return market.popularity_vs_price(event_fact(spark, sf_dir), _ticks(spark, sf_dir))
 
@@ -126,15 +137,20 @@ def popularity_vs_price(spark, sf_dir):
 @query("bars_point_lookup", S.with_(_HOURLY) + """
 SELECT * FROM hourly WHERE ticker = 'VIEW' AND month = 1 AND day = 15""")
 def bars_point_lookup(spark, sf_dir):
-    """Hourly bars of one (ticker, month, day)."""
-    b = market.hourly_bars(_ticks(spark, sf_dir))
-    return b.where((F.col("ticker") == "VIEW") & (F.col("month") == 1) & (F.col("day") == 15))
+    """Hourly bars of one (ticker, month, day) from the published table; the day picks its folders."""
+    b = read_table(spark, "stocks_hourly", _published_bars(spark, sf_dir))
+    return _in_order(b.where((F.col("ticker") == "VIEW") & (F.month("date") == 1) & (F.dayofmonth("date") == 15)))
+
+
+def _in_order(bars):
+    return bars.select("ticker", "date", "month", "day", "hour", "open", "high", "low", "close", "volume")
 
 
 @query("date_prefix_filter", S.with_(_HOURLY) + """
 SELECT * FROM hourly WHERE CAST(date AS VARCHAR) LIKE '2024-01-17%'""")
 def date_prefix_filter(spark, sf_dir):
-    return market.date_filter(market.hourly_bars(_ticks(spark, sf_dir)), "2024-01-17")
+    """Published hourly bars of one date prefix: only its folders are read."""
+    return _in_order(market.date_filter(read_table(spark, "stocks_hourly", _published_bars(spark, sf_dir)), "2024-01-17"))
 
 
 @query("bars_universe", S.with_(S.EV_POSTS, _TICKS, _DAILY) + """

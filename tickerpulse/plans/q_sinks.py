@@ -97,12 +97,15 @@ def write_bars_json_q(spark, sf_dir):
 
 
 @query("write_rolled", S.with_(S.EV_POSTS) + """
-SELECT date, count(*) AS rows FROM ev_fact GROUP BY date""")
+SELECT date, count(*) AS rows, CAST(sum(like_count) AS BIGINT) AS likes, CAST(sum(length(text)) AS BIGINT) AS chars
+FROM ev_fact GROUP BY date""")
 def write_rolled_q(spark, sf_dir):
-    """Post fact in date folders of at most 500 rows per file; rows per date read back."""
+    """Post fact as JSON files rolled at a byte size in date folders; rows and sums per date read back."""
     path = scratch_path(spark, "rolled")
-    write_rolled(event_fact(spark, sf_dir).drop("tickers", "tags"), path, 500, "date")
-    return spark.read.parquet(path).groupBy("date").agg(F.count(F.lit(1)).alias("rows"))
+    fact = event_fact(spark, sf_dir).select("id", "text", "like_count", "date")
+    write_rolled(fact, path)
+    return spark.read.schema(fact.schema).json(path).groupBy("date").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("like_count").alias("likes"), F.sum(F.length("text")).alias("chars"))
 
 
 @query("read_bars", S.with_(_TICKS, _DAILY) + "SELECT * FROM daily")

@@ -21,8 +21,14 @@ def _event_envelopes(spark, sf_dir):
     return env.envelopes_from_posts(dt.event_posts(table(spark, sf_dir, "events")))
 
 
-def _conv_envelopes(spark, sf_dir):
-    return env.envelopes_from_posts(conversation_posts(spark, sf_dir), context_col="tweets")
+def _conv_envelopes(spark, sf_dir, users: bool = False):
+    posts = conversation_posts(spark, sf_dir)
+    if users:  # a user record for every turn, a place for some
+        posts = posts.withColumn("users", F.array(F.struct(F.col("author_id").alias("id"), F.lit(None).cast("string").alias("created_at"),
+                                                           (F.col("turn") % 2 == 0).alias("verified")))) \
+            .withColumn("places", F.when(F.col("turn") % 3 == 0, F.array(F.struct(
+                F.lit("p").alias("id"), F.lit("place").alias("full_name"), F.col("author_id").alias("country")))))
+    return env.envelopes_from_posts(posts, context_col="tweets")
 
 
 _ISO = "strftime(created_at, '%Y-%m-%dT%H:%M:%S.%g') || 'Z'"
@@ -47,15 +53,18 @@ def flatten_no_context(spark, sf_dir):
         .select("id", "author_id", "created_at", "text")
 
 
-@query("ingest_projection", S.with_(S.EV_POSTS) + f"""
-SELECT id, author_id, {_ISO} AS created_at, like_count, CAST(NULL AS VARCHAR[]) AS referenced_ids FROM ev_posts""",
-       texts=("referenced_ids",))
+@query("ingest_projection", S.with_(S.CONV_POSTS) + """
+SELECT id, author_id, conversation_id, text, retweet_count, list_transform(tweets, lambda t: t.id) AS referenced_ids,
+       CASE WHEN turn % 2 = 0 THEN ['true'] ELSE ['false'] END AS users_verified,
+       CASE WHEN turn % 3 = 0 THEN [author_id] END AS place_countries FROM conv_posts""",
+       texts=("referenced_ids", "users_verified", "place_countries"))
 def ingest_projection(spark, sf_dir):
-    """The collector's field selection over nested tweet records."""
-    t = env.explode_tweets(_event_envelopes(spark, sf_dir))
-    p = env.ingest_projection(t)
-    return p.select("id", "author_id", "created_at",
-                    F.col("public_metrics.like_count").alias("like_count"), "referenced_ids")
+    """The collector's field selection over nested tweet records: tweet fields,
+    referenced tweets, verified flags of the users, countries of the places."""
+    env_df = _conv_envelopes(spark, sf_dir, users=True)
+    p = env.ingest_projection(env.explode_tweets(env_df))
+    return p.select("id", "author_id", "conversation_id", "text", F.col("public_metrics.retweet_count").alias("retweet_count"),
+                    "referenced_ids", F.transform("users_verified", lambda v: v.cast("string")).alias("users_verified"), "place_countries")
 
 
 @query("expand_metrics", S.with_(S.EV_POSTS) + f"""
@@ -108,7 +117,7 @@ def page_links_q(spark, sf_dir):
 
 
 _CELL_RE = '<li><a href="[^"]*">([^<]*)</a></li>'
-_SENTINEL = "S&P 500"
+_SENTINEL = "the"  # a cell text that pages have
 
 
 @query("page_cells", f"""

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ranking
 from ..operators import rules as R
-from ..operators.identify import bounded_values, identify_and_tag
+from ..operators.identify import identify_and_tag
 from ..session import scratch_path
 from ..sources import driver_tables as dt
 from ..sources import envelopes as env
@@ -21,12 +21,12 @@ DOC = S.with_(S.PG_UNIVERSE, S.DOC_FACT)
 
 @query("stream_identify", DOC + "SELECT id, tickers, tags FROM doc_fact", texts=("tickers", "tags"))
 def stream_identify(spark, sf_dir):
-    """Documents as a stream: tag, identify against the listing symbols
-    (a size-checked literal set), extract tags; file sink, checkpointed."""
-    u = bounded_values(page_universe(spark, sf_dir), 20000)
+    """Documents as a stream: each micro-batch is identified against the
+    listing symbols (a join) and tagged; checkpointed."""
+    universe = page_universe(spark, sf_dir)
     posts = dt.document_posts(jobs.table_stream(spark, sf_dir, "documents"))
-    out = identify_and_tag(posts, u).select("id", "tickers", "tags")
-    return jobs.run_available_now(out, "stream-identify")
+    return jobs.run_available_now(posts, "stream-identify", per_batch=lambda b: identify_and_tag(b, universe)
+                                  .select("id", "tickers", "tags"))
 
 
 _MENTIONS = """
@@ -34,54 +34,44 @@ m AS (SELECT upper(event_type) AS ticker, ts FROM events),
 c AS (SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS t_hour, ticker, count(*) AS cnt FROM m GROUP BY 1, 2)"""
 
 
-@query("stream_hourly_counts", S.with_(_MENTIONS) + """
-SELECT t_hour, ticker, cnt FROM c
-WHERE t_hour + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)""")
-def stream_hourly_counts(spark, sf_dir):
-    """Tumbling hourly counts per symbol with a one-hour watermark, append
-    mode: each window is written once, when the watermark closes it, and
-    its state is dropped. Windows still open at the end are not written."""
+def _mention_stream(spark, sf_dir):
     ev = jobs.table_stream(spark, sf_dir, "events")
-    m = ev.select(F.upper("event_type").alias("ticker"), F.col("ts").alias("created_at"))
-    return jobs.run_available_now(jobs.hourly_counts(m), "stream-hourly")
+    return ev.select(F.upper("event_type").alias("ticker"), F.col("ts").alias("created_at"))
+
+
+@query("stream_hourly_counts", S.with_(_MENTIONS) + "SELECT t_hour, ticker, cnt FROM c")
+def stream_hourly_counts(spark, sf_dir):
+    """Hourly counts per symbol: a partial count per hour and micro-batch,
+    added up, so late rows and open hours are counted."""
+    return jobs.totals(jobs.run_available_now(_mention_stream(spark, sf_dir), "stream-hourly",
+                                              per_batch=jobs.hourly_partials))
 
 
 @query("stream_top_hourly", S.with_(_MENTIONS) + """
-, closed AS (SELECT * FROM c WHERE t_hour + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events))
 SELECT t_hour, ticker, cnt, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY t_hour ORDER BY cnt DESC, ticker ASC) AS rank FROM closed)
+  SELECT *, row_number() OVER (PARTITION BY t_hour ORDER BY cnt DESC, ticker ASC) AS rank FROM c)
 WHERE rank <= 3""")
 def stream_top_hourly(spark, sf_dir):
-    """Top-3 symbols of every closed hour on a stream: watermarked counts in
-    append mode (a window is emitted once, complete), ranked per window in
-    ``foreachBatch``."""
-    ev = jobs.table_stream(spark, sf_dir, "events")
-    m = ev.select(F.upper("event_type").alias("ticker"), F.col("ts").alias("created_at"))
-
-    def rank(batch):
-        return ranking.top_k_per(batch, ["t_hour"], [F.desc("cnt"), F.asc("ticker")], 3)
-
-    return jobs.run_available_now(jobs.hourly_counts(m), "stream-top", per_batch=rank)
+    """Top-3 symbols of every hour from the streamed counts."""
+    counts = jobs.totals(jobs.run_available_now(_mention_stream(spark, sf_dir), "stream-top",
+                                                per_batch=jobs.hourly_partials))
+    return ranking.top_k_per(counts, ["t_hour"], [F.desc("cnt"), F.asc("ticker")], 3)
 
 
 @query("stream_publish", S.with_(_MENTIONS) + "SELECT t_hour, ticker, cnt FROM c")
 def stream_publish(spark, sf_dir):
-    """Hourly counts in complete mode published per micro-batch with
-    ``foreachBatch`` (idempotent overwrite of the batch's own folder)."""
-    ev = jobs.table_stream(spark, sf_dir, "events")
-    m = ev.select(F.upper("event_type").alias("ticker"), F.col("ts").alias("created_at"))
-    return jobs.run_available_now(jobs.hourly_counts(m), "stream-publish", output_mode="complete")
+    """A published table of hourly counts by date; a micro-batch replaces only the days it touches."""
+    return jobs.run_counts_by_day(_mention_stream(spark, sf_dir), "stream-publish")
 
 
 @query("stream_dedup", """
-SELECT DISTINCT user_id, upper(event_type) AS ticker, 'K' || json_extract_string(props, '$.k') AS tag FROM events""")
+SELECT DISTINCT CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS id, CAST(ts AS DATE) AS date FROM events""")
 def stream_dedup(spark, sf_dir):
-    """First mention of each (user, symbol, tag) within the watermark delay."""
+    """One row per post id: every event of a user's day delivers the day's post again."""
     ev = jobs.table_stream(spark, sf_dir, "events")
-    m = ev.select("user_id", F.upper("event_type").alias("ticker"),
-                  F.concat(F.lit("K"), F.get_json_object("props", "$.k")).alias("tag"), "ts")
-    d = jobs.dedup(m, ["user_id", "ticker", "tag"], "ts", "30 days")
-    return jobs.run_available_now(d.select("user_id", "ticker", "tag"), "stream-dedup")
+    posts = ev.select(F.concat_ws("-", F.col("user_id").cast("string"), F.date_format("ts", "yyyyMMdd")).alias("id"),
+                      F.to_date("ts").alias("date"))
+    return jobs.run_dedup(posts, "stream-dedup", ["id"], "date")
 
 
 @query("stream_rule_filter", S.with_(S.PG_UNIVERSE, _LISTING_SQL) + f"""
@@ -90,7 +80,7 @@ cand AS (SELECT id, unnest(list_distinct({S.cands('text')})) AS symbol FROM d)
 SELECT id, symbol FROM cand WHERE symbol IN (SELECT unnest(symbols) FROM rules)""")
 def stream_rule_filter(spark, sf_dir):
     """Stream-static semi join: (document, symbol) for symbols of the listing rules."""
-    rules = R.build_rules(_listing(spark, sf_dir), k=6)
+    rules = R.build_rules(_listing(spark, sf_dir), k=2)
     posts = dt.document_posts(jobs.table_stream(spark, sf_dir, "documents"))
     hits = jobs.rule_hits(posts, R.rule_symbols(rules))
     return jobs.run_available_now(hits.select("id", "symbol"), "stream-rules")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..constants import SPAM_RULES
+from ..constants import RULE_SIZE_CASHTAG, RULE_SIZE_HASHTAG
 from ..functions import entities as E
 from ..operators import counts, quality
 from ..operators import rules as R
 from ..operators.context import conversation_context
 from ..operators.facts import union_sources
-from ..operators.identify import bounded_broadcast, bounded_values, identify_posts
+from ..operators.identify import identify_posts, non_symbol_tag_posts
+from ..session import staged
 from ..sources import driver_tables as dt
 from ..sources.webpages import page_links, symbol_rows
 from . import sql as S
@@ -25,13 +26,6 @@ def _conv(strict=False, *extra):
     return S.with_(S.PG_UNIVERSE, S.CONV_POSTS, S.conv_fact(strict), *extra)
 
 
-def _universe_list(spark, sf_dir):
-    vals = bounded_values(page_universe(spark, sf_dir), 20000)
-    if vals is None:
-        raise ValueError("listing universe exceeds the literal bound")
-    return vals
-
-
 @query("identify_tickers", _conv() + "SELECT id, tickers FROM conv_fact", texts=("tickers",))
 def identify_tickers(spark, sf_dir):
     """Symbols of each turn from its text and the turn it answers (default mode)."""
@@ -46,10 +40,9 @@ def identify_tickers_strict(spark, sf_dir):
 
 @query("identify_tickers_join", _conv() + "SELECT id, tickers FROM conv_fact", texts=("tickers",))
 def identify_tickers_join(spark, sf_dir):
-    """Same result through the join form (universe kept as a DataFrame)."""
+    """Same result from the listing rows themselves, each symbol as often as it is listed."""
     posts = conversation_posts(spark, sf_dir)
-    return identify_posts(posts, page_universe(spark, sf_dir), context_col="tweets",
-                          max_literal=0).select("id", "tickers")
+    return identify_posts(posts, symbol_rows(table(spark, sf_dir, "pages")), context_col="tweets").select("id", "tickers")
 
 
 @query("extract_hashtags", DOC + "SELECT id, tags FROM doc_fact", texts=("tags",))
@@ -69,20 +62,17 @@ def extract_cashtags(spark, sf_dir):
 
 def _non_symbol_sql():
     tok = r"regexp_extract_all(text, '#([\p{L}\p{N}_]+\|?)', 1)"
-    lead = r"regexp_extract(t, '^([A-Za-z]*)', 1)"
-    is_sym = (f"(length({lead}) > 0 AND list_contains(pg_universe.u, upper({lead})) "
-              f"AND substring(t, length({lead}) + 1, 1) <> '|')")
-    kept = f"list_filter({tok}, lambda t: NOT {is_sym})"
+    is_sym = f"list_has_any({S.beginnings('t')}, pg_universe.u)"
     clean = S.up(r"regexp_replace(t, '\|$', '')")
-    return f"coalesce(list_transform({kept}, lambda t: {clean}), [])"
+    return f"coalesce(list_transform(list_filter({tok}, lambda t: NOT {is_sym}), lambda t: {clean}), [])"
 
 
 @query("non_ticker_tags", DOC + f"SELECT id, {_non_symbol_sql()} AS tags FROM doc_fact, pg_universe",
        texts=("tags",))
 def non_ticker_tags(spark, sf_dir):
     """Hashtags of each document that do not name a listing symbol."""
-    u = _universe_list(spark, sf_dir)
-    return document_tags(spark, sf_dir).select("id", E.non_symbol_tags("text", u).alias("tags"))
+    posts = dt.document_posts(table(spark, sf_dir, "documents")).select("id", "text")
+    return non_symbol_tag_posts(posts, page_universe(spark, sf_dir)).select("id", "tags")
 
 
 def _rule_sql(rule):
@@ -95,39 +85,42 @@ def _rule_sql(rule):
     return f"(NOT list_contains(tickers, '{sym}') OR " + " AND ".join(parts) + ")"
 
 
-_RA, _RB, _RC = SPAM_RULES
+#: The rules are parameters; these name symbols, tags and beginnings that event posts have.
+EVENT_RULES = (("VIEW", ("K1", "K9", "K15"), None), ("CLICK", None, "#K1"), ("ERROR", ("K2", "K36"), None))
+_RA, _RB, _RC = EVENT_RULES
+_EV = S.with_(S.EV_POSTS)
 
 
-@query("spam_tag_filter", _conv(True) + f"SELECT id FROM conv_fact WHERE {_rule_sql(_RA)}")
+@query("spam_tag_filter", _EV + f"SELECT id FROM ev_fact WHERE {_rule_sql(_RA)}")
 def spam_tag_filter(spark, sf_dir):
-    return quality.apply_rules(conversation_fact(spark, sf_dir, strict_compat=True), [_RA]).select("id")
+    return quality.apply_rules(event_fact(spark, sf_dir), [_RA]).select("id")
 
 
-@query("spam_text_filter", _conv(True) + f"SELECT id FROM conv_fact WHERE {_rule_sql(_RB)}")
+@query("spam_text_filter", _EV + f"SELECT id FROM ev_fact WHERE {_rule_sql(_RB)}")
 def spam_text_filter(spark, sf_dir):
-    return quality.apply_rules(conversation_fact(spark, sf_dir, strict_compat=True), [_RB]).select("id")
+    return quality.apply_rules(event_fact(spark, sf_dir), [_RB]).select("id")
 
 
-@query("spam_pair_filter", _conv(True) + f"SELECT id FROM conv_fact WHERE {_rule_sql(_RC)}")
+@query("spam_pair_filter", _EV + f"SELECT id FROM ev_fact WHERE {_rule_sql(_RC)}")
 def spam_pair_filter(spark, sf_dir):
-    return quality.apply_rules(conversation_fact(spark, sf_dir, strict_compat=True), [_RC]).select("id")
+    return quality.apply_rules(event_fact(spark, sf_dir), [_RC]).select("id")
 
 
-@query("spam_rules_all", _conv(True) + "SELECT id FROM conv_fact WHERE "
-       + " AND ".join(_rule_sql(r) for r in SPAM_RULES))
+@query("spam_rules_all", _EV + "SELECT id FROM ev_fact WHERE "
+       + " AND ".join(_rule_sql(r) for r in EVENT_RULES))
 def spam_rules_all(spark, sf_dir):
-    return quality.apply_rules(conversation_fact(spark, sf_dir, strict_compat=True)).select("id")
+    return quality.apply_rules(event_fact(spark, sf_dir), EVENT_RULES).select("id")
 
 
-@query("filter_audit", _conv(True) + f"""
+@query("filter_audit", _EV + f"""
 SELECT count(*) AS rows_in,
        count(*) FILTER (WHERE {_rule_sql(_RA)}) AS after_rule_1,
        count(*) FILTER (WHERE {_rule_sql(_RA)} AND {_rule_sql(_RB)}) AS after_rule_2,
        count(*) FILTER (WHERE {_rule_sql(_RA)} AND {_rule_sql(_RB)} AND {_rule_sql(_RC)}) AS after_rule_3
-FROM conv_fact""")
+FROM ev_fact""")
 def filter_audit(spark, sf_dir):
     """Rows before and after each spam rule, one pass."""
-    return quality.filter_audit(conversation_fact(spark, sf_dir, strict_compat=True))
+    return quality.filter_audit(event_fact(spark, sf_dir), EVENT_RULES)
 
 
 @query("posts_about", S.with_(S.EV_POSTS) + "SELECT id, tickers FROM ev_fact WHERE list_contains(tickers, 'VIEW')",
@@ -137,18 +130,15 @@ def posts_about(spark, sf_dir):
 
 
 def _symbol_side(spark, sf_dir):
-    """The listing symbols as a join side: the distinct set broadcast when a
-    row count proves it small, else the plain listing rows (a semi / anti
-    join needs no distinct, and a non-aggregated side lets AQE split a hot tag)."""
-    rows = symbol_rows(table(spark, sf_dir, "pages")).withColumnRenamed("symbol", "tag")
-    return bounded_broadcast(rows.distinct(), 100000, fallback=rows)
+    """The listing rows as a join side: a semi / anti join needs no distinct,
+    and a non-aggregated side lets AQE split a hot tag."""
+    return symbol_rows(table(spark, sf_dir, "pages")).withColumnRenamed("symbol", "tag")
 
 
 @query("universe_semi", DOC + """
 SELECT id, tag FROM (SELECT id, unnest(tags) AS tag FROM doc_fact) WHERE tag IN (SELECT symbol FROM pg_symbols)""")
 def universe_semi(spark, sf_dir):
-    """(document, tag) rows whose tag is a listing symbol: semi join, the
-    symbol side broadcast only after a row-count check."""
+    """(document, tag) rows whose tag is a listing symbol: semi join."""
     t = document_tags(spark, sf_dir).select("id", F.explode("tags").alias("tag"))
     return t.join(_symbol_side(spark, sf_dir), "tag", "left_semi")
 
@@ -164,7 +154,7 @@ def universe_anti(spark, sf_dir):
 SELECT upper(tag) AS tag, count(*) AS cnt FROM (SELECT unnest(tags) AS tag FROM doc_fact WHERE len(tags) > 0)
 GROUP BY 1 HAVING upper(tag) IN (SELECT symbol FROM pg_symbols)""")
 def tag_freq_universe(spark, sf_dir):
-    return counts.tag_freq_universe(document_tags(spark, sf_dir), _universe_list(spark, sf_dir))
+    return counts.tag_freq_universe(document_tags(spark, sf_dir), page_universe(spark, sf_dir))
 
 
 _EV_ANY = """
@@ -183,11 +173,7 @@ def _event_any_tags(spark, sf_dir):
 
 
 def _event_universe(spark, sf_dir):
-    ev = table(spark, sf_dir, "events")
-    vals = bounded_values(dt.event_symbols(ev), 20000)
-    if vals is None:
-        raise ValueError("event universe exceeds the literal bound")
-    return vals
+    return dt.event_symbols(table(spark, sf_dir, "events"))
 
 
 @query("dedup_statistics", S.with_(S.EV_POSTS, _EV_ANY) + """
@@ -219,7 +205,7 @@ SELECT p.id, coalesce(c.t, []) AS tickers FROM conv_posts p LEFT JOIN per_conv c
 def conversation_context_q(spark, sf_dir):
     """Symbols of a turn from the whole conversation it belongs to."""
     posts = dt.conversation_turns(table(spark, sf_dir, "conversations"))
-    return conversation_context(posts, _universe_list(spark, sf_dir)).select("id", "tickers")
+    return conversation_context(posts, page_universe(spark, sf_dir)).select("id", "tickers")
 
 
 _UNION_SQL = S.with_(S.PG_UNIVERSE, S.DOC_FACT, S.CONV_POSTS, S.conv_fact()) + """
@@ -250,19 +236,27 @@ def freq_by_source(spark, sf_dir):
 
 
 _LISTING_SQL = """
-listing AS (SELECT page_id, CAST((pos - 1) / 2 AS BIGINT) AS rank, upper(link) AS symbol FROM pg_links
-            WHERE regexp_full_match(link, '[A-Za-z]+')),
+listing AS (SELECT page_id, CAST((pos - 1) / 2 AS BIGINT) AS rank, """ + S.up("link") + """ AS symbol FROM pg_links
+            WHERE trim(link) <> ''),
 rules AS (
-  SELECT page_id, CAST(floor(rank / 6) AS BIGINT) AS rule_no,
+  SELECT page_id, CAST(floor(rank / 2) AS BIGINT) AS rule_no,
          list(symbol ORDER BY rank) AS symbols,
          array_to_string(list('$' || symbol ORDER BY rank), ' OR ') AS value
   FROM listing GROUP BY 1, 2
 )"""
 
 
+_GLOBAL_LISTING_SQL = """
+first AS (SELECT symbol, page_id, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY page_id, rank) AS rn FROM listing) WHERE rn = 1),
+glisting AS (SELECT CAST(0 AS BIGINT) AS page_id,
+                    CAST(row_number() OVER (ORDER BY page_id, rank, symbol) - 1 AS BIGINT) AS rank, symbol FROM first),
+grules AS (SELECT page_id, CAST(floor(rank / 6) AS BIGINT) AS rule_no, symbol FROM glisting)"""
+
+
 def _listing(spark, sf_dir):
     links = page_links(table(spark, sf_dir, "pages"))
-    return links.where(F.col("link").rlike("^[A-Za-z]+$")).select(
+    return links.where(F.trim("link") != "").select(
         "page_id", ((F.col("pos") - 1) / 2).cast("bigint").alias("rank"),
         F.upper("link").alias("symbol"))
 
@@ -270,16 +264,21 @@ def _listing(spark, sf_dir):
 @query("build_rules", S.with_(S.PG_UNIVERSE, _LISTING_SQL) + "SELECT page_id, rule_no, symbols, value FROM rules",
        texts=("symbols",))
 def build_rules(spark, sf_dir):
-    """Symbols of each listing page in order, 6 per ``$``-prefixed OR rule."""
-    return R.build_rules(_listing(spark, sf_dir), k=6, prefix="$")
+    """Symbols of each listing page in order, 2 per ``$``-prefixed OR rule (pages have up to three)."""
+    return R.build_rules(_listing(spark, sf_dir), k=2, prefix="$")
 
 
-_GLOBAL_LISTING_SQL = """
-first AS (SELECT symbol, page_id, rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY page_id, rank) AS rn FROM listing) WHERE rn = 1),
-glisting AS (SELECT CAST(0 AS BIGINT) AS page_id,
-                    CAST(row_number() OVER (ORDER BY page_id, rank) - 1 AS BIGINT) AS rank, symbol FROM first),
-grules AS (SELECT page_id, CAST(floor(rank / 6) AS BIGINT) AS rule_no, symbol FROM glisting)"""
+@query("build_rules_global", S.with_(S.PG_UNIVERSE, _LISTING_SQL, _GLOBAL_LISTING_SQL) + """
+SELECT 6 AS k, CAST(floor(rank / 6) AS BIGINT) AS rule_no, array_to_string(list('$' || symbol ORDER BY rank), ' OR ') AS value
+FROM glisting GROUP BY 2
+UNION ALL SELECT 17, CAST(floor(rank / 17) AS BIGINT), array_to_string(list('#' || symbol ORDER BY rank), ' OR ')
+FROM glisting GROUP BY 2""")
+def build_rules_global(spark, sf_dir):
+    """The rules of both collectors over the whole listing: 6 cashtags and 17 hashtags a rule."""
+    listing = staged(R.global_listing(_listing(spark, sf_dir)), "listing")
+    parts = [R.build_rules(listing, k, prefix).select(F.lit(k).alias("k"), "rule_no", "value")
+             for k, prefix in ((RULE_SIZE_CASHTAG, "$"), (RULE_SIZE_HASHTAG, "#"))]
+    return parts[0].unionByName(parts[1])
 
 
 @query("rule_match", S.with_(S.PG_UNIVERSE, _LISTING_SQL, _GLOBAL_LISTING_SQL, S.CONV_POSTS) + f"""
@@ -297,15 +296,20 @@ def rule_match(spark, sf_dir):
 rs AS (SELECT DISTINCT unnest(symbols) AS symbol FROM rules)
 SELECT id FROM conv_posts WHERE id IN (SELECT id FROM cand JOIN rs USING (symbol))""")
 def rule_semi(spark, sf_dir):
-    rules = R.build_rules(_listing(spark, sf_dir), k=6)
+    rules = R.build_rules(_listing(spark, sf_dir), k=2)
     return R.rule_semi(conversation_posts(spark, sf_dir), rules).select("id")
 
 
 @query("sql_identify", DOC + "SELECT id, tickers, tags FROM doc_fact", texts=("tickers", "tags"))
 def sql_identify(spark, sf_dir):
-    """Identification and tags written in Spark SQL with the library's SQL
-    functions (registered with the listing symbols) over a view of the posts."""
+    """Identification and tags written in Spark SQL: the library's SQL functions
+    over a view of the posts, and a semi join with a view of the listing symbols."""
     from ..functions.sql_functions import register_sql_functions
-    register_sql_functions(spark, _universe_list(spark, sf_dir), prefix="tpl_")
+    register_sql_functions(spark, prefix="tpl_")
     dt.document_posts(table(spark, sf_dir, "documents")).createOrReplaceTempView("tpl_documents")
-    return spark.sql("SELECT id, tpl_identify(text) AS tickers, tpl_hashtags(text) AS tags FROM tpl_documents")
+    symbol_rows(table(spark, sf_dir, "pages")).createOrReplaceTempView("tpl_symbols")
+    return spark.sql("""
+        WITH c AS (SELECT id, tpl_candidates(text) AS cands, tpl_hashtags(text) AS tags FROM tpl_documents),
+        k AS (SELECT cands, x AS symbol FROM (SELECT DISTINCT cands FROM c) LATERAL VIEW explode(cands) AS x),
+        t AS (SELECT cands, array_sort(collect_set(symbol)) AS tickers FROM k LEFT SEMI JOIN tpl_symbols USING (symbol) GROUP BY cands)
+        SELECT id, coalesce(tickers, CAST(array() AS ARRAY<STRING>)) AS tickers, tags FROM c LEFT JOIN t USING (cands)""")

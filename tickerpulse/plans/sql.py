@@ -7,7 +7,7 @@ the oracle maps it back so both sides follow the Python rule.
 
 from __future__ import annotations
 
-CAND = r"'[$#＃]([A-Za-z]+\|?)'"
+RUN = r"'[$#＃]([^\s$#＃]+)'"
 HASH = r"'#([\p{L}\p{N}_]+)'"
 CASH = r"'\$([\p{L}\p{N}_]+)'"
 TAGW = r"'(\p{L}{6,})'"
@@ -18,8 +18,13 @@ def up(x: str) -> str:
     return f"replace(upper({x}), 'ẞ', 'SS')"
 
 
+def beginnings(r: str) -> str:
+    return (f"list_transform(list_filter(range(1, CAST(length({r}) AS BIGINT) + 1), lambda i: i = length({r}) "
+            f"OR NOT regexp_matches(substring({r}, i + 1, 1), '[A-Za-z|]')), lambda i: {up(f'substring({r}, 1, i)')})")
+
+
 def cands(text: str) -> str:
-    return f"coalesce(list_transform(regexp_extract_all({text}, {CAND}, 1), lambda x: upper(x)), [])"
+    return f"coalesce(flatten(list_transform(regexp_extract_all({text}, {RUN}, 1), lambda x: {beginnings('x')})), [])"
 
 
 def tags(text: str) -> str:
@@ -80,7 +85,7 @@ pg_links AS (
 )"""
 
 PG_UNIVERSE = PG_LINKS + """,
-pg_symbols AS (SELECT DISTINCT upper(link) AS symbol FROM pg_links WHERE regexp_full_match(link, '[A-Za-z]+')),
+pg_symbols AS (SELECT DISTINCT """ + up("link") + """ AS symbol FROM pg_links WHERE trim(link) <> ''),
 pg_universe AS (SELECT list(symbol) AS u FROM pg_symbols)"""
 
 DOC_FACT = f"""

@@ -12,46 +12,53 @@ one staged copy of it.
 from __future__ import annotations
 
 import argparse
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .constants import TICKERS
 from .operators.facts import post_fact, tweets_to_posts, union_sources
 from .operators.identify import identify_and_tag
 from .operators.quality import apply_rules
 from .sinks.tables import publish_all
-from .sources.envelopes import flatten_envelope, read_envelopes, repair_unclosed
+from .sources.envelopes import corrupt_files, read_envelopes, repair_unclosed
 
 
-def posts_from_envelopes(spark: SparkSession, path: str, source: str, universe,
-                         multi_line: bool = True, strict_compat: bool = False) -> DataFrame:
-    env = repair_unclosed(read_envelopes(spark, path, multi_line=multi_line))
-    tweets = flatten_envelope(env, keep_sentinel=strict_compat)
-    posts = tweets_to_posts(tweets, source)
-    return identify_and_tag(posts, universe, context_col="tweets", strict_compat=strict_compat)
+def identified(env: DataFrame, universe, strict_compat: bool = False) -> DataFrame:
+    """Repaired envelopes (tweets, source) -> post fact: flattened with the conversation
+    context, identified and tagged, known spam dropped from the hashtag collector."""
+    tweets = env.select("source", F.explode("tweets").alias("col"))
+    if not strict_compat:
+        tweets = tweets.where(F.col("col.data.id").isNotNull())
+    posts = tweets_to_posts(tweets.select("col.data.*", "col.includes.tweets", "source"), F.col("source"))
+    found = identify_and_tag(posts, universe, context_col="tweets", strict_compat=strict_compat)
+    return post_fact(apply_rules(found, only_source="hashtag"))
 
 
-def build_fact(spark: SparkSession, hashtag_path: str | None, cashtag_path: str | None,
-               universe=TICKERS, multi_line: bool = True, strict_compat: bool = False) -> DataFrame:
-    parts = []
-    if hashtag_path:
-        parts.append(posts_from_envelopes(spark, hashtag_path, "hashtag", universe,
-                                          multi_line, strict_compat))
-    if cashtag_path:
-        parts.append(posts_from_envelopes(spark, cashtag_path, "cashtag", universe,
-                                          multi_line, strict_compat))
+def envelopes(spark: SparkSession, hashtag_path: str | None, cashtag_path: str | None, multi_line: bool = True) -> DataFrame:
+    """The documents of both collectors (a bag union) with their ``source``, unclosed ones closed."""
+    parts = [read_envelopes(spark, path, multi_line=multi_line).withColumn("source", F.lit(source))
+             for source, path in (("hashtag", hashtag_path), ("cashtag", cashtag_path)) if path]
     if not parts:
         raise ValueError("no input given")
-    posts = apply_rules(union_sources(*parts), only_source="hashtag")
-    return post_fact(posts)
+    return repair_unclosed(union_sources(*parts))
+
+
+def build_fact(spark: SparkSession, hashtag_path: str | None, cashtag_path: str | None,
+               universe=TICKERS, multi_line: bool = True, strict_compat: bool = False) -> DataFrame:
+    return identified(envelopes(spark, hashtag_path, cashtag_path, multi_line), universe, strict_compat)
 
 
 def run(spark: SparkSession, hashtag_path: str | None, cashtag_path: str | None, out: str,
         universe=TICKERS, multi_line: bool = True, strict_compat: bool = False,
         k: int = 5) -> dict[str, str]:
-    fact = build_fact(spark, hashtag_path, cashtag_path, universe, multi_line, strict_compat)
-    return publish_all(fact, out, k=k)
+    """Publish the table set; documents that stay unreadable go to ``quarantine`` as JSON lines."""
+    env = envelopes(spark, hashtag_path, cashtag_path, multi_line)
+    quarantine = os.path.join(out, "quarantine")
+    corrupt_files(env).write.mode("overwrite").json(quarantine)
+    return publish_all(identified(env, universe, strict_compat), out, k=k) | {"quarantine": quarantine}
 
 
 def main(argv: Sequence[str] | None = None) -> None:

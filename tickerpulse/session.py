@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -71,32 +72,25 @@ def build_session(master: str | None = None, app: str = "tickerpulse",
     return spark
 
 
-_LOCAL_DIRS: dict[int, str] = {}
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (tests, local runs) do we pick a
-    fresh local folder, once per session.
+    On a cluster ``spark.checkpoint.dir`` must point at shared storage and is
+    used as is; without it this raises, since executors and driver share no
+    local folder. Only a session in local mode gets a fresh local folder,
+    one per application.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
-    try:
-        sc = spark.sparkContext
-    except Exception:  # sessions without a local SparkContext
-        sc = None
-    if not d and sc is not None:
-        d = sc.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = _LOCAL_DIRS.get(id(spark)) or tempfile.mkdtemp(prefix="tickerpulse-ckpt-")
-        _LOCAL_DIRS[id(spark)] = d
-        try:
-            spark.conf.set("spark.checkpoint.dir", d)
-        except Exception:  # core configs may be read-only at run time
-            pass
-    if sc is not None and sc.getCheckpointDir() is None:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        d = _LOCAL_DIRS.get(sc.applicationId) or tempfile.mkdtemp(prefix="tickerpulse-ckpt-")
+        _LOCAL_DIRS[sc.applicationId] = d
+    if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
@@ -106,3 +100,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     import uuid
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def staged(df, name: str = "staged"):
+    """Write ``df`` to the shared checkpoint folder and read it back: cuts the lineage,
+    and gives joins a plain side that adaptive execution can split."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -16,11 +16,11 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import JDBC_BATCH_SIZE
+from ..constants import JDBC_BATCH_SIZE, ROLL_BYTES
 from ..functions.arrays import flatten_for_sink
-from ..operators import counts, ranking
+from ..operators import counts, market, ranking
 from ..operators.facts import explode_pairs
-from ..session import scratch_path
+from ..session import staged
 
 
 def write_table(df: DataFrame, name: str, base_path: str | None = None, mode: str = "overwrite",
@@ -68,19 +68,17 @@ def read_table(spark: SparkSession, name: str, base_path: str | None = None, fmt
     return spark.read.format(fmt).load(os.path.join(base_path, name))
 
 
-def stage(df: DataFrame, name: str = "staged") -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def write_rolled(df: DataFrame, path: str, roll_bytes: int = ROLL_BYTES, partition_by: str = "date") -> str:
+    """Line-delimited JSON files of about ``roll_bytes`` per date folder: splittable
+    pieces instead of one growing document.
 
-
-def write_rolled(df: DataFrame, path: str, max_records: int, partition_by: str = "date") -> str:
-    """Files of at most ``max_records`` rows per date folder: small, splittable
-    pieces instead of one growing document."""
-    (rebalanced(df, [partition_by]).write.mode("overwrite").option("maxRecordsPerFile", max_records)
-     .partitionBy(partition_by).parquet(path))
+    Spark rolls by rows, so the rows per file follow from the average size of a
+    row's JSON (one aggregate over the data); no row is dropped.
+    """
+    size = df.select(F.avg(F.octet_length(F.to_json(F.struct(*df.columns))) + 1).alias("b")).first()["b"]
+    rows = max(1, int(roll_bytes / size)) if size else 1
+    (rebalanced(df, [partition_by]).write.mode("overwrite").option("maxRecordsPerFile", rows)
+     .partitionBy(partition_by).json(path))
     return path
 
 
@@ -116,7 +114,7 @@ def publish_all(fact: DataFrame, base_path: str, k: int = 5,
                                      rebalance=rebalance)
         f = read_table(cols.sparkSession, "posts", base_path)
     else:
-        f = stage(cols, "post-fact")
+        f = staged(cols, "post-fact")
     daily = counts.ticker_daily_count(f)
     hourly = counts.ticker_tag_hourly(f)
     flat = counts.flat_posts(f)
@@ -125,7 +123,7 @@ def publish_all(fact: DataFrame, base_path: str, k: int = 5,
         "timing_union_df": f.drop("id", "source", "author_id", "date"),
         "timing_time_tickers_tags_df": f.select("month", "day", "hour", "tickers", "tags"),
         "mdhr_tags": flat,
-        "top_tags": counts.top_tags(flat),
+        "top_tags": counts.top_tags(f),
         "top5_stock_statistics_new": counts.ticker_statistics(f),
         "tag_freq_new": counts.ticker_freq_top(f, k),
         "test_days_list": counts.daily_total(f),
@@ -144,6 +142,17 @@ def publish_all(fact: DataFrame, base_path: str, k: int = 5,
     return paths
 
 
+def publish_bars(ticks: DataFrame, base_path: str, jdbc: dict[str, str] | None = None) -> dict[str, str]:
+    """The two bar tables: ``stocks_hourly`` and ``stocks_monthly`` (one bar a day),
+    partitioned by date. Ticks are read once; the days are rolled up from the stored hours."""
+    paths = {"stocks_hourly": write_table(market.hourly_bars(ticks), "stocks_hourly", base_path,
+                                          partition_by=None if jdbc else ["date"], jdbc=jdbc)}
+    hourly = read_table(ticks.sparkSession, "stocks_hourly", base_path, jdbc=jdbc)
+    paths["stocks_monthly"] = write_table(market.daily_from_hourly(hourly), "stocks_monthly", base_path,
+                                          partition_by=None if jdbc else ["date"], jdbc=jdbc)
+    return paths
+
+
 def fetch_bounded(df: DataFrame, max_rows: int):
     """A small result for a consumer (chart, API) as pandas, only at the edge.
 
@@ -156,7 +165,8 @@ def fetch_bounded(df: DataFrame, max_rows: int):
     return pdf
 
 
-def price_day(view: DataFrame, ticker: str, day: str, max_rows: int = 24):
-    """One (ticker, day) of the precomputed price-day view, ordered by hour."""
+def price_day(view: DataFrame, ticker: str, day: str, max_rows: int):
+    """One (ticker, day) of the precomputed price-day view, ordered by hour; the caller
+    says how many rows a day may have."""
     v = view.where((F.col("ticker") == ticker) & (F.col("date") == F.to_date(F.lit(day))))
     return fetch_bounded(v.orderBy("hour"), max_rows)

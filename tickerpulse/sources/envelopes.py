@@ -49,7 +49,7 @@ def repair_unclosed(env: DataFrame) -> DataFrame:
     fixed = F.from_json(closed, schemas.ENVELOPE_BODY)
     tweets = F.when(bad, fixed["tweets"]).otherwise(F.col("tweets"))
     still_bad = F.when(bad & fixed["tweets"].isNull(), F.col("_corrupt_record"))
-    return env.select(tweets.alias("tweets"), still_bad.alias("_corrupt_record"))
+    return env.withColumns({"tweets": tweets, "_corrupt_record": still_bad})
 
 
 def explode_tweets(env: DataFrame, keep_sentinel: bool = False) -> DataFrame:
@@ -89,7 +89,7 @@ def ingest_projection(tweets: DataFrame) -> DataFrame:
 
 def tweet_struct(id_: Column, text: Column, author_id: Column, conversation_id: Column,
                  created_at: Column, like: Column, quote: Column, reply: Column,
-                 retweet: Column, context: Column) -> Column:
+                 retweet: Column, context: Column, users: Column | None = None, places: Column | None = None) -> Column:
     """Build one envelope element in the collector's nested shape."""
     return F.struct(
         F.struct(
@@ -104,8 +104,8 @@ def tweet_struct(id_: Column, text: Column, author_id: Column, conversation_id:
         ).alias("data"),
         F.struct(
             context.alias("tweets"),
-            F.lit(None).cast("array<struct<id:string,created_at:string,verified:boolean>>").alias("users"),
-            F.lit(None).cast("array<struct<id:string,full_name:string,country:string>>").alias("places"),
+            (F.lit(None) if users is None else users).cast("array<struct<id:string,created_at:string,verified:boolean>>").alias("users"),
+            (F.lit(None) if places is None else places).cast("array<struct<id:string,full_name:string,country:string>>").alias("places"),
         ).alias("includes"),
     )
 
@@ -126,7 +126,7 @@ def envelopes_from_posts(posts: DataFrame, context_col: str | None = None) -> Da
     created = F.date_format(F.col("created_at"), ISO_OUT)
     t = tweet_struct(F.col("id"), F.col("text"), F.col("author_id"), conv, created,
                      F.col("like_count"), F.col("quote_count"), F.col("reply_count"),
-                     F.col("retweet_count"), ctx)
+                     F.col("retweet_count"), ctx, *[F.col(c) if c in posts.columns else None for c in ("users", "places")])
     # The sentinel is a struct whose fields are all NULL: JSON writes it as {}.
     sentinel = F.struct(F.lit(None).cast(schemas.TWEET_DATA).alias("data"),
                         F.lit(None).cast(schemas.INCLUDES).alias("includes"))

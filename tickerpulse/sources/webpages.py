@@ -27,8 +27,8 @@ def page_links(pages: DataFrame, href_prefix: str = "/", every: int = 2,
 
 
 def symbol_rows(pages: DataFrame, href_prefix: str = "/") -> DataFrame:
-    """Upper-cased listing symbols (letters only), one row per listing entry."""
-    return page_links(pages, href_prefix).where(F.col("link").rlike("^[A-Za-z]+$")) \
+    """Upper-cased listing symbols as they stand (blank texts left out), one row per listing entry."""
+    return page_links(pages, href_prefix).where(F.trim("link") != "") \
         .select(F.upper("link").alias("symbol"))
 
 

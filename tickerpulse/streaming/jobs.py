@@ -1,35 +1,53 @@
 """Structured Streaming forms of the batch operators.
 
-Identification, tag extraction and rule matching are stateless, so the
-batch functions run unchanged on a stream. Counting uses an event-time
-watermark so state is evicted once a window closes; deduplication keeps
-keys only within the watermark. Every query writes through a checkpoint
-in the shared folder, so a restarted query resumes where it stopped.
+Identification, tag extraction and rule matching need no state, so the
+batch functions run on each micro-batch. Counts are kept as one partial
+count per (hour, key) and batch, added up when read: there is no state that
+grows, open hours are part of the result, and a row counts whenever it
+arrives, however late. Deduplication looks up the keys already written.
+Every query writes through a checkpoint in the shared folder, so a restarted
+query resumes where it stopped, and a batch that runs again overwrites its
+own folder.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.entities import symbol_candidates
+from ..functions.timeparts import bucket
 from ..session import scratch_path
 
 
+#: New files a micro-batch takes at most, so a backlog is worked off in bounded batches.
+MAX_FILES = 1000
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of the file system that Spark itself uses for it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def table_stream(spark: SparkSession, folder: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream the ``name.parquet`` files of ``folder`` (schema from the footer)."""
-    schema = spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(folder)
+    """Stream the table ``name`` of ``folder``: one Parquet file or a folder of them
+    (schema from the footer).
+
+    The last letter is written as a one-letter class: a file source takes a
+    single file only through a glob, which matches a folder just as well.
+    """
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    return (spark.readStream.schema(spark.read.parquet(path).schema)
+            .option("maxFilesPerTrigger", max_files_per_trigger or MAX_FILES).parquet(path[:-1] + "[t]"))
 
 
 def envelope_stream(spark: SparkSession, folder: str, multi_line: bool = False,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
+                    max_files_per_trigger: int | None = MAX_FILES) -> DataFrame:
     """Envelope JSON files dropped into ``folder``, read with the explicit
     schema; ``max_files_per_trigger`` bounds each micro-batch (a backlog
     after a restart is worked off in several batches)."""
@@ -41,96 +59,111 @@ def envelope_stream(spark: SparkSession, folder: str, multi_line: bool = False,
     return r.json(folder)
 
 
-def hourly_counts(mentions: DataFrame, ts: str = "created_at", key: str = "ticker",
-                  watermark: str = "1 hour") -> DataFrame:
-    """Tumbling one-hour counts per key; windows older than the watermark are final.
+def hourly_partials(mentions: DataFrame, ts: str = "created_at", key: str = "ticker") -> DataFrame:
+    """Counts per (hour, key) of one micro-batch, to be added up by ``totals``."""
+    return mentions.groupBy(bucket(ts, "hour").alias("t_hour"), key).agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def totals(partials: DataFrame, keys: Sequence[str] = ("t_hour", "ticker")) -> DataFrame:
+    """Partial counts of all batches added up."""
+    return partials.groupBy(*keys).agg(F.sum("cnt").alias("cnt"))
+
 
-    Event time must be a zoned timestamp for watermarks: a wall-clock
-    ``timestamp_ntz`` is read in the session zone and the window start is
-    returned as wall clock again.
+def run_counts_by_day(mentions: DataFrame, name: str, out: str | None = None, ckpt: str | None = None,
+                      ts: str = "created_at", key: str = "ticker") -> DataFrame:
+    """Keep a table of hourly counts, partitioned by date, up to date with a stream.
+
+    Each micro-batch writes its partial counts, then the days it touched are
+    added up again from all partials and replaced; other days stay as they are.
+    """
+    spark = mentions.sparkSession
+    out = out or scratch_path(spark, f"{name}-out")
+    parts, table = f"{out}/parts", f"{out}/table"
+    schema = hourly_partials(spark.createDataFrame([], mentions.schema), ts, key).withColumn("date", F.to_date("t_hour")).schema
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        part = hourly_partials(batch, ts, key).withColumn("date", F.to_date("t_hour"))
+        part.write.mode("overwrite").partitionBy("date").parquet(f"{parts}/batch={batch_id}")
+        if not path_exists(spark, f"{parts}/batch={batch_id}"):
+            return
+        mine = spark.read.schema(schema).parquet(f"{parts}/batch={batch_id}").select("date").distinct()
+        every = spark.read.schema(schema).parquet(parts).drop("batch").join(mine, "date", "left_semi")
+        (totals(every, ["date", "t_hour", key]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("date").parquet(table))
+
+    _run(mentions, publish, ckpt or scratch_path(spark, f"{name}-ckpt"))
+    if not path_exists(spark, table):
+        return spark.createDataFrame([], schema).drop("date")
+    return spark.read.schema(schema).parquet(table).drop("date")
+
+
+def run_dedup(stream: DataFrame, name: str, keys: Sequence[str], day: str, out: str | None = None,
+              ckpt: str | None = None) -> DataFrame:
+    """The first row of each key: a micro-batch is reduced to one row per key and
+    keys that earlier batches wrote are dropped.
+
+    Equal keys must carry an equal ``day`` (a date), by which the output is
+    partitioned: only days that occur in the batch are looked up. What is
+    remembered is the output itself, so repeats are found however late they come.
     """
-    return (mentions.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
-            .groupBy(F.window(ts, "1 hour").alias("w"), key)
-            .agg(F.count(F.lit(1)).alias("cnt"))
-            .select(F.col("w.start").cast("timestamp_ntz").alias("t_hour"), key, "cnt"))
+    spark = stream.sparkSession
+    out = out or scratch_path(spark, f"{name}-out")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        new = batch.dropDuplicates([*keys, day])
+        if path_exists(spark, out):
+            seen = spark.read.schema(stream.schema).parquet(out).filter(F.col("batch") != batch_id)
+            new = new.join(seen.select(*[F.col(k).alias(f"_{k}") for k in [*keys, day]]),
+                           reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in [*keys, day]]), "left_anti")
+        new.write.mode("overwrite").partitionBy(day).parquet(f"{out}/batch={batch_id}")
 
+    _run(stream, write, ckpt or scratch_path(spark, f"{name}-ckpt"))
+    if not path_exists(spark, out):
+        return spark.createDataFrame([], stream.schema)
+    return spark.read.schema(stream.schema).parquet(out).select(*stream.columns)
 
-def dedup(stream: DataFrame, keys: Sequence[str], ts: str, watermark: str = "1 hour") -> DataFrame:
-    """Drop repeats of ``keys`` that arrive within the watermark delay."""
-    return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark) \
-        .dropDuplicatesWithinWatermark(list(keys))
+
+def _run(stream: DataFrame, each, ckpt: str) -> None:
+    """Everything available now, batch by batch, on a query that must end well."""
+    q = stream.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True).foreachBatch(each).start()
+    q.awaitTermination()
 
 
 def rule_hits(posts: DataFrame, symbols: DataFrame, id_col: str = "id",
               text_col: str = "text") -> DataFrame:
     """(post, symbol) pairs for posts naming a rule symbol: stream-static
     equi semi join on the symbol (the static side is small and broadcast by AQE)."""
-    cand = posts.select(id_col, F.explode(F.array_distinct(symbol_candidates(text_col))).alias("symbol"))
+    cand = posts.select(id_col, F.explode(symbol_candidates(text_col)).alias("symbol"))
     return cand.join(symbols.select("symbol"), "symbol", "left_semi")
 
 
-def run_available_now(df: DataFrame, name: str, output_mode: str = "append",
-                      partition_by: Sequence[str] | None = None,
-                      max_records_per_file: int | None = None,
-                      out: str | None = None, ckpt: str | None = None,
-                      per_batch=None) -> DataFrame:
+def run_available_now(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
+                      max_records_per_file: int | None = None, out: str | None = None,
+                      ckpt: str | None = None, per_batch=None) -> DataFrame:
     """Run ``df`` over everything available now into a Parquet folder in the
-    shared scratch area and return the written rows as a batch DataFrame.
-
-    Append mode writes through the file sink. Complete / update modes write
-    each micro-batch with ``foreachBatch`` into ``batch=<id>`` folders
-    (re-running a batch overwrites its own folder, so replays are
-    idempotent) and the last batch's folder is returned. ``per_batch``
-    transforms every appended micro-batch before it is written (all batch
-    folders are returned). Passing the same
-    ``out`` / ``ckpt`` again resumes: only input not yet committed is read.
+    shared scratch area and return all written rows as a batch DataFrame.
+
+    Rows go through the file sink, or, with ``per_batch``, as that function of
+    each micro-batch into ``batch=<id>`` folders. Passing the same ``out`` /
+    ``ckpt`` again resumes: only input not yet committed is read. The result
+    is empty only if nothing was ever written; an output that cannot be read
+    raises.
     """
     spark = df.sparkSession
     out = out or scratch_path(spark, f"{name}-out")
     ckpt = ckpt or scratch_path(spark, f"{name}-ckpt")
-    w = df.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt) \
-        .trigger(availableNow=True)
-    def empty(schema) -> DataFrame:
-        return spark.createDataFrame([], schema)
-
     if per_batch is not None:
-        # append-mode rows transformed batch by batch (e.g. ranked per closed window)
-        done: list[int] = []
-
-        def write_transformed(batch: DataFrame, batch_id: int) -> None:
-            per_batch(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-            done.append(batch_id)
-
-        q = w.foreachBatch(write_transformed).start()
-        q.awaitTermination()
-        try:
-            return spark.read.parquet(out).drop("batch")
-        except Exception:  # no batch has been written (empty input so far)
-            return empty(per_batch(empty(df.schema)).schema)
-    if output_mode == "append":
-        w = w.format("parquet").option("path", out)
+        schema = per_batch(spark.createDataFrame([], df.schema)).schema
+        _run(df, lambda batch, batch_id: per_batch(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}"), ckpt)
+    else:
+        schema = df.schema
+        w = (df.writeStream.outputMode("append").option("checkpointLocation", ckpt).trigger(availableNow=True)
+             .format("parquet").option("path", out))
         if partition_by:
             w = w.partitionBy(*partition_by)
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
-        q = w.start()
-        q.awaitTermination()
-        try:
-            return spark.read.parquet(out)
-        except Exception:  # nothing was written yet
-            return empty(df.schema)
-
-    written: list[int] = []
-
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # foreachBatch runs on the driver; the batch itself is written by executors.
-        batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        written.append(batch_id)
-
-    q = w.foreachBatch(write_batch).start()
-    q.awaitTermination()
-    if not written:
-        return empty(df.schema)
-    # In complete mode the last batch holds the whole result table.
-    return spark.read.parquet(f"{out}/batch={max(written)}")
-
+        w.start().awaitTermination()
+    if not path_exists(spark, out):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(out).select(*schema.names)

@@ -1,7 +1,13 @@
-"""Live job: envelope files dropped into a folder -> identified posts and
-closed hourly counts, each written through its own checkpoint.
+"""Live job: envelope files dropped into the collectors' folders -> identified
+posts, hourly counts and unreadable documents.
 
-    python -m tickerpulse.streaming.live --in /drop --out /shared/live --checkpoint /shared/ckpt
+    python -m tickerpulse.streaming.live --hashtag /drop/h --cashtag /drop/c --out /shared/live --checkpoint /shared/ckpt
+
+One query reads both folders. Each micro-batch re-closes unclosed documents,
+keeps those that stay unreadable in ``quarantine``, drops known spam from the
+hashtag collector, identifies once, stores its posts by date and counts from
+what it stored. All outputs are ``batch=<id>`` folders, which a batch that
+runs again overwrites. ``hourly_counts`` adds the partial counts up.
 """
 
 from __future__ import annotations
@@ -9,54 +15,76 @@ from __future__ import annotations
 import argparse
 import os
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import TICKERS
-from ..operators.facts import post_fact, tweets_to_posts
-from ..operators.identify import identify_and_tag
-from ..sources.envelopes import flatten_envelope
-from .jobs import envelope_stream, hourly_counts
-
-
-def start(spark: SparkSession, in_dir: str, out_dir: str, ckpt_dir: str, universe=TICKERS,
-          source: str = "cashtag", trigger: dict | None = None,
-          max_records_per_file: int = 100_000, max_files_per_trigger: int = 1000,
-          multi_line: bool = True) -> list[StreamingQuery]:
-    """Start the two queries; ``trigger`` defaults to one micro-batch a minute,
-    each reading at most ``max_files_per_trigger`` new envelope files."""
-    trigger = trigger or {"processingTime": "1 minute"}
-    tweets = flatten_envelope(envelope_stream(spark, in_dir, multi_line=multi_line,
-                                              max_files_per_trigger=max_files_per_trigger))
-    fact = post_fact(identify_and_tag(tweets_to_posts(tweets, source), universe,
-                                      context_col="tweets"))
-    posts_q = (fact.writeStream.format("parquet").outputMode("append")
-               .option("path", os.path.join(out_dir, "posts"))
-               .option("checkpointLocation", os.path.join(ckpt_dir, "posts"))
-               .option("maxRecordsPerFile", max_records_per_file)
-               .partitionBy("date").trigger(**trigger).start())
-    mentions = fact.select("created_at", F.explode("tickers").alias("ticker"))
-    counts_q = (hourly_counts(mentions).writeStream.format("parquet").outputMode("append")
-                .option("path", os.path.join(out_dir, "hourly_counts"))
-                .option("checkpointLocation", os.path.join(ckpt_dir, "hourly_counts"))
-                .trigger(**trigger).start())
-    return [posts_q, counts_q]
+from ..publish_job import identified
+from ..sources.envelopes import corrupt_files, repair_unclosed
+from .jobs import MAX_FILES, envelope_stream, hourly_partials, totals
+
+
+def start(spark: SparkSession, sources: dict[str, str], out_dir: str, ckpt_dir: str, universe=TICKERS,
+          trigger: dict | None = None, max_records_per_file: int = 100_000,
+          max_files_per_trigger: int = MAX_FILES, multi_line: bool = True) -> StreamingQuery:
+    """Start the query. ``sources`` maps a collector's name (``hashtag``, ``cashtag``) to its
+    folder; ``trigger`` defaults to one micro-batch a minute, each reading at most
+    ``max_files_per_trigger`` new files of each folder."""
+    streams = [envelope_stream(spark, folder, multi_line=multi_line, max_files_per_trigger=max_files_per_trigger)
+               .withColumn("source", F.lit(name)) for name, folder in sources.items()]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        here = lambda name: os.path.join(out_dir, name, f"batch={batch_id}")
+        env = repair_unclosed(batch)
+        corrupt_files(env).write.mode("overwrite").json(here("quarantine"))
+        (identified(env, universe).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+         .partitionBy("date").parquet(here("posts")))
+        if posts := _stored(spark, os.path.join(out_dir, "posts"), batch_id):
+            mentions = posts.select("created_at", F.explode("tickers").alias("ticker"))
+            hourly_partials(mentions).write.mode("overwrite").parquet(here("hourly_parts"))
+
+    return (reduce(DataFrame.unionByName, streams).writeStream.foreachBatch(write)
+            .option("checkpointLocation", ckpt_dir).trigger(**(trigger or {"processingTime": "1 minute"})).start())
+
+
+def _stored(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | None:
+    """The posts a batch has written; None for a batch without posts."""
+    path = f"{folder}/batch={batch_id}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not any(s.isDirectory() for s in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)):
+        return None
+    return spark.read.parquet(path)
+
+
+def hourly_counts(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(t_hour, ticker, cnt) of all posts stored so far."""
+    return totals(spark.read.parquet(os.path.join(out_dir, "hourly_parts")))
+
+
+def unreadable(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Number of documents kept in quarantine."""
+    return spark.read.schema("_corrupt_record string").json(os.path.join(out_dir, "quarantine")) \
+        .agg(F.count(F.lit(1)).alias("documents"))
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description="envelope drops -> posts and hourly counts")
-    ap.add_argument("--in", dest="in_dir", required=True)
+    ap.add_argument("--hashtag", help="drop folder of the hashtag collector")
+    ap.add_argument("--cashtag", help="drop folder of the cashtag collector")
     ap.add_argument("--out", required=True)
     ap.add_argument("--checkpoint", required=True)
-    ap.add_argument("--source", default="cashtag")
     a = ap.parse_args(argv)
+    sources = {k: v for k, v in (("hashtag", a.hashtag), ("cashtag", a.cashtag)) if v}
+    if not sources:
+        ap.error("no drop folder given")
     from ..session import build_session
     spark = build_session(app="tickerpulse-live")
-    for q in start(spark, a.in_dir, a.out, a.checkpoint, source=a.source):
-        print(f"started {q.id}")
-    spark.streams.awaitAnyTermination()
+    q = start(spark, sources, a.out, a.checkpoint)
+    print(f"started {q.id}")
+    q.awaitTermination()
 
 
 if __name__ == "__main__":
