@@ -22,33 +22,63 @@ from .registry import query
 # the pair fragment reuses a CTE name of the daily one
 _PAIRS_ONLY = _PAIRS_SQL.replace("ev_m AS", "ev_m2 AS").replace("FROM ev_m)", "FROM ev_m2)")
 
-_PUBLISH_SQL = S.with_(S.EV_POSTS, _DAILY_SQL, _PAIRS_ONLY, _FLAT) + f"""
-, n AS (SELECT count(*) AS c FROM ev_fact)
-SELECT 'timing_union_df' AS "table", c AS rows FROM n
-UNION ALL SELECT 'posts', c FROM n
-UNION ALL SELECT 'timing_time_tickers_tags_df', c FROM n
-UNION ALL SELECT 'mdhr_tags', c FROM n
-UNION ALL SELECT 'top_tags', count(*) FROM top_tags
-UNION ALL SELECT 'top5_stock_statistics_new', count(DISTINCT coalesce(t, '<null>'))
-  FROM (SELECT {S.unnest_outer('tickers')} AS t FROM ev_fact)
-UNION ALL SELECT 'tag_freq_new', least(5, count(DISTINCT coalesce(upper(t), '<null>')))
-  FROM (SELECT {S.unnest_outer('tickers')} AS t FROM ev_fact)
-UNION ALL SELECT 'test_days_list', count(DISTINCT t_day) FROM daily
-UNION ALL SELECT 'popular_tags_daily_count_new', sum(least(5, k)) FROM (SELECT t_day, count(*) AS k FROM daily GROUP BY t_day)
-UNION ALL SELECT 'popular_tags_hourly_count_new', sum(least(5, k)) FROM (SELECT t_hour, count(*) AS k FROM hourly GROUP BY t_hour)
-UNION ALL SELECT 'timing_ticker_freq_df', count(*) FROM (SELECT tickers FROM ev_fact GROUP BY tickers)
-UNION ALL SELECT 'timing_time_tickers_tags_explode_df', count(*) FROM ev_p"""
-
-
-@query("publish_all", 'SELECT "table", CAST(rows AS BIGINT) AS rows FROM (\n' + _PUBLISH_SQL + '\n) AS q')
+_J = "coalesce(array_to_string({0}, ','), '')"
+_SETS = f"{_J.format('tickers')} AS tickers, {_J.format('tags')} AS tags"
+_METRICS = "like_count, quote_count, reply_count, retweet_count"
+
+#: table -> (rows of it, integer columns, text columns)
+_PUBLISHED = {
+    "timing_union_df": (f"SELECT month, day, hour, {_METRICS}, text, {_SETS} FROM ev_fact",
+                        f"month, day, hour, {_METRICS}", "text, tickers, tags"),
+    "posts": (f"SELECT id, source, author_id, month, day, hour, {_METRICS}, text, {_SETS} FROM ev_fact",
+              f"month, day, hour, {_METRICS}", "id, source, author_id, text, tickers, tags"),
+    "timing_time_tickers_tags_df": (f"SELECT month, day, hour, {_SETS} FROM ev_fact", "month, day, hour", "tickers, tags"),
+    "mdhr_tags": (f"SELECT month, day, hour, {_SETS} FROM ev_fact", "month, day, hour", "tickers, tags"),
+    "top_tags": ("SELECT * FROM top_tags", "month, day, hour, times", "tickers, tags"),
+    "top5_stock_statistics_new": (f"""SELECT t AS tickers, count(*) AS cnt, sum(retweet_count) AS retweets, count(*) + sum(retweet_count) AS final_result
+        FROM (SELECT {S.unnest_outer('tickers')} AS t, retweet_count FROM ev_fact) GROUP BY t""", "cnt, retweets, final_result", "tickers"),
+    "tag_freq_new": (f"""SELECT upper(t) AS ticker, count(*) AS cnt FROM (SELECT {S.unnest_outer('tickers')} AS t FROM ev_fact)
+        GROUP BY 1 ORDER BY cnt DESC, ticker ASC NULLS LAST LIMIT 5""", "cnt", "ticker"),
+    "test_days_list": ("SELECT t_day, sum(cnt) AS cnt FROM daily GROUP BY t_day", "cnt", ""),
+    "popular_tags_daily_count_new": ("""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY t_day ORDER BY cnt DESC, tag ASC NULLS LAST) AS rank
+        FROM daily) WHERE rank <= 5""", "cnt, rank", "tag"),
+    "popular_tags_hourly_count_new": ("""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY t_hour ORDER BY cnt DESC, tag ASC NULLS LAST,
+        ref_tag ASC NULLS LAST) AS rank FROM hourly) WHERE rank <= 5""", "cnt, rank", "tag, ref_tag"),
+    "timing_ticker_freq_df": (f"SELECT {_J.format('tickers')} AS tickers, count(*) AS cnt FROM ev_fact GROUP BY ev_fact.tickers", "cnt", "tickers"),
+    "timing_time_tickers_tags_explode_df": ("""SELECT month, day, hour, ticker AS tickers, tag AS tags FROM ev_mdh""",
+                                            "month, day, hour", "tickers, tags"),
+}
+
+
+def _sums(names: str, each: str) -> str:
+    return " + ".join(f"coalesce({each.format(n.strip())}, 0)" for n in names.split(",") if n.strip()) or "0"
+
+
+_PUBLISH_SQL = S.with_(S.EV_POSTS, _DAILY_SQL, _PAIRS_ONLY, _FLAT, f"""
+ev_mdh1 AS (SELECT month, day, hour, tags, {S.unnest_outer('tickers')} AS ticker FROM ev_fact),
+ev_mdh AS (SELECT month, day, hour, ticker, {S.unnest_outer('tags')} AS tag FROM ev_mdh1)""") + "\nUNION ALL ".join(
+    f"""SELECT '{name}' AS "table", count(*) AS rows, CAST(sum({_sums(nums, '{0}')}) AS BIGINT) AS numbers,
+    CAST(sum({_sums(texts, 'length({0})')}) AS BIGINT) AS chars FROM ({rows}) AS {name}"""
+    for name, (rows, nums, texts) in _PUBLISHED.items())
+
+
+def _content(df, name: str):
+    """Rows of a table, the sum of its integers and the length of its texts."""
+    nums = [F.coalesce(F.col(f.name).cast("bigint"), F.lit(0)) for f in df.schema.fields if f.dataType.typeName() in ("integer", "long")]
+    texts = [F.coalesce(F.length(F.array_join(f.name, ",") if f.dataType.typeName() == "array" else F.col(f.name)), F.lit(0))
+             for f in df.schema.fields if f.dataType.typeName() in ("string", "array")]
+    total = lambda cols: F.sum(reduce(lambda a, b: a + b, cols, F.lit(0).cast("bigint")))
+    return df.agg(F.count(F.lit(1)).alias("rows"), total(nums).alias("numbers"), total(texts).alias("chars")) \
+        .select(F.lit(name).alias("table"), "rows", "numbers", "chars")
+
+
+@query("publish_all", _PUBLISH_SQL)
 def publish_all_q(spark, sf_dir):
     """Publish the whole table set from one staged post fact, then read every
-    table back and report its row count."""
+    table back and report its rows, the sum of its integers and the length of its texts."""
     base = scratch_path(spark, "published")
     paths = publish_all(event_fact(spark, sf_dir), base)
-    parts = [read_table(spark, n, base).agg(F.count(F.lit(1)).alias("rows"))
-             .select(F.lit(n).alias("table"), "rows") for n in paths]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return reduce(lambda a, b: a.unionByName(b), [_content(read_table(spark, n, base), n) for n in paths])
 
 
 @query("posts_published", S.with_(S.EV_POSTS) + """

@@ -37,6 +37,8 @@ def summarise(plan: str) -> dict:
         "generate": n(r"Generate "),
         "scans": len(scans),
         "max_cols": max((len(s.split(",")) for s in scans), default=0),
+        "sorts": n(r"\bSort \["),
+        "sort_agg": n(r"SortAggregate"),
         "python": n(r"BatchEvalPython|ArrowEvalPython"),
     }
 
@@ -44,12 +46,12 @@ def summarise(plan: str) -> dict:
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from tickerpulse.session import build_session
-    import __spark_entry__ as E
+    from tickerpulse.plans import catalog
     spark = build_session("local[8]", shuffle_partitions=8,
                           extra={"spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     rows = []
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(catalog.queries().items()):
         if name.startswith("stream_") or name in SIDE_EFFECT:
             continue
         df = fn(spark, sf_dir)
@@ -57,7 +59,7 @@ def main():
         df.collect()
         rows.append((name, summarise(df._jdf.queryExecution().executedPlan().toString())))
     cols = ["shuffles", "broadcast", "bhj", "smj", "shj", "wgl", "take", "expand", "generate",
-            "scans", "max_cols", "python"]
+            "scans", "max_cols", "sorts", "sort_agg", "python"]
     print("| query | " + " | ".join(cols) + " |")
     print("|---|" + "---|" * len(cols))
     for name, s in rows:
