@@ -6,15 +6,18 @@ stated plainly and in their natural order.
 
 # FIXED VALUES: the 102-symbol universe, in listing order.
 TICKERS = (
-    "AAPL MSFT AMZN TSLA GOOG GOOGL META NVDA PEP COST AVGO CSCO TMUS "
-    "ADBE TXN CMCSA AMGN QCOM NFLX HON INTU INTC SBUX PYPL ADP AMD "
-    "GILD MDLZ REGN ISRG VRTX ADI BKNG AMAT FISV CSX MU ATVI KDP CHTR "
-    "MAR MRNA PANW ORLY ABNB MNST LRCX KHC SNPS AEP ADSK CDNS MELI "
-    "CTAS FTNT PAYX KLAC BIIB DXCM NXPI EXC ASML LULU EA XEL MCHP "
-    "CRWD MRVL AZN ILMN PCAR DLTR CTSH WDAY ROST ODFL WBA CEG IDXX "
-    "TEAM VRSK FAST CPRT PDD SGEN SIRI DDOG LCID ZS JD EBAY VRSN ZM "
-    "ANSS BIDU ALGN SWKS MTCH SPLK NTES DOCU OKTA"
-).split()
+    "AAPL", "MSFT", "AMZN", "TSLA", "GOOG", "GOOGL", "META", "NVDA", "PEP", "COST",
+    "AVGO", "CSCO", "TMUS", "ADBE", "TXN", "CMCSA", "AMGN", "QCOM", "NFLX", "HON",
+    "INTU", "INTC", "SBUX", "PYPL", "ADP", "AMD", "GILD", "MDLZ", "REGN", "ISRG",
+    "VRTX", "ADI", "BKNG", "AMAT", "FISV", "CSX", "MU", "ATVI", "KDP", "CHTR",
+    "MAR", "MRNA", "PANW", "ORLY", "ABNB", "MNST", "LRCX", "KHC", "SNPS", "AEP",
+    "ADSK", "CDNS", "MELI", "CTAS", "FTNT", "PAYX", "KLAC", "BIIB", "DXCM", "NXPI",
+    "EXC", "ASML", "LULU", "EA", "XEL", "MCHP", "CRWD", "MRVL", "AZN", "ILMN",
+    "PCAR", "DLTR", "CTSH", "WDAY", "ROST", "ODFL", "WBA", "CEG", "IDXX", "TEAM",
+    "VRSK", "FAST", "CPRT", "PDD", "SGEN", "SIRI", "DDOG", "LCID", "ZS", "JD",
+    "EBAY", "VRSN", "ZM", "ANSS", "BIDU", "ALGN", "SWKS", "MTCH", "SPLK", "NTES",
+    "DOCU", "OKTA",
+)
 
 # FIXED VALUES: prefixes that mark a symbol in text ($, # and full-width #).
 SYMBOL_PREFIXES = "$#＃"

@@ -119,6 +119,7 @@ def publish_all(fact: DataFrame, base_path: str, k: int = 5,
     hourly = counts.ticker_tag_hourly(f)
     flat = counts.flat_posts(f)
     pairs = explode_pairs(f, keep_cols=("month", "day", "hour"))
+    # FIXED VALUES: names of the published tables and of their columns
     tables = {
         "timing_union_df": f.drop("id", "source", "author_id", "date"),
         "timing_time_tickers_tags_df": f.select("month", "day", "hour", "tickers", "tags"),

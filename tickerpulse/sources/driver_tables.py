@@ -74,16 +74,6 @@ def event_ticks(events: DataFrame) -> DataFrame:
         F.col("event_id").alias("seq"), F.lit(1.0).alias("size"))
 
 
-def event_mentions(events: DataFrame) -> DataFrame:
-    """Row-level mentions: ticker, tag, created_at, retweet_count."""
-    return events.select(
-        F.col("event_id").cast("string").alias("id"),
-        F.upper("event_type").alias("ticker"),
-        F.concat(F.lit("K"), F.get_json_object("props", "$.k")).alias("tag"),
-        F.col("ts").alias("created_at"),
-        F.floor("value").cast("bigint").alias("retweet_count"))
-
-
 def conversation_turns(conversations: DataFrame) -> DataFrame:
     """One post per turn (id, conversation_id, text) without the answered turn."""
     return conversations.select(
