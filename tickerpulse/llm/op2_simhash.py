@@ -193,6 +193,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingl
     best = _rooted(rows, max_bits).groupBy("root").agg(first.alias("b")).select(F.col("b._key").alias("_key"))
     same = rows.groupBy("_key").agg(F.count("*").alias("_same"))
     chosen = stored(best.join(same, "_key"), "simhash-chosen")
-    once = keyed.join(chosen.filter("_same = 1"), "_key")
-    more = keyed.join(chosen.filter("_same > 1"), "_key").dropDuplicates(["_key"])  # repeats meet map-side
+    # the keys grow with the documents, so they are never broadcast; both joins share one shuffle of the texts
+    once = keyed.join(chosen.filter("_same = 1").hint("merge"), "_key")
+    more = keyed.join(chosen.filter("_same > 1").hint("merge"), "_key").dropDuplicates(["_key"])
     return once.unionByName(more).select(*docs.columns)

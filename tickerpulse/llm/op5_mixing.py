@@ -177,8 +177,9 @@ def apply_copies(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     cols = sorted(docs.columns)
     keyed = docs.withColumn("_key", stable_hash(*[F.col(c) for c in cols]))
     plan = mixed.select(F.col("row_key").alias("_key"), "same", "copies")
-    once = keyed.join(plan.filter("same = 1"), "_key").withColumn("_n", F.col("copies"))
-    more = (keyed.join(plan.filter("same > 1"), "_key")
+    # the plan grows with the documents, so it is never broadcast; both joins share one shuffle of the texts
+    once = keyed.join(plan.filter("same = 1").hint("merge"), "_key").withColumn("_n", F.col("copies"))
+    more = (keyed.join(plan.filter("same > 1").hint("merge"), "_key")
             .withColumn("_k", F.row_number().over(Window.partitionBy("_key").orderBy("_key")))
             .withColumn("_n", (F.floor(F.col("copies") / F.col("same"))
                                + F.when(F.col("_k") <= F.col("copies") % F.col("same"), 1).otherwise(0)).cast("long")).drop("_k"))
