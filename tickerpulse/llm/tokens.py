@@ -19,25 +19,28 @@ import public_tokenizers
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
+#: fixed values: texts that spell a special token of the vocabulary
+SPECIAL = ("<|endoftext|>",)
+
 _BEYOND = re.compile("[^\x00-ɏ]")
 
 
-@lru_cache(maxsize=2)
-def _load(vocabulary: str, ranks: str | None):
+@lru_cache(maxsize=1)
+def _plain(vocabulary: str):
     from tokenizers import Tokenizer
-    plain = Tokenizer.from_file(vocabulary)
-    special = [t.content for t in plain.get_added_tokens_decoder().values()]
-    fast = None
-    if ranks:
-        import tiktoken
-        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(ranks, "rb"))}
-        fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-    return plain, special, fast
+    return Tokenizer.from_file(vocabulary)
+
+
+@lru_cache(maxsize=1)
+def _fast(ranks: str):
+    import tiktoken
+    with open(ranks, "rb") as f:
+        table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
 
 
 def encode(text: str, vocabulary: str = VOCABULARY, ranks: str | None = RANKS) -> np.ndarray:
-    """Ids of the whole text as unsigned 32-bit numbers."""
-    plain, special, fast = _load(vocabulary, ranks)
-    if fast is not None and not _BEYOND.search(text) and not any(s in text for s in special):
-        return np.array(fast.encode_ordinary(text), np.uint32)
-    return np.array(plain.encode(text, add_special_tokens=False).ids, np.uint32)
+    """Ids of the whole text as unsigned 32-bit numbers. Each library is loaded by the first text that needs it."""
+    if ranks is not None and not _BEYOND.search(text) and not any(s in text for s in SPECIAL):
+        return np.array(_fast(ranks).encode_ordinary(text), np.uint32)
+    return np.array(_plain(vocabulary).encode(text, add_special_tokens=False).ids, np.uint32)
