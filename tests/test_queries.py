@@ -69,9 +69,12 @@ def test_filter_on_group_keys_pushed_below_aggregate(spark):
     assert "STOCKS" in opt[agg_at:], "stop-tag filter should sit below the aggregate"
 
 
-def test_universe_filter_is_a_hashed_set(spark):
-    opt = _optimized(E.queries()["tag_freq_universe"](spark, SF_SMALL))
-    assert "INSET" in opt.upper()
+def test_universe_list_is_a_hashed_set_and_a_table_a_semi_join(spark):
+    from tickerpulse.constants import TICKERS
+    from tickerpulse.operators.identify import identify_posts
+    posts = spark.createDataFrame([("$AAPL",)], "text string")
+    assert "INSET" in _optimized(identify_posts(posts, TICKERS)).upper()
+    assert "Join LeftSemi" in _optimized(E.queries()["tag_freq_universe"](spark, SF_SMALL))
 
 
 def test_semi_join_broadcast_after_size_check(spark):
