@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickerpulse.llm import op3_fingerprints as P
+from tickerpulse.llm import queries as Q
 
 SF = "/root/testdata/sf0.01"
 
@@ -76,3 +77,43 @@ def test_tables_against_all_pairs(spark, monkeypatch, radius, chunk):
     asked = spark.createDataFrame([(bytearray(f.to_bytes(32, "little")),) for f in fps[::3]], "fp binary")
     got = {bytes(r["fp"]): r["n"] for r in P.within(df, asked, radius).collect()}
     assert got == {f.to_bytes(32, "little"): sum((f ^ g).bit_count() <= radius for g in fps) for f in fps[::3]}
+
+
+@pytest.mark.parametrize("radius,chunk", [(8, 2048), (15, 5), (23, 2048)])
+def test_wider_radii_against_all_pairs(spark, monkeypatch, radius, chunk):
+    monkeypatch.setattr(P, "CHUNK", chunk)
+    rng = random.Random(radius)
+    fps = []
+    for _ in range(12):
+        x = rng.getrandbits(P.BITS)
+        for _ in range(12):
+            y = x
+            for b in rng.sample(range(P.BITS), rng.randint(0, radius)):
+                y ^= 1 << b
+            fps += [y] * rng.randint(1, 2)
+        evenly = x  # radius bits dealt over all blocks as evenly as they go
+        for b in range(radius):
+            evenly ^= 1 << (32 * (b % 8) + rng.randrange(4) * 8 + b // 8)
+        fps += [x, evenly]
+    df = spark.createDataFrame([(bytearray(f.to_bytes(32, "little")),) for f in fps], "fp binary")
+    asked = df.limit(60) if radius == 23 else df
+    picked = {bytes(r["fp"]) for r in asked.collect()}
+    got = {bytes(r["fp"]): r["n"] for r in P.within(df, asked, radius).collect()}
+    assert got == {f: sum((int.from_bytes(f, "little") ^ g).bit_count() <= radius for g in fps) for f in picked}
+    with pytest.raises(ValueError):
+        P.tables(24)
+
+
+def test_a_replaced_word_is_found(spark, tmp_path):
+    rng = random.Random(1)
+    rows = []
+    for i in range(40):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        near = list(words)
+        near[rng.randrange(200)] = "replaced"
+        rows += [(20 * i, " ".join(words)), (20 * i + 1, " ".join(near))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = [r["n_within"] for r in Q.op3_simhash_fingerprints(spark, str(tmp_path)).collect() if r["doc_id"] % 20 == 0]
+    assert len(got) == 40 and sum(n >= 2 for n in got) >= 36  # within 7 bits, 9 of 40 by the advice's 22 %
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    same(Q.op3_simhash_fingerprints(spark, SF).collect(), plain(sorted(docs), 15))

@@ -7,10 +7,13 @@ Two fingerprints that differ in ``h`` bits belong to texts whose weighted
 term vectors have a cosine of about ``cos(pi * h / 256)``.
 
 **Search.** The bits are cut into 8 blocks. Fingerprints within ``radius``
-bits agree in at least ``8 - radius`` blocks, so there is a table for each
-choice of as many blocks, which brings those blocks to the front as its key:
-all fingerprints in reach meet in some table. A pair that meets in several
-is counted in the first. Crowded keys are cut into chunks by a hash, and each
+bits, up to 7, agree in at least ``8 - radius`` blocks, so there is a table for
+each choice of as many blocks, which brings those blocks to the front as its
+key: all fingerprints in reach meet in some table. From 8 bits on they need not
+agree in any block, but differ in at most ``radius // 8`` bits in some block;
+there is a table for each block, and a query asks each for its block and all
+values that differ from it in as many bits. A pair that meets in several
+tables is counted in the first. Crowded keys are cut into chunks by a hash, and each
 query goes to every chunk of its key; tasks return counts, never pairs.
 
 **Next document.** Rows are range-partitioned by id, each task walks its rows
@@ -34,6 +37,8 @@ from .common import stable_hash, stored, text_batches
 
 LANES, BLOCKS = 4, 8
 BITS = 64 * LANES
+#: Bits of a block that a query may flip: radii up to 23 have 529 values a block.
+MOST_FLIPS = 2
 #: Members of one key that one task compares with the key's queries.
 CHUNK = 2048
 #: Rows of the tables that one task takes together.
@@ -156,20 +161,30 @@ def with_neighbours(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 
 def tables(radius: int) -> list[tuple[int, ...]]:
     """The blocks each table brings to the front."""
-    if not 0 <= radius < BLOCKS:
-        raise ValueError(f"the radius must lie between 0 and {BLOCKS - 1} bits")
-    return list(combinations(range(BLOCKS), BLOCKS - radius))
+    if not 0 <= radius < (MOST_FLIPS + 1) * BLOCKS:
+        raise ValueError(f"the radius must lie between 0 and {(MOST_FLIPS + 1) * BLOCKS - 1} bits")
+    return list(combinations(range(BLOCKS), max(1, BLOCKS - radius)))
 
 
 def _keys(fps: DataFrame, radius: int) -> DataFrame:
-    """A row per table: ``tab`` and ``front`` (hash of its leading blocks)."""
+    """A row per table: ``tab`` and ``front`` (its leading block itself, or the hash of several)."""
     width = BITS // 8 // BLOCKS
-    fronts = [F.xxhash64(*[F.substring("fp", b * width + 1, width) for b in blocks]) for blocks in tables(radius)]
-    return fps.select("*", F.posexplode(F.array(*fronts)).alias("tab", "front"))
+
+    def front(blocks: tuple[int, ...]):
+        parts = [F.substring("fp", b * width + 1, width) for b in blocks]
+        return F.xxhash64(*parts) if len(parts) > 1 else F.conv(F.hex(parts[0]), 16, 10).cast("long")
+    return fps.select("*", F.posexplode(F.array(*map(front, tables(radius)))).alias("tab", "front"))
+
+
+def _probes(fps: DataFrame, radius: int) -> DataFrame:
+    """The rows of ``_keys``, and one for each ``front`` that differs in at most ``radius // 8`` bits."""
+    flips = [sum(1 << b for b in bits) for n in range(radius // BLOCKS + 1) for bits in combinations(range(BITS // BLOCKS), n)]
+    masks = F.array(*[F.lit(m).cast("long") for m in flips])
+    return _keys(fps, radius).withColumn("front", F.explode(F.transform(masks, lambda m: m.bitwiseXOR(F.col("front")))))
 
 
 def _count_matches(radius: int):
-    chosen = [np.array(t) for t in tables(radius)]
+    chosen, flips = [np.array(t) for t in tables(radius)], radius // BLOCKS
 
     def match(members: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out_fp, out_n = [], []
@@ -185,11 +200,12 @@ def _count_matches(radius: int):
                 for at in range(0, len(qs), 64):
                     some = qs[at:at + 64]
                     x = q_bits[some][:, None, :] ^ m_bits[ms][None, :, :]
-                    near = np.bitwise_count(x).sum(axis=2) <= radius
-                    equal = x == 0
-                    near &= equal[:, :, chosen[key[0]]].all(axis=2)  # not a chance collision of the key's hash
+                    bits = np.bitwise_count(x)
+                    near = bits.sum(axis=2) <= radius
+                    meets = bits <= flips
+                    near &= meets[:, :, chosen[key[0]]].all(axis=2)  # not a chance collision of the key's hash
                     for t in range(key[0]):
-                        near &= ~equal[:, :, chosen[t]].all(axis=2)
+                        near &= ~meets[:, :, chosen[t]].all(axis=2)
                     n = near @ copies[ms]
                     hit = np.flatnonzero(n)
                     out_fp += [bytes(queries["fp"].iat[some[i]]) for i in hit]
@@ -205,9 +221,9 @@ def within(fps: DataFrame, queries: DataFrame, radius: int = 7) -> DataFrame:
     either side are taken together, with their number.
     """
     members = _keys(fps.groupBy("fp").agg(F.count("*").alias("copies")), radius)
-    asked = stored(_keys(queries.select("fp").distinct(), radius), "tables-queries")
+    asked = _probes(stored(queries.select("fp").distinct(), "tables-queries"), radius)
     wanted = asked.select("tab", "front").distinct()
-    kept = stored(members.join(wanted, ["tab", "front"], "left_semi"), "tables-members")
+    kept = stored(members.join(wanted.hint("merge"), ["tab", "front"], "left_semi"), "tables-members")  # the keys grow with the queries
     sizes = kept.groupBy("tab", "front").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
     total = kept.count()
     sizes = stored(sizes, "tables-sizes")

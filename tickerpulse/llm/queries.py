@@ -33,8 +33,8 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every document and of its edited text; for ids divisible by 20, how many lie within 7 of 256 bits."""
-    return op3_fingerprints.report(table(spark, sf_dir, "documents"), lambda i: i % 20 == 0, radius=7)
+    """Fingerprints of every document and of its edited text; for ids divisible by 20, how many lie within 15 of 256 bits."""
+    return op3_fingerprints.report(table(spark, sf_dir, "documents"), lambda i: i % 20 == 0, radius=15)
 
 
 def op4_quality_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
