@@ -61,3 +61,11 @@ def test_no_or_odd_labels(spark):
     assert not T.score(docs, T.train(docs, none)).filter("toxic").count()
     odd = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, None), (2, 0), (9, 1)], "doc_id long, toxic int")
     assert T.score(docs, T.train(docs, odd)).count() == 4
+
+
+def test_a_long_clean_text_on_one_stem(spark):
+    """Scoring counts a stem as fitting does: of 500 different words that share it, three."""
+    long = " ".join(f"tras{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(500))
+    docs = spark.createDataFrame([(1, long), (2, "trasax trasbx trascx"), (3, "trasax trasbx")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in T.score(docs, T.Ordinal({"^tras": 1.0}, (4.0, 5.0, 6.0))).collect()}
+    assert not got[1]["toxic"] and got[1]["severity"] == got[2]["severity"] > got[3]["severity"]

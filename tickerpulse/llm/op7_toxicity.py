@@ -19,6 +19,7 @@ vocabulary and the sample's counts of it. **Scoring** reads every whole text.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +36,8 @@ VOCABULARY = 4000
 STEMS = (4, 5, 6)
 #: Words kept in a task's memo of word weights before it starts anew.
 MEMO = 200_000
+#: Different words of a text that count for one feature, in fitting and in scoring.
+MOST = 3
 
 
 def features(word: bytes) -> list[str]:
@@ -60,19 +63,26 @@ def _sigmoid(x):
 
 
 class _Memo(dict):
-    """word -> summed weight of its features."""
+    """word -> its features that have a weight."""
 
     def __init__(self, weights: dict[str, float]):
         super().__init__()
         self.of = weights
 
-    def __missing__(self, word: bytes) -> float:
+    def __missing__(self, word: bytes) -> tuple[str, ...]:
         if len(self) >= MEMO:
             self.clear()
-        got = self.of.get
-        v = self[word] = sum(got(f, 0.0) for f in features(word))
+        v = self[word] = tuple(f for f in features(word) if f in self.of)
         return v
 
+    def score(self, text: str | None) -> float:
+        """Summed weights of a text's features, each as often as different words have it, ``MOST`` times at most."""
+        n: dict[str, int] = {}
+        for w in set(words(text)):
+            for f in self[w]:
+                n[f] = n.get(f, 0) + 1
+        return math.fsum(self.of[f] * min(c, MOST) for f, c in n.items())
+
 
 def fit_weights(rows: list[tuple[list[int], list[int]]], grades: np.ndarray, size: int, *,
                 l1: float = 0.0006, steps: int = 800) -> tuple[np.ndarray, np.ndarray]:
@@ -87,7 +97,7 @@ def fit_weights(rows: list[tuple[list[int], list[int]]], grades: np.ndarray, siz
     n = len(grades)
     at = np.repeat(np.arange(n), [len(i) for i, _ in rows])
     col = np.concatenate([np.asarray(i, np.int64) for i, _ in rows]) if len(at) else np.empty(0, np.int64)
-    val = np.minimum(np.concatenate([np.asarray(c, float) for _, c in rows]) if len(at) else np.empty(0), 3.0)
+    val = np.minimum(np.concatenate([np.asarray(c, float) for _, c in rows]) if len(at) else np.empty(0), float(MOST))
     theta, w, idx = np.linspace(1.0, float(top), top), np.zeros(size), np.arange(n)
     d = np.ones(size)
     for _ in range(30):  # largest eigenvalue of the mean outer product, for the step
@@ -216,7 +226,7 @@ def score(docs: DataFrame, model: Ordinal, text: str = "text", cut: float = 0.5)
     def rate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         memo = _Memo(weights)
         for ts in batches:
-            s = np.array([sum(map(memo.__getitem__, set(words(t)))) for t in ts], float)
+            s = np.array([memo.score(t) for t in ts], float)
             p = model_.above(s).reshape(len(s), -1)
             yield pd.DataFrame({"severity": p.sum(axis=1), "p_toxic": p[:, 0], "grade": (p >= 0.5).sum(axis=1).astype(np.int32)})
     kept = [c for c in docs.columns if c not in ("severity", "p_toxic", "grade", "toxic", "_rated")]
