@@ -104,6 +104,20 @@ def test_windows_reconcile(monkeypatch):
         assert got[3] == ([(0, 7, "email"), (7 + pad, 16 + pad, "email")] if pad else [(0, 16, "email")])
 
 
+def test_spans_beyond_hinted_windows(monkeypatch):
+    """A span that goes on far beyond the windows with a digit or @ is found whole, and masked whole."""
+    def tag_letters(model, x):  # stands in for the network: runs of a and @ are emails
+        on = (x == P._ids("@")[0]) | (x == P._ids("a")[0])
+        first = on & ~np.concatenate([np.zeros((len(x), 1), bool), on[:, :-1]], axis=1)
+        return np.where(first, 1, np.where(on, 2, 0)).astype(np.int8), np.ones(x.shape, np.float32)
+    monkeypatch.setattr(B, "decode", tag_letters)
+    for pad in range(0, 400, 7):
+        for before, after in ((130, 0), (0, 130), (300, 5), (5, 700), (400, 400)):
+            span = "a" * before + "@" + "a" * after
+            text = "x" * pad + span + "y" * 300 + "a" * 50 + "z" * 200
+            assert P.added_spans([text], [[]], None, 0.9) == [[(pad, pad + len(span), "email")]]
+
+
 def test_mask_and_odd_rows(spark, model):
     rows = [(1, None, 1), (2, "", 1), (None, "mail a@b.co now", 1), (3, "ip 10.0.0.1 and 10.0.0.1", 1),
             (3, "ip 10.0.0.1 and 10.0.0.1", 1), (4, "word " * 100000 + "x@y.org", 1)]

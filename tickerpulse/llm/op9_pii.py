@@ -11,7 +11,9 @@ tag of a character is taken from the window in which it lies nearest the
 middle, the stitched tag sequence is read as spans over the whole text, and a
 span is added where it overlaps no base span, holds a digit or ``@`` (as each
 of the four kinds does) and the model is sure of it. Since a span needs such
-a character, a window without any cannot change the result and is not run.
+a character, only windows with one are run at first, then their neighbours as
+long as a span goes on beyond what the windows run so far own: the spans with
+such a character are those that running all windows would give.
 
 Bounds of the training sample (documented parameters): ``train_docs``
 documents that hold a digit or ``@``, those with the smallest hash of id and
@@ -186,10 +188,13 @@ def added_spans(texts: list[str], base: list[list[tuple[int, int, str]]], model:
     ids_of: dict[int, np.ndarray] = {}
     out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
     tags_of: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    asked: dict[int, set[int]] = {}
 
     def run() -> None:
         paths, probs = bilstm_crf.decode(model, np.stack([x for _, _, x in owned]))
-        for (d, w, _), path, prob in zip(owned, paths, probs):
+        done = owned.copy()
+        owned.clear()
+        for (d, w, _), path, prob in zip(done, paths, probs):
             n = len(ids_of[d])
             if d not in tags_of:
                 tags_of[d] = (np.zeros(n, np.int8), np.zeros(n, np.float32))
@@ -198,17 +203,24 @@ def added_spans(texts: list[str], base: list[list[tuple[int, int, str]]], model:
             hi = n if w * STRIDE + WINDOW >= n else w * STRIDE + WINDOW - STRIDE // 2
             tags_of[d][0][lo:hi] = path[lo - w * STRIDE:hi - w * STRIDE]
             tags_of[d][1][lo:hi] = prob[lo - w * STRIDE:hi - w * STRIDE]
-        owned.clear()
+            # a span open at an edge: the neighbour says where it ends (an odd tag begins one)
+            tags = tags_of[d][0]
+            for v, is_open in ((w - 1, 0 < lo < n and tags[lo] and tags[lo] % 2 == 0), (w + 1, hi < n and tags[hi - 1])):
+                if is_open and v not in asked[d]:
+                    asked[d].add(v)
+                    owned.append((d, v, _window(ids_of[d], v)))
 
     for d, t in enumerate(texts):
         if not _HINT.search(t):
             continue
         ids_of[d] = ids = _ids(t)
-        for w in _hinted(ids):
-            owned.append((d, int(w), _window(ids, int(w))))
+        hinted = _hinted(ids).tolist()
+        asked[d] = set(hinted)
+        for w in hinted:
+            owned.append((d, w, _window(ids, w)))
             if len(owned) >= 2048:
                 run()
-    if owned:
+    while owned:
         run()
     for d, (tags, prob) in tags_of.items():
         for i, j, kind in _read(tags):
