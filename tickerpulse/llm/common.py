@@ -36,6 +36,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(df: DataFrame) -> None:
+    """Remove a table made by ``stored`` that nothing will read again, so that rounds don't pile up."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Rows of texts that a Python worker holds at once.
 TEXT_ROWS = 1000
 

@@ -17,7 +17,10 @@ from . import (
     op8_packing,
     op9_pii,
     op10_url_filter,
+    op11_minhash,
+    op12_spelling,
 )
+from . import op13_vector_codes as vector_codes
 from .common import table
 
 
@@ -79,9 +82,25 @@ def op10_url_filter_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict", "p_block")
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose sets of 2-word shingles have a Jaccard similarity of 0.8 or more."""
+    return op11_minhash.near_dedup(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of all documents with its near words, its form and the root that forms lead to."""
+    return op12_spelling.group(table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four one-byte codes of every embedding, from codebooks of 256 entries refined in 4 rounds."""
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_topk_search_bm25, op2_simhash_near_dedup, op3_simhash_fingerprints, op4_quality_bayes, op5_entropy_mixing,
     op6_separator_token_counts, op7_toxicity_severity, op8_best_fit_packing, op9_pii_spans, op10_url_filter_trees,
+    op11_minhash_near_dedup, op12_spelling_variants, op13_vector_codes,
 )}
 
 #: None of the ten fits SQL: fingerprints by XXH64, trained models, a tokenizer, exact pruning. See tests/llm.
