@@ -107,9 +107,9 @@ def test_odd_rows(spark):
 
 def test_very_long_runs(spark):
     run = "ab" * 30_000
-    rows = [(i, f"{run} {run}a plain plane plane") for i in range(3)]
+    rows = [(i, f"{run} {run}a plane planes") for i in range(3)]
     got = {r[0]: r[4] for r in ran(spark, rows, every=10**9)}
-    assert got == {run: 1, run + "a": 1, "plain": 1, "plane": 1}
+    assert got == {run: 1, run + "a": 1, "plane": 1, "planes": 1}
 
 
 def test_clashing_columns(spark):

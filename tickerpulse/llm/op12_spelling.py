@@ -33,7 +33,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,22 +67,16 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ever
             for doc_id, t in zip(frame["id"], frame["t"]):
                 found.update(occurrences(t, doc_id, every))
             words = [w for w in found if len(w) >= shortest]
-            yield pd.DataFrame({"word": words, "n": pd.Series([found[w] for w in words], dtype="int64")})
+            yield pd.DataFrame({"word": pd.Series(words, dtype=object), "n": pd.Series([found[w] for w in words], dtype="int64")})
     # ids as text: a column of longs with NULLs would reach pandas as floats
     rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text).alias("t"))
     return text_batches(rows).mapInPandas(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
-def _letters(word):
-    """Column: the code points of a word, one a place."""
-    return F.split(word, "")
-
-
 def edge_table(words: DataFrame) -> DataFrame:
     """(node, letter, child, ends) of the trie of ``words`` (one column ``word``, distinct); ``ends`` is true where the child is a word.
 
-    A node is named by the beginning that leads to it. Edges below a depth of
-    half the shortest word are left out by the callers' states, not here.
+    A node is named by the beginning that leads to it.
     """
     steps = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("at"))
     return (steps.select(F.expr("substring(word, 1, at - 1)").alias("node"), F.expr("substring(word, at, 1)").alias("letter"),
