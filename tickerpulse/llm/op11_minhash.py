@@ -21,8 +21,8 @@ of more than ``CROWD`` nodes does not make all pairs: its members are first
 verified against its smallest node, and classes formed. Buckets that still
 hold several classes hand their nodes to a prefix join, which is exact: with
 the shingles in ascending order of frequency, two sets of similarity s share
-one among the first n - ceil(s * n) + 1 of each. Only nodes of different
-classes are paired there. Every pair that shares a bucket is thus verified or
+one among the first n - ceil(s * n) + 1 of each, and the first that they share
+leaves room for as many as the similarity asks for. Only nodes of different classes are paired there. Every pair that shares a bucket is thus verified or
 already in one class.
 
 **Verification** counts common shingles of the full sets. Shingles are told
@@ -153,13 +153,14 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .filter(F.col("both") * 100 >= (F.size("ha") + F.size("hb") - F.col("both")) * percent).select("a", "b"))
 
 
-def _pairs(members: DataFrame, percent: int, differ: bool = False) -> DataFrame:
-    """Distinct (a, b), a < b, of members that share a key, have fitting sizes and, on request, different roots."""
-    extra = ["root"] if differ else []
-    left = members.select("key", F.col("node").alias("a"), F.col("n").alias("na"), *[F.col(c).alias("ra") for c in extra])
-    right = members.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), *[F.col(c).alias("rb") for c in extra])
-    pairs = left.join(right, "key").filter("a < b").filter(_ratio(F.col("na"), F.col("nb"), percent))
-    return (pairs.filter("ra <> rb") if differ else pairs).select("a", "b").distinct()
+def _sides(members: DataFrame, *more: str) -> DataFrame:
+    """``members`` joined with themselves by key: columns of the one end in 1, of the other in 2."""
+    left, right = (members.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("node", "n", *more)]) for i in (1, 2))
+    return left.join(right, "key").filter("node1 < node2")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("node1").alias("a"), F.col("node2").alias("b")).distinct()
 
 
 def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
@@ -168,16 +169,21 @@ def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _prefixes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(key, node, n, root): each node under those shingles of its prefix that another node holds too."""
+    """(key, node, n, root, at): each node under those shingles of its prefix that another node holds too, at their places in the order."""
     own = stored(nodes.join(sets, "node").select("node", "n", "root", F.explode("h").alias("key")), "fss-shingles")
     often = stored(own.groupBy("key").agg(F.count("*").alias("df")).filter("df > 1"), "fss-frequency")
     # shingles that no other node holds come first in the order and match nothing: they shorten the prefix of the rest
     met = stored(own.join(often, "key"), "fss-met")
     held = met.groupBy("node").agg(F.count("*").alias("held")).select(F.col("node").alias("of"), "held")
     rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "key"))  # a set at most
-    need = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    return (met.join(held, F.col("node") == F.col("of")).withColumn("rank", rank)
-            .filter(F.col("rank") <= need - (F.col("n") - F.col("held"))).select("key", "node", "n", "root"))
+    return (met.join(held, F.col("node") == F.col("of")).withColumn("at", F.col("n") - F.col("held") + rank)
+            .filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).select("key", "node", "n", "root", "at"))
+
+
+def _prefix_pairs(held: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of different roots whose first common shingle leaves enough places for the common shingles that the similarity asks for."""
+    left = 1 + F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2"))
+    return _ends(_sides(held, "root", "at").filter("root1 <> root2").filter(left * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent))
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 5, percent: int = 80,
@@ -203,7 +209,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shin
 
     # nodes of full buckets meet their bucket's first node whatever their sizes, so that all of them have sets below
     stars = many.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    pairs = stored(_pairs(few, percent).unionByName(stars).distinct(), "fss-pairs")
+    pairs = stored(_ends(_sides(few).filter(_ratio(F.col("n1"), F.col("n2"), percent))).unionByName(stars).distinct(), "fss-pairs")
     asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("of")).distinct()
                    .join(nodes, F.col("of") == F.col("node")).select("node", "text_key"), "fss-asked")
     texts = (source.filter("t IS NOT NULL").select(F.unhex(F.md5("t")).alias("text_key"), "t")
@@ -217,7 +223,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shin
     rest = stored(crowded.join(torn, "key").select("node", "n", "root").distinct(), "fss-rest")
     if not rest.isEmpty():
         held = stored(_prefixes(rest, sets, percent), "fss-prefixes")
-        more = verified(stored(_pairs(held, percent, differ=True), "fss-more"), sets, percent)
+        more = verified(stored(_prefix_pairs(held, percent), "fss-more"), sets, percent)
         links = stored(links.unionByName(more), "fss-all-links")
         roots = stored(components(links), "fss-all-roots")
 
