@@ -41,21 +41,20 @@ from .common import stored, text_batches
 #: Words of up to so many code points walk the trie.
 WALK = 48
 
-RUN = re.compile("[A-Za-zÀ-ÿ]+")
+LETTERS = "A-Za-zÀ-ÿ"
 
 
-def occurrences(text: str | None, doc_id, every: int = 97) -> Counter:
-    """The runs of a text after the deletions, with their numbers; A-Z are lower-cased."""
-    found: Counter = Counter()
+def count_runs(found: Counter, text: str | None, doc_id: str | None, every: int = 97, shortest: int = 5) -> None:
+    """Add the runs of a text after the deletions to ``found``; A-Z are lower-cased. Shorter runs can't become words."""
     # bytes.lower() folds A-Z alone
-    runs = Counter(RUN.findall((text or "").encode("utf-8", "replace").lower().decode("utf-8")))
-    for run, n in runs.items():
-        h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
-        if h % every == 0:
+    lowered = (text or "").encode("utf-8", "replace").lower().decode("utf-8")
+    start = zlib.crc32(f"{'' if doc_id is None else doc_id}:".encode())
+    for run, n in Counter(re.findall(f"[{LETTERS}]{{{shortest},}}", lowered)).items():
+        h = zlib.crc32(run.encode(), start)
+        if not h % every:
             at = h % len(run)
             run = run[:at] + run[at + 1:]
         found[run] += n
-    return found
 
 
 def vocabulary(docs: DataFrame, id_col: str = "doc_id", text: str = "text", every: int = 97, shortest: int = 5,
@@ -65,7 +64,7 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ever
         for frame in batches:
             found: Counter = Counter()
             for doc_id, t in zip(frame["id"], frame["t"]):
-                found.update(occurrences(t, doc_id, every))
+                count_runs(found, t, doc_id, every, shortest)
             words = [w for w in found if len(w) >= shortest]
             yield pd.DataFrame({"word": pd.Series(words, dtype=object), "n": pd.Series([found[w] for w in words], dtype="int64")})
     # ids as text: a column of longs with NULLs would reach pandas as floats
@@ -74,14 +73,24 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text: str = "text", ever
 
 
 def edge_table(words: DataFrame) -> DataFrame:
-    """(node, letter, child, ends) of the trie of ``words`` (one column ``word``, distinct); ``ends`` is true where the child is a word.
+    """(node, letter, child, ends, further) of the trie of ``words`` (one column ``word``, distinct).
 
-    A node is named by the beginning that leads to it.
+    A node is named by the beginning that leads to it. ``ends`` is true where
+    the child is a word; ``further`` holds the letters that go on from the child.
     """
     steps = words.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("at"))
-    return (steps.select(F.expr("substring(word, 1, at - 1)").alias("node"), F.expr("substring(word, at, 1)").alias("letter"),
-                         F.expr("substring(word, 1, at)").alias("child"), (F.col("at") == F.length("word")).alias("here"))
-            .groupBy("node", "letter", "child").agg(F.max("here").alias("ends")))
+    child, after = F.expr("substring(word, 1, at)"), F.expr("substring(word, at + 1, 1)")
+    return (steps.groupBy(child.alias("child")).agg(F.max(F.col("at") == F.length("word")).alias("ends"),
+                                                    F.array_join(F.collect_set(after), "").alias("further"))
+            .select(F.expr("substring(child, 1, length(child) - 1)").alias("node"), F.expr("right(child, 1)").alias("letter"),
+                    "child", "ends", "further"))
+
+
+def _alive(states: DataFrame) -> DataFrame:
+    """The states (word, at, child, ends, further) that end at a word or have an edge to go on by."""
+    whole = F.length("word")
+    return states.filter(((F.col("at") == whole) & F.col("ends"))
+                         | ((F.col("at") < whole) & (F.expr("instr(further, substring(word, at + 1, 1))") > 0)))
 
 
 def walk(words: DataFrame, begin, name: str) -> DataFrame:
@@ -93,35 +102,26 @@ def walk(words: DataFrame, begin, name: str) -> DataFrame:
     longest = words.agg(F.max(F.length("word"))).first()[0]
     if longest is None:
         return words.select("word", F.col("word").alias("near"))
-    # one edit: read a wrong letter, take one more from the trie, or skip one of the word's own
+    # the first edit is made at any node of the word's own path from ``begin`` on: an edge may be read in place of the word's
+    # next letter, before it, or as the letter behind it
     path = words.select("word", F.explode(F.sequence(begin, F.length("word"))).alias("at")) \
-        .select("word", "at", F.expr("substring(word, 1, at)").alias("from"))
-    taken = (path.join(edges, F.col("from") == F.col("node"))
-             .select("word", "at", "child", "ends", "letter", F.expr("substring(word, at + 1, 1)").alias("own"))
-             .select("word", "child", "ends", F.explode(F.expr(
-                 "filter(array(IF(own <> letter AND own <> '', at + 1, -1), at), x -> x >= 0)")).alias("at")))
-    # a skipped letter leaves the state on its node, whose next letter must have an edge; at the word's end the node itself is asked
-    skipped = path.filter(F.col("at") < F.length("word")).select("word", "from", (F.col("at") + 1).alias("at"))
-    step = (skipped.filter(F.col("at") < F.length("word"))
-            .select("word", "at", "from", F.expr("substring(word, at + 1, 1)").alias("own"))
-            .join(edges, (F.col("from") == F.col("node")) & (F.col("own") == F.col("letter")))
-            .select("word", "child", "ends", (F.col("at") + 1).alias("at")))
-    last = (skipped.filter(F.col("at") == F.length("word"))
-            .join(edges.filter("ends").select("child"), F.col("from") == F.col("child")).select("word", F.col("child").alias("near")))
-    frontier = stored(taken.unionByName(step), f"{name}-level")
-    found = [last]
+        .withColumn("from", F.expr("substring(word, 1, at)"))
+    edits = F.expr("""filter(array(IF(at < length(word) AND letter <> substring(word, at + 1, 1), at + 1, -1), at,
+                                   IF(letter = substring(word, at + 2, 1), at + 2, -1)), x -> x >= 0)""")
+    made = path.join(edges, F.col("from") == F.col("node")).select("word", "child", "ends", "further", F.explode(edits).alias("at"))
+    frontier = stored(_alive(made), f"{name}-level")
+    # the last letter skipped: the path's last node but one is itself a word
+    cut = words.select("word", F.expr("substring(word, 1, length(word) - 1)").alias("near"))
+    found = cut.join(words.select(F.col("word").alias("w")), F.col("near") == F.col("w")).select("word", "near")
     for _ in range(longest + 1):
-        found.append(frontier.filter((F.col("at") == F.length("word")) & F.col("ends")).select("word", F.col("child").alias("near")))
+        found = found.unionByName(frontier.filter((F.col("at") == F.length("word")) & F.col("ends")).select("word", F.col("child").alias("near")))
         going = frontier.filter(F.col("at") < F.length("word")).select(
             "word", "at", F.col("child").alias("from"), F.expr("substring(word, at + 1, 1)").alias("own"))
-        frontier = stored(going.join(edges, (F.col("from") == F.col("node")) & (F.col("own") == F.col("letter")))
-                          .select("word", "child", "ends", (F.col("at") + 1).alias("at")), f"{name}-level")
+        frontier = stored(_alive(going.join(edges, (F.col("from") == F.col("node")) & (F.col("own") == F.col("letter")))
+                                 .select("word", "child", "ends", "further", (F.col("at") + 1).alias("at"))), f"{name}-level")
         if frontier.isEmpty():
             break
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
-    return out.filter("word <> near")
+    return found.filter("word <> near")
 
 
 def one_edit(a: str, b: str) -> bool:
