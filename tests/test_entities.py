@@ -330,3 +330,32 @@ def test_publish_job_on_line_delimited_envelopes(spark, tmpdir_path):
             f.write(json.dumps({"tweets": [_tweet(i, case[0], case[1]), {}]}) + "\n")
     publish_job.main(["--cashtag", c, "--out", out, "--lines"])
     assert read_table(spark, "posts", out).count() == len(CASES)  # cashtag side: no spam rules
+
+
+def test_a_run_of_a_million_characters(spark):
+    """Long runs without blanks take room in proportion to their length, with a list and with a table of symbols."""
+    from tickerpulse.operators.identify import identify_posts, non_symbol_tag_posts
+    run = "#" + "1" * 500_000 + "本" * 500_000
+    posts = spark.createDataFrame([("1", run), ("2", "$7A.B #ＡＢ " + run), ("3", "$ß1")], "id string, text string")
+    universe = ["7A.B", "ＡＢ", "SS1"]
+    table = spark.createDataFrame([(s,) for s in universe], "symbol string")
+    for u in (universe, table):
+        got = {r["id"]: sorted(r["tickers"]) for r in identify_posts(posts, u).select("id", "tickers").collect()}
+        assert got == {"1": [], "2": sorted(universe[:2]), "3": ["SS1"]}
+    assert {r["id"]: len(r["tags"]) for r in non_symbol_tag_posts(posts, table).collect()} == {"1": 1, "2": 1, "3": 0}
+
+
+def test_rule_semi_judges_each_post_by_its_own_text(spark):
+    from tickerpulse.operators.rules import rule_semi
+    rules = spark.createDataFrame([(1, 0, ["AAPL", "MU"])], "page_id int, rule_no long, symbols array<string>")
+    posts = spark.createDataFrame([("1", "$AAPL"), ("1", "nothing"), (None, "$AAPL"), (None, None), ("2", "#mu $AAPL")], "id string, text string")
+    assert sorted(map(str, rule_semi(posts, rules).collect())) == sorted(map(str, posts.filter("text LIKE '%AAPL%'").collect()))
+
+
+def test_a_post_without_conversation_keeps_its_own_symbols(spark):
+    from tickerpulse.operators.context import conversation_context
+    posts = spark.createDataFrame([("1", "$AAPL", None), ("2", "$MU", None), ("3", "$MU", "c"), ("4", "x", "c")], "id string, text string, conversation_id string")
+    table = spark.createDataFrame([("AAPL",), ("MU",)], "symbol string")
+    for u in (["AAPL", "MU"], table):
+        got = {r["id"]: r["tickers"] for r in conversation_context(posts, u).collect()}
+        assert got == {"1": ["AAPL"], "2": ["MU"], "3": ["MU"], "4": ["MU"]}

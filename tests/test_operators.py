@@ -171,7 +171,7 @@ def test_rules_from_listing_page_html(spark):
     rules = build_rules(listing, RULE_SIZE_CASHTAG, "$").orderBy("rule_no").collect()
     assert len(rules) == 17 and [len(r["symbols"]) for r in rules] == [6] * 17
     assert rules[-1]["value"] == " OR ".join("$" + t for t in TICKERS[96:])
-    assert [s for r in rules for s in r["symbols"]] == TICKERS
+    assert [s for r in rules for s in r["symbols"]] == list(TICKERS)
 
 
 def test_global_listing_one_rule_per_symbol(spark):

@@ -178,3 +178,78 @@ def test_empty_input_gives_empty_results(spark, tmpdir_path):
         assert out.count() == 0 and out.columns == ["t_hour", "ticker", "cnt"]
     assert jobs.run_available_now(st, "t-empty").count() == 0
     assert jobs.run_dedup(spark.readStream.schema("id string, date date").parquet(src), "t-empty-dedup", ["id"], "date").count() == 0
+
+
+def _mentions(spark, src, files=1):
+    return spark.readStream.schema("ticker string, created_at timestamp_ntz").option("maxFilesPerTrigger", files).parquet(src)
+
+
+def test_event_time_counts_close_hours_and_report_late_rows(spark, tmpdir_path):
+    src, out, ckpt = (os.path.join(tmpdir_path, x) for x in ("src", "out", "ckpt"))
+    t = lambda d, h, m=0: dt.datetime(2024, 1, d, h, m)
+
+    def run():
+        counts, late = jobs.run_event_time_counts(_mentions(spark, src), "t-event", "2 hours", out, ckpt)
+        return (sorted((r["t_hour"].day, r["t_hour"].hour, r["ticker"], r["cnt"]) for r in counts.collect()),
+                sorted((r["rows_in"], r["counted"], r["late"]) for r in late.collect() if r["rows_in"]))
+
+    _deliver(src, "a.parquet", [("A", t(1, 1)), ("A", t(1, 1, 30)), ("B", t(1, 2))])
+    counts, late = run()
+    assert counts == [(1, 1, "A", 2), (1, 2, "B", 1)] and late == [(3, 3, 0)]
+    _deliver(src, "b.parquet", [("A", t(1, 2, 10)), ("A", t(1, 1, 40)), ("A", t(2, 9))])  # out of order, within the delay
+    counts, late = run()
+    assert counts == [(1, 1, "A", 3), (1, 2, "A", 1), (1, 2, "B", 1), (2, 9, "A", 1)]
+    _deliver(src, "c.parquet", [("A", t(1, 1, 50)), ("B", t(1, 3)), ("B", t(2, 9, 5)), ("B", None)])  # two hours are final now
+    counts, late = run()
+    assert counts == [(1, 1, "A", 3), (1, 2, "A", 1), (1, 2, "B", 1), (2, 9, "A", 1), (2, 9, "B", 1)]
+    assert late == [(3, 3, 0), (3, 3, 0), (4, 1, 3)]
+    assert run()[0] == counts
+
+
+def test_event_time_state_holds_open_hours_alone(spark, tmpdir_path):
+    src, ckpt = os.path.join(tmpdir_path, "src"), os.path.join(tmpdir_path, "ckpt")
+    for i in range(12):
+        _deliver(src, f"{i:02}.parquet", [("A", dt.datetime(2024, 1, 1 + i, h)) for h in range(24)])
+        os.utime(os.path.join(src, f"{i:02}.parquet"), (1_700_000_000 + i, 1_700_000_000 + i))
+    counts, late = jobs.run_event_time_counts(_mentions(spark, src), "t-state", "2 hours", os.path.join(tmpdir_path, "out"), ckpt)
+    assert counts.count() == 12 * 24 and late.agg({"late": "sum"}).first()[0] == 0
+    # the store's last snapshot holds the hours after the watermark, not twelve days
+    rows = spark.read.format("statestore").load(ckpt)
+    assert rows.count() <= 4
+
+
+def test_published_days_keep_null_times_and_two_versions(spark, tmpdir_path):
+    src, out, ckpt = (os.path.join(tmpdir_path, x) for x in ("src", "out", "ckpt"))
+    t = lambda d, h: dt.datetime(2024, 1, d, h)
+    for i in range(8):
+        _deliver(src, f"{i}.parquet", [("A", t(1, 1)), ("B", None), ("A", t(2 + i, 3))])
+    table = jobs.run_counts_by_day(_mentions(spark, src), "t-null", out, ckpt)
+    got = sorted(((str(r["t_hour"]), r["ticker"], r["cnt"]) for r in table.collect()))
+    assert ("None", "B", 8) in got and ("2024-01-01 01:00:00", "A", 8) in got and len(got) == 10
+    folders = os.listdir(os.path.join(out, "table", "date=2024-01-01"))
+    assert len([f for f in folders if f.startswith("batch=")]) == 2
+    assert len([f for f in os.listdir(os.path.join(out, "table", "date=2024-01-05")) if f.startswith("batch=")]) == 1
+
+
+def test_a_repeated_batch_counts_once(spark, tmpdir_path):
+    from tickerpulse.session import staged
+    from tickerpulse.streaming import days
+    table = os.path.join(tmpdir_path, "t")
+    schema = "key string, cnt long, date date"
+    d = dt.date(2024, 1, 1)
+    add = lambda old, new: old.unionByName(new).groupBy("key", "date").agg(F.sum("cnt").alias("cnt")).select("key", "cnt", "date")
+    part = staged(spark.createDataFrame([("a", 1, d), ("b", 2, None)], schema), "t-part")
+    for batch in (0, 1, 1, 2, 2):
+        days.replace_days(part, table, "date", batch, add)
+    got = days.read_days(spark, table, part.schema, "date").collect()
+    assert sorted((r["key"], r["cnt"]) for r in got) == [("a", 3), ("b", 6)]
+
+
+def test_dedup_opens_the_days_of_a_batch_alone(spark, tmpdir_path):
+    from tickerpulse.streaming import days
+    d = lambda i: dt.date(2024, 1, 1 + i)
+    out = os.path.join(tmpdir_path, "out")
+    rows = spark.createDataFrame([(str(i), d(i)) for i in range(20)], "id string, date date")
+    days.write_days(rows, out, "date", 0)
+    some = days.read_days(spark, out, rows.schema, "date", [days.day_name(d(3)), days.day_name(d(30))], before=1, every=True)
+    assert [r["id"] for r in some.collect()] == ["3"] and len(some.inputFiles()) == 1

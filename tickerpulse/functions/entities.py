@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import SYMBOL_PREFIXES, TICKERS
@@ -52,24 +52,45 @@ def bounded_candidate_pattern(max_len: int) -> str:
             + "})(?![A-Za-z|])")
 
 
-def beginnings(run: Column) -> Column:
-    """The beginnings of a run that are not followed by an ASCII letter or ``|``."""
+def prefix_lengths(lengths) -> list[int]:
+    """Lengths of the beginnings that can name symbols of these lengths.
+
+    Upper-casing turns a character into three at most (``ß`` into two), so a
+    beginning may be shorter than the upper-cased symbol that it names.
+    """
+    return sorted({i for n in lengths for i in range(-(-n // 3), n + 1) if i})
+
+
+def symbol_lengths(universe: DataFrame) -> list[int]:
+    """``prefix_lengths`` of a one-column table of symbols: one row a distinct length reaches the driver."""
+    return prefix_lengths(r[0] for r in universe.select(F.length(F.upper(F.col(universe.columns[0])))).distinct().collect() if r[0])
+
+
+def beginnings(run: Column, lengths: Sequence[int] | None = None) -> Column:
+    """The beginnings of a run that are not followed by an ASCII letter or ``|``.
+
+    ``lengths`` names the lengths that can matter; without it every length is
+    tried, which is quadratic in the run and fit for short runs only.
+    """
     n = F.length(run)
-    ends = F.filter(F.sequence(F.lit(1), n), lambda i: (i == n) | ~F.substring(run, i + 1, F.lit(1)).rlike("[A-Za-z|]"))
-    return F.when(run.rlike("^[A-Za-z]+$"), F.array(run)).otherwise(F.transform(ends, lambda i: F.substring(run, F.lit(1), i)))
+    tried = F.sequence(F.lit(1), n) if lengths is None else F.array(*[F.lit(i) for i in lengths]).cast("array<int>")
+    ends = F.filter(tried, lambda i: (i == n) | ((i < n) & ~F.substring(run, i + 1, F.lit(1)).rlike("[A-Za-z|]")))
+    if lengths is None:
+        return F.when(run.rlike("^[A-Za-z]+$"), F.array(run)).otherwise(F.transform(ends, lambda i: F.substring(run, F.lit(1), i)))
+    return F.transform(ends, lambda i: F.substring(run, F.lit(1), i))
 
 
-def symbol_candidates(text) -> Column:
-    """Upper-cased distinct candidates of a text (null for null text)."""
+def symbol_candidates(text, lengths: Sequence[int] | None = None) -> Column:
+    """Upper-cased distinct candidates of a text (null for null text), of the given lengths (see ``prefix_lengths``)."""
     runs = F.array_distinct(F.regexp_extract_all(_col(text), F.lit(SYMBOL_RUN), F.lit(1)))
-    return F.array_distinct(F.transform(F.flatten(F.transform(runs, beginnings)), F.upper))
+    return F.array_distinct(F.transform(F.flatten(F.transform(runs, lambda r: beginnings(r, lengths))), F.upper))
 
 
 def _candidates_for(text, universe: Sequence[str]) -> Column:
     """Candidates that are enough for a literal universe."""
     if all(s.isascii() and s.isalpha() for s in universe):
         return _extract_upper(_col(text), bounded_candidate_pattern(max((len(s) for s in universe), default=1)))
-    return symbol_candidates(text)
+    return symbol_candidates(text, prefix_lengths(len(s.upper()) for s in universe))
 
 
 def keep_universe(cands: Column, universe: Sequence[str]) -> Column:
@@ -138,5 +159,5 @@ def non_symbol_tags(text, universe: Sequence[str] = TICKERS, prefix: str = "#")
     universe symbol in any case; every other tag is kept, upper-cased, in text order.
     """
     u = list(dict.fromkeys(s.upper() for s in universe))
-    kept = F.filter(tag_tokens(text, prefix), lambda tok: ~F.exists(beginnings(tok), lambda b: F.upper(b).isin(u)))
+    kept = F.filter(tag_tokens(text, prefix), lambda tok: ~F.exists(beginnings(tok, prefix_lengths(len(s) for s in u)), lambda b: F.upper(b).isin(u)))
     return F.transform(kept, tag_of)

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.entities import (beginnings, extract_hashtags, identify_tickers, symbol_candidates,
-                                  tag_of, tag_tokens)
+                                  symbol_lengths, tag_of, tag_tokens)
+from ..session import staged
 
 EMPTY = "array<string>"
 
@@ -42,10 +43,11 @@ def identify_posts(posts: DataFrame, universe, text_col: str = "text",
         return posts.withColumn("tickers", identify_tickers(
             F.col(text_col), ctx, [s.upper() for s in universe], strict_compat=strict_compat))
     empty = F.array().cast(EMPTY)
-    cands = F.coalesce(symbol_candidates(text_col), empty)
+    lengths = symbol_lengths(universe)
+    cands = F.coalesce(symbol_candidates(text_col, lengths), empty)
     if context_col:
         cands = F.concat(cands, F.coalesce(F.flatten(F.transform(
-            ctx, lambda r: F.coalesce(symbol_candidates(r["text"]), empty))), empty))
+            ctx, lambda r: F.coalesce(symbol_candidates(r["text"], lengths), empty))), empty))
     keyed = posts.withColumn("_c", F.array_sort(F.array_distinct(cands))) \
         .withColumn("_k", _digest(F.col("_c"), F.col(text_col)))
     # a semi join needs no distinct on the universe side, so a hot symbol's partition can be split
@@ -69,7 +71,7 @@ def non_symbol_tag_posts(posts: DataFrame, universe: DataFrame, text_col: str =
     lists = keyed.where(F.size("_w") > 0).select("_k", "_w").distinct()
     tokens = lists.select("_k", F.posexplode("_w").alias("_at", "token"))
     naming = tokens.select("token").distinct() \
-        .select("token", F.explode(F.transform(beginnings(F.col("token")), F.upper)).alias("symbol")) \
+        .select("token", F.explode(F.transform(beginnings(F.col("token"), symbol_lengths(universe)), F.upper)).alias("symbol")) \
         .join(_upper_symbols(universe), "symbol", "left_semi").select("token")
     kept = tokens.join(naming, "token", "left_anti").groupBy("_k") \
         .agg(F.array_sort(F.collect_list(F.struct("_at", tag_of(F.col("token")).alias("t")))).alias("_t"))

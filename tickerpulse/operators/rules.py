@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.entities import symbol_candidates
+from ..functions.entities import symbol_candidates, symbol_lengths
+from ..session import staged
 from .numbering import numbered
 
 
@@ -50,17 +51,21 @@ def rule_match(posts: DataFrame, rules: DataFrame, group_col: str = "page_id",
     """(post, rule) pairs where the post's text names one of the rule's symbols
     with a symbol prefix. Equi-join on the symbol; the rule side is left to
     AQE's runtime size check for broadcasting."""
-    cand = posts.select(id_col, F.explode(symbol_candidates(text_col))
-                        .alias("symbol"))
-    return cand.join(rule_symbols(rules, group_col), "symbol") \
-        .select(id_col, group_col, "rule_no").distinct()
+    syms = rule_symbols(rules, group_col)
+    cand = posts.select(id_col, F.explode(symbol_candidates(text_col, symbol_lengths(syms.select("symbol")))).alias("symbol"))
+    return cand.join(syms, "symbol").select(id_col, group_col, "rule_no").distinct()
 
 
 def rule_semi(posts: DataFrame, rules: DataFrame, group_col: str = "page_id",
-              id_col: str = "id", text_col: str = "text") -> DataFrame:
-    """Posts caught by at least one rule (the stream filter's result)."""
-    cand = posts.select(id_col, F.explode(symbol_candidates(text_col))
-                        .alias("symbol"))
+              text_col: str = "text") -> DataFrame:
+    """Posts caught by at least one rule (the stream filter's result).
+
+    Each different set of candidates is matched once; posts meet the sets that
+    hit by digest, so ids play no part: repeated and NULL ones are judged by their own text.
+    """
     syms = rule_symbols(rules, group_col).select("symbol")  # a semi join needs no distinct
-    hit = cand.join(syms, "symbol", "left_semi").select(id_col)
-    return posts.join(hit, id_col, "left_semi")
+    keyed = posts.withColumn("_c", F.array_sort(symbol_candidates(text_col, symbol_lengths(syms)))).where(F.size("_c") > 0) \
+        .withColumn("_k", F.sha2(F.to_json("_c"), 256))
+    hits = staged(keyed.select("_k", "_c").distinct().select("_k", F.explode("_c").alias("symbol"))
+                  .join(syms, "symbol", "left_semi").select("_k").distinct(), "rule-hits")
+    return keyed.join(hits, "_k", "left_semi").select(*posts.columns)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.timeparts import epoch_millis_parts
 from ..operators import counts, market, ranking
+from ..operators.asof import asof_join
 from ..session import scratch_path
 from ..sinks.tables import publish_bars, read_table
 from ..sources import driver_tables as dt
@@ -179,3 +180,16 @@ def epoch_to_parts(spark, sf_dir):
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     p = epoch_millis_parts(ms, "UTC")
     return ev.select("event_id", p["date"].alias("date"), p["time"].alias("time"))
+
+
+@query("mentions_asof_price", S.with_(_HOURLY) + """
+, m AS (SELECT upper(event_type) AS ticker, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS t_hour, count(*) AS cnt FROM events GROUP BY 1, 2),
+session AS (SELECT ticker, t, close FROM hb WHERE isodow(t) <= 5 AND hour(t) BETWEEN 9 AND 15)
+SELECT m.ticker, m.t_hour, m.cnt, s.t AS asof, s.close FROM m ASOF LEFT JOIN session s ON m.ticker = s.ticker AND m.t_hour >= s.t""")
+def mentions_asof_price(spark, sf_dir):
+    """Hourly mentions beside the last bar of a trading session (weekdays, 9 to 15) that is not later: nights and weekends keep the last price."""
+    ev = table(spark, sf_dir, "events")
+    mentions = ev.groupBy(F.upper("event_type").alias("ticker"), F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("t_hour")) \
+        .agg(F.count(F.lit(1)).alias("cnt"))
+    bars = market.ohlcv(dt.event_ticks(ev), "hour").filter("weekday(t) < 5 AND hour(t) BETWEEN 9 AND 15").select("ticker", "t", "close")
+    return asof_join(mentions, bars, "ticker", "t_hour", "t", ["close"])

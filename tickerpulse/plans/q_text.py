@@ -11,6 +11,7 @@ from ..operators import rules as R
 from ..operators.context import conversation_context
 from ..operators.facts import union_sources
 from ..operators.identify import identify_posts, non_symbol_tag_posts
+from ..operators.threads import thread_context, with_threads
 from ..session import staged
 from ..sources import driver_tables as dt
 from ..sources.webpages import page_links, symbol_rows
@@ -200,7 +201,8 @@ def cotags_hourly_dedup(spark, sf_dir):
 @query("conversation_context", S.with_(S.PG_UNIVERSE, S.CONV_POSTS) + f"""
 , own AS (SELECT conversation_id, unnest({S.keep(S.cands('text'), 'pg_universe.u')}) AS symbol FROM conv_posts, pg_universe),
 per_conv AS (SELECT conversation_id, list_sort(list_distinct(list(symbol))) AS t FROM own GROUP BY 1)
-SELECT p.id, coalesce(c.t, []) AS tickers FROM conv_posts p LEFT JOIN per_conv c USING (conversation_id)""",
+SELECT p.id, CASE WHEN p.conversation_id IS NULL THEN {S.keep(S.cands('p.text'), 'pg_universe.u')} ELSE coalesce(c.t, []) END AS tickers
+FROM pg_universe, conv_posts p LEFT JOIN per_conv c USING (conversation_id)""",
        texts=("tickers",))
 def conversation_context_q(spark, sf_dir):
     """Symbols of a turn from the whole conversation it belongs to."""
@@ -208,6 +210,38 @@ def conversation_context_q(spark, sf_dir):
     return conversation_context(posts, page_universe(spark, sf_dir)).select("id", "tickers")
 
 
+def _replies(spark, sf_dir):
+    """Turns as posts that name the turn they answer; their conversation id is not used."""
+    c = table(spark, sf_dir, "conversations")
+    return dt.conversation_turns(c.select("conv_id", "turn", "text")).join(
+        c.select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
+                 F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - 1).cast("string")).alias("replied_to")),
+        "id").drop("conversation_id")
+
+
+_THREADS_SQL = """
+turns AS (SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS id,
+                 CAST(conv_id AS VARCHAR) || '-' || CAST(turn - 1 AS VARCHAR) AS replied_to FROM conversations),
+threads AS (SELECT id, id AS root, CAST(0 AS BIGINT) AS depth FROM turns WHERE replied_to NOT IN (SELECT id FROM turns)
+            UNION ALL SELECT t.id, p.root, p.depth + 1 FROM turns t JOIN threads p ON t.replied_to = p.id)"""
+
+
+@query("reply_threads", f"WITH RECURSIVE {_THREADS_SQL} SELECT id, root, depth FROM threads")
+def reply_threads(spark, sf_dir):
+    """Root and depth of every turn in its chain of answers."""
+    return with_threads(_replies(spark, sf_dir)).select("id", "root", "depth")
+
+
+@query("thread_context", S.with_(S.PG_UNIVERSE, S.CONV_POSTS).replace("WITH", "WITH RECURSIVE", 1) + f"""
+, {_THREADS_SQL},
+own AS (SELECT h.root, unnest({S.keep(S.cands('p.text'), 'pg_universe.u')}) AS symbol FROM pg_universe, conv_posts p JOIN threads h USING (id)),
+per_root AS (SELECT root, list_sort(list_distinct(list(symbol))) AS t FROM own GROUP BY 1)
+SELECT h.id, coalesce(r.t, []) AS tickers FROM threads h LEFT JOIN per_root r USING (root)""", texts=("tickers",))
+def thread_context_q(spark, sf_dir):
+    """Symbols of the whole thread of a turn, found through the answers alone."""
+    return thread_context(_replies(spark, sf_dir), page_universe(spark, sf_dir)).select("id", "tickers")
+
+
 _UNION_SQL = S.with_(S.PG_UNIVERSE, S.DOC_FACT, S.CONV_POSTS, S.conv_fact()) + """
 , u AS (SELECT source, tickers, tags FROM doc_fact UNION ALL SELECT source, tickers, tags FROM conv_fact)"""
 
@@ -292,9 +326,8 @@ def rule_match(spark, sf_dir):
 
 
 @query("rule_semi", S.with_(S.PG_UNIVERSE, _LISTING_SQL, S.CONV_POSTS) + f"""
-, cand AS (SELECT DISTINCT id, unnest(list_distinct({S.cands('text')})) AS symbol FROM conv_posts),
-rs AS (SELECT DISTINCT unnest(symbols) AS symbol FROM rules)
-SELECT id FROM conv_posts WHERE id IN (SELECT id FROM cand JOIN rs USING (symbol))""")
+, rs AS (SELECT list(DISTINCT symbol) AS l FROM (SELECT unnest(symbols) AS symbol FROM rules))
+SELECT id FROM conv_posts, rs WHERE list_has_any({S.cands('text')}, rs.l)""")
 def rule_semi(spark, sf_dir):
     rules = R.build_rules(_listing(spark, sf_dir), k=2)
     return R.rule_semi(conversation_posts(spark, sf_dir), rules).select("id")

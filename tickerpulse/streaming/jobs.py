@@ -2,9 +2,11 @@
 
 Identification, tag extraction and rule matching need no state, so the
 batch functions run on each micro-batch. Counts are kept as one partial
-count per (hour, key) and batch, added up when read: there is no state that
-grows, open hours are part of the result, and a row counts whenever it
-arrives, however late. Deduplication looks up the keys already written.
+count per (hour, key) and batch, added up when read or folded into the days
+of a published table: open hours are part of the result, and a row counts
+whenever it arrives, however late. In event time, with a watermark, the state
+is the hours still open and late rows are reported. Deduplication looks up the
+keys already written for the days of a batch.
 Every query writes through a checkpoint in the shared folder, so a restarted
 query resumes where it stopped, and a batch that runs again overwrites its
 own folder.
@@ -18,21 +20,16 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.entities import symbol_candidates
+from ..functions.entities import symbol_candidates, symbol_lengths
 from ..functions.timeparts import bucket
-from ..session import scratch_path
+from ..session import scratch_path, staged
+from .days import days_of, day_name, path_exists, read_days, replace_days, write_days
 
 
 #: New files a micro-batch takes at most, so a backlog is worked off in bounded batches.
 MAX_FILES = 1000
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is there, asked of the file system that Spark itself uses for it."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def table_stream(spark: SparkSession, folder: str, name: str,
                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Stream the table ``name`` of ``folder``: one Parquet file or a folder of them
@@ -73,28 +70,74 @@ def run_counts_by_day(mentions: DataFrame, name: str, out: str | None = None, ck
                       ts: str = "created_at", key: str = "ticker") -> DataFrame:
     """Keep a table of hourly counts, partitioned by date, up to date with a stream.
 
-    Each micro-batch writes its partial counts, then the days it touched are
-    added up again from all partials and replaced; other days stay as they are.
+    A micro-batch adds its counts to the days it touches and replaces those
+    days; other days are not opened. Rows without a time are a day of their own.
     """
     spark = mentions.sparkSession
-    out = out or scratch_path(spark, f"{name}-out")
-    parts, table = f"{out}/parts", f"{out}/table"
-    schema = hourly_partials(spark.createDataFrame([], mentions.schema), ts, key).withColumn("date", F.to_date("t_hour")).schema
+    table = f"{out or scratch_path(spark, f'{name}-out')}/table"
+
+    def counted(batch: DataFrame) -> DataFrame:
+        return hourly_partials(batch, ts, key).withColumn("date", F.to_date("t_hour"))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        part = hourly_partials(batch, ts, key).withColumn("date", F.to_date("t_hour"))
-        part.write.mode("overwrite").partitionBy("date").parquet(f"{parts}/batch={batch_id}")
-        if not path_exists(spark, f"{parts}/batch={batch_id}"):
-            return
-        mine = spark.read.schema(schema).parquet(f"{parts}/batch={batch_id}").select("date").distinct()
-        every = spark.read.schema(schema).parquet(parts).drop("batch").join(mine, "date", "left_semi")
-        (totals(every, ["date", "t_hour", key]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("date").parquet(table))
+        replace_days(staged(counted(batch), f"{name}-part"), table, "date", batch_id,
+                     lambda old, new: totals(old.unionByName(new), ["date", "t_hour", key]))
 
     _run(mentions, publish, ckpt or scratch_path(spark, f"{name}-ckpt"))
-    if not path_exists(spark, table):
-        return spark.createDataFrame([], schema).drop("date")
-    return spark.read.schema(schema).parquet(table).drop("date")
+    schema = counted(spark.createDataFrame([], mentions.schema)).schema
+    return read_days(spark, table, schema, "date").drop("date")
+
+
+def run_event_time_counts(mentions: DataFrame, name: str, delay: str = "2 hours", out: str | None = None,
+                          ckpt: str | None = None, ts: str = "created_at", key: str = "ticker") -> tuple[DataFrame, DataFrame]:
+    """Hourly counts in event time: the counts table and what came too late.
+
+    The stream's state holds the hours that may still grow, those that end
+    after the watermark (the latest time seen less ``delay``); each batch
+    upserts the counts that it changed into the table. An hour behind the
+    watermark is final and leaves the state. Rows of such hours are not
+    counted; the second table, (batch, rows_in, counted, late), says how many
+    a batch had. Rows without a time belong to no hour and count as late.
+
+    Late rows are the difference of what a batch read and what it added, as
+    the query reports it: a run that is killed leaves the batches since its
+    start out of the second table, the counts are not touched by that.
+    """
+    spark = mentions.sparkSession
+    out = out or scratch_path(spark, f"{name}-out")
+    table, ledger, late = f"{out}/table", f"{out}/ledger", f"{out}/late"
+    # a watermark needs a timestamp with a zone; the session's is UTC, so hours are the same
+    timed = mentions.select(F.col(ts).cast("timestamp").alias("at"), key).observe("read", F.count(F.lit(1)).alias("rows_in"))
+    counts = (timed.withWatermark("at", delay).groupBy(F.window("at", "1 hour").alias("w"), key).agg(F.count(F.lit(1)).alias("cnt"))
+              .select(F.col("w.start").cast("timestamp_ntz").alias("t_hour"), key, "cnt"))
+
+    def upserted(old: DataFrame, new: DataFrame) -> DataFrame:
+        same = (F.col("t_hour") == F.col("_hour")) & F.col(key).eqNullSafe(F.col("_key"))
+        return old.join(new.select(F.col("t_hour").alias("_hour"), F.col(key).alias("_key")), same, "left_anti").unionByName(new)
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        new = staged(batch.withColumn("date", F.to_date("t_hour")), f"{name}-changed")
+        old = replace_days(new, table, "date", batch_id, upserted)
+        before = old.join(new.select("t_hour", F.col(key).alias("_key")).withColumnRenamed("t_hour", "_hour"),
+                          (F.col("t_hour") == F.col("_hour")) & F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+        added = new.select("cnt").unionByName(before.select((-F.col("cnt")).alias("cnt"))).agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("counted"))
+        added.write.mode("overwrite").parquet(f"{ledger}/batch={batch_id}")
+
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
+    q = (counts.writeStream.outputMode("update").option("checkpointLocation", ckpt or scratch_path(spark, f"{name}-ckpt"))
+         .trigger(availableNow=True).foreachBatch(publish).start())
+    q.awaitTermination()
+    rows_in = [(p["batchId"], p["observedMetrics"]["read"]["rows_in"]) for p in q.recentProgress if "read" in p["observedMetrics"]]
+    if rows_in:
+        read = spark.createDataFrame(rows_in, "batch long, rows_in long")  # a row for each batch of this run
+        added = spark.read.schema("counted long, batch long").parquet(ledger)
+        (read.join(added, "batch").withColumn("late", F.col("rows_in") - F.col("counted"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(late))
+    schema = "t_hour timestamp_ntz, " + key + " string, cnt long, date date"
+    late_schema = "rows_in long, counted long, late long, batch long"
+    lost = spark.read.schema(late_schema).parquet(late) if path_exists(spark, late) else spark.createDataFrame([], late_schema)
+    return (read_days(spark, table, spark.createDataFrame([], schema).schema, "date").drop("date"),
+            lost.select("batch", "rows_in", "counted", "late"))
 
 
 def run_dedup(stream: DataFrame, name: str, keys: Sequence[str], day: str, out: str | None = None,
@@ -103,24 +146,22 @@ def run_dedup(stream: DataFrame, name: str, keys: Sequence[str], day: str, out:
     keys that earlier batches wrote are dropped.
 
     Equal keys must carry an equal ``day`` (a date), by which the output is
-    partitioned: only days that occur in the batch are looked up. What is
-    remembered is the output itself, so repeats are found however late they come.
+    laid out: a batch opens the folders of its own days alone, whatever the
+    history. What is remembered is the output itself, so repeats are found
+    however late they come.
     """
     spark = stream.sparkSession
     out = out or scratch_path(spark, f"{name}-out")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        new = batch.dropDuplicates([*keys, day])
-        if path_exists(spark, out):
-            seen = spark.read.schema(stream.schema).parquet(out).filter(F.col("batch") != batch_id)
-            new = new.join(seen.select(*[F.col(k).alias(f"_{k}") for k in [*keys, day]]),
-                           reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in [*keys, day]]), "left_anti")
-        new.write.mode("overwrite").partitionBy(day).parquet(f"{out}/batch={batch_id}")
+        new = staged(batch.dropDuplicates([*keys, day]), f"{name}-batch")
+        seen = read_days(spark, out, stream.schema, day, [day_name(d) for d in days_of(new, day)], before=batch_id, every=True)
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in [*keys, day]]
+        first = new.join(seen.select(*[F.col(k).alias(f"_{k}") for k in [*keys, day]]), reduce(lambda a, b: a & b, same), "left_anti")
+        write_days(first, out, day, batch_id)
 
     _run(stream, write, ckpt or scratch_path(spark, f"{name}-ckpt"))
-    if not path_exists(spark, out):
-        return spark.createDataFrame([], stream.schema)
-    return spark.read.schema(stream.schema).parquet(out).select(*stream.columns)
+    return read_days(spark, out, stream.schema, day, every=True)
 
 
 def _run(stream: DataFrame, each, ckpt: str) -> None:
@@ -133,8 +174,9 @@ def rule_hits(posts: DataFrame, symbols: DataFrame, id_col: str = "id",
               text_col: str = "text") -> DataFrame:
     """(post, symbol) pairs for posts naming a rule symbol: stream-static
     equi semi join on the symbol (the static side is small and broadcast by AQE)."""
-    cand = posts.select(id_col, F.explode(symbol_candidates(text_col)).alias("symbol"))
-    return cand.join(symbols.select("symbol"), "symbol", "left_semi")
+    names = symbols.select("symbol")
+    cand = posts.select(id_col, F.explode(symbol_candidates(text_col, symbol_lengths(names))).alias("symbol"))
+    return cand.join(names, "symbol", "left_semi")
 
 
 def run_available_now(df: DataFrame, name: str, partition_by: Sequence[str] | None = None,
