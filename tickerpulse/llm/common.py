@@ -65,3 +65,19 @@ def words_count(text):
 def stable_hash(*cols):
     """Column: a 64-bit hash that depends on the values alone."""
     return F.xxhash64(F.lit(SPLIT_SEED), *cols)
+
+
+def row_key(columns: list[str]):
+    """Column: a key of 128 bits that rows share only if they are equal in all ``columns``, NULLs included."""
+    flags = F.concat(F.lit(""), *[F.isnull(F.col(f"`{c}`")).cast("int").cast("string") for c in sorted(columns)])
+    values = [F.col(f"`{c}`") for c in sorted(columns)]
+    # xxhash64 skips NULLs: the flags say where they are
+    return F.concat_ws("-", *[F.hex(F.xxhash64(F.lit(f"{SPLIT_SEED} {i}"), flags, *values)) for i in (1, 2)])
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column of ``taken`` is called so."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stable_hash, stored, text_batches
+from .common import free_name, row_key, stored, text_batches
 from .components import components
 
 BITS = 64
@@ -184,16 +184,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingl
     """``docs`` with one row of each near-duplicate class: the smallest id (NULL last),
     of rows that share it the one with the smallest hash of all its columns.
 
-    Rows equal in all columns count as one. Texts are moved once, to meet the chosen keys.
+    Rows equal in all columns, NULLs included, count as one; columns of any name are kept. Texts are moved once, to meet the chosen keys.
     """
-    keyed = docs.withColumn("_key", stable_hash(*[F.col(c) for c in sorted(docs.columns)]))
-    rows = stored(fingerprints(keyed.select(F.col(id_col).alias("id"), "_key", F.col(text).alias("t")), "t", shingle)
+    key = free_name("_key", docs.columns)
+    keyed = docs.withColumn(key, row_key(docs.columns))
+    rows = stored(fingerprints(keyed.select(F.col(id_col).alias("id"), F.col(key).alias("_key"), F.col(text).alias("t")), "t", shingle)
                   .select("id", "_key", "fp"), "simhash")
     first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "_key"))
     best = _rooted(rows, max_bits).groupBy("root").agg(first.alias("b")).select(F.col("b._key").alias("_key"))
     same = rows.groupBy("_key").agg(F.count("*").alias("_same"))
     chosen = stored(best.join(same, "_key"), "simhash-chosen")
     # the keys grow with the documents, so they are never broadcast; both joins share one shuffle of the texts
-    once = keyed.join(chosen.filter("_same = 1").hint("merge"), "_key")
-    more = keyed.join(chosen.filter("_same > 1").hint("merge"), "_key").dropDuplicates(["_key"])
-    return once.unionByName(more).select(*docs.columns)
+    once = keyed.join(chosen.filter("_same = 1").select(F.col("_key").alias(key)).hint("merge"), key)
+    more = keyed.join(chosen.filter("_same > 1").select(F.col("_key").alias(key)).hint("merge"), key).dropDuplicates([key])
+    return once.unionByName(more).select(*[f"`{c}`" for c in docs.columns])

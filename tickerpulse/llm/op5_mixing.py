@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stable_hash, stored, words_count
+from .common import free_name, row_key, stable_hash, stored, words_count
 
 #: Different rows rounded together.
 BLOCK = 8192
@@ -136,8 +136,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: fl
     that repeat share their source's rate and are rounded together. Empty
     tables give an empty result. Columns named like the result's are only hashed.
     """
-    cols = [F.col(c) for c in sorted(docs.columns)]
-    units = stored(docs.select(stable_hash(*cols).alias("row_key"), F.col(id_col).alias("id"), F.col(source).alias("source"),
+    units = stored(docs.select(row_key(docs.columns).alias("row_key"), F.col(id_col).alias("id"), F.col(source).alias("source"),
                                words_count(F.col(text)).alias("size"))
                    .groupBy("row_key", "id", "source", "size").agg(F.count("*").alias("same")), "mixing-units")
     cells = stored(units.groupBy("source").agg(F.sum(F.col("size") * F.col("same")).alias("words"), F.count("*").alias("units"))
@@ -157,7 +156,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (3.0, 1.0, 2.0), share: fl
                      F.pmod(stable_hash("row_key", "size"), blocks).alias("block")))
     kind = dict(units.dtypes)
     return given.groupBy("source", "block").applyInPandas(
-        _round_block, f"row_key long, id {kind['id']}, source {kind['source']}, size long, same long, source_size long, target double, rate double, copies long")
+        _round_block, f"row_key string, id {kind['id']}, source {kind['source']}, size long, same long, source_size long, target double, rate double, copies long")
 
 
 def taken_rows(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -172,16 +171,14 @@ def taken_rows(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def apply_copies(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """``docs`` with each row as often as ``mixed`` says; rows of no copies go.
 
-    Equal rows all carry the same key, so one number in the run of a key says which of them get the extra copy.
+    ``mixed`` counts the copies of all occurrences of a row, so a row that
+    repeats is first brought down to one, task by task, and then repeated.
+    Columns of any name are kept as they are.
     """
-    cols = sorted(docs.columns)
-    keyed = docs.withColumn("_key", stable_hash(*[F.col(c) for c in cols]))
-    plan = mixed.select(F.col("row_key").alias("_key"), "same", "copies")
+    key, n, i = (free_name(x, docs.columns) for x in ("_key", "_copies", "_copy"))
+    keyed = docs.withColumn(key, row_key(docs.columns))
+    plan = mixed.filter("copies > 0").select(F.col("row_key").alias(key), F.col("copies").alias(n), "same")
     # the plan grows with the documents, so it is never broadcast; both joins share one shuffle of the texts
-    once = keyed.join(plan.filter("same = 1").hint("merge"), "_key").withColumn("_n", F.col("copies"))
-    more = (keyed.join(plan.filter("same > 1").hint("merge"), "_key")
-            .withColumn("_k", F.row_number().over(Window.partitionBy("_key").orderBy("_key")))
-            .withColumn("_n", (F.floor(F.col("copies") / F.col("same"))
-                               + F.when(F.col("_k") <= F.col("copies") % F.col("same"), 1).otherwise(0)).cast("long")).drop("_k"))
-    return (once.unionByName(more).filter("_n > 0")
-            .withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), "_n"))).select(*docs.columns))
+    once = keyed.join(plan.filter("same = 1").drop("same").hint("merge"), key)
+    more = keyed.join(plan.filter("same > 1").drop("same").hint("merge"), key).dropDuplicates([key])
+    return (once.unionByName(more).withColumn(i, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n)))).select(*[f"`{c}`" for c in docs.columns]))
