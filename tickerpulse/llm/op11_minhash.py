@@ -18,7 +18,7 @@ similarity 0.8 misses every band with probability (1 - 0.8^4)^32, 5e-8.
 
 **Crowded buckets.** Equal sets are one node, so copies cost nothing. A bucket
 of more than ``CROWD`` nodes does not make all pairs: its members are first
-verified against its smallest node, and classes formed. Buckets that still
+verified against its smallest and its largest node, and classes formed. Buckets that still
 hold several classes hand their nodes to a prefix join, which is exact: with
 the shingles in ascending order of frequency, two sets of similarity s share
 one among the first n - ceil(s * n) + 1 of each, and the first that they share
@@ -203,12 +203,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shin
                                                               F.first("bands").alias("bands"))
                    .withColumn("node", F.monotonically_increasing_id()), "fss-nodes")
     keys = nodes.select(F.explode("bands").alias("key"), "node", "n")
-    shared = stored(keys.groupBy("key").agg(F.count("*").alias("many"), F.min("node").alias("first")).filter("many > 1"), "fss-buckets")
+    shared = stored(keys.groupBy("key").agg(F.count("*").alias("many"), F.min("node").alias("first"), F.max("node").alias("last")).filter("many > 1"), "fss-buckets")
     members = stored(keys.join(shared, "key"), "fss-members")
     few, many = members.filter(F.col("many") <= crowd), members.filter(F.col("many") > crowd)
 
-    # nodes of full buckets meet their bucket's first node whatever their sizes, so that all of them have sets below
-    stars = many.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    # nodes of full buckets meet their bucket's first and last node whatever their sizes, so that all of them have sets below
+    stars = many.select(F.explode(F.array("first", "last")).alias("star"), "node").filter("star <> node") \
+        .select(F.least("star", "node").alias("a"), F.greatest("star", "node").alias("b")).distinct()
     pairs = stored(_ends(_sides(few).filter(_ratio(F.col("n1"), F.col("n2"), percent))).unionByName(stars).distinct(), "fss-pairs")
     asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("of")).distinct()
                    .join(nodes, F.col("of") == F.col("node")).select("node", "text_key"), "fss-asked")
