@@ -44,13 +44,26 @@ def test_documents(spark):
     assert len(got) == len(want) and {r["doc_id"]: r["tokens"] for r in got} == want
 
 
+def test_ordinary_ids():
+    plain_, ordinary = Tokenizer.from_file(tokens.VOCABULARY), tokens._ordinary(tokens.VOCABULARY)
+    for t in ("", "a b", "日本 語", "  x\n\n1,000 é", "don't  stop", "ﬁ № 𝔘"):
+        assert plain_.encode(t, add_special_tokens=False).ids == ordinary.encode(t, add_special_tokens=False).ids == tokens.encode_ordinary(t).tolist()
+    for t in ("a<|endoftext|>b", "<|endoftext|>", "日本 x<|endoftext|>y", " <|endoftext|> "):
+        ids = tokens.encode_ordinary(t).tolist()
+        assert T.END not in ids and plain_.decode(ids, skip_special_tokens=False) == t
+
+
 def test_odd_rows(spark):
-    rows = [(1, None), (2, ""), (None, "a b"), (3, "same"), (3, "same"), (4, "日本 x<|endoftext|>y"), (5, "word " * 50000)]
+    rows = [(1, None), (2, ""), (None, "a b"), (3, "same"), (3, "same"), (4, "日本 x<|endoftext|>y"), (5, "word " * 50000),
+            (6, "a<|endoftext|>b"), (7, "<|endoftext|>")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("file", F.lit(1)).withColumn("ordinal", F.lit("x"))
     got = T.count_documents(spark, docs, block_tokens=1000)
-    plain_ = Tokenizer.from_file(tokens.VOCABULARY)
-    want = sorted((-1 if i is None else i, sum(x != T.END for x in plain_.encode(t or "", add_special_tokens=False).ids)) for i, t in rows)
+    fast = tokens._fast(tokens.RANKS)  # knows no special token
+    want = sorted((-1 if i is None else i, len(fast.encode_ordinary(t or ""))) for i, t in rows)
     assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["tokens"]) for r in got.collect()) == want
+    assert (6, 9) in want and (7, 7) in want
     assert T.count_documents(spark, docs.limit(0)).count() == 0
+    with pytest.raises(Exception, match="within a text"):
+        T.write_flat(docs, T.scratch_path(spark, "clash"), end=int(tokens.encode("same")[0])).collect()
     with pytest.raises(Exception, match="shorter than listed"):
         T.scan(T.write_flat(docs, T.scratch_path(spark, "short")).select("file", (F.col("tokens") + 5).alias("tokens"))).collect()

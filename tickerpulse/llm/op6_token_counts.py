@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tickerpulse.session import scratch_path
 
 from .common import stored, text_batches
-from .tokens import RANKS, VOCABULARY, encode
+from .tokens import RANKS, VOCABULARY, encode_ordinary
 
 END = 50256
 BLOCK_TOKENS = 1 << 20
@@ -47,8 +47,8 @@ def write_flat(docs: DataFrame, folder: str, *, id_col: str = "doc_id", text: st
     """Write the ids of ``docs`` and an end id after each to flat files; (file, tokens, ordinal, id) of each document, stored.
 
     ``tokens`` is the size of the file. NULL and empty texts are an end id alone.
-    The vocabulary must fit ``dtype`` and not produce the end id within a text: a
-    text that spells it is encoded as ordinary text around it.
+    The vocabulary must fit ``dtype``. A text that spells a special token is encoded
+    as ordinary text, no token of it is lost; an end id within a text raises.
     """
     system, base = _open(folder)
     system.create_dir(base, recursive=True)
@@ -62,8 +62,9 @@ def write_flat(docs: DataFrame, folder: str, *, id_col: str = "doc_id", text: st
             for i, t in zip(b["id"].tolist(), b["t"]):
                 if out is None:
                     out = target.open_output_stream(f"{place}/{name}")
-                got = encode(t or "", vocabulary, ranks)
-                got = got[got != end]  # the end id only ever ends a document
+                got = encode_ordinary(t or "", vocabulary, ranks)
+                if (got == end).any():
+                    raise ValueError(f"the vocabulary gives the end id {end} within a text")
                 data = np.append(got, end).astype(dtype)
                 out.write(data.tobytes())
                 size += len(data)

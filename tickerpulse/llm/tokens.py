@@ -9,6 +9,7 @@ code point by code point in the tests), that one is used.
 from __future__ import annotations
 
 import base64
+import json
 import re
 from functools import lru_cache
 
@@ -31,6 +32,15 @@ def _plain(vocabulary: str):
     return Tokenizer.from_file(vocabulary)
 
 
+@lru_cache(maxsize=1)
+def _ordinary(vocabulary: str):
+    """The same tokenizer without special tokens: text that spells one is text like any other."""
+    from tokenizers import Tokenizer
+    with open(vocabulary, encoding="utf-8") as f:
+        parts = json.load(f)
+    return Tokenizer.from_str(json.dumps(parts | {"added_tokens": []}))
+
+
 @lru_cache(maxsize=1)
 def _fast(ranks: str):
     import tiktoken
@@ -44,3 +54,11 @@ def encode(text: str, vocabulary: str = VOCABULARY, ranks: str | None = RANKS) -
     if ranks is not None and not _BEYOND.search(text) and not any(s in text for s in SPECIAL):
         return np.array(_fast(ranks).encode_ordinary(text), np.uint32)
     return np.array(_plain(vocabulary).encode(text, add_special_tokens=False).ids, np.uint32)
+
+
+def encode_ordinary(text: str, vocabulary: str = VOCABULARY, ranks: str | None = RANKS) -> np.ndarray:
+    """As ``encode``, but a special token that the text spells is encoded as ordinary text, so its id never occurs."""
+    if ranks is not None and not _BEYOND.search(text):
+        return np.array(_fast(ranks).encode_ordinary(text), np.uint32)
+    tokenizer = _ordinary if any(s in text for s in SPECIAL) else _plain
+    return np.array(tokenizer(vocabulary).encode(text, add_special_tokens=False).ids, np.uint32)
