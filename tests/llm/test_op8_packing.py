@@ -100,6 +100,50 @@ def test_plan_places_every_piece_once():
     assert K.plan({34: 300, 33: 600}, 100, 60)[1] <= 302  # longest first alone needs 350
 
 
+def fewest(pieces, capacity):
+    """Least number of sequences, by enumeration: each piece goes into every open sequence with room or a new one."""
+    best = [len(pieces)]
+
+    def place(i, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if i == len(pieces):
+            best[0] = len(rooms)
+            return
+        for room in sorted(set(r for r in rooms if r >= pieces[i])):
+            rest = list(rooms)
+            rest.remove(room)
+            place(i + 1, rest + [room - pieces[i]])
+        place(i + 1, rooms + [capacity - pieces[i]])
+    place(0, [])
+    return best[0]
+
+
+def test_plan_against_enumeration():
+    rng = random.Random(8)
+    over = 0
+    for _ in range(40):
+        pieces = sorted((rng.randint(3, 14) for _ in range(rng.randint(4, 10))), reverse=True)
+        n, least = K.plan(Counter(pieces), 20)[1], fewest(pieces, 20)
+        assert least <= n <= least + 1
+        over += n - least
+    assert over <= 2
+
+
+def test_lengths_of_which_none_fill_a_sequence():
+    hist = {701: 500, 777: 400, 821: 600, 901: 300, 1030: 500}  # two fit, never three
+    found, own, least = K.solve(np.array(sorted(hist)), np.array([hist[k] for k in sorted(hist)]), 2048, 150, 4)
+    assert sum(t for _, t in found) == 1150 and least <= 1150
+    rng = np.random.default_rng(1)
+    hist = Counter(rng.integers(60, 110, 20000).tolist())  # pairs and some triples of 204
+    sizes = np.array(sorted(hist))
+    counts = np.array([hist[k] for k in sizes.tolist()])
+    found, own, least = K.solve(sizes, counts, 204, 150, 4)
+    by_size = sum(t for _, t in K._by_size(sizes, counts, 204, 150)[0])
+    n = sum(t for _, t in found)
+    assert own == len(found) and least <= n < by_size  # the LP places all
+
+
 def test_fast_ids_equal_the_library_on_each_code_point():
     plain = Tokenizer.from_file(tokens.VOCABULARY)
     fast = tokens._fast(tokens.RANKS)

@@ -67,13 +67,13 @@ def _ranked(cut: DataFrame, total: int) -> DataFrame:
             .withColumn("rank", F.col("before") + own - 1).drop("block", "before"))
 
 
-def pack(cut: DataFrame, capacity: int = CAPACITY, rounds: int = 150) -> DataFrame:
+def pack(cut: DataFrame, capacity: int = CAPACITY, rounds: int = 150, passes: int = 4) -> DataFrame:
     """``cut`` (as of ``pieces``, stored) with ``sequence_id`` and ``offset``.
 
     Repeated rows are places of their own; an empty table gives an empty one.
     """
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}  # <= capacity rows
-    runs, _ = packing_plan.plan(histogram, capacity, rounds)
+    runs, _ = packing_plan.plan(histogram, capacity, rounds, passes)
     by_length: dict[int, list[packing_plan.Run]] = {}
     for r in runs:
         by_length.setdefault(r.length, []).append(r)
