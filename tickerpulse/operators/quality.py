@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..constants import SPAM_RULES
@@ -36,28 +36,39 @@ def keep_condition(rule: Rule, tickers: str = "tickers", tags: str = "tags",
 
 
 def apply_rules(df: DataFrame, rules: Iterable[Rule] = SPAM_RULES,
-                only_source: str | None = None, source_col: str = "source") -> DataFrame:
+                only_source: str | None = None, source_col: str = "source",
+                audit: Observation | None = None) -> DataFrame:
     """Keep the rows that pass every rule. With ``only_source`` the rules
     apply to that collector's posts only (as the spam came through the
-    hashtag collector); rows of other sources pass unchanged."""
+    hashtag collector); rows of other sources pass unchanged.
+
+    ``audit`` receives the counts of ``filter_audit`` from the first job that
+    writes the result, without a scan of its own. A stage that is run again
+    after a lost executor may count its rows again."""
+    rules = list(rules)
+    judged = None if only_source is None else F.col(source_col).eqNullSafe(only_source)
+    if audit is not None:
+        df = df.observe(audit, *_audit_counts(rules, judged))
     conds = [keep_condition(r) for r in rules]
     if not conds:
         return df
     keep = reduce(lambda a, b: a & b, conds)
-    if only_source is not None:
-        keep = ~F.col(source_col).eqNullSafe(only_source) | keep
-    return df.where(keep)
+    return df.where(keep if judged is None else ~judged | keep)
+
+
+def _audit_counts(rules: Sequence[Rule], judged: Column | None = None) -> list[Column]:
+    """Rows (of those ``judged``) before and after each successive rule."""
+    acc = F.lit(True) if judged is None else judged
+    counts = [F.count(F.when(acc, F.lit(1))).alias("rows_in")]
+    for i, r in enumerate(rules, start=1):
+        acc = acc & keep_condition(r)
+        counts.append(F.count(F.when(acc, F.lit(1))).alias(f"after_rule_{i}"))
+    return counts
 
 
 def filter_audit(df: DataFrame, rules: Sequence[Rule] = SPAM_RULES) -> DataFrame:
     """Rows before and after each successive rule, in one pass over ``df``."""
-    aggs = [F.count(F.lit(1)).alias("rows_in")]
-    acc = None
-    for i, r in enumerate(rules, start=1):
-        c = keep_condition(r)
-        acc = c if acc is None else (acc & c)
-        aggs.append(F.count(F.when(acc, F.lit(1))).alias(f"after_rule_{i}"))
-    return df.agg(*aggs)
+    return df.agg(*_audit_counts(rules))
 
 
 def posts_about(df: DataFrame, symbol: str) -> DataFrame:

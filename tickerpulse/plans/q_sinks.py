@@ -7,11 +7,14 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ..operators import counts, market, ranking
-from ..session import scratch_path
+from ..operators.upsert import upsert_posts
+from ..session import scratch_path, staged
 from ..sinks.tables import (publish_all, read_table, write_bars_json, write_rolled,
                             write_table)
+from ..sinks.versions import publish_version, read_published
 from ..sources import driver_tables as dt
 from ..sources.bars import normalise_daily, normalise_hourly, read_bars
+from ..streaming.days import read_days
 from . import sql as S
 from .inputs import event_fact, table
 from .q_counts import _DAILY_SQL, _FLAT, _PAIRS_SQL
@@ -149,3 +152,44 @@ def read_bars_q(spark, sf_dir):
                        "open", "high", "low", "close", "volume")
     write_bars_json(raw, path)
     return normalise_daily(read_bars(spark, path))
+
+
+@query("publish_versions", S.with_(S.EV_POSTS, _DAILY_SQL) + "SELECT t_day, CAST(sum(cnt) AS BIGINT) AS cnt FROM daily GROUP BY t_day")
+def publish_versions(spark, sf_dir):
+    """Daily totals out of the current version of a table set, after a later run that failed half way."""
+    base = scratch_path(spark, "versions")
+    fact = event_fact(spark, sf_dir)
+
+    def whole(folder):
+        posts = write_table(fact.select("id", "date", "tickers", "created_at"), "posts", folder, flatten=False)
+        return {"posts": posts, "test_days_list": write_table(counts.daily_total(spark.read.parquet(posts)), "test_days_list", folder)}
+
+    def killed(folder):
+        write_table(read_published(spark, base, "test_days_list").limit(0), "test_days_list", folder)
+        raise RuntimeError("killed")
+    publish_version(spark, base, whole)
+    try:
+        publish_version(spark, base, killed)
+    except RuntimeError as e:
+        if str(e) != "killed":
+            raise
+    return read_published(spark, base, "test_days_list")
+
+
+@query("upsert_posts", S.with_(S.EV_POSTS) + """, seen AS (
+SELECT id, date, like_count, created_at AS seen_at, 'cashtag' AS source FROM ev_fact UNION ALL
+SELECT id, date, like_count + 1, created_at + INTERVAL 1 HOUR, 'hashtag' FROM ev_fact WHERE like_count % 2 = 0),
+last AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seen_at DESC) AS rn FROM seen)
+SELECT last.id, last.date, last.like_count, last.seen_at, s.sources FROM last
+JOIN (SELECT id, string_agg(DISTINCT source, ',' ORDER BY source) AS sources FROM seen GROUP BY id) s ON s.id = last.id WHERE rn = 1""")
+def upsert_posts_q(spark, sf_dir):
+    """Posts met by one collector, then some of them by the other an hour later, then the first again: one row each."""
+    path = scratch_path(spark, "upserted")
+    posts = event_fact(spark, sf_dir).select("id", "date", "like_count", F.col("created_at").alias("seen_at"))
+    first = staged(posts.withColumn("sources", F.array(F.lit("cashtag"))), "upsert-first")
+    later = staged(first.where("like_count % 2 = 0").withColumn("like_count", F.col("like_count") + 1)
+                   .withColumn("seen_at", F.col("seen_at") + F.expr("INTERVAL 1 HOUR"))
+                   .withColumn("sources", F.array(F.lit("hashtag"))), "upsert-later")
+    for n, rows in enumerate((first, later, first)):
+        upsert_posts(rows, path, n)
+    return read_days(spark, path, first.schema, "date").withColumn("sources", F.array_join("sources", ","))

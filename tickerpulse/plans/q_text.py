@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..constants import RULE_SIZE_CASHTAG, RULE_SIZE_HASHTAG
@@ -113,17 +114,28 @@ def spam_rules_all(spark, sf_dir):
     return quality.apply_rules(event_fact(spark, sf_dir), EVENT_RULES).select("id")
 
 
-@query("filter_audit", _EV + f"""
+_AUDIT_SQL = _EV + f"""
 SELECT count(*) AS rows_in,
        count(*) FILTER (WHERE {_rule_sql(_RA)}) AS after_rule_1,
        count(*) FILTER (WHERE {_rule_sql(_RA)} AND {_rule_sql(_RB)}) AS after_rule_2,
        count(*) FILTER (WHERE {_rule_sql(_RA)} AND {_rule_sql(_RB)} AND {_rule_sql(_RC)}) AS after_rule_3
-FROM ev_fact""")
+FROM ev_fact"""
+
+
+@query("filter_audit", _AUDIT_SQL)
 def filter_audit(spark, sf_dir):
     """Rows before and after each spam rule, one pass."""
     return quality.filter_audit(event_fact(spark, sf_dir), EVENT_RULES)
 
 
+@query("rules_observed", _AUDIT_SQL)
+def rules_observed(spark, sf_dir):
+    """The same counts out of the job that writes the kept posts, without a scan of their own."""
+    audit = Observation()
+    staged(quality.apply_rules(event_fact(spark, sf_dir), EVENT_RULES, audit=audit).select("id", "text"), "observed")
+    return spark.createDataFrame([audit.get], ", ".join(f"{n} long" for n in ("rows_in", "after_rule_1", "after_rule_2", "after_rule_3")))
+
+
 @query("posts_about", S.with_(S.EV_POSTS) + "SELECT id, tickers FROM ev_fact WHERE list_contains(tickers, 'VIEW')",
        texts=("tickers",))
 def posts_about(spark, sf_dir):
