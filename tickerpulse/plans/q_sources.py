@@ -53,6 +53,14 @@ def flatten_no_context(spark, sf_dir):
         .select("id", "author_id", "created_at", "text")
 
 
+@query("long_envelopes", S.with_(S.EV_POSTS) + f"""
+SELECT id, author_id, {_ISO} AS created_at, text FROM ev_posts""")
+def long_envelopes(spark, sf_dir):
+    """Long unclosed one-line documents, each read by many tasks, flattened."""
+    path = env.write_long_envelopes(_event_envelopes(spark, sf_dir), scratch_path(spark, "long-envelopes"))
+    return env.flatten_no_context(env.read_long_envelopes(spark, path)).select("id", "author_id", "created_at", "text")
+
+
 @query("ingest_projection", S.with_(S.CONV_POSTS) + """
 SELECT id, author_id, conversation_id, text, retweet_count, list_transform(tweets, lambda t: t.id) AS referenced_ids,
        CASE WHEN turn % 2 = 0 THEN ['true'] ELSE ['false'] END AS users_verified,

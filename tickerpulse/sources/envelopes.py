@@ -30,6 +30,43 @@ def read_envelopes(spark: SparkSession, path: str, multi_line: bool = True,
     return r.json(path)
 
 
+#: What a record of an envelope begins with; inside a JSON string its quotes would be escaped.
+RECORD_START = '{"data":'
+
+
+def read_long_envelopes(spark: SparkSession, path: str, path_glob: str | None = None) -> DataFrame:
+    """Documents of any length, also on one line without line breaks, read by many tasks: a row of ``read_envelopes``' shape per record.
+
+    The text source cuts files at ``{"data":``, wherever a split begins, so a
+    document is spread over tasks like any splittable file and a task holds one
+    record at a time. Each piece is closed and parsed as an envelope of its own,
+    what follows its records' end (a sentinel, the document's closing brackets)
+    going with the last one. Unclosed documents need no repair; of one cut
+    inside a record only that record is unreadable and stays in
+    ``_corrupt_record``. Records must begin with ``data``, without blanks up to
+    the colon, as collectors write them.
+    """
+    r = spark.read.option("lineSep", RECORD_START)
+    if path_glob:
+        r = r.option("pathGlobFilter", path_glob)
+    head = F.col("value").rlike(r'^\s*\{\s*"tweets"\s*:')
+    body = F.regexp_replace("value", r",\s*$", "")
+    whole = F.concat(F.when(head, body).otherwise(F.concat(F.lit('{"tweets":[' + RECORD_START), body)), F.lit("]}"))
+    pieces = r.text(path).where(F.trim("value") != "").select(F.from_json(whole, schemas.ENVELOPE_BODY)["tweets"].alias("tweets"), "value")
+    corrupt = F.when(F.col("tweets").isNull(), F.col("value")).alias("_corrupt_record")
+    return pieces.select("tweets", corrupt).where((F.size("tweets") > 0) | F.col("tweets").isNull())
+
+
+def write_long_envelopes(env: DataFrame, path: str) -> str:
+    """Envelopes as one long document a task, on one line and never closed: what a collector that was
+    killed between two records leaves. Nothing is gathered, each record is written as it comes."""
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0  # the lower 33 bits count within the task
+    record = F.to_json(F.col("col"))
+    numbered = explode_tweets(env).select(F.concat(F.when(first, F.lit('{"tweets": [')).otherwise(F.lit("")), record).alias("value"))
+    numbered.write.mode("overwrite").option("lineSep", ", ").text(path)
+    return path
+
+
 def corrupt_files(env: DataFrame) -> DataFrame:
     """Rows of documents that did not parse (for counting / repair)."""
     return env.where(F.col("tweets").isNull() & F.col("_corrupt_record").isNotNull()) \
