@@ -44,7 +44,7 @@ def test_registered_streams_equal_batch_on_a_part_folder(spark, tmpdir_path):
         spark.read.parquet(f"{sf}/{name}.parquet").repartition(3).write.parquet(f"{tmpdir_path}/{name}.parquet")
     jobs.MAX_FILES, old = 1, jobs.MAX_FILES
     try:
-        for name in ("stream_identify", "stream_hourly_counts", "stream_top_hourly", "stream_publish", "stream_dedup", "stream_rule_filter"):
+        for name in ("stream_identify", "stream_hourly_counts", "stream_top_hourly", "stream_publish", "stream_top_kept", "stream_dedup", "stream_rule_filter"):
             parts, whole = (E.queries()[name](spark, d) for d in (tmpdir_path, sf))
             rows = lambda df: sorted(map(str, df.collect()))
             assert rows(parts) == rows(whole) and len(rows(whole)) > 0, name
@@ -253,3 +253,28 @@ def test_dedup_opens_the_days_of_a_batch_alone(spark, tmpdir_path):
     days.write_days(rows, out, "date", 0)
     some = days.read_days(spark, out, rows.schema, "date", [days.day_name(d(3)), days.day_name(d(30))], before=1, every=True)
     assert [r["id"] for r in some.collect()] == ["3"] and len(some.inputFiles()) == 1
+
+
+def test_kept_top_k_equals_a_recount(spark, tmpdir_path):
+    """Leaders overtaken later, ties, NULL keys, restarts: k rows an hour give what a recount of all rows gives."""
+    import random
+    src, out, ckpt = (os.path.join(tmpdir_path, x) for x in ("src", "out", "ckpt"))
+    rng, rows, got = random.Random(5), [], None
+    for n in range(8):
+        new = [(rng.choice(["A", "B", "C", "D", "E", "F", "G", None]), dt.datetime(2024, 1, 1, 22) + dt.timedelta(minutes=rng.randrange(240)))
+               for _ in range(rng.choice([3, 40, 90]))]
+        new += [("G", dt.datetime(2024, 1, 1, 23, 5))] * n * 3  # the last one comes to lead
+        rows += new
+        _deliver(src, f"{n}.parquet", new)
+        if n % 2:
+            got = jobs.run_top_per_hour(_mentions(spark, src), "t-top", 2, "9 hours", out, ckpt)
+    counts = {}
+    for key, at in rows:
+        hour = counts.setdefault(at.replace(minute=0), {})
+        hour[key] = hour.get(key, 0) + 1
+    want = [(h, key, n, i + 1) for h, c in counts.items()
+            for i, (key, n) in enumerate(sorted(c.items(), key=lambda x: (-x[1], x[0] is None, x[0] or ""))[:2])]
+    found = [(r["t_hour"], r["ticker"], r["cnt"], r["rank"]) for r in got.collect()]
+    assert sorted(map(str, found)) == sorted(map(str, want))
+    stored = spark.read.parquet(os.path.join(out, "table")).groupBy("batch", "t_hour").count().collect()
+    assert max(r["count"] for r in stored) == 2  # k rows an hour are all that is kept beside the state

@@ -47,10 +47,13 @@ def stream_hourly_counts(spark, sf_dir):
                                               per_batch=jobs.hourly_partials))
 
 
-@query("stream_top_hourly", S.with_(_MENTIONS) + """
+_TOP_SQL = S.with_(_MENTIONS) + """
 SELECT t_hour, ticker, cnt, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY t_hour ORDER BY cnt DESC, ticker ASC) AS rank FROM c)
-WHERE rank <= 3""")
+WHERE rank <= 3"""
+
+
+@query("stream_top_hourly", _TOP_SQL)
 def stream_top_hourly(spark, sf_dir):
     """Top-3 symbols of every hour from the streamed counts."""
     counts = jobs.totals(jobs.run_available_now(_mention_stream(spark, sf_dir), "stream-top",
@@ -58,6 +61,12 @@ def stream_top_hourly(spark, sf_dir):
     return ranking.top_k_per(counts, ["t_hour"], [F.desc("cnt"), F.asc("ticker")], 3)
 
 
+@query("stream_top_kept", _TOP_SQL)
+def stream_top_kept(spark, sf_dir):
+    """Top-3 symbols of every hour, kept by the stream itself as three rows an hour."""
+    return jobs.run_top_per_hour(_mention_stream(spark, sf_dir), "stream-top-kept", 3)
+
+
 @query("stream_publish", S.with_(_MENTIONS) + "SELECT t_hour, ticker, cnt FROM c")
 def stream_publish(spark, sf_dir):
     """A published table of hourly counts by date; a micro-batch replaces only the days it touches."""

@@ -88,6 +88,24 @@ def run_counts_by_day(mentions: DataFrame, name: str, out: str | None = None, ck
     return read_days(spark, table, schema, "date").drop("date")
 
 
+def event_time_counts(timed: DataFrame, delay: str, key: str) -> DataFrame:
+    """(t_hour, key, cnt) of a stream with the time ``at``: in update mode the whole count of every
+    (hour, key) that a batch changed, for hours that end after the watermark."""
+    return (timed.withWatermark("at", delay).groupBy(F.window("at", "1 hour").alias("w"), key).agg(F.count(F.lit(1)).alias("cnt"))
+            .select(F.col("w.start").cast("timestamp_ntz").alias("t_hour"), key, "cnt"))
+
+
+def _timed(mentions: DataFrame, ts: str, key: str) -> DataFrame:
+    """A watermark needs a timestamp with a zone; the session's is UTC, so hours are the same."""
+    return mentions.select(F.col(ts).cast("timestamp").alias("at"), key)
+
+
+def _upserted(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """``old`` with the rows of equal (t_hour, key) replaced by those of ``new``."""
+    same = (F.col("t_hour") == F.col("_hour")) & F.col(key).eqNullSafe(F.col("_key"))
+    return old.join(new.select(F.col("t_hour").alias("_hour"), F.col(key).alias("_key")), same, "left_anti").unionByName(new)
+
+
 def run_event_time_counts(mentions: DataFrame, name: str, delay: str = "2 hours", out: str | None = None,
                           ckpt: str | None = None, ts: str = "created_at", key: str = "ticker") -> tuple[DataFrame, DataFrame]:
     """Hourly counts in event time: the counts table and what came too late.
@@ -106,18 +124,11 @@ def run_event_time_counts(mentions: DataFrame, name: str, delay: str = "2 hours"
     spark = mentions.sparkSession
     out = out or scratch_path(spark, f"{name}-out")
     table, ledger, late = f"{out}/table", f"{out}/ledger", f"{out}/late"
-    # a watermark needs a timestamp with a zone; the session's is UTC, so hours are the same
-    timed = mentions.select(F.col(ts).cast("timestamp").alias("at"), key).observe("read", F.count(F.lit(1)).alias("rows_in"))
-    counts = (timed.withWatermark("at", delay).groupBy(F.window("at", "1 hour").alias("w"), key).agg(F.count(F.lit(1)).alias("cnt"))
-              .select(F.col("w.start").cast("timestamp_ntz").alias("t_hour"), key, "cnt"))
-
-    def upserted(old: DataFrame, new: DataFrame) -> DataFrame:
-        same = (F.col("t_hour") == F.col("_hour")) & F.col(key).eqNullSafe(F.col("_key"))
-        return old.join(new.select(F.col("t_hour").alias("_hour"), F.col(key).alias("_key")), same, "left_anti").unionByName(new)
+    counts = event_time_counts(_timed(mentions, ts, key).observe("read", F.count(F.lit(1)).alias("rows_in")), delay, key)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         new = staged(batch.withColumn("date", F.to_date("t_hour")), f"{name}-changed")
-        old = replace_days(new, table, "date", batch_id, upserted)
+        old = replace_days(new, table, "date", batch_id, lambda old, new: _upserted(old, new, key))
         before = old.join(new.select("t_hour", F.col(key).alias("_key")).withColumnRenamed("t_hour", "_hour"),
                           (F.col("t_hour") == F.col("_hour")) & F.col(key).eqNullSafe(F.col("_key")), "left_semi")
         added = new.select("cnt").unionByName(before.select((-F.col("cnt")).alias("cnt"))).agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("counted"))
@@ -140,6 +151,35 @@ def run_event_time_counts(mentions: DataFrame, name: str, delay: str = "2 hours"
             lost.select("batch", "rows_in", "counted", "late"))
 
 
+def run_top_per_hour(mentions: DataFrame, name: str, k: int, delay: str = "2 hours", out: str | None = None,
+                     ckpt: str | None = None, ts: str = "created_at", key: str = "ticker") -> DataFrame:
+    """The ``k`` most frequent keys of every hour, kept while the stream runs: (t_hour, key, cnt, rank).
+
+    Counts are those of ``event_time_counts``; what is stored beside the
+    stream's state are k rows an hour. They are enough: counts only grow, so a
+    key that is neither among an hour's stored k nor changed by a batch is
+    still behind k others after it. Ties go to the smaller key, NULL last.
+    Rows behind the watermark or without a time are not counted.
+    """
+    from ..operators.ranking import top_k_per
+    spark = mentions.sparkSession
+    table = f"{out or scratch_path(spark, f'{name}-out')}/table"
+    order = [F.desc("cnt"), F.asc_nulls_last(key)]
+
+    def leaders(rows: DataFrame) -> DataFrame:
+        return top_k_per(rows, ["t_hour"], order, k)
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        new = staged(leaders(batch).drop("rank").withColumn("date", F.to_date("t_hour")), f"{name}-changed")
+        replace_days(new, table, "date", batch_id, lambda old, new: leaders(_upserted(old, new, key)).drop("rank"))
+
+    counts = event_time_counts(_timed(mentions, ts, key), delay, key)
+    (counts.writeStream.outputMode("update").option("checkpointLocation", ckpt or scratch_path(spark, f"{name}-ckpt"))
+     .trigger(availableNow=True).foreachBatch(publish).start().awaitTermination())
+    schema = spark.createDataFrame([], f"t_hour timestamp_ntz, {key} string, cnt long, date date").schema
+    return leaders(read_days(spark, table, schema, "date").drop("date"))
+
+
 def run_dedup(stream: DataFrame, name: str, keys: Sequence[str], day: str, out: str | None = None,
               ckpt: str | None = None) -> DataFrame:
     """The first row of each key: a micro-batch is reduced to one row per key and
