@@ -114,3 +114,15 @@ def stream_ingest(spark, sf_dir):
                       F.to_date(F.substring("created_at", 1, 10)).alias("date"))
     return jobs.run_available_now(out, "stream-ingest", partition_by=["date"],
                                   max_records_per_file=1000)
+
+
+@query("stream_compacted", S.with_(S.EV_POSTS) + """
+SELECT id, author_id, text, CAST(created_at AS DATE) AS date FROM ev_posts""")
+def stream_compacted(spark, sf_dir):
+    """Envelope files that arrive one a micro-batch, stored by date and compacted while the stream runs."""
+    drop = scratch_path(spark, "envelope-drops")
+    posts = dt.event_posts(table(spark, sf_dir, "events"))
+    env.envelopes_from_posts(posts.repartition(12, "id")).write.mode("overwrite").json(drop)
+    flat = env.flatten_no_context(jobs.envelope_stream(spark, drop, max_files_per_trigger=1))
+    out = flat.select("id", "author_id", "text", F.to_date(F.substring("created_at", 1, 10)).alias("date"))
+    return jobs.run_compacted(out, "stream-compacted", "date")

@@ -65,3 +65,12 @@ BAR_RAW = T.StructType([
     T.StructField("close", T.DoubleType()),
     T.StructField("volume", T.DoubleType()),
 ])
+
+# The published post fact.
+FACT = T.StructType(
+    [T.StructField("id", T.StringType()), T.StructField("source", T.StringType()), T.StructField("author_id", T.StringType()),
+     T.StructField("created_at", T.TimestampNTZType()), T.StructField("date", T.DateType())]
+    + [T.StructField(part, T.IntegerType()) for part in ("month", "day", "hour")]
+    + METRICS.fields
+    + [T.StructField("text", T.StringType()), T.StructField("tickers", T.ArrayType(T.StringType())),
+       T.StructField("tags", T.ArrayType(T.StringType()))])

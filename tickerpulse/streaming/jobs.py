@@ -24,6 +24,7 @@ from ..functions.entities import symbol_candidates, symbol_lengths
 from ..functions.timeparts import bucket
 from ..session import scratch_path, staged
 from .days import days_of, day_name, path_exists, read_days, replace_days, write_days
+from .segments import compact, read_segments
 
 
 #: New files a micro-batch takes at most, so a backlog is worked off in bounded batches.
@@ -210,6 +211,19 @@ def _run(stream: DataFrame, each, ckpt: str) -> None:
     q.awaitTermination()
 
 
+def run_compacted(stream: DataFrame, name: str, day: str, out: str | None = None, ckpt: str | None = None) -> DataFrame:
+    """All rows of a stream as a table by ``day`` whose number of files stays bounded (``segments``)."""
+    spark = stream.sparkSession
+    table = f"{out or scratch_path(spark, f'{name}-out')}/table"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        compact(spark, table, stream.schema, day, batch_id)
+        batch.write.mode("overwrite").partitionBy(day).parquet(f"{table}/batch={batch_id}")
+
+    _run(stream, write, ckpt or scratch_path(spark, f"{name}-ckpt"))
+    return read_segments(spark, table, stream.schema)
+
+
 def rule_hits(posts: DataFrame, symbols: DataFrame, id_col: str = "id",
               text_col: str = "text") -> DataFrame:
     """(post, symbol) pairs for posts naming a rule symbol: stream-static

@@ -6,8 +6,10 @@ posts, hourly counts and unreadable documents.
 One query reads both folders. Each micro-batch re-closes unclosed documents,
 keeps those that stay unreadable in ``quarantine``, drops known spam from the
 hashtag collector, identifies once, stores its posts by date and counts from
-what it stored. All outputs are ``batch=<id>`` folders, which a batch that
-runs again overwrites. ``hourly_counts`` adds the partial counts up.
+what it stored. Posts and unreadable documents go to ``batch=<id>`` folders,
+which a batch that runs again overwrites; those of posts are compacted into
+larger ones as they grow in number (``segments``), so read them by ``posts``.
+The counts are a table by day, of which a batch replaces the days it touches.
 """
 
 from __future__ import annotations
@@ -23,8 +25,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import TICKERS
 from ..publish_job import identified
+from ..schemas import FACT
 from ..sources.envelopes import corrupt_files, repair_unclosed
+from .days import read_days, remove, replace_days
 from .jobs import MAX_FILES, envelope_stream, hourly_partials, totals
+from .segments import compact, read_segments
+
+_HOURLY = "t_hour timestamp_ntz, ticker string, cnt long, date date"
 
 
 def start(spark: SparkSession, sources: dict[str, str], out_dir: str, ckpt_dir: str, universe=TICKERS,
@@ -40,11 +47,16 @@ def start(spark: SparkSession, sources: dict[str, str], out_dir: str, ckpt_dir:
         here = lambda name: os.path.join(out_dir, name, f"batch={batch_id}")
         env = repair_unclosed(batch)
         corrupt_files(env).write.mode("overwrite").json(here("quarantine"))
-        (identified(env, universe).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+        fact = identified(env, universe)
+        compact(spark, os.path.join(out_dir, "posts"), FACT, "date", batch_id)
+        (fact.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
          .partitionBy("date").parquet(here("posts")))
-        if posts := _stored(spark, os.path.join(out_dir, "posts"), batch_id):
-            mentions = posts.select("created_at", F.explode("tickers").alias("ticker"))
-            hourly_partials(mentions).write.mode("overwrite").parquet(here("hourly_parts"))
+        if (stored := _stored(spark, os.path.join(out_dir, "posts"), batch_id)) is not None:
+            mentions = stored.select("created_at", F.explode("tickers").alias("ticker"))
+            hourly_partials(mentions).withColumn("date", F.to_date("t_hour")).write.mode("overwrite").parquet(here("hourly_parts"))
+            replace_days(spark.read.schema(_HOURLY).parquet(here("hourly_parts")), os.path.join(out_dir, "hourly"), "date", batch_id,
+                         lambda old, new: totals(old.unionByName(new), ["date", "t_hour", "ticker"]))
+            remove(spark, here("hourly_parts"))
 
     return (reduce(DataFrame.unionByName, streams).writeStream.foreachBatch(write)
             .option("checkpointLocation", ckpt_dir).trigger(**(trigger or {"processingTime": "1 minute"})).start())
@@ -59,9 +71,15 @@ def _stored(spark: SparkSession, folder: str, batch_id: int) -> DataFrame | None
     return spark.read.parquet(path)
 
 
+def posts(spark: SparkSession, out_dir: str) -> DataFrame:
+    """All posts stored so far, each once."""
+    return read_segments(spark, os.path.join(out_dir, "posts"), FACT)
+
+
 def hourly_counts(spark: SparkSession, out_dir: str) -> DataFrame:
     """(t_hour, ticker, cnt) of all posts stored so far."""
-    return totals(spark.read.parquet(os.path.join(out_dir, "hourly_parts")))
+    schema = spark.createDataFrame([], _HOURLY).schema
+    return read_days(spark, os.path.join(out_dir, "hourly"), schema, "date").drop("date")
 
 
 def unreadable(spark: SparkSession, out_dir: str) -> DataFrame:
