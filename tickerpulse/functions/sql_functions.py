@@ -27,10 +27,14 @@ def _extract_upper(text: str, pattern: str) -> str:
     return f"transform(regexp_extract_all({text}, {_lit(pattern)}, 1), x -> upper(x))"
 
 
-def _candidates(text: str) -> str:
+def _candidates(text: str, lengths: Sequence[int] | None = None) -> str:
     """Same as ``entities.symbol_candidates`` ([] for NULL), sorted."""
-    ends = "filter(sequence(1, length(r)), i -> i = length(r) OR NOT substring(r, i + 1, 1) RLIKE '[A-Za-z|]')"
-    each = f"CASE WHEN r RLIKE '^[A-Za-z]+$' THEN array(r) ELSE transform({ends}, i -> substring(r, 1, i)) END"
+    tried, alone = "sequence(1, length(r))", "array(r)"
+    if lengths is not None:
+        tried = f"CAST(array({', '.join(map(str, lengths))}) AS ARRAY<INT>)"
+        alone = f"filter(array(r), x -> array_contains({tried}, length(x)))"
+    ends = f"filter({tried}, i -> i = length(r) OR (i < length(r) AND NOT substring(r, i + 1, 1) RLIKE '[A-Za-z|]'))"
+    each = f"CASE WHEN r RLIKE '^[A-Za-z]+$' THEN {alone} ELSE transform({ends}, i -> substring(r, 1, i)) END"
     runs = f"array_distinct(regexp_extract_all({text}, {_lit(SYMBOL_RUN)}, 1))"
     return (f"coalesce(array_sort(array_distinct(transform(flatten(transform({runs}, r -> {each})), x -> upper(x)))), "
             "CAST(array() AS ARRAY<STRING>))")
@@ -51,8 +55,10 @@ def _rule_sql(rule) -> str:
     return f"(NOT array_contains(tickers, {_lit(symbol)}) OR " + " AND ".join(parts) + ")"
 
 
-def sql_function_bodies(universe: Sequence[str] = TICKERS, rules=SPAM_RULES) -> dict[str, tuple[str, str, str]]:
-    """name -> (parameters, return type, SQL body)."""
+def sql_function_bodies(universe: Sequence[str] = TICKERS, rules=SPAM_RULES,
+                        lengths: Sequence[int] | None = None) -> dict[str, tuple[str, str, str]]:
+    """name -> (parameters, return type, SQL body). ``lengths`` (``entities.symbol_lengths`` of
+    the symbols to be joined) bounds ``candidates``, which are else quadratic in a run."""
     u = list(dict.fromkeys(s.upper() for s in universe))
     if not all(s.isascii() and s.isalpha() for s in u):
         raise ValueError("the literal SQL functions take symbols of ASCII letters; join on candidates(text) for others")
@@ -64,7 +70,7 @@ def sql_function_bodies(universe: Sequence[str] = TICKERS, rules=SPAM_RULES) ->
     return {
         "hashtags": ("text STRING", "ARRAY<STRING>", f"coalesce({_extract_upper('text', HASHTAG)}, {empty})"),
         "cashtags": ("text STRING", "ARRAY<STRING>", f"coalesce({_extract_upper('text', CASHTAG)}, {empty})"),
-        "candidates": ("text STRING", "ARRAY<STRING>", _candidates("text")),
+        "candidates": ("text STRING", "ARRAY<STRING>", _candidates("text", lengths)),
         "identify": ("text STRING", "ARRAY<STRING>", _keep(own, u)),
         "identify_ctx": ("text STRING, ctx ARRAY<STRUCT<id: STRING, text: STRING>>", "ARRAY<STRING>",
                          _keep(f"concat({own}, {ctx})", u)),
@@ -74,9 +80,10 @@ def sql_function_bodies(universe: Sequence[str] = TICKERS, rules=SPAM_RULES) ->
 
 
 def register_sql_functions(spark: SparkSession, universe: Sequence[str] = TICKERS,
-                           prefix: str = "tp_", rules=SPAM_RULES) -> list[str]:
+                           prefix: str = "tp_", rules=SPAM_RULES,
+                           lengths: Sequence[int] | None = None) -> list[str]:
     names = []
-    for name, (params, rtype, body) in sql_function_bodies(universe, rules).items():
+    for name, (params, rtype, body) in sql_function_bodies(universe, rules, lengths).items():
         full = prefix + name
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {full}({params}) RETURNS {rtype} RETURN {body}")
         names.append(full)

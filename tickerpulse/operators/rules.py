@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.entities import symbol_candidates, symbol_lengths
 from ..session import staged
+from .identify import found_symbols, text_key
 from .numbering import numbered
 
 
@@ -60,12 +61,10 @@ def rule_semi(posts: DataFrame, rules: DataFrame, group_col: str = "page_id",
               text_col: str = "text") -> DataFrame:
     """Posts caught by at least one rule (the stream filter's result).
 
-    Each different set of candidates is matched once; posts meet the sets that
-    hit by digest, so ids play no part: repeated and NULL ones are judged by their own text.
+    Posts meet the texts that hit by digest, so ids play no part: repeated and
+    NULL ones are judged by their own text.
     """
-    syms = rule_symbols(rules, group_col).select("symbol")  # a semi join needs no distinct
-    keyed = posts.withColumn("_c", F.array_sort(symbol_candidates(text_col, symbol_lengths(syms)))).where(F.size("_c") > 0) \
-        .withColumn("_k", F.sha2(F.to_json("_c"), 256))
-    hits = staged(keyed.select("_k", "_c").distinct().select("_k", F.explode("_c").alias("symbol"))
-                  .join(syms, "symbol", "left_semi").select("_k").distinct(), "rule-hits")
-    return keyed.join(hits, "_k", "left_semi").select(*posts.columns)
+    symbols = staged(rule_symbols(rules, group_col).select("symbol").distinct(), "rule-symbols")
+    whole = F.coalesce(F.col(text_col), F.lit(""))
+    hits = staged(found_symbols(posts, whole, symbols).select("_k").distinct(), "rule-hits")
+    return posts.withColumn("_k", text_key(whole, posts)).join(hits, "_k", "left_semi").select(*posts.columns)

@@ -227,8 +227,9 @@ def run_compacted(stream: DataFrame, name: str, day: str, out: str | None = None
 def rule_hits(posts: DataFrame, symbols: DataFrame, id_col: str = "id",
               text_col: str = "text") -> DataFrame:
     """(post, symbol) pairs for posts naming a rule symbol: stream-static
-    equi semi join on the symbol (the static side is small and broadcast by AQE)."""
-    names = symbols.select("symbol")
+    equi semi join on the symbol. The static side is stored first: its size is then
+    known to the plan of a micro-batch, which does not shuffle candidates to meet a small one."""
+    names = staged(symbols.select("symbol").distinct(), "rule-symbols")
     cand = posts.select(id_col, F.explode(symbol_candidates(text_col, symbol_lengths(names))).alias("symbol"))
     return cand.join(names, "symbol", "left_semi")
 
