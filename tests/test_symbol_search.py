@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickerpulse.functions import entities as E
 from tickerpulse.functions.sql_functions import register_sql_functions
+from tickerpulse.operators import identify
 from tickerpulse.operators.identify import identify_and_tag, non_symbol_tag_posts
 from tickerpulse.operators.rules import rule_semi
 from tickerpulse.plans import q_text
@@ -82,3 +83,38 @@ def test_sql_identify_keys_are_not_candidate_sets(spark, tmpdir_path):
     assert [r.tickers for r in out.collect()] in (["SYMBOL"] * 5, [["SYMBOL"]] * 5)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "cands" not in plan  # the set of candidates was a join and grouping key, repeated for each of its members
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_candidates_equal_the_beginnings_of_every_run(spark, posts):
+    for lengths in ([1], [2, 3, 5], list(range(1, 10)), []):
+        runs = F.regexp_extract_all("text", F.lit(E.SYMBOL_RUN), F.lit(1))
+        each = F.array_distinct(F.transform(F.flatten(F.transform(runs, lambda r: E.beginnings(r, lengths))), F.upper))
+        got = posts.select("text", F.array_sort(E.symbol_candidates("text", lengths)).alias("c"))
+        assert _rows(got) == _rows(posts.select("text", F.array_sort(each).alias("c")))
+
+
+def test_many_symbols_are_joined_with_the_same_rows(spark, posts, monkeypatch):
+    ctx = posts.withColumn("tweets", F.when(F.length("text") % 3 > 0, F.array(F.struct(F.lit("c").alias("id"), F.reverse("text").alias("text")))))
+
+    def rows(universe):
+        return [_rows(identify_and_tag(posts, universe)), _rows(non_symbol_tag_posts(posts, universe)),
+                *(_rows(identify_and_tag(ctx, universe, context_col="tweets", strict_compat=s)) for s in (False, True))]
+
+    nothing = spark.createDataFrame([(None,)], "symbol string")
+    for universe in (_universe(spark), nothing):
+        few = rows(universe)
+        for name in ("SET_SYMBOLS", "SET_CHARS"):
+            with monkeypatch.context() as m:
+                m.setattr(identify, name, -1)
+                assert "Join" in _plan(identify_and_tag(posts, universe))
+                assert rows(universe) == few
+
+
+def test_union_of_identified_posts_moves_no_post(spark, posts):
+    """Found symbols went back to the posts by a join, which shuffled posts and tags once it was too large to broadcast."""
+    plan = _plan(identify_and_tag(posts, _universe(spark)))
+    assert "Join" not in plan and "Exchange" not in plan
