@@ -118,3 +118,8 @@ def test_union_of_identified_posts_moves_no_post(spark, posts):
     """Found symbols went back to the posts by a join, which shuffled posts and tags once it was too large to broadcast."""
     plan = _plan(identify_and_tag(posts, _universe(spark)))
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_non_symbol_tags_move_no_post(spark, posts):
+    plan = _plan(non_symbol_tag_posts(posts, _universe(spark)))
+    assert "Join" not in plan and "Exchange" not in plan
