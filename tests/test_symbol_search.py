@@ -10,7 +10,7 @@ from tickerpulse.functions.sql_functions import register_sql_functions
 from tickerpulse.operators import identify
 from tickerpulse.operators.identify import identify_and_tag, non_symbol_tag_posts
 from tickerpulse.operators.rules import rule_semi
-from tickerpulse.plans import q_text
+from tickerpulse.plans import q_streaming, q_text
 from tickerpulse.streaming import jobs
 
 SYMBOLS = ["AB", "ABC", "B.A", "éA", "ßA", "1", "Z"]
@@ -123,3 +123,13 @@ def test_union_of_identified_posts_moves_no_post(spark, posts):
 def test_non_symbol_tags_move_no_post(spark, posts):
     plan = _plan(non_symbol_tag_posts(posts, _universe(spark)))
     assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_stream_identify_reads_the_pages_once(spark, tmpdir_path, monkeypatch):
+    spark.createDataFrame([(1, "see symbol there", "en", "s", 9)], "doc_id long, text string, lang string, source string, n_chars long") \
+        .write.parquet(f"{tmpdir_path}/documents.parquet")
+    spark.createDataFrame([(1, '<a href="/a">n</a><a href="/b">symbol</a>')], "page_id long, html string").write.parquet(f"{tmpdir_path}/pages.parquet")
+    read = []
+    monkeypatch.setattr(q_streaming, "identify_and_tag", lambda b, u: read.extend(u.inputFiles()) or identify_and_tag(b, u))
+    assert [(r.id, r.tickers) for r in q_streaming.stream_identify(spark, tmpdir_path).collect()] == [("1", ["SYMBOL"])]
+    assert read and not any("pages.parquet" in f for f in read)  # every micro-batch searched the pages again

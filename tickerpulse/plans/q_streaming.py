@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ranking
 from ..operators import rules as R
-from ..operators.identify import identify_and_tag
+from ..operators.identify import identify_and_tag, symbol_table
 from ..session import scratch_path
 from ..sources import driver_tables as dt
 from ..sources import envelopes as env
@@ -23,7 +23,7 @@ DOC = S.with_(S.PG_UNIVERSE, S.DOC_FACT)
 def stream_identify(spark, sf_dir):
     """Documents as a stream: each micro-batch is identified against the
     listing symbols (a join) and tagged; checkpointed."""
-    universe = page_universe(spark, sf_dir)
+    universe = symbol_table(page_universe(spark, sf_dir))  # stored: micro-batches do not read the pages again
     posts = dt.document_posts(jobs.table_stream(spark, sf_dir, "documents"))
     return jobs.run_available_now(posts, "stream-identify", per_batch=lambda b: identify_and_tag(b, universe)
                                   .select("id", "tickers", "tags"))
