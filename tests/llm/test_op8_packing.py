@@ -155,3 +155,36 @@ def test_fast_ids_equal_the_library_on_each_code_point():
         assert fast.encode_ordinary(t) == e.ids, repr(t)
     for t in ("日本", "a<|endoftext|>b", "é   　x"):
         assert tokens.encode(t).tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
+def test_texts_encoded_together_equal_the_library(monkeypatch):
+    plain = Tokenizer.from_file(tokens.VOCABULARY)
+    rng = random.Random(6)
+    texts = ["", " ", "  ", "a", " a", "a ", "a  b", "a\n b", "a \n b", "a\n\n  b  ", "\n a", "a\x1c b \x1d", "a\xa0 b \xa0c", "\x85 \x85 a", "日本 語",
+             "a <|endoftext|> b", "don't you 'll 's", " word" * 3000, "é  ü ß", "x\t y\r z\x0b w"]
+    texts += ["".join(rng.choice(("a", "Z", " ", " ", "  ", "é", "1", ".", "'s", "\n", "\t", "\xa0", "\x85", "\x1c", "-", "ß", "the", " in")) for _ in range(30))
+              for _ in range(4000)]
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    for together in (1, 50, 4_000_000):
+        monkeypatch.setattr(tokens, "TOGETHER", together)
+        monkeypatch.setattr(tokens, "REMEMBERED", 8 * together)
+        assert [e.tolist() for e in tokens.encode_all(texts)] == want
+    assert [e.tolist() for e in tokens.encode_all(texts[:30], ranks=None)] == want[:30]
+    assert list(tokens.encode_all([])) == []
+
+
+def test_each_piece_is_encoded_once(monkeypatch):
+    asked = []
+
+    class Counted:
+        _mergeable_ranks = tokens._fast(tokens.RANKS)._mergeable_ranks
+
+        def encode_ordinary(self, text, fast=tokens._fast(tokens.RANKS)):
+            asked.append(len(text))
+            return fast.encode_ordinary(text)
+    texts = [" ".join(["some", "words", "that", "come", "again"][i % 5:] * 50) for i in range(200)]
+    want = [tokens.encode(t).tolist() for t in texts]
+    tokens._known.cache_clear()
+    monkeypatch.setattr(tokens, "_fast", lambda ranks: Counted())
+    assert [e.tolist() for e in tokens.encode_all(texts)] == want
+    assert sum(asked) < sum(map(len, texts)) / 10

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import packing_plan
 from .common import stable_hash, stored, text_batches
-from .tokens import RANKS, VOCABULARY, encode
+from .tokens import RANKS, VOCABULARY, encode_all
 
 CAPACITY = 2048
 #: Pieces that are numbered together.
@@ -43,8 +43,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, *, id_col
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for ts in batches:
             out = []
-            for t in ts:
-                ids = np.append(encode(t or "", vocabulary, ranks), np.uint32(end_id)).astype("<u4")
+            for ids in encode_all((t or "" for t in ts), vocabulary, ranks):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 n = len(ids)
                 edges = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
                 out.append([{"start": i, "length": j - i, "crc": zlib.crc32(ids[i:j].tobytes())} for i, j in zip(edges, edges[1:])])
